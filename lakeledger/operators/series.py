@@ -327,15 +327,16 @@ def last_n(df: DataFrame, keys: Sequence[str], n: int, date: str = "date") -> Da
 
 def extrapolate_step(df: DataFrame, keys: Sequence[str], value: str, days: int = 12, date: str = "date") -> DataFrame:
     """Append one row per key, ``days`` after the last, on the line through the last two points."""
-    w = ordered(keys, F.col(date).desc())
-    ends = (df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2).groupBy(*keys).agg(
-        F.max(date).alias("_d1"), F.min(date).alias("_d0"), F.count(F.lit(1)).alias("_n"),
-        F.max(F.when(F.col("_rn") == 1, F.col(value))).alias("_v1"),
-        F.max(F.when(F.col("_rn") == 2, F.col(value))).alias("_v0")))
-    slope = (F.col("_v1") - F.col("_v0")) / F.datediff("_d1", "_d0")
-    extra = ends.where(F.col("_n") == 2).select(
-        *keys, F.date_add("_d1", days).alias(date), (F.col("_v1") + slope * days).alias(value))
-    return df.unionByName(extra, allowMissingColumns=True)
+    w = ordered(keys, date)
+    slope = (F.col(value) - F.lag(value).over(w)) / F.datediff(F.col(date), F.lag(date).over(w))
+    ends = F.lead(date).over(w).isNull() & F.lag(date).over(w).isNotNull()
+    staged = df.withColumn("_slope", slope).withColumn("_copies", F.when(ends, 1).otherwise(0))
+    staged = staged.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_copies"))))
+    new = F.col("_k") == 1
+    cells = {date: F.when(new, F.date_add(F.col(date), days)).otherwise(F.col(date)),
+             value: F.when(new, F.col(value) + F.col("_slope") * days).otherwise(F.col(value))}
+    return staged.select(*[cells[c].alias(c) if c in cells else F.col(c) if c in keys
+                           else F.when(~new, F.col(c)).alias(c) for c in df.columns])
 
 
 def clip_to_overlap(series: Sequence[DataFrame], keys: Sequence[str], which: str = "left",

@@ -45,29 +45,29 @@ OUTFLOW = LEVELS + """, ends as (
 
 
 @query("outflow", check_sql("s2_daily reservoirs curve_seg flow", OUTFLOW + """
-select e.reservoir_id, e.date, round(coalesce(sum(f.streamflow), 0) * 86400 / 1e6, 4) as inflow_mcm,
+select e.reservoir_id, e.date, round(coalesce(sum(f.streamflow), 0) * 86400 / 1e6, 8) as inflow_mcm,
   round((coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / 1e6, 8) + 0.0 as outflow_mcm,
   date_diff('day', any_value(e.before), e.date) as days_passed,
-  round((coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / (date_diff('day', any_value(e.before), e.date) * 86400), 3) + 0.0 as outflow_rate
+  round((coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / (date_diff('day', any_value(e.before), e.date) * 86400), 5) + 0.0 as outflow_rate
 from ends e left join flow f on f.reservoir_id = e.reservoir_id and f.date > e.before and f.date <= e.date
 where e.before is not null group by e.reservoir_id, e.date"""))
 def outflow(t: Tables):
     """Interval inflow minus storage change, half-open intervals."""
     out = balance.outflow(storage(t), t.flow, None, R)
-    return out.select("reservoir_id", "date", F.round(F.col("inflow_vol") / 1e6, 4).alias("inflow_mcm"),
+    return out.select("reservoir_id", "date", F.round(F.col("inflow_vol") / 1e6, 8).alias("inflow_mcm"),
                       F.round(F.col("outflow_vol") / 1e6, 8).alias("outflow_mcm"),
                       F.col("days_passed").cast("bigint").alias("days_passed"),
-                      F.round("outflow_rate", 3).alias("outflow_rate"))
+                      F.round("outflow_rate", 5).alias("outflow_rate"))
 
 
 @query("outflow_closed_interval", check_sql("s2_daily reservoirs curve_seg flow", OUTFLOW + """
-select e.reservoir_id, e.date, round(coalesce(sum(f.streamflow), 0) * 86400 / 1e6, 4) as inflow_mcm
+select e.reservoir_id, e.date, round(coalesce(sum(f.streamflow), 0) * 86400 / 1e6, 8) as inflow_mcm
 from ends e left join flow f on f.reservoir_id = e.reservoir_id and f.date >= e.before and f.date <= e.date
 where e.before is not null group by e.reservoir_id, e.date"""))
 def outflow_closed(t: Tables):
     """The same with the starting day counted too."""
     out = balance.outflow(storage(t), t.flow, None, R, both_closed=True)
-    return out.select("reservoir_id", "date", F.round(F.col("inflow_vol") / 1e6, 4).alias("inflow_mcm"))
+    return out.select("reservoir_id", "date", F.round(F.col("inflow_vol") / 1e6, 8).alias("inflow_mcm"))
 
 
 PENMAN = """with daily as (

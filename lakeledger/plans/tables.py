@@ -43,6 +43,14 @@ class Tables:
         return (pick_rows(one, ["reservoir_id", "date"], "event_id", ["water_area"])
                 .select("reservoir_id", "date", F.col("water_area").alias("area")))
 
+    @cached_property
+    def optical(self) -> DataFrame:
+        """Sensor observations with all area measures; every tenth corrected area is the sentinel -1."""
+        k = F.col("cloud_percent")
+        return self.sensor_daily.select(
+            "reservoir_id", "sat", "date", "water_area", ((F.lit(100.0) - k) / 10).alias("non_water_area"), k.alias("cloud_area"),
+            F.when(k % 10 == 9, F.lit(-1.0)).otherwise(F.col("water_area")).alias("corrected_area"))
+
     @cached_property
     def sar_daily(self) -> DataFrame:
         from lakeledger.operators.scale import pick_rows
@@ -184,6 +192,29 @@ SQL = {
     "sensor_daily": """select reservoir_id, sat, date, event_id, water_area, cloud_percent from area_obs
         qualify row_number() over (partition by reservoir_id, sat, date order by event_id desc) = 1""",
     "s2_daily": """select reservoir_id, date, water_area as area from sensor_daily where sat = 's2'""",
+    "optical": """select reservoir_id, sat, date, water_area, (100.0 - cloud_percent) / 10 as non_water_area, cloud_percent as cloud_area,
+        case when cloud_percent % 10 = 9 then -1.0 else water_area end as corrected_area from sensor_daily""",
+    "cleaned": """select * from (
+        with screened as (select reservoir_id, sat, date, case sat when 's2' then 5 else 16 end as step,
+            cloud_area * 100 / (water_area + non_water_area + cloud_area) as cp, water_area, non_water_area, cloud_area,
+            nullif(corrected_area, -1) as corrected_area from optical),
+        bounds as (select reservoir_id, sat, step, min(date) as d0, max(date) as d1, max(cloud_area) as most from screened group by all),
+        grid as (select reservoir_id, sat, most, cast(unnest(generate_series(cast(d0 as timestamp), cast(d1 as timestamp), step * interval 1 day)) as date) as date from bounds),
+        j as (select g.reservoir_id, g.sat, g.date, case when s.date is null then 2 when s.cp >= 90 then 1 else 0 end as quality,
+            coalesce(s.cloud_area, g.most) as cloud_area, coalesce(s.cp, 100) as cloud_percent,
+            coalesce(case when s.cp >= 90 then null else s.non_water_area end, 0) as non_water_area,
+            coalesce(case when s.cp >= 90 then null else s.water_area end, 0) as water_area,
+            case when s.cp >= 90 then null else s.corrected_area end as v
+            from grid g left join screened s using (reservoir_id, sat, date)),
+        n as (select *, row_number() over (partition by reservoir_id, sat order by date) as x from j),
+        f as (select *, last_value(v ignore nulls) over up as pv, max(case when v is not null then x end) over up as px,
+            first_value(v ignore nulls) over dn as nv, min(case when v is not null then x end) over dn as nx from n
+            window up as (partition by reservoir_id, sat order by x rows between unbounded preceding and current row),
+              dn as (partition by reservoir_id, sat order by x rows between current row and unbounded following))
+        select reservoir_id, sat, date, quality, cloud_area, cloud_percent, non_water_area, water_area,
+          case when v is not null then v when nv is null then pv else pv + (nv - pv) * (x - px) / (nx - px) end as corrected_area from f)""",
+    "merged": """select reservoir_id, date, sat, corrected_area as area, cloud_percent, quality from cleaned
+        qualify row_number() over (partition by reservoir_id, date order by case sat when 's2' then 3 when 'l9' then 2 else 1 end desc) = 1""",
     "sar_daily": """select user_id as reservoir_id, cast(ts as date) as date, value as sarea from events where event_type = 'signup'
         qualify row_number() over (partition by user_id, cast(ts as date) order by event_id desc) = 1""",
     "flow": """select user_id as reservoir_id, cast(ts as date) as date, sum(value) as streamflow from events
@@ -222,7 +253,7 @@ SQL = {
         from customer""",
     "rule_curve": """select month(o_orderdate) as month, count(*) * 6.0 / (select count(*) from orders) as s_by_smax from orders group by 1""",
 }
-NEEDS = {"sensor_daily": ["area_obs"], "s2_daily": ["sensor_daily"], "curve": ["dem"], "curve_seg": ["curve"]}
+NEEDS = {"optical": ["sensor_daily"], "cleaned": ["optical"], "merged": ["cleaned"], "sensor_daily": ["area_obs"], "s2_daily": ["sensor_daily"], "curve": ["dem"], "curve_seg": ["curve"]}
 
 
 def check_sql(views: str, body: str, recursive: bool = False) -> str:
