@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import (date_from_decimal_year, decimal_year_from_mjd, mjd_from_seconds)
-from lakeledger.operators.scale import exact_quantiles, running_sums
+from lakeledger.operators.scale import GROUP_LIMIT, exact_quantiles, large_groups, running_sums
+from lakeledger.session import cut_lineage
 
 # Fixed values.
 ELLIPSOID_OFFSET = 0.7
@@ -43,12 +44,26 @@ def heights(high_rate: DataFrame, low_rate: DataFrame, keys: Sequence[str], inde
     return out.where(F.col("flags") == 0) if drop_flagged else out
 
 
-def iqr_filter(df: DataFrame, keys: Sequence[str], value: str = "height") -> DataFrame:
-    """Values inside the quartiles widened by one and a half midpoint interquartile ranges."""
-    q = exact_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75})
+def iqr_filter(df: DataFrame, keys: Sequence[str], value: str = "height", short: bool = False) -> DataFrame:
+    """Values inside the quartiles widened by one and a half midpoint interquartile ranges.
+
+    ``short`` groups (one row per cycle, say) are ordered as one list; others use exact quantiles
+    that never hold a whole group.
+    """
+    keys = list(keys)
+    if short:
+        lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("_l")).withColumn("_n", F.size("_l"))
+        cells = []
+        for name, p in (("q1", 0.25), ("q3", 0.75)):
+            pos = (F.col("_n") - 1) * p
+            lo, hi = F.get("_l", F.floor(pos).cast("int")), F.get("_l", F.ceil(pos).cast("int"))
+            cells += [(lo + (hi - lo) * (pos - F.floor(pos))).alias(f"{name}_lin"), ((lo + hi) / 2).alias(f"{name}_mid")]
+        q = lists.select(*keys, *cells)
+    else:
+        q = exact_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75})
     reach = (F.col("q3_mid") - F.col("q1_mid")) * 1.5
     bounds = q.select(*keys, (F.col("q1_lin") - reach).alias("_low"), (F.col("q3_lin") + reach).alias("_high"))
-    return df.join(bounds, list(keys)).where((F.col(value) > F.col("_low")) & (F.col(value) < F.col("_high"))).drop("_low", "_high")
+    return df.join(bounds, keys).where((F.col(value) > F.col("_low")) & (F.col(value) < F.col("_high"))).drop("_low", "_high")
 
 
 def _bucket(value: Column, low: Column, high: Column) -> Column:
@@ -56,49 +71,83 @@ def _bucket(value: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.floor(F.try_divide(value - low, high - low) * BUCKETS), F.lit(0)).cast("int")
 
 
-def cycle_limits(df: DataFrame, cycle: Sequence[str], value: str = "height", range_limit: float = RANGE_LIMIT,
-                 std_limit: float = STD_LIMIT) -> DataFrame:
-    """Per cycle, the accepted heights: a cut between two groups, then a distance from the mean.
+def _split_gain(n1: Column, s1: Column, rest: Column) -> Column:
+    """How much a cut into two groups lowers the squared error, sums taken about the common mean."""
+    return F.round(s1 * s1 * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), rest)), DIGITS)
 
-    Where heights spread more than ``range_limit``, the best split into two groups (least squares)
-    is cut and the larger group kept, the lower on a tie. Then returns leave in order of distance
-    from the mean of that group until the population standard deviation is within ``std_limit``;
-    equal distances leave together.
-    """
-    cycle = list(cycle)
-    levels = df.where(F.col(value).isNotNull()).groupBy(*cycle, value).agg(F.count(F.lit(1)).alias("_c"))
+
+def _prefix_std(k: Column, s: Column, q: Column) -> Column:
+    mean = s / k
+    return F.round(F.sqrt(F.greatest(q / k - mean * mean, F.lit(0.0))), DIGITS)
+
+
+def _clean_in_windows(df: DataFrame, cycle: list[str], value: str, range_limit: float, std_limit: float) -> DataFrame:
+    """All steps on one partitioning by cycle."""
+    whole = Window.partitionBy(*cycle)
+    h = F.col(value)
+    d = df.where(h.isNotNull()).select(
+        "*", (F.max(value).over(whole) - F.min(value).over(whole)).alias("_range"), F.count(F.lit(1)).over(whole).alias("_n"),
+        F.avg(value).over(whole).alias("_avg"))
+    upto = Window.partitionBy(*cycle).orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.select("*", F.count(F.lit(1)).over(upto).alias("_n1"), F.sum(h - F.col("_avg")).over(upto).alias("_s1"))
+    rest = F.col("_n") - F.col("_n1")
+    able = (F.col("_range") > range_limit) & (rest > 0)
+    best = F.max(F.when(able, F.struct(_split_gain(F.col("_n1"), F.col("_s1"), rest).alias("g"), (-h).alias("h"),
+                                       (F.col("_n1") * 2 >= F.col("_n")).alias("lower")))).over(whole)
+    d = d.withColumn("_cut", best)
+    side = F.when(F.col("_cut").isNull(), True).otherwise((h <= -F.col("_cut.h")) == F.col("_cut.lower"))
+    d = d.where(side).withColumn("_centre", F.avg(value).over(whole))
+    d = d.withColumn("_d", h - F.col("_centre")).withColumn("_e", F.round(F.abs("_d"), DIGITS))
+    near = Window.partitionBy(*cycle).orderBy("_e").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_std", _prefix_std(F.count(F.lit(1)).over(near), F.sum("_d").over(near), F.sum(F.col("_d") * F.col("_d")).over(near)))
+    d = d.withColumn("_reach", F.max(F.when(F.col("_std") <= std_limit, F.col("_e"))).over(whole))
+    return d.where(F.col("_e") <= F.col("_reach")).select(*df.columns)
+
+
+def _clean_in_buckets(df: DataFrame, cycle: list[str], value: str, range_limit: float, std_limit: float) -> DataFrame:
+    """The same for cycles too large to order in one task: equal heights are merged, and running
+    sums go bucket by bucket. Only a few numbers per cycle come back to the returns."""
+    h = F.col(value)
+    levels = cut_lineage(df.where(h.isNotNull()).groupBy(*cycle, value).agg(F.count(F.lit(1)).alias("_c")))
     spread = levels.groupBy(*cycle).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_c").alias("_n"),
-                                        (F.sum(F.col(value) * F.col("_c")) / F.sum("_c")).alias("_avg"))
-    known = levels.join(spread, cycle)
-    off = F.col(value) - F.col("_avg")
-    wide = known.where(F.col("_hi") - F.col("_lo") > range_limit).withColumn("_b", _bucket(F.col(value), F.col("_lo"), F.col("_hi")))
-    run = running_sums(wide, cycle, "_b", value, {"_n1": F.col("_c"), "_s1": off * F.col("_c")})
+                                        (F.sum(h * F.col("_c")) / F.sum("_c")).alias("_avg"))
+    wide = levels.join(spread, cycle).where(F.col("_hi") - F.col("_lo") > range_limit).withColumn("_b", _bucket(h, F.col("_lo"), F.col("_hi")))
+    run = running_sums(wide, cycle, "_b", value, {"_n1": F.col("_c"), "_s1": (h - F.col("_avg")) * F.col("_c")})
     rest = F.col("_n") - F.col("_n1")
-    gain = F.round(F.col("_s1") * F.col("_s1") * (F.try_divide(F.lit(1.0), F.col("_n1")) + F.try_divide(F.lit(1.0), rest)), DIGITS)
-    cut = run.where(rest > 0).groupBy(*cycle).agg(
-        F.max_by(F.struct(F.col(value).alias("cut"), (F.col("_n1") * 2 >= F.col("_n")).alias("lower")), F.struct(gain, -F.col(value))).alias("_cut"))
-    kept = known.join(cut, cycle, "left")
-    side = F.when(F.col("_cut").isNull(), True).otherwise((F.col(value) <= F.col("_cut.cut")) == F.col("_cut.lower"))
-    kept = kept.where(side).select(*cycle, value, "_c", "_cut")
-    centre = kept.groupBy(*cycle).agg((F.sum(F.col(value) * F.col("_c")) / F.sum("_c")).alias("centre"),
-                                      F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    dist = kept.join(centre, cycle).withColumn("_d", F.col(value) - F.col("centre")).withColumn("_e", F.round(F.abs("_d"), DIGITS))
-    top = F.greatest(F.col("_hi") - F.col("centre"), F.col("centre") - F.col("_lo"))
+    cut = run.where(rest > 0).groupBy(*cycle).agg(F.max_by(
+        F.struct(h.alias("h"), (F.col("_n1") * 2 >= F.col("_n")).alias("lower")),
+        F.struct(_split_gain(F.col("_n1"), F.col("_s1"), rest), -h)).alias("_cut"))
+    cut = cut_lineage(spread.select(*cycle).join(cut, cycle, "left"))
+    side = F.when(F.col("_cut").isNull(), True).otherwise((h <= F.col("_cut.h")) == F.col("_cut.lower"))
+    kept = levels.join(cut, cycle).where(side)
+    centre = cut_lineage(kept.groupBy(*cycle).agg((F.sum(h * F.col("_c")) / F.sum("_c")).alias("_centre"),
+                                                  F.min(value).alias("_lo"), F.max(value).alias("_hi")))
+    dist = kept.join(centre, cycle).withColumn("_d", h - F.col("_centre")).withColumn("_e", F.round(F.abs("_d"), DIGITS))
+    top = F.greatest(F.col("_hi") - F.col("_centre"), F.col("_centre") - F.col("_lo"))
     dist = dist.withColumn("_b", _bucket(F.col("_e"), F.lit(0.0), top))
     run = running_sums(dist, cycle, "_b", "_e", {"_k": F.col("_c"), "_s": F.col("_d") * F.col("_c"), "_q": F.col("_d") * F.col("_d") * F.col("_c")})
-    mean = F.col("_s") / F.col("_k")
-    std = F.sqrt(F.greatest(F.col("_q") / F.col("_k") - mean * mean, F.lit(0.0)))
-    return run.groupBy(*cycle).agg(F.first("_cut").alias("_cut"), F.first("centre").alias("centre"),
-                                   F.max(F.when(F.round(std, DIGITS) <= std_limit, F.col("_e"))).alias("reach"))
+    reach = run.groupBy(*cycle).agg(F.max(F.when(_prefix_std(F.col("_k"), F.col("_s"), F.col("_q")) <= std_limit, F.col("_e"))).alias("_reach"))
+    limits = cut_lineage(cut.join(centre.select(*cycle, "_centre"), cycle).join(reach, cycle))
+    near = F.round(F.abs(h - F.col("_centre")), DIGITS) <= F.col("_reach")
+    return df.join(limits, cycle).where(side & near).select(*df.columns)
 
 
-def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", **limits) -> DataFrame:
-    """Returns inside the limits of their cycle."""
-    bounds = cycle_limits(df, cycle, value, **limits)
-    joined = df.join(bounds, list(cycle))
-    side = F.when(F.col("_cut").isNull(), True).otherwise((F.col(value) <= F.col("_cut.cut")) == F.col("_cut.lower"))
-    near = F.round(F.abs(F.col(value) - F.col("centre")), DIGITS) <= F.col("reach")
-    return joined.where(side & near).drop("_cut", "centre", "reach")
+def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", range_limit: float = RANGE_LIMIT,
+                 std_limit: float = STD_LIMIT, group_limit: int = GROUP_LIMIT, sized: DataFrame | None = None) -> DataFrame:
+    """Accepted returns of each cycle.
+
+    Where heights spread more than ``range_limit``, the best split into two groups (least squares)
+    is cut and the larger group kept, the lower on a tie. Then returns leave in order of distance
+    from the mean of that group until the population standard deviation is within ``std_limit``;
+    equal distances leave together. Cycles are counted first (on ``sized``, which may be a cheaper
+    superset of ``df``); those above ``group_limit`` take the bucketed way.
+    """
+    cycle = list(cycle)
+    large = large_groups(df if sized is None else sized, cycle, group_limit)
+    if large is None:
+        return _clean_in_windows(df, cycle, value, range_limit, std_limit)
+    small = _clean_in_windows(df.join(large, cycle, "left_anti"), cycle, value, range_limit, std_limit)
+    return small.unionByName(_clean_in_buckets(df.join(large, cycle, "left_semi"), cycle, value, range_limit, std_limit))
 
 
 def cycle_levels(df: DataFrame, cycle: Sequence[str], value: str = "height") -> DataFrame:
@@ -119,5 +168,5 @@ def datum_levels(levels: DataFrame, geoid_height: str = "geoid", value: str = "h
 def water_levels(returns: DataFrame, station: Sequence[str], cycle: str, min_lat: Column, max_lat: Column) -> DataFrame:
     """Cleaned level of every cycle of every station, before the geoid is taken off."""
     inside = returns.where((F.col("lat") > min_lat) & (F.col("lat") < max_lat))
-    cleaned = clean_cycles(iqr_filter(inside, station), [*station, cycle])
-    return iqr_filter(cycle_levels(cleaned, [*station, cycle]), station)
+    cleaned = clean_cycles(iqr_filter(inside, station), [*station, cycle], sized=returns)
+    return iqr_filter(cycle_levels(cleaned, [*station, cycle]), station, short=True)

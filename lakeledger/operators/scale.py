@@ -37,6 +37,15 @@ def lowest_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
             .where(F.col("_rn") <= k).drop("_rn"))
 
 
+GROUP_LIMIT = 2_000_000  # rows one window task may order; it spills, so memory is not the limit
+
+
+def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, or None when there are none (checked by counting)."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys)
+    return None if found.isEmpty() else found
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: str,
                  sums: dict[str, Column]) -> DataFrame:
     """Inclusive running sums per key in ``order``, computed bucket by bucket.

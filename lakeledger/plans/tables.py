@@ -125,6 +125,16 @@ class Tables:
             (F.col("l_orderkey") % 64).cast("int").alias("qa"),
             (F.col("l_partkey") % 101).cast("int").alias("occurrence"))
 
+    @cached_property
+    def sar_images(self) -> DataFrame:
+        """Radar backscatter per composite window, pass and pixel."""
+        day = F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01"))
+        return self.raw("lineitem").select(
+            (F.col("l_suppkey") % 2).cast("int").alias("reservoir_id"), F.to_date("l_shipdate").alias("image_date"),
+            F.col("l_returnflag").alias("image"), (F.col("l_partkey") % 100).cast("int").alias("x"),
+            F.floor(F.col("l_partkey") / 100).cast("int").alias("y"), (F.col("l_quantity") * -0.7).alias("vv"),
+            (F.col("l_discount") * 200 + 30).alias("angle"))
+
     # --- altimetry --------------------------------------------------------------------------
     @cached_property
     def returns(self) -> DataFrame:
@@ -239,6 +249,14 @@ SQL = {
         cast(date_trunc('month', l_shipdate) as date) as scene, l_partkey as pix, l_orderkey as image, l_linenumber as line,
         l_quantity as b3, l_discount * 100 as b4, l_tax * 100 as b5, cast(l_linenumber as double) as b6,
         cast(l_partkey % 50 as double) as b7, cast(l_orderkey % 64 as int) as qa, cast(l_partkey % 101 as int) as occurrence from lineitem""",
+    "sar_images": """select cast(l_suppkey % 2 as int) as reservoir_id, cast(l_shipdate as date) as image_date, l_returnflag as image,
+        cast(l_partkey % 100 as int) as x, cast(floor(l_partkey / 100) as int) as y, l_quantity * -0.7 as vv, l_discount * 200 + 30 as angle from lineitem""",
+    "mosaic": """select reservoir_id, scene, pix, occurrence, n_images, best.ndwi as ndwi, best.mbwi as mbwi, best.b3 as b3, best.b7 as b7, clear from (
+        with m as (select *, (qa & 24) = 0 as clear, case when (qa & 24) = 0 then (b5 - b6) / nullif(b5 + b6, 0) end as ndwi,
+            case when (qa & 24) = 0 then b3 * 3 - b4 - b5 - b6 - b7 end as mbwi from pixels)
+        select reservoir_id, scene, pix, occurrence, count(*) as n_images, max(cast(ndwi is not null as int)) = 1 as clear,
+          arg_max(struct_pack(ndwi := ndwi, mbwi := mbwi, b3 := b3, b7 := b7), case when ndwi is not null then struct_pack(ndwi := ndwi, image := image, line := line, d := image_date, b3 := b3, b4 := b4, b5 := b5) end) as best
+        from m group by 1, 2, 3, 4)""",
     "returns": """select l_linenumber as track, cast(floor(date_diff('day', date '1995-01-01', cast(l_shipdate as date)) / 10) as int) as cycle,
         l_discount * 100 as lat, l_tax * 100 as lon, l_extendedprice / 1000 as height,
         cast(date_diff('day', date '1858-11-17', cast(l_shipdate as date)) as double) as mjd from lineitem""",
@@ -253,7 +271,7 @@ SQL = {
         from customer""",
     "rule_curve": """select month(o_orderdate) as month, count(*) * 6.0 / (select count(*) from orders) as s_by_smax from orders group by 1""",
 }
-NEEDS = {"optical": ["sensor_daily"], "cleaned": ["optical"], "merged": ["cleaned"], "sensor_daily": ["area_obs"], "s2_daily": ["sensor_daily"], "curve": ["dem"], "curve_seg": ["curve"]}
+NEEDS = {"mosaic": ["pixels"], "optical": ["sensor_daily"], "cleaned": ["optical"], "merged": ["cleaned"], "sensor_daily": ["area_obs"], "s2_daily": ["sensor_daily"], "curve": ["dem"], "curve_seg": ["curve"]}
 
 
 def check_sql(views: str, body: str, recursive: bool = False) -> str:
