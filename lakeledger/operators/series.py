@@ -83,7 +83,7 @@ def daily_frame(df: DataFrame, keys: Sequence[str], values: Sequence[str], date:
 def calendar(bounds: DataFrame, start: str, end: str, step: int = 1, out: str = "date") -> DataFrame:
     """One row per day from ``start`` to ``end`` of each row of ``bounds``."""
     days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"), F.make_dt_interval(F.lit(step)))
-    return bounds.withColumn(out, F.explode(days).cast("date"))
+    return bounds.withColumn(out, F.explode(days))
 
 
 # --- linear fills ---------------------------------------------------------------------------

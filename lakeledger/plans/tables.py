@@ -174,8 +174,9 @@ class Tables:
         """Unit squares on a five-by-five grid, one per nation, as closed rings."""
         k = F.col("n_nationkey")
         x, y = (k % 5).cast("double"), F.floor(k / 5).cast("double")
-        corners = F.array(F.struct(x.alias("x"), y.alias("y")), F.struct((x + 1).alias("x"), y.alias("y")),
-                          F.struct((x + 1).alias("x"), (y + 1).alias("y")), F.struct(x.alias("x"), (y + 1).alias("y")))
+        one = F.lit(1.0)
+        corner = lambda a, b: F.struct((x + one * a).alias("x"), (y + one * b).alias("y"))
+        corners = F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1))
         ring = self.raw("nation").select(k.alias("id"), corners.alias("c"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("seq"))
         a, b = F.get("c", F.col("seq")), F.get("c", (F.col("seq") + 1) % 4)
         return ring.select("id", "seq", a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))

@@ -56,11 +56,9 @@ def differences(spark, con, folder, name, run, sql):
     if a_cols != b_cols:
         return f"columns {a_cols} vs {b_cols}"
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:3] if len(a) < 300000 else []
-        only_b = [r for r in b if r not in set(a)][:3] if len(a) < 300000 else []
-        sb, sa = set(b), set(a)
-        return (f"rows {len(a)} vs {len(b)}; {sum(r not in sb for r in a)} only in spark {only_a}; "
-                f"{sum(r not in sa for r in b)} only in sql {only_b}")
+        sa, sb = set(a), set(b)
+        only_a, only_b = [r for r in a if r not in sb], [r for r in b if r not in sa]
+        return f"rows {len(a)} vs {len(b)}; {len(only_a)} only in spark {only_a[:3]}; {len(only_b)} only in sql {only_b[:3]}"
     return f"ok {len(a)} rows"
 
 
