@@ -67,7 +67,7 @@ def array_lookup(points: Column, x: Column, frm: str, to: str) -> Column:
     def at(p):
         below = F.filter(points, lambda q: q[frm] <= p)
         above = F.filter(points, lambda q: q[frm] > p)
-        return let(F.struct(F.element_at(below, -1).alias("lo"), F.get(above, F.lit(0)).alias("hi")), lambda s: (
+        return let(F.struct(F.try_element_at(below, F.lit(-1)).alias("lo"), F.get(above, F.lit(0)).alias("hi")), lambda s: (
             F.when(s["lo"].isNull(), s["hi"][to])
             .when(s["hi"].isNull(), s["lo"][to])
             .otherwise(s["lo"][to] + (s["hi"][to] - s["lo"][to]) / (s["hi"][frm] - s["lo"][frm]) * (p - s["lo"][frm]))))

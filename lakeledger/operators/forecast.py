@@ -135,16 +135,17 @@ def forecast(inflow: DataFrame, reservoirs: DataFrame, curve: DataFrame, keys: S
     reservoirs: keys, basedate, last_area (km2), last_evaporation (mm) and smax (million m3);
     inflow: keys, date, streamflow (m3/s). Evaporation stays at its last value. Released water,
     storage change and evaporation close the balance; ``legacy`` uses the storage terms of the
-    older rule for level and rule-curve cases, which do not.
+    older rule for level and rule-curve cases, which do not. An empty ``rule_keys`` means one
+    rule curve for all.
     """
     keys = list(keys)
     base = reservoirs
-    if rule is not None:
-        rules = rule_arrays(rule, rule_keys or keys) if (rule_keys is None or rule_keys) else rule.agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("month", "s_by_smax"))), lambda r: r["s_by_smax"]).alias("rule"))
-        base = base.crossJoin(F.broadcast(rules)) if rule_keys is not None and not rule_keys else base.join(rules, rule_keys or keys, "left")
-    else:
+    if rule is None:
         base = base.withColumn("rule", F.lit(None).cast("array<double>"))
+    elif rule_keys is not None and not rule_keys:
+        base = base.crossJoin(F.broadcast(rule_arrays(rule, [])))
+    else:
+        base = base.join(rule_arrays(rule, rule_keys or keys), list(rule_keys or keys), "left")
     days = forecast_days(inflow, base, keys, lead)
     ready = base.join(days, [*keys, "basedate"]).join(curve_arrays(curve, curve_keys or keys), curve_keys or keys)
     ready = ready.withColumn("evaporation", mm_over_km2_to_m3(F.col("last_evaporation"), F.col("last_area")))

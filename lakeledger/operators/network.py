@@ -42,15 +42,13 @@ def trace_flow(cells: DataFrame, x: str = "x", y: str = "y", code: str = "code",
     walkers = first.where(F.col("dam") & F.col("to").isNotNull()).select(F.col("node").alias("src"), F.col("to"))
     # Dams and dead ends absorb; every other cell is an open pointer.
     jump = cut_lineage(first.select("cell", F.when(F.col("dam"), F.col("cell")).otherwise(F.col("to")).alias("to")).where(F.col("to").isNotNull()))
-    walkers = cut_lineage(walkers)
-    rounds = max(1, math.ceil(math.log2(max(cells.count(), 2))))
-    for _ in range(rounds):
-        moved = walkers.join(jump.select(F.col("cell").alias("to"), F.col("to").alias("_next")), "to", "left")
-        walkers = cut_lineage(moved.where(F.col("_next").isNotNull()).select("src", F.col("_next").alias("to")))
-        doubled = jump.join(jump.select(F.col("cell").alias("to"), F.col("to").alias("_next")), "to", "left")
-        jump = cut_lineage(doubled.where(F.col("_next").isNotNull()).select("cell", F.col("_next").alias("to")))
+    onward = lambda: jump.select(F.col("cell").alias("to"), F.col("to").alias("_next"))
+    for _ in range(max(1, math.ceil(math.log2(max(cells.count(), 2))))):
+        # Pointers into a dead end have nowhere to go and drop out.
+        jump = cut_lineage(jump.join(onward(), "to").select("cell", F.col("_next").alias("to")))
     dams = base.where("dam").select(F.col("cell").alias("to"), F.col("node").alias("dst"))
-    return walkers.join(dams, "to").where(F.col("src") != F.col("dst")).select("src", "dst")
+    ended = walkers.join(onward(), "to").select("src", F.col("_next").alias("to"))
+    return ended.join(dams, "to").where(F.col("src") != F.col("dst")).select("src", "dst")
 
 
 def edge_lengths(edges: DataFrame, nodes: DataFrame, node: str = "node", lat: str = "lat", lon: str = "lon") -> DataFrame:

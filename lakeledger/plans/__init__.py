@@ -9,4 +9,4 @@ def load():
     return import_module("lakeledger.plans.registry")
 
 
-MODULES = ["balance_queries", "series_queries", "pixel_queries", "grid_queries"]
+MODULES = ["balance_queries", "series_queries", "pixel_queries", "grid_queries", "flow_queries"]

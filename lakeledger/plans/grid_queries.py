@@ -71,13 +71,13 @@ g as (select c.cell_x, c.cell_y, d.date, date_diff('day', date '1970-01-01', d.d
 a as (select * exclude (l, r, pi, i) from {axis_sql('g', 'cell_x, cell_y', 'dn', 'run <= 30')}),
 b as (select * exclude (l, r, pi, i) from {axis_sql('a', 'date, cell_y', 'cell_x')}),
 c as (select * exclude (l, r, pi, i) from {axis_sql('b', 'date, cell_x', 'cell_y')})
-select cell_x, cell_y, date, round(case when cell_x + cell_y < 15 then v else raw end, 10) + 0.0 as precip from c"""))
+select cell_x, cell_y, date, round(case when cell_x + cell_y < 15 then v else raw end, 3) + 0.0 as precip from c"""))
 def grid_impute(t: Tables):
     """Two months of the full grid filled along time, longitude and latitude inside the basin."""
     f = t.forcing.select(*CELL, "date", "precip")
     grid = forcings.full_grid(f, f.select(*CELL).distinct(), ["precip"], "1997-01-01", "1997-02-28")
     grid = grid.withColumn("extent", F.col("cell_x") + F.col("cell_y") < 15)
-    return forcings.impute(grid, ["precip"]).select(*CELL, "date", F.round("precip", 10).alias("precip"))
+    return forcings.impute(grid, ["precip"]).select(*CELL, "date", F.round("precip", 3).alias("precip"))
 
 
 @query("state_split", check_sql("forcing", """select case when date < date '1998-01-01' then 'state' else 'run' end as part, count(*) as n, min(date) as first, max(date) as last
