@@ -201,16 +201,17 @@ def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str
             lacking = F.coalesce(F.col("n_got"), F.lit(0)) < F.col("n_edges")
             j = j.withColumn("up_outflow", F.when(~lacking, F.col("up_outflow"))).withColumn("up_natural", F.when(~lacking, F.col("up_natural")))
             done = _balance(j.drop("n_got", "n_edges"), date)
-        done.select(*keep).write.mode("append").parquet(f"{result}/level={k}")
+        done = done.select(*keep)
+        done.write.parquet(f"{result}/level={k}")
         if k < depth:
-            got = spark.read.parquet(f"{result}/level={k}").select("node", date, "outflow", "natural")
+            got = spark.read.schema(done.schema).parquet(f"{result}/level={k}").select("node", date, "outflow", "natural")
             j = got.join(to, got["node"] == to["src"])
             when = F.date_add(F.col(date), F.expr("cast(bround(travel_time) as int)")) if lagged else F.col(date)
             whole = lambda v: F.when(F.count(v) == F.count(F.lit(1)), F.sum(v)).cast("double").alias(f"up_{v}")
             (j.groupBy(F.col("dst").cast("bigint").alias("node"), when.alias(date), "dst_level")
              .agg(F.count(F.lit(1)).alias("n_up"), whole("outflow"), whole("natural"))
              .write.mode("append").partitionBy("dst_level").parquet(sent))
-    return spark.read.schema(spark.read.parquet(f"{result}/level=0").schema).parquet(*[f"{result}/level={k}" for k in range(depth + 1)])
+    return spark.read.schema(done.schema).parquet(*[f"{result}/level={k}" for k in range(depth + 1)])
 
 
 def regulated_outputs(results: DataFrame, edges: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def forecast_inputs(t: Tables):
     rid = F.col("reservoir_id")
     return last.select(*R, "last_area", *t.reservoir_columns(), base.alias("basedate"), (rid % 5 + 4.0).alias("last_evaporation"),
                        (rid % 20 + 20.0).alias("target_level"), F.when(rid % 3 != 0, rid % 4 + 2.0).alias("custom_mcm"),
-                       (rid % 9 * 0.25).alias("room_percent"))
+                       (rid % 9 * 0.3).alias("room_percent"))
 
 
 def run_forecast(t: Tables, *cases, legacy: bool = False):
@@ -160,13 +160,13 @@ def run_forecast(t: Tables, *cases, legacy: bool = False):
 
 
 def case_rows(df):
-    return df.select(*R, "label", "date", F.round(F.col("outflow") / 1e6, 6).alias("outflow_mcm"), F.round(F.col("dels") / 1e6, 6).alias("dels_mcm"),
+    return df.select(*R, "label", "date", F.round(F.col("outflow") / 1e6, 4).alias("outflow_mcm"), F.round(F.col("dels") / 1e6, 4).alias("dels_mcm"),
                      F.round("elevation", 6).alias("elevation"), F.round("area", 6).alias("area"))
 
 
 def case_sql(cases: str) -> str:
     return f"""with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, 'Brand#' || (reservoir_id % 25 + 1) as curve_id, reservoir_id % 50 + 100.0 as smax,
-  reservoir_id % 5 + 4.0 as mm, reservoir_id % 20 + 20.0 as wl, case when reservoir_id % 3 <> 0 then reservoir_id % 4 + 2.0 end as cust, reservoir_id % 9 * 0.25 as room
+  reservoir_id % 5 + 4.0 as mm, reservoir_id % 20 + 20.0 as wl, case when reservoir_id % 3 <> 0 then reservoir_id % 4 + 2.0 end as cust, reservoir_id % 9 * 0.3 as room
   from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0),
 pts as (select curve_id, area, elevation, row_number() over w as rn, lead(area) over w as x1, lead(elevation) over w as z1 from curve window w as (partition by curve_id order by area, elevation)),
 aseg as (select curve_id, area as x0, elevation as z0, x1, z1, case when rn = 1 then -1e300 else area end as lo, coalesce(x1, 1e300) as hi from pts),
@@ -181,7 +181,7 @@ p as (select ev.*, net, esum, case when x1 is null or x1 = x0 then z0 else z0 +
   from ev join tot using (reservoir_id) cross join rc join aseg s on s.curve_id = ev.curve_id and a0 >= lo and a0 < hi),
 c as ({cases}),
 f as (select reservoir_id, label, scenario, value, curve_id, e, net, target, case when value - zstart > 0 then 0 else (value - zstart) * a0 * 1e6 + esum end as surplus, cast(0 as bigint) as i,
-    date '2024-01-09' as date, a0 as area, zstart as seen, value as lft, 0.0 as o, 0.0 as ds, 0.0 as z from c
+    date '2024-01-09' as date, a0 as area, zstart as seen, value as lft, cast(0 as double) as o, cast(0 as double) as ds, cast(0 as double) as z from c
   union all
   select m.reservoir_id, label, scenario, value, m.curve_id, e, net, target, surplus, ni, ndate,
     case when s.z1 is null then s.x0 else s.x0 + (s.x1 - s.x0) / (s.z1 - s.z0) * (greatest(m.nz, s.z0) - s.z0) end, m.zc, m.nl, m.no, m.nds, m.nz
@@ -196,7 +196,7 @@ f as (select reservoir_id, label, scenario, value, curve_id, e, net, target, cas
       case when scenario = 'ST' and net >= value then lft - case when lft <= 0 then 0 when q - e <= lft then q - e else lft end else lft end as nl
     from f join days d on d.reservoir_id = f.reservoir_id and d.i = f.i + 1 join aseg s on s.curve_id = f.curve_id and f.area >= s.lo and f.area < s.hi)) m
   join zseg s on s.curve_id = m.curve_id and m.nz >= s.lo and m.nz < s.hi)
-select reservoir_id, label, date, round(o / 1e6, 6) + 0.0 as outflow_mcm, round(ds / 1e6, 6) + 0.0 as dels_mcm, round(z, 6) + 0.0 as elevation, round(area, 6) + 0.0 as area from f where i > 0"""
+select reservoir_id, label, date, round(o / 1e6, 4) + 0.0 as outflow_mcm, round(ds / 1e6, 4) + 0.0 as dels_mcm, round(z, 6) + 0.0 as elevation, round(area, 6) + 0.0 as area from f where i > 0"""
 
 
 VIEWS = "flow s2_daily curve rule_curve"
@@ -210,7 +210,7 @@ def gates_closed(t: Tables):
 
 
 @query("gates_open", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0)
-select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 6) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 6) as area
+select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 4) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 6) as area
 from flow f join inp using (reservoir_id) where date between date '2024-01-10' and date '2024-01-25'"""))
 def gates_open(t: Tables):
     """Inflow minus evaporation released."""

@@ -45,9 +45,11 @@ def scratch_table(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a step of an iterative job so that later rounds start from files."""
+    """Materialise a step of an iterative job as a table, so that later rounds start from files.
+
+    One pass writes it, executors may come and go, and the planner knows the size of what it reads.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_table(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
