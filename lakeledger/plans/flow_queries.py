@@ -160,8 +160,8 @@ def run_forecast(t: Tables, *cases, legacy: bool = False):
 
 
 def case_rows(df):
-    return df.select(*R, "label", "date", F.round(F.col("outflow") / 1e6, 4).alias("outflow_mcm"), F.round(F.col("dels") / 1e6, 4).alias("dels_mcm"),
-                     F.round("elevation", 6).alias("elevation"), F.round("area", 6).alias("area"))
+    return df.select(*R, "label", "date", F.round(F.col("outflow") / 1e6, 11).alias("outflow_mcm"), F.round(F.col("dels") / 1e6, 11).alias("dels_mcm"),
+                     F.round("elevation", 9).alias("elevation"), F.round("area", 9).alias("area"))
 
 
 def case_sql(cases: str) -> str:
@@ -196,7 +196,7 @@ f as (select reservoir_id, label, scenario, value, curve_id, e, net, target, cas
       case when scenario = 'ST' and net >= value then lft - case when lft <= 0 then 0 when q - e <= lft then q - e else lft end else lft end as nl
     from f join days d on d.reservoir_id = f.reservoir_id and d.i = f.i + 1 join aseg s on s.curve_id = f.curve_id and f.area >= s.lo and f.area < s.hi)) m
   join zseg s on s.curve_id = m.curve_id and m.nz >= s.lo and m.nz < s.hi)
-select reservoir_id, label, date, round(o / 1e6, 4) + 0.0 as outflow_mcm, round(ds / 1e6, 4) + 0.0 as dels_mcm, round(z, 6) + 0.0 as elevation, round(area, 6) + 0.0 as area from f where i > 0"""
+select reservoir_id, label, date, round(o / 1e6, 11) + 0.0 as outflow_mcm, round(ds / 1e6, 11) + 0.0 as dels_mcm, round(z, 9) + 0.0 as elevation, round(area, 9) + 0.0 as area from f where i > 0"""
 
 
 VIEWS = "flow s2_daily curve rule_curve"
@@ -210,7 +210,7 @@ def gates_closed(t: Tables):
 
 
 @query("gates_open", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0)
-select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 4) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 6) as area
+select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 11) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 9) as area
 from flow f join inp using (reservoir_id) where date between date '2024-01-10' and date '2024-01-25'"""))
 def gates_open(t: Tables):
     """Inflow minus evaporation released."""
