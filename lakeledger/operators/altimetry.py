@@ -47,22 +47,27 @@ def heights(high_rate: DataFrame, low_rate: DataFrame, keys: Sequence[str], inde
 def iqr_filter(df: DataFrame, keys: Sequence[str], value: str = "height", short: bool = False) -> DataFrame:
     """Values inside the quartiles widened by one and a half midpoint interquartile ranges.
 
-    ``short`` groups (one row per cycle, say) are ordered as one list; others use exact quantiles
-    that never hold a whole group.
+    ``short`` groups (one row per cycle, say) are ranked in one window; others use exact quantiles
+    that never order a whole group.
     """
     keys = list(keys)
+    limits = lambda lin1, mid1, lin3, mid3: (lin1 - (mid3 - mid1) * 1.5, lin3 + (mid3 - mid1) * 1.5)
     if short:
-        lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("_l")).withColumn("_n", F.size("_l"))
-        cells = []
-        for name, p in (("q1", 0.25), ("q3", 0.75)):
+        whole = Window.partitionBy(*keys)
+        ranked = df.where(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(whole.orderBy(value)) - 1).withColumn(
+            "_n", F.count(F.lit(1)).over(whole))
+        at = lambda rank: F.max(F.when(F.col("_i") == rank, F.col(value))).over(whole)
+        ends = []
+        for p in (0.25, 0.75):
             pos = (F.col("_n") - 1) * p
-            lo, hi = F.get("_l", F.floor(pos).cast("int")), F.get("_l", F.ceil(pos).cast("int"))
-            cells += [(lo + (hi - lo) * (pos - F.floor(pos))).alias(f"{name}_lin"), ((lo + hi) / 2).alias(f"{name}_mid")]
-        q = lists.select(*keys, *cells)
-    else:
-        q = exact_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75})
-    reach = (F.col("q3_mid") - F.col("q1_mid")) * 1.5
-    bounds = q.select(*keys, (F.col("q1_lin") - reach).alias("_low"), (F.col("q3_lin") + reach).alias("_high"))
+            lo, hi = at(F.floor(pos)), at(F.ceil(pos))
+            ends += [lo + (hi - lo) * (pos - F.floor(pos)), (lo + hi) / 2]
+        ranked = ranked.select("*", *[c.alias(f"_q{i}") for i, c in enumerate(ends)])
+        low, high = limits(*[F.col(f"_q{i}") for i in range(4)])
+        return ranked.where((F.col(value) > low) & (F.col(value) < high)).select(*df.columns)
+    q = exact_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75})
+    low, high = limits(F.col("q1_lin"), F.col("q1_mid"), F.col("q3_lin"), F.col("q3_mid"))
+    bounds = q.select(*keys, low.alias("_low"), high.alias("_high"))
     return df.join(bounds, keys).where((F.col(value) > F.col("_low")) & (F.col(value) < F.col("_high"))).drop("_low", "_high")
 
 

@@ -15,6 +15,7 @@ from lakeledger.session import cut_lineage, scratch_table
 # Flow-direction code -> (row step, column step), 1 = north, then clockwise.
 STEPS = {1: (-1, 0), 2: (-1, 1), 3: (0, 1), 4: (1, 1), 5: (1, 0), 6: (1, -1), 7: (0, -1), 8: (-1, -1)}
 MAX_LEVELS = 10000
+ROUNDS_PER_TABLE = 4
 
 
 # --- tracing --------------------------------------------------------------------------------
@@ -68,24 +69,34 @@ def connected_nodes(nodes: DataFrame, edges: DataFrame, node: str = "node") -> D
 def levels(nodes: DataFrame, edges: DataFrame, node: str = "node") -> tuple[DataFrame, int]:
     """Longest number of edges above each node, and the highest level.
 
-    Round ``k`` holds the nodes a path of ``k`` edges leads to; it stops when none is left. A
-    cycle never empties and is rejected after as many rounds as the network has nodes.
+    Round ``k`` holds the nodes a path of ``k`` edges leads to; a few rounds make one table, and
+    the search stops when a table is empty. A cycle never empties and is rejected after as many
+    rounds as the network has nodes.
     """
     links = cut_lineage(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct())
     ids = nodes.select(F.col(node).alias("node")).distinct()
     limit = min(ids.count(), MAX_LEVELS)
-    front = cut_lineage(links.select(F.col("dst").alias("node")).distinct())
-    found, depth = [ids.select("node", F.lit(0).alias("level"))], 0
-    while not front.isEmpty():
-        depth += 1
+    found, depth = ids.select("node", F.lit(0).alias("level")), 0
+    front = links.select(F.col("dst").alias("node")).distinct()
+    while True:
+        batch = None
+        for i in range(ROUNDS_PER_TABLE):
+            labelled = front.select("node", F.lit(depth + i + 1).alias("level"))
+            batch = labelled if batch is None else batch.unionByName(labelled)
+            front = front.join(links.withColumnRenamed("src", "node"), "node").select(F.col("dst").alias("node")).distinct()
+        batch = cut_lineage(batch)
+        top = batch.agg(F.max("level")).first()[0]
+        if top is None:
+            break
+        found = found.unionByName(batch)
+        reached, depth = depth + ROUNDS_PER_TABLE, top
         if depth > limit:
             raise ValueError("the network holds a cycle")
-        found.append(front.select("node", F.lit(depth).alias("level")))
-        front = cut_lineage(front.join(links, front["node"] == links["src"]).select(links["dst"].alias("node")).distinct())
-    stacked = found[0]
-    for f in found[1:]:
-        stacked = stacked.unionByName(f)
-    return cut_lineage(stacked.groupBy("node").agg(F.max("level").alias("level"))), depth
+        if top < reached:
+            break
+        front = batch.where(F.col("level") == top).select("node")
+        front = front.join(links.withColumnRenamed("src", "node"), "node").select(F.col("dst").alias("node")).distinct()
+    return cut_lineage(found.groupBy("node").agg(F.max("level").alias("level"))), depth
 
 
 # --- forcings -------------------------------------------------------------------------------
@@ -165,8 +176,9 @@ def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str
     taken a travel time earlier; ``wb_obs_outflow`` with observed outflow above each node;
     ``wb_obs_outflow_upstream`` and ``wb_obs_inflow_upstream`` with observations at head dams.
 
-    Each level's result and what it sends downstream are written to tables in the shared folder:
-    a level reads only the rows sent to it, and a lost executor costs one level at most.
+    What a level sends downstream is written to a table in the shared folder, partitioned by the
+    level that receives it: a level reads only the rows sent to it, and a lost executor costs one
+    level at most.
     """
     known = ("wb", "wb_travel_time", "wb_obs_outflow", "wb_obs_outflow_upstream", "wb_obs_inflow_upstream")
     if algorithm not in known:
@@ -183,35 +195,40 @@ def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str
     ranked = spark.read.schema(ranked.schema).parquet(inputs)
     to = edges.where(F.col("src") != F.col("dst")).join(level.select(F.col("node").alias("dst"), F.col("level").alias("dst_level")), "dst")
     to = cut_lineage(to)
-    result, sent = scratch_table(spark, "network-result"), scratch_table(spark, "network-sent")
+    sent = scratch_table(spark, "network-sent")
     head = {"wb_obs_outflow_upstream": _head_from("outflow"), "wb_obs_inflow_upstream": _head_from("inflow")}.get(algorithm)
     sent_schema = f"node bigint, {date} date, n_up bigint, up_outflow double, up_natural double, dst_level int"
     n_up = to.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_edges"))
-    for k in range(depth + 1):
+    whole = lambda v, name: F.when(F.count(v) == F.count(F.lit(1)), F.sum(v)).cast("double").alias(name)
+
+    def heads(rows: DataFrame) -> DataFrame:
+        if head:
+            return head(rows)
+        none = lambda kind: F.lit(None).cast(kind)
+        return _balance(rows.select("*", none("bigint").alias("n_up"), none("double").alias("up_outflow"), none("double").alias("up_natural")), date)
+
+    def below(rows: DataFrame, got: DataFrame) -> DataFrame:
+        got = got.groupBy("node", date).agg(F.sum("n_up").alias("n_got"), whole("up_outflow", "up_outflow"), whole("up_natural", "up_natural"))
+        j = rows.join(got, ["node", date], "left").join(n_up, "node").withColumn("n_up", F.col("n_edges"))
+        # An upstream value missing on a date leaves the balance of that date unknown.
+        complete = F.col("n_got") == F.col("n_edges")
+        j = j.withColumn("up_outflow", F.when(complete, F.col("up_outflow"))).withColumn("up_natural", F.when(complete, F.col("up_natural")))
+        return _balance(j.drop("n_got", "n_edges"), date)
+
+    read = lambda: spark.read.schema(sent_schema).parquet(sent)
+    for k in range(depth):
         rows = ranked.where(F.col("level") == k).drop("level")
-        if k == 0:
-            blank = rows.withColumn("n_up", F.lit(None).cast("bigint")).withColumn("up_outflow", F.lit(None).cast("double")).withColumn("up_natural", F.lit(None).cast("double"))
-            done = head(rows) if head else _balance(blank, date)
-        else:
-            got = spark.read.schema(sent_schema).parquet(sent).where(F.col("dst_level") == k)
-            whole = lambda c: F.when(F.count(c) == F.count(F.lit(1)), F.sum(c)).alias(c)
-            got = got.groupBy("node", date).agg(F.sum("n_up").alias("n_got"), whole("up_outflow"), whole("up_natural"))
-            j = rows.join(got, ["node", date], "left").join(n_up, "node").withColumn("n_up", F.col("n_edges"))
-            # An upstream value missing on a date leaves the balance of that date unknown.
-            lacking = F.coalesce(F.col("n_got"), F.lit(0)) < F.col("n_edges")
-            j = j.withColumn("up_outflow", F.when(~lacking, F.col("up_outflow"))).withColumn("up_natural", F.when(~lacking, F.col("up_natural")))
-            done = _balance(j.drop("n_got", "n_edges"), date)
-        done = done.select(*keep)
-        done.write.parquet(f"{result}/level={k}")
-        if k < depth:
-            got = spark.read.schema(done.schema).parquet(f"{result}/level={k}").select("node", date, "outflow", "natural")
-            j = got.join(to, got["node"] == to["src"])
-            when = F.date_add(F.col(date), F.expr("cast(bround(travel_time) as int)")) if lagged else F.col(date)
-            whole = lambda v: F.when(F.count(v) == F.count(F.lit(1)), F.sum(v)).cast("double").alias(f"up_{v}")
-            (j.groupBy(F.col("dst").cast("bigint").alias("node"), when.alias(date), "dst_level")
-             .agg(F.count(F.lit(1)).alias("n_up"), whole("outflow"), whole("natural"))
-             .write.mode("append").partitionBy("dst_level").parquet(sent))
-    return spark.read.schema(done.schema).parquet(*[f"{result}/level={k}" for k in range(depth + 1)])
+        done = heads(rows) if k == 0 else below(rows, read().where(F.col("dst_level") == k))
+        j = done.select("node", date, "outflow", "natural").join(to, F.col("node") == F.col("src"))
+        when = F.date_add(F.col(date), F.expr("cast(bround(travel_time) as int)")) if lagged else F.col(date)
+        (j.groupBy(F.col("dst").cast("bigint").alias("node"), when.alias(date), "dst_level")
+         .agg(F.count(F.lit(1)).alias("n_up"), whole("outflow", "up_outflow"), whole("natural", "up_natural"))
+         .write.mode("append").partitionBy("dst_level").parquet(sent))
+    # All that flows between nodes is known now: one pass over every level gives the result.
+    out = heads(ranked.where(F.col("level") == 0).drop("level")).select(*keep)
+    if depth:
+        out = out.unionByName(below(ranked.where(F.col("level") > 0).drop("level"), read()).select(*keep))
+    return out
 
 
 def regulated_outputs(results: DataFrame, edges: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import bit_set, normalized_difference
 from lakeledger.operators.scale import lowest_k
-from lakeledger.operators.series import ordered
+from lakeledger.session import cut_lineage
 
 # Fixed values.
 LANDSAT_SCALE, LANDSAT_OFFSET = 0.0000275, -0.2
@@ -204,12 +204,17 @@ def water_cluster(df: DataFrame, keys: Sequence[str], index: str = "mbwi") -> Da
 
 
 def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str], pixel: str, area: Column) -> DataFrame:
-    """``water`` per pixel from unsupervised clusters, for scenes below the cloud limit; NULL elsewhere."""
+    """``water`` per pixel from unsupervised clusters, for scenes below the cloud limit; NULL elsewhere.
+
+    The pixels and the few centres per scene are written once, because each is used more than once.
+    """
     clear = F.col(features[0]).isNotNull()
+    df = cut_lineage(df)  # read several times below
     share = df.groupBy(*keys).agg((F.sum(F.when(~clear, area).otherwise(0.0)) * 100 / F.sum(area)).alias("_cp"))
     usable = df.join(share.where(F.col("_cp") < CLOUD_LIMIT).select(*keys), list(keys), "left_semi")
-    centres = cluster_centres(usable, keys, features, pixel)
-    labelled = assign_clusters(usable, centres, keys, features)
+    centres = cut_lineage(cluster_centres(usable, keys, features, pixel))
+    # A scene has centres only when it is usable, so the others stay unlabelled.
+    labelled = assign_clusters(df, centres, keys, features)
     top = water_cluster(labelled, keys)
     return labelled.join(top, list(keys), "left").withColumn("water", F.col("cluster") == F.col("water_cluster"))
 

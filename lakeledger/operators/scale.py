@@ -68,22 +68,20 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: str,
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
                     accuracy: int = 10000) -> DataFrame:
-    """Exact order statistics per key without holding a key's values in one buffer.
+    """Exact order statistics per key without holding or shuffling a key's values.
 
-    A mergeable sketch brackets each wanted rank within a known error; only the values inside the
-    brackets are then ranked, on top of the exact count of the values below. For every name in
-    ``probs`` the result has ``<name>_lo`` and ``<name>_hi`` (the neighbours of position
-    ``(n-1)p``), ``<name>_lin`` (linear) and ``<name>_mid`` (midpoint), and ``n``.
+    A mergeable sketch brackets each wanted rank within a known error. A second pass counts the
+    values below each bracket next to the data and sends on only the values inside, which are then
+    ranked. For every name in ``probs`` the result has ``<name>_lo`` and ``<name>_hi`` (the
+    neighbours of position ``(n-1)p``), ``<name>_lin`` (linear) and ``<name>_mid`` (midpoint), and ``n``.
     """
     keys = list(keys)
-    counted = (df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
     margin = 4.0 / accuracy
-    names = list(probs)
     cuts = [min(max(p + side, 0.0), 1.0) for p in probs.values() for side in (-margin, margin)]
-    source = df.where(F.col(value).isNotNull())
+    source = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     sketch = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(value).alias("_min"), F.max(value).alias("_max"),
-        F.percentile_approx(value, [float(c) for c in cuts], accuracy).alias("_cut"))
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [float(c) for c in cuts], accuracy).alias("_cut"))
     # One bracket per wanted quantile; the outermost cuts open up to the extremes.
     brackets = []
     for i, (name, p) in enumerate(probs.items()):
@@ -92,42 +90,28 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         brackets.append(F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"),
                                  low.alias("low"), high.alias("high")))
     bounds = sketch.select(*keys, "n", F.array(*brackets).alias("_b"))
-    marked = (counted.join(bounds, keys) if keys else counted.crossJoin(bounds)).select(
-        *keys, value, "_c", "n", F.explode("_b").alias("_b"))
-    where = (F.when(F.col(value) < F.col("_b.low"), F.lit(0))
-             .when(F.col(value) <= F.col("_b.high"), F.lit(1)).otherwise(F.lit(2)))
-    marked = marked.withColumn("_side", where)
-    side = lambda k, c: F.when(F.col("_side") == k, c)
-    around = (marked.where("_side <> 1").groupBy(*keys, F.col("_b.name").alias("name"))
-              .agg(F.sum(side(0, F.col("_c"))).alias("_below"), F.max(side(0, F.col(value))).alias("_prev"),
-                   F.min(side(2, F.col(value))).alias("_next")))
-    inside = marked.where("_side = 1").select(*keys, value, "_c", "n", "_b.name", "_b.p")
-    w = Window.partitionBy(*keys, "name").orderBy(value)
-    ranked = inside.withColumn("_upto", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ranked = ranked.join(around, [*keys, "name"], "left").withColumn("_below", F.coalesce("_below", F.lit(0)))
+    marked = (source.join(bounds, keys) if keys else source.crossJoin(F.broadcast(bounds))).select(
+        *keys, "_v", "n", F.explode("_b").alias("_b"))
+    side = (F.when(F.col("_v") < F.col("_b.low"), F.lit(0))
+            .when(F.col("_v") <= F.col("_b.high"), F.lit(1)).otherwise(F.lit(2)))
+    marked = marked.select(*keys, "n", "_b.name", "_b.p", "_v", side.alias("_side"))
+    # Values outside a bracket collapse into one row per side; those inside keep their value.
+    packed = marked.groupBy(*keys, "n", "name", "p", "_side", F.when(F.col("_side") == 1, F.col("_v")).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    w = Window.partitionBy(*keys, "name").orderBy("_side", "_in").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = packed.withColumn("_upto", F.sum("_c").over(w))
+    # Ranks a row stands for: all of them inside, the nearest one on either side.
+    first = F.when(F.col("_side") == 0, F.col("_upto") - 1).otherwise(F.col("_upto") - F.col("_c"))
+    last = F.when(F.col("_side") == 2, F.col("_upto") - F.col("_c")).otherwise(F.col("_upto") - 1)
+    shown = F.when(F.col("_side") == 0, F.col("_high")).otherwise(F.col("_low"))
     pos = (F.col("n") - 1) * F.col("p")
-    last = F.col("_below") + F.col("_upto") - 1
-    first = last - F.col("_c") + 1
-
-    def at(rank):
-        # The bracket, or the nearest value on either side of it.
-        inner = F.max(F.when((first <= rank) & (rank <= last), F.col(value)))
-        before = F.max(F.when(rank == F.col("_below") - 1, F.col("_prev")))
-        after = F.when(F.max(rank) == F.max(last) + 1, F.max("_next"))
-        return F.coalesce(inner, before, after)
-
-    found = ranked.groupBy(*keys, "name").agg(
-        F.first("n").alias("n"), F.first(pos).alias("_pos"),
-        at(F.floor(pos)).alias("_lo"), at(F.ceil(pos)).alias("_hi"))
-    # A rank outside its bracket would break the sketch's guarantee: fail rather than guess.
-    checked = F.when(F.col("_lo").isNull() | F.col("_hi").isNull(),
-                     F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(F.col("_lo"))
-    found = found.withColumn("_lo", checked)
-    out = []
-    for name in names:
+    out = [F.max("n").alias("n")]
+    for name in probs:
         here = F.col("name") == name
-        lo, hi = F.max(F.when(here, F.col("_lo"))), F.max(F.when(here, F.col("_hi")))
-        frac = F.max(F.when(here, F.col("_pos") - F.floor("_pos")))
-        out += [lo.alias(f"{name}_lo"), hi.alias(f"{name}_hi"),
-                (lo + (hi - lo) * frac).alias(f"{name}_lin"), ((lo + hi) / 2).alias(f"{name}_mid")]
-    return found.groupBy(*keys).agg(F.max("n").alias("n"), *out)
+        pick = lambda rank: F.max(F.when(here & (first <= rank) & (rank <= last), shown))
+        # A rank outside its bracket would break the sketch's guarantee: fail rather than guess.
+        sure = lambda c: F.coalesce(c, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
+        lo, hi = sure(pick(F.floor(pos))), sure(pick(F.ceil(pos)))
+        frac = F.max(F.when(here, pos - F.floor(pos)))
+        out += [lo.alias(f"{name}_lo"), hi.alias(f"{name}_hi"), (lo + (hi - lo) * frac).alias(f"{name}_lin"), ((lo + hi) / 2).alias(f"{name}_mid")]
+    return ranked.groupBy(*keys).agg(*out)

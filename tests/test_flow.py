@@ -280,7 +280,7 @@ def test_clusters_separate_water(spark):
     df = spark.createDataFrame(rows, "scene int, pix int, ndwi double, b7 double, mbwi double")
     out = pixels.scene_areas(pixels.classify_water(df, ["scene"], ["ndwi", "b7"], "pix", F.lit(900.0)), ["scene"], F.col("water"), F.lit(900.0))
     got = {r["scene"]: r["water_area"] for r in out.collect()}
-    assert got == {1: pytest.approx(120 * 900e-6), 2: pytest.approx(240 * 900e-6)}
+    assert got == {1: pytest.approx(120 * 900e-6), 2: pytest.approx(240 * 900e-6), 3: 0.0}
 
 
 def test_gap_correction_skips_cloudy_and_dry_scenes(spark):
