@@ -161,7 +161,7 @@ def run_forecast(t: Tables, *cases, legacy: bool = False):
 
 def case_rows(df):
     return df.select(*R, "label", "date", F.round(F.col("outflow") / 1e6, 11).alias("outflow_mcm"), F.round(F.col("dels") / 1e6, 11).alias("dels_mcm"),
-                     F.round("elevation", 9).alias("elevation"), F.round("area", 9).alias("area"))
+                     F.round("elevation", 9).alias("elevation"), F.round("area", 11).alias("area"))
 
 
 def case_sql(cases: str) -> str:
@@ -196,7 +196,7 @@ f as (select reservoir_id, label, scenario, value, curve_id, e, net, target, cas
       case when scenario = 'ST' and net >= value then lft - case when lft <= 0 then 0 when q - e <= lft then q - e else lft end else lft end as nl
     from f join days d on d.reservoir_id = f.reservoir_id and d.i = f.i + 1 join aseg s on s.curve_id = f.curve_id and f.area >= s.lo and f.area < s.hi)) m
   join zseg s on s.curve_id = m.curve_id and m.nz >= s.lo and m.nz < s.hi)
-select reservoir_id, label, date, round(o / 1e6, 11) + 0.0 as outflow_mcm, round(ds / 1e6, 11) + 0.0 as dels_mcm, round(z, 9) + 0.0 as elevation, round(area, 9) + 0.0 as area from f where i > 0"""
+select reservoir_id, label, date, round(o / 1e6, 11) + 0.0 as outflow_mcm, round(ds / 1e6, 11) + 0.0 as dels_mcm, round(z, 9) + 0.0 as elevation, round(area, 11) + 0.0 as area from f where i > 0"""
 
 
 VIEWS = "flow s2_daily curve rule_curve"
@@ -210,7 +210,7 @@ def gates_closed(t: Tables):
 
 
 @query("gates_open", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0)
-select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 11) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 9) as area
+select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 11) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 11) as area
 from flow f join inp using (reservoir_id) where date between date '2024-01-10' and date '2024-01-25'"""))
 def gates_open(t: Tables):
     """Inflow minus evaporation released."""
@@ -240,7 +240,11 @@ def storage_fraction(t: Tables):
     return case_rows(run_forecast(t, "ST"))
 
 
-@query("forecast_legacy")
+LEGACY = (case_sql("select *, 'CL' as label, 'CL' as scenario, wl as value from p union all select *, 'RC', 'RC', null from p")
+          .replace("else surplus / 16 - e end", "else surplus / 16 - q - e end").replace("else q - e - (net - target) / 15 end", "else q - (net - target) / 15 end"))
+
+
+@query("forecast_legacy", check_sql(VIEWS, LEGACY, recursive=True))
 def forecast_legacy(t: Tables):
     """Level and rule-curve cases with the older storage terms."""
     return case_rows(run_forecast(t, "CL", "RC", legacy=True))
@@ -255,12 +259,18 @@ def forecast_totals(t: Tables):
     return out.select(*R, *[F.round(F.col(c) / 1e6, 6).alias(c) for c in ("inflow", "evaporation", "net_inflow")])
 
 
-@query("forecast_product")
+WIDE = case_sql(f"select *, 'GC' as label, 'GC' as scenario, {NULLV} from p union all select *, 'RC', 'RC', null from p").replace(
+    "select reservoir_id, label, date, round(o", "select reservoir_id, date '2024-01-10' as basedate, date, " + ", ".join(
+        f"""round(max(case when label = '{c}' then greatest(o, 0) end), 3) + 0.0 as "outflow (m3/d)_{c}", round(max(case when label = '{c}' then ds end), 3) + 0.0 as "delS (m)_{c}", round(max(case when label = '{c}' then area end), 3) + 0.0 as "area (km2)_{c}" """
+        for c in ("GC", "RC")) + " from f where i > 0 group by 1, 2, 3 --")
+
+
+@query("forecast_product", check_sql(VIEWS, WIDE, recursive=True))
 def forecast_product(t: Tables):
     """Wide forecast product, one set of columns per case."""
-    out = forecast.product_columns(run_forecast(t, "GC", "GO", "RC"), R, ["GC", "GO", "RC"])
-    return out.select(*[F.round(c, 3).alias(c) if kind == "double" else F.col(f"`{c}`") for c, kind in [(f"{n}", k) for n, k in out.dtypes if "[" not in n]],
-                      *[F.round(f"`{n}`", 3).alias(n.replace(" [case: ", "_").replace("]", "")) for n, _ in out.dtypes if "[" in n])
+    out = forecast.product_columns(run_forecast(t, "GC", "RC"), R, ["GC", "RC"])
+    wide = [n for n in out.columns if "[" in n]
+    return out.select(*R, "basedate", "date", *[F.round(f"`{n}`", 3).alias(n.replace(" [case: ", "_").replace("]", "")) for n in wide])
 
 
 @query("room_left", check_sql("s2_daily", """with l as (select reservoir_id, arg_max(area, date) as s from s2_daily group by 1),
@@ -308,14 +318,14 @@ def new_cycles(t: Tables):
 
 # --- files ----------------------------------------------------------------------------------
 
-@query("routed_flow_scan", check_sql("flow", "select reservoir_id, date, round(streamflow * 0.028316847, 8) as streamflow from flow"))
+@query("routed_flow_scan", check_sql("flow", "select reservoir_id, date, round(streamflow * 0.028316847, 11) as streamflow from flow"))
 def routed_flow_scan(t: Tables):
     """Flow written as routed text lines and read back."""
     path = scratch_table(t.spark, "routed")
     df = t.flow.select("reservoir_id", F.year("date").alias("y"), F.month("date").alias("m"), F.dayofmonth("date").alias("d"), F.round("streamflow", 9).alias("q"))
     writers.lines(df, path, ["y", "m", "d", "q"], sep="  ", by="reservoir_id")
     out = readers.routed_flow(t.spark, path)
-    return out.select(F.regexp_extract(F.col("_metadata.file_path"), "reservoir_id=([0-9]+)", 1).cast("bigint").alias("reservoir_id"), "date", F.round("streamflow", 8).alias("streamflow"))
+    return out.select(F.regexp_extract(F.col("_metadata.file_path"), "reservoir_id=([0-9]+)", 1).cast("bigint").alias("reservoir_id"), "date", F.round("streamflow", 11).alias("streamflow"))
 
 
 @query("altimeter_scan", check_sql("returns", "select cycle, round(lat, 4) as lat, round(height, 6) as height, count(*) as n from returns group by all"))

@@ -357,12 +357,71 @@ def deviation_filter(t: Tables):
     return out.select(*R, "date", r("filtered_area"))
 
 
-@query("sar_clean")
+SAR_CLEAN = f"""sj as (select s.*, r.nominal_area, count(*) over p as n, min(date) over p as d0 from sar_daily s join reservoirs r using (reservoir_id) window p as (partition by reservoir_id)),
+jt as (select a.reservoir_id, a.date, date_diff('day', date '1970-01-01', a.date) as x, case when coalesce(abs(a.sarea - arg_min(b.sarea, b.date)) > 0.15 * a.nominal_area, false) then null else a.sarea end as v
+  from sj a left join sj b on b.reservoir_id = a.reservoir_id and b.date between a.date - 14 and a.date and a.date - 14 >= a.d0 where a.n >= 3 group by a.reservoir_id, a.date, a.sarea, a.nominal_area),
+jn as ({neighbours('jt', 'reservoir_id', 'x', 'v')}), jf as (select reservoir_id, date, {LINEAR.format(v='v', x='x')} as v from jn),
+zs as (select reservoir_id, date, row_number() over (partition by reservoir_id order by date) as x, case when coalesce(abs((v - avg(v) over p) / nullif(stddev_pop(v) over p, 0)) > 3, false) then null else v end as v
+  from jf window p as (partition by reservoir_id)),
+zn as ({neighbours('zs', 'reservoir_id', 'x', 'v')}), zf as (select reservoir_id, date, {LINEAR.format(v='v', x='x')} as area, row_number() over (partition by reservoir_id order by date desc) as i from zn),
+ze as (select reservoir_id, max(date) as d1, min(date) as d0, max(case when i = 1 then area end) as v1, max(case when i = 2 then area end) as v0 from zf where i <= 2 group by 1),
+sarc as (select reservoir_id, date, area as sarea from zf union all select reservoir_id, d1 + 12, v1 + (v1 - v0) / date_diff('day', d0, d1) * 12 from ze)"""
+
+
+@query("sar_clean", check_sql("sar_daily reservoirs", f"with {SAR_CLEAN} select reservoir_id, date, round(sarea, 6) + 0.0 as area from sarc"))
 def sar_clean(t: Tables):
     """Radar series after both screens and the extension."""
     return fusion.clean_sar(t.sar_daily, t.reservoirs, R).select(*R, "date", r("area"))
 
 
+CORRECTION = DEVIATION.replace("from sar_daily", "from sarc") + """,
+filt as (select d.reservoir_id, d.date, d.area, case when coalesce(abs(d.deviation - b.bias) > r.nominal_area * case when r.nominal_area < 10 then 0.25 when r.nominal_area < 100 then 0.10 else 0.05 end, false) then null else d.area end as v
+  from dev d join reservoirs r using (reservoir_id) left join bias b using (reservoir_id) where d.reservoir_id in (select reservoir_id from sarc)),
+lim as (select f.reservoir_id, min(case when v is not null then date end) as f0, min(date) as o0, any_value(s0) as s0, any_value(s1) as s1 from filt f join (select reservoir_id, min(date) as s0, max(date) as s1 from sarc group by 1) using (reservoir_id) group by 1),
+beg as (select l.*, greatest(coalesce(f0, s0), s0) as frm, (select min(date) from sarc s where s.reservoir_id = l.reservoir_id and s.date >= greatest(coalesce(f0, s0), s0)) as sf from lim l),
+held as (select f.*, b.frm, b.sf, b.s1, b.o0, greatest(least(f.date, b.s1), b.sf) as hd from filt f join beg b using (reservoir_id)),
+hv as (select h.*, case when h.hd = g.d0 then g.v0 else g.v0 + (g.v1 - g.v0) * date_diff('day', g.d0, h.hd) / date_diff('day', g.d0, g.d1) end as s
+  from held h left join seg g on g.reservoir_id = h.reservoir_id and h.hd >= g.d0 and (h.hd < g.d1 or (h.hd = g.d0 and g.d1 is null))),
+kn as (select *, (v - lag(v) over w) / date_diff('day', lag(date) over w, date) as trend from hv where v is not null window w as (partition by reservoir_id order by date)),
+ins as (select *, row_number() over w as i, date_diff('day', lag(date) over w, date) as gap, case when date >= sf and lag(date) over w <= s1 then (s - lag(s) over w) / date_diff('day', lag(date) over w, date) end as rt
+  from kn where date >= frm window w as (partition by reservoir_id order by date)),
+cor as (select reservoir_id, date, i, v as c from ins where i = 1 union all
+  select n.reservoir_id, n.date, n.i, case when coalesce(abs(n.trend - n.rt) > 10, false) then c.c + n.rt * n.gap else n.v end from cor c join ins n on n.reservoir_id = c.reservoir_id and n.i = c.i + 1),
+allr as (select h.reservoir_id, h.date, h.sf, h.o0, c.c, date_diff('day', lag(h.date) over w, h.date) as gap, case when h.date >= sf and lag(h.date) over w <= s1 then (s - lag(s) over w) / date_diff('day', lag(h.date) over w, h.date) end as rt,
+  min(c.date) over (partition by h.reservoir_id) as c0 from hv h left join cor c on c.reservoir_id = h.reservoir_id and c.date = h.date window w as (partition by h.reservoir_id order by h.date)),
+kept as (select *, row_number() over (partition by reservoir_id order by date) as i from allr where date >= greatest(coalesce(c0, sf), sf, o0)),
+fil as (select reservoir_id, date, i, c as filled from kept where i = 1 union all
+  select k.reservoir_id, k.date, k.i, coalesce(k.c, f.filled + k.rt * k.gap) from fil f join kept k on k.reservoir_id = f.reservoir_id and k.i = f.i + 1)"""
+
+
+@query("trend_correction", check_sql("merged sar_daily reservoirs", f"""with {SAR_CLEAN}, {CORRECTION} select k.reservoir_id, k.date, round(k.c, 6) + 0.0 as corrected_area, round(f.filled, 6) + 0.0 as filled_area
+from kept k join fil f using (reservoir_id, date)""", recursive=True))
+def trend_correction(t: Tables):
+    """Deviation filter, trend correction and filling against the cleaned radar series."""
+    opt = fusion.merge_sensors(fusion.clean_optical(t.optical, R), R).join(t.reservoirs.select(*R, "nominal_area"), R)
+    out = fusion.trend_correction(opt, fusion.clean_sar(t.sar_daily, t.reservoirs, R), R, fusion.area_threshold(F.col("nominal_area")))
+    return out.select(*R, "date", r("corrected_area"), r("filled_area"))
+
+
+@query("sign_correction")
+def sign_correction(t: Tables):
+    """Radar trend wherever the optical trend has the opposite sign."""
+    opt = fusion.merge_sensors(fusion.clean_optical(t.optical, R), R).join(t.reservoirs.select(*R, "nominal_area"), R)
+    out = fusion.trend_correction(opt, t.sar_daily.withColumnRenamed("sarea", "area"), R, fusion.area_threshold(F.col("nominal_area")))
+    return fusion.sign_correction(out, R).select(*R, "date", r("sign_area"))
+
+
+@query("screen_write_back", check_sql("sensor_daily sar_daily reservoirs", f"""with {ALIGNED}, {OUTLIER}, s2 as (select reservoir_id, date, water_area from sensor_daily where sat = 's2')
+select s.reservoir_id, s.date, s.water_area as area_fused, round(o.optical, 6) as area, coalesce(date_diff('day', lag(s.date) over (partition by s.reservoir_id order by s.date), s.date), 0) as days_passed
+from s2 s left join outl o on o.reservoir_id = s.reservoir_id and o.date = s.date"""))
+def screen_write_back(t: Tables):
+    """Screened areas put into a series that keeps its areas from before."""
+    fused = t.s2_daily
+    screened = screens.outlier_screen(aligned(t), R, screens.limit("outlier", 5)).select(*R, "date", F.col("optical").alias("area"))
+    out = screens.write_back(fused, screened, R)
+    return out.select(*R, "date", "area_fused", r("area"), F.col("days_passed").cast("bigint").alias("days_passed"))
+
+
 @query("fusion")
 def fuse(t: Tables):
     """Fused area of every reservoir with its method."""
