@@ -140,16 +140,15 @@ def state_and_forcing(df: DataFrame, start: str, end: str, days: int = STATE_DAY
 
 def extend_history(existing: DataFrame, new: DataFrame, start: str, days: int = HISTORY_DAYS) -> DataFrame:
     """Existing rows of the last ``days`` days before ``start``, and new rows after the last existing date."""
-    last = existing.agg(F.max("date").alias("_last"))
+    last = lambda: existing.agg(F.max("date")).scalar()
     tail = existing.where(F.col("date") >= F.date_sub(F.lit(start).cast("date"), days))
-    fresh = new.crossJoin(F.broadcast(last)).where(F.col("_last").isNull() | (F.col("date") > F.col("_last"))).drop("_last")
+    fresh = new.where(last().isNull() | (F.col("date") > last()))
     return tail.unionByName(fresh, allowMissingColumns=True)
 
 
 def keep_recent(df: DataFrame, days: int = 365) -> DataFrame:
     """The last ``days`` days of a table."""
-    last = df.agg(F.max("date").alias("_last"))
-    return df.crossJoin(F.broadcast(last)).where(F.col("date") > F.date_sub("_last", days)).drop("_last")
+    return df.where(F.col("date") > F.date_sub(df.agg(F.max("date")).scalar(), days))
 
 
 def forecast_days(bases: DataFrame, base: str = "basedate", lead: int = LEAD_DAYS) -> DataFrame:

@@ -143,7 +143,7 @@ def forecast(inflow: DataFrame, reservoirs: DataFrame, curve: DataFrame, keys: S
     if rule is None:
         base = base.withColumn("rule", F.lit(None).cast("array<double>"))
     elif rule_keys is not None and not rule_keys:
-        base = base.crossJoin(F.broadcast(rule_arrays(rule, [])))
+        base = base.withColumn("rule", rule_arrays(rule, []).scalar())
     else:
         base = base.join(rule_arrays(rule, rule_keys or keys), list(rule_keys or keys), "left")
     days = forecast_days(inflow, base, keys, lead)

@@ -76,6 +76,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     neighbours of position ``(n-1)p``), ``<name>_lin`` (linear) and ``<name>_mid`` (midpoint), and ``n``.
     """
     keys = list(keys)
+    if not keys:
+        return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probs, accuracy).drop("_all")
     margin = 4.0 / accuracy
     cuts = [min(max(p + side, 0.0), 1.0) for p in probs.values() for side in (-margin, margin)]
     source = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
@@ -90,8 +92,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         brackets.append(F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"),
                                  low.alias("low"), high.alias("high")))
     bounds = sketch.select(*keys, "n", F.array(*brackets).alias("_b"))
-    marked = (source.join(bounds, keys) if keys else source.crossJoin(F.broadcast(bounds))).select(
-        *keys, "_v", "n", F.explode("_b").alias("_b"))
+    marked = source.join(bounds, keys).select(*keys, "_v", "n", F.explode("_b").alias("_b"))
     side = (F.when(F.col("_v") < F.col("_b.low"), F.lit(0))
             .when(F.col("_v") <= F.col("_b.high"), F.lit(1)).otherwise(F.lit(2)))
     marked = marked.select(*keys, "n", "_b.name", "_b.p", "_v", side.alias("_side"))

@@ -402,9 +402,8 @@ def cut_over(parts: Sequence[DataFrame], starts: Sequence[str], date: str = "dat
 
 def carry_over(previous: DataFrame, new: DataFrame, days: int, date: str = "date") -> DataFrame:
     """The ``days`` days of ``previous`` before the first date of ``new``, followed by ``new``."""
-    start = new.agg(F.min(date).alias("_cut"))
-    tail = (previous.crossJoin(F.broadcast(start))
-            .where((F.col(date) >= F.date_sub("_cut", days)) & (F.col(date) < F.col("_cut"))).drop("_cut"))
+    start = lambda: new.agg(F.min(date)).scalar()
+    tail = previous.where((F.col(date) >= F.date_sub(start(), days)) & (F.col(date) < start()))
     return tail.unionByName(new, allowMissingColumns=True)
 
 

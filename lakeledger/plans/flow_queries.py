@@ -161,7 +161,7 @@ def run_forecast(t: Tables, *cases, legacy: bool = False):
 
 def case_rows(df):
     return df.select(*R, "label", "date", F.round(F.col("outflow") / 1e6, 11).alias("outflow_mcm"), F.round(F.col("dels") / 1e6, 11).alias("dels_mcm"),
-                     F.round("elevation", 9).alias("elevation"), F.round("area", 11).alias("area"))
+                     F.round("elevation", 9).alias("elevation"), F.round("area", 12).alias("area"))
 
 
 def case_sql(cases: str) -> str:
@@ -196,7 +196,7 @@ f as (select reservoir_id, label, scenario, value, curve_id, e, net, target, cas
       case when scenario = 'ST' and net >= value then lft - case when lft <= 0 then 0 when q - e <= lft then q - e else lft end else lft end as nl
     from f join days d on d.reservoir_id = f.reservoir_id and d.i = f.i + 1 join aseg s on s.curve_id = f.curve_id and f.area >= s.lo and f.area < s.hi)) m
   join zseg s on s.curve_id = m.curve_id and m.nz >= s.lo and m.nz < s.hi)
-select reservoir_id, label, date, round(o / 1e6, 11) + 0.0 as outflow_mcm, round(ds / 1e6, 11) + 0.0 as dels_mcm, round(z, 9) + 0.0 as elevation, round(area, 11) + 0.0 as area from f where i > 0"""
+select reservoir_id, label, date, round(o / 1e6, 11) + 0.0 as outflow_mcm, round(ds / 1e6, 11) + 0.0 as dels_mcm, round(z, 9) + 0.0 as elevation, round(area, 12) + 0.0 as area from f where i > 0"""
 
 
 VIEWS = "flow s2_daily curve rule_curve"
@@ -210,7 +210,7 @@ def gates_closed(t: Tables):
 
 
 @query("gates_open", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0)
-select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 11) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 11) as area
+select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 11) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 12) as area
 from flow f join inp using (reservoir_id) where date between date '2024-01-10' and date '2024-01-25'"""))
 def gates_open(t: Tables):
     """Inflow minus evaporation released."""
@@ -370,6 +370,39 @@ def cell_split(t: Tables):
     return back.groupBy("lat_key", "lon_key").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.get(F.split("value", "\t"), F.lit(0)).cast("double")), 4).alias("tmax"))
 
 
+@query("curve_scan", check_sql("curve", "select curve_id, elevation, area from curve"))
+def curve_scan(t: Tables):
+    """Curves written with comment lines and a header and read back in product names."""
+    path = scratch_table(t.spark, "curves")
+    row = F.concat_ws(",", F.col("area"), F.col("elevation"), F.lit("0"), F.lit("0"), F.col("elevation"))
+    body = t.curve.select("curve_id", (F.col("elevation") + 2).alias("line"), row.alias("value"))
+    top = t.curve.select("curve_id").distinct().select("curve_id", F.explode(F.array(
+        F.struct(F.lit(0).alias("line"), F.lit("# polynomial degree: 2").alias("value")),
+        F.struct(F.lit(1).alias("line"), F.lit("CumArea,Elevation,Storage,Storage (mil. m3),Elevation_Observed").alias("value")))).alias("h")).select("curve_id", "h.line", "h.value")
+    (top.unionByName(body).repartition("curve_id").sortWithinPartitions("curve_id", "line").select("curve_id", "value")
+     .write.partitionBy("curve_id").text(path))
+    back = readers.curve(t.spark, path)
+    return back.select("curve_id", F.col("elevation").cast("int").alias("elevation"), "area")
+
+
+@query("rule_curve_scan", check_sql("rule_curve", "select month, round(s_by_smax, 9) as s_by_smax from rule_curve"))
+def rule_curve_scan(t: Tables):
+    """Rule curve written as a headed CSV and read back."""
+    path = scratch_table(t.spark, "rule")
+    t.rule_curve.select(F.col("month").alias("Month"), F.col("s_by_smax").alias("S/Smax")).write.option("header", True).csv(path)
+    return readers.rule_curve(t.spark, path).select(F.col("month").cast("bigint").alias("month"), F.round("s_by_smax", 9).alias("s_by_smax"))
+
+
+@query("station_scan", check_sql("", """select s_name as name, s_suppkey % 50 + 0.5 as x, s_nationkey + 0.25 as y, s_acctbal as area from supplier where s_acctbal > 0"""))
+def station_scan(t: Tables):
+    """Tab-separated stations read back without the incomplete ones."""
+    path = scratch_table(t.spark, "stations")
+    s = t.raw("supplier").select(F.lit(1).alias("run"), F.col("s_name").alias("name"), (F.col("s_suppkey") % 50 + 0.5).alias("x"), (F.col("s_nationkey") + 0.25).alias("y"),
+                                 F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("area"))
+    s.write.option("sep", "\t").csv(path)
+    return readers.stations(t.spark, path).select("name", "x", "y", "area")
+
+
 @query("product_table", check_sql("flow", "select reservoir_id % 5 as basin_id, reservoir_id, date, round(streamflow * 86400, 3) as inflow from flow"))
 def product_table(t: Tables):
     """Product written by basin and read back."""

@@ -199,9 +199,10 @@ def cells_or_nearest(t: Tables):
 select track, id, case when id = 7 then 1.25 else y0 end as min_lat, case when id = 7 then 1.75 else y0 + 1 end as max_lat from tr join polygon on x > x0 and x < x0 + 1"""))
 def track_crossing(t: Tables):
     """Satellite tracks across polygons and the latitude range inside, with one range given by the user."""
-    n = t.raw("supplier").agg(F.count(F.lit(1)).alias("n"))
-    tr = t.raw("supplier").crossJoin(F.broadcast(n)).select(F.col("s_suppkey").alias("track"), (F.col("s_suppkey") * 5.0 / F.col("n") + 0.0131).alias("x1"),
-                                                           F.lit(-0.5).alias("y1"), (F.col("s_suppkey") * 5.0 / F.col("n") + 0.0131).alias("x2"), F.lit(5.5).alias("y2"))
+    n = t.raw("supplier").agg(F.count(F.lit(1))).scalar()
+    x = F.col("s_suppkey") * 5.0 / n + 0.0131
+    tr = t.raw("supplier").select(F.col("s_suppkey").alias("track"), x.alias("x1"), F.lit(-0.5).alias("y1"), F.lit(5.5).alias("y2"))
+    tr = tr.withColumn("x2", F.col("x1"))
     given = t.raw("nation").where("n_nationkey = 7").select(F.col("n_nationkey").alias("id"), F.lit(1.25).alias("min_lat"), F.lit(1.75).alias("max_lat"))
     return spatial.track_crossings(tr, t.polygon_edges, overrides=given)
 

@@ -33,8 +33,8 @@ def yearly(df: DataFrame, path: str, date: str = "date") -> None:
 def append_after(df: DataFrame, path: str, date: str = "date") -> None:
     """Append only rows later than the last stored one."""
     spark = df.sparkSession
-    last = spark.read.parquet(path).agg(F.max(date).alias("_last"))
-    fresh = df.crossJoin(F.broadcast(last)).where(F.col("_last").isNull() | (F.col(date) > F.col("_last"))).drop("_last")
+    last = lambda: spark.read.parquet(path).agg(F.max(date)).scalar()
+    fresh = df.where(last().isNull() | (F.col(date) > last()))
     fresh.withColumn("year", F.year(date)).write.mode("append").partitionBy("year").parquet(path)
 
 
