@@ -107,16 +107,21 @@ def _mean(a: Column) -> Column:
 
 def sigma_clip(values: Column, low: float = 2.0, high: float = 2.0, rounds: int = 50) -> Column:
     """Array without the values outside mean - low*std .. mean + high*std, repeated until stable."""
-    values = values.cast("array<double>")
+    start = F.struct(values.cast("array<double>").alias("v"), (F.size(values) < 2).alias("stable"))
 
     def once(acc, _):
+        v = acc["v"]
+
         def with_mean(m):
             def with_std(s):
-                return F.filter(acc, lambda x: (x >= m - F.lit(low) * s) & (x <= m + F.lit(high) * s))
-            spread = F.aggregate(acc, F.lit(0.0), lambda t, x: t + (x - m) * (x - m))
-            return let(F.sqrt(spread / F.size(acc)), with_std)
-        return F.when(F.size(acc) < 2, acc).otherwise(let(_mean(acc), with_mean))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), values, once)
+                return F.filter(v, lambda x: (x >= m - F.lit(low) * s) & (x <= m + F.lit(high) * s))
+            spread = F.aggregate(v, F.lit(0.0), lambda t, x: t + (x - m) * (x - m))
+            return let(F.sqrt(spread / F.size(v)), with_std)
+
+        def checked(kept):
+            return F.struct(kept.alias("v"), ((F.size(kept) == F.size(v)) | (F.size(kept) < 2)).alias("stable"))
+        return F.when(acc["stable"], acc).otherwise(let(let(_mean(v), with_mean), checked))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, once)["v"]
 
 
 def array_median(values: Column) -> Column:
