@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lakeledger.functions.columns import CMS_PER_CFS
 from lakeledger.operators import balance, curves, products
 from lakeledger.operators.scale import pick_rows
 from lakeledger.operators.series import to_daily
@@ -48,7 +49,7 @@ OUTFLOW = LEVELS + """, ends as (
 select e.reservoir_id, e.date, round(coalesce(sum(f.streamflow), 0) * 86400 / 1e6, 8) as inflow_mcm,
   round((coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / 1e6, 8) + 0.0 as outflow_mcm,
   date_diff('day', any_value(e.before), e.date) as days_passed,
-  round((coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / (date_diff('day', any_value(e.before), e.date) * 86400), 5) + 0.0 as outflow_rate
+  round((coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / (date_diff('day', any_value(e.before), e.date) * 86400) / 0.028316847, 4) + 0.0 as outflow_cfs
 from ends e left join flow f on f.reservoir_id = e.reservoir_id and f.date > e.before and f.date <= e.date
 where e.before is not null group by e.reservoir_id, e.date"""))
 def outflow(t: Tables):
@@ -57,7 +58,7 @@ def outflow(t: Tables):
     return out.select("reservoir_id", "date", F.round(F.col("inflow_vol") / 1e6, 8).alias("inflow_mcm"),
                       F.round(F.col("outflow_vol") / 1e6, 8).alias("outflow_mcm"),
                       F.col("days_passed").cast("bigint").alias("days_passed"),
-                      F.round("outflow_rate", 5).alias("outflow_rate"))
+                      F.round(F.col("outflow_rate") / CMS_PER_CFS, 4).alias("outflow_cfs"))
 
 
 @query("outflow_closed_interval", check_sql("s2_daily reservoirs curve_seg flow", OUTFLOW + """
@@ -226,13 +227,13 @@ select e.reservoir_id, e.date, any_value(e.area) as area, any_value(e.level) as
   (coalesce(sum(f.streamflow), 0) * 86400 - any_value(e.ds) * 1e9) / (date_diff('day', any_value(e.before), e.date) * 86400) as rate
 from ends e left join flow f on f.reservoir_id = e.reservoir_id and f.date > e.before and f.date <= e.date
 where e.before is not null group by e.reservoir_id, e.date)
-select reservoir_id, date, round(area, 3) as area_km2, round(ds * 1e9, 2) + 0.0 as ds_m3, round(greatest(rate, 0) * 86400, 2) as outflow_m3d from o"""))
+select reservoir_id, date, round(area, 3) as area_km2, round(ds * 1e9, 2) + 0.0 as ds_m3, round(greatest(rate, 0) * 86400 / 0.028316847, 2) as outflow_cfd from o"""))
 def final_products(t: Tables):
     """Published units and rounding, one row per reservoir and date."""
     o = balance.outflow(storage(t), t.flow, None, R)
     return o.select("reservoir_id", "date", products.product_value("sarea").alias("area_km2"),
                     F.round(products.product_value("dels"), 2).alias("ds_m3"),
-                    F.round(products.product_value("outflow"), 2).alias("outflow_m3d"))
+                    F.round(products.product_value("outflow") / CMS_PER_CFS, 2).alias("outflow_cfd"))
 
 
 @query("compare_products", check_sql("sensor_daily", """with a as (select reservoir_id, date, water_area as v from sensor_daily where sat = 's2'),

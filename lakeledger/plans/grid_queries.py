@@ -242,10 +242,10 @@ def grid_row_col(t: Tables):
 
 
 @query("reservoir_weather", check_sql("forcing polygon", """with c as (select distinct cell_x, cell_y from forcing), m as (select cell_x, cell_y, id from c join polygon on cell_x / 2.0 + 0.2 > x0 and cell_x / 2.0 + 0.2 < x0 + 1
-  and cell_y / 2.0 + 0.2 > y0 and cell_y / 2.0 + 0.2 < y0 + 1) select id, date, round(avg(precip), 8) as precip, round(avg(tmax), 6) as tmax from forcing join m using (cell_x, cell_y) group by 1, 2"""))
+  and cell_y / 2.0 + 0.2 > y0 and cell_y / 2.0 + 0.2 < y0 + 1) select id, date, round(avg(precip) / 25.4, 4) as precip_inches, round(avg(tmax), 6) as tmax from forcing join m using (cell_x, cell_y) group by 1, 2"""))
 def reservoir_weather(t: Tables):
     """Weather averaged over the cells of every polygon."""
     c = t.forcing.select(*CELL).distinct().select(*CELL, F.struct("cell_x", "cell_y").alias("cell"), (F.col("cell_x") / 2.0 + 0.2).alias("x"), (F.col("cell_y") / 2.0 + 0.2).alias("y"))
     m = spatial.points_in_polygons(c, t.polygon_edges, "cell").select("id", "cell.cell_x", "cell.cell_y")
     out = forcings.cell_mean(t.forcing, m, "id", ["precip", "tmax"])
-    return out.select("id", "date", F.round("precip", 8).alias("precip"), F.round("tmax", 6).alias("tmax"))
+    return out.select("id", "date", F.round(F.col("precip") / 25.4, 4).alias("precip_inches"), F.round("tmax", 6).alias("tmax"))

@@ -4,6 +4,7 @@
 """
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -17,7 +18,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def session(cpus: int = 8):
     from pyspark.sql import SparkSession
     return (SparkSession.builder.master(f"local[{cpus}]").appName("lakeledger-check")
-            .config("spark.sql.shuffle.partitions", str(cpus)).config("spark.ui.enabled", "false")
+            .config("spark.sql.shuffle.partitions", os.environ.get("CHECK_PARTITIONS", str(cpus))).config("spark.ui.enabled", "false")
             .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
 
 
