@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,20 +21,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the cluster; a temporary one only for a local master."""
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder in spark.checkpoint.dir, or the one a caller has set on the context; None if neither is set."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return named.rstrip("/") if named else None
+
+
+def name_folder(spark: SparkSession, choose) -> None:
+    """For entry points: where no shared folder is named and the master is local, use the one ``choose()`` returns."""
+    if named_folder(spark) is None and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+        spark.sparkContext.setCheckpointDir(choose())
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; the caller names it in spark.checkpoint.dir."""
+    named = named_folder(spark)
+    if named is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    local = tempfile.mkdtemp(prefix="lakeledger-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir().rstrip("/")
+    return named
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
@@ -52,3 +56,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_table(spark, "step")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_steps(*steps: DataFrame) -> None:
+    """Delete the tables that ``cut_lineage`` wrote for these steps; nothing may read them any more."""
+    for df in steps:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
