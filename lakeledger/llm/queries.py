@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, collisions, language, onebit, packing, pseudo_likelihood, simhash, warc
+from lakeledger.llm import bpe, collisions, language, onebit, packing, phrases, pseudo_likelihood, simhash, suffixes, warc
 from lakeledger.session import configure
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,12 @@ def op1_rotated_one_bit(table) -> DataFrame:
     return onebit.search(table("embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+@query
+def op2_phrase_automata(table) -> DataFrame:
+    """What is left of every document without passages of 50 words that an earlier one has."""
+    return phrases.remove_repeats(table("documents"), digests=True)
+
+
 @query
 def op3_best_two_fit(table) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
@@ -52,6 +58,12 @@ def op5_kneser_ney_language(table) -> DataFrame:
     return language.identify(table("documents"))
 
 
+@query
+def op6_merged_transforms(table) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that start earlier."""
+    return suffixes.remove_repeats(table("documents"), digests=True)
+
+
 @query
 def op7_collision_counting(table) -> DataFrame:
     """Links, class and first of class of every vector, at a cosine of 0.9."""
