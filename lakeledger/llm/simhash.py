@@ -153,7 +153,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     several = prints.groupBy("id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x != y").select("id")
     tied = prints.join(several, "id").join(nodes, "fp").select(F.col("id").alias("a"), F.col("node").alias("b"))
     parts = connected_components(links(nodes, distance, blocks, tile).unionByName(tied))
-    classes = nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    # As a table of its own, so that the join below can split the rows of a fingerprint that very many copies share.
+    classes = cut_lineage(nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
