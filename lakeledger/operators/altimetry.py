@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import (date_from_decimal_year, decimal_year_from_mjd, mjd_from_seconds)
-from lakeledger.operators.scale import GROUP_LIMIT, exact_quantiles, large_groups, running_sums
+from lakeledger.operators.scale import exact_quantiles, running_sums
 from lakeledger.session import cut_lineage
 
 # Fixed values.
 ELLIPSOID_OFFSET = 0.7
 RANGE_LIMIT = 5.0
 STD_LIMIT = 0.3
-BUCKETS = 256
+BUCKETS = 64  # into which the distinct heights of a cycle are dealt
 DIGITS = 9  # differences below a nanometre are rounding noise of the summation order
 
 
@@ -71,9 +71,14 @@ def iqr_filter(df: DataFrame, keys: Sequence[str], value: str = "height", short:
     return df.join(bounds, keys).where((F.col(value) > F.col("_low")) & (F.col(value) < F.col("_high"))).drop("_low", "_high")
 
 
-def _bucket(value: Column, low: Column, high: Column) -> Column:
-    """Position of a value between two bounds, 0..BUCKETS; never falls as the value rises."""
-    return F.coalesce(F.floor(F.try_divide(value - low, high - low) * BUCKETS), F.lit(0)).cast("int")
+def _cuts(value: str | Column) -> Column:
+    """Bucket edges at even shares of the values, from a sketch, so that a far value does not fill one bucket."""
+    return F.percentile_approx(value, [k / BUCKETS for k in range(1, BUCKETS)], 50 * BUCKETS).alias("_cuts")
+
+
+def _bucket(value: Column, cuts: str = "_cuts") -> Column:
+    """Number of edges below a value; never falls as the value rises."""
+    return F.size(F.filter(cuts, lambda c: c < value))
 
 
 def _split_gain(n1: Column, s1: Column, rest: Column) -> Column:
@@ -86,75 +91,40 @@ def _prefix_std(k: Column, s: Column, q: Column) -> Column:
     return F.round(F.sqrt(F.greatest(q / k - mean * mean, F.lit(0.0))), DIGITS)
 
 
-def _clean_in_windows(df: DataFrame, cycle: list[str], value: str, range_limit: float, std_limit: float) -> DataFrame:
-    """All steps on one partitioning by cycle."""
-    whole = Window.partitionBy(*cycle)
-    h = F.col(value)
-    d = df.where(h.isNotNull()).select(
-        "*", (F.max(value).over(whole) - F.min(value).over(whole)).alias("_range"), F.count(F.lit(1)).over(whole).alias("_n"),
-        F.avg(value).over(whole).alias("_avg"))
-    upto = Window.partitionBy(*cycle).orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.select("*", F.count(F.lit(1)).over(upto).alias("_n1"), F.sum(h - F.col("_avg")).over(upto).alias("_s1"))
-    rest = F.col("_n") - F.col("_n1")
-    able = (F.col("_range") > range_limit) & (rest > 0)
-    best = F.max(F.when(able, F.struct(_split_gain(F.col("_n1"), F.col("_s1"), rest).alias("g"), (-h).alias("h"),
-                                       (F.col("_n1") * 2 >= F.col("_n")).alias("lower")))).over(whole)
-    d = d.withColumn("_cut", best)
-    side = F.when(F.col("_cut").isNull(), True).otherwise((h <= -F.col("_cut.h")) == F.col("_cut.lower"))
-    d = d.where(side).withColumn("_centre", F.avg(value).over(whole))
-    d = d.withColumn("_d", h - F.col("_centre")).withColumn("_e", F.round(F.abs("_d"), DIGITS))
-    near = Window.partitionBy(*cycle).orderBy("_e").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_std", _prefix_std(F.count(F.lit(1)).over(near), F.sum("_d").over(near), F.sum(F.col("_d") * F.col("_d")).over(near)))
-    d = d.withColumn("_reach", F.max(F.when(F.col("_std") <= std_limit, F.col("_e"))).over(whole))
-    return d.where(F.col("_e") <= F.col("_reach")).select(*df.columns)
-
-
-def _clean_in_buckets(df: DataFrame, cycle: list[str], value: str, range_limit: float, std_limit: float) -> DataFrame:
-    """The same for cycles too large to order in one task: equal heights are merged, and running
-    sums go bucket by bucket. Only a few numbers per cycle come back to the returns."""
-    h = F.col(value)
+def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", range_limit: float = RANGE_LIMIT,
+                 std_limit: float = STD_LIMIT) -> DataFrame:
+    """Accepted returns of each cycle.
+
+    Where heights spread more than ``range_limit``, the best split into two groups (least squares)
+    is cut and the larger group kept, the lower on a tie. Then returns leave in order of distance
+    from the mean of that group until the population standard deviation is within ``std_limit``;
+    equal distances leave together. Equal heights are merged, and running sums go bucket by bucket, so that no task
+    orders a cycle; only a few numbers per cycle come back to the returns.
+    """
+    cycle, h = list(cycle), F.col(value)
     levels = cut_lineage(df.where(h.isNotNull()).groupBy(*cycle, value).agg(F.count(F.lit(1)).alias("_c")))
     spread = levels.groupBy(*cycle).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_c").alias("_n"),
-                                        (F.sum(h * F.col("_c")) / F.sum("_c")).alias("_avg"))
-    wide = levels.join(spread, cycle).where(F.col("_hi") - F.col("_lo") > range_limit).withColumn("_b", _bucket(h, F.col("_lo"), F.col("_hi")))
+                                        (F.sum(h * F.col("_c")) / F.sum("_c")).alias("_avg"), _cuts(value))
+    wide = levels.join(spread, cycle).where(F.col("_hi") - F.col("_lo") > range_limit).withColumn("_b", _bucket(h)).drop("_cuts")
     run = running_sums(wide, cycle, "_b", value, {"_n1": F.col("_c"), "_s1": (h - F.col("_avg")) * F.col("_c")})
     rest = F.col("_n") - F.col("_n1")
     cut = run.where(rest > 0).groupBy(*cycle).agg(F.max_by(
         F.struct(h.alias("h"), (F.col("_n1") * 2 >= F.col("_n")).alias("lower")),
         F.struct(_split_gain(F.col("_n1"), F.col("_s1"), rest), -h)).alias("_cut"))
+    # One row per cycle, read by everything below.
     cut = cut_lineage(spread.select(*cycle).join(cut, cycle, "left"))
     side = F.when(F.col("_cut").isNull(), True).otherwise((h <= F.col("_cut.h")) == F.col("_cut.lower"))
     kept = levels.join(cut, cycle).where(side)
-    centre = cut_lineage(kept.groupBy(*cycle).agg((F.sum(h * F.col("_c")) / F.sum("_c")).alias("_centre"),
-                                                  F.min(value).alias("_lo"), F.max(value).alias("_hi")))
+    centre = kept.groupBy(*cycle).agg((F.sum(h * F.col("_c")) / F.sum("_c")).alias("_centre"))
     dist = kept.join(centre, cycle).withColumn("_d", h - F.col("_centre")).withColumn("_e", F.round(F.abs("_d"), DIGITS))
-    top = F.greatest(F.col("_hi") - F.col("_centre"), F.col("_centre") - F.col("_lo"))
-    dist = dist.withColumn("_b", _bucket(F.col("_e"), F.lit(0.0), top))
+    dist = dist.join(dist.groupBy(*cycle).agg(_cuts("_e")), cycle).withColumn("_b", _bucket(F.col("_e"))).drop("_cuts")
     run = running_sums(dist, cycle, "_b", "_e", {"_k": F.col("_c"), "_s": F.col("_d") * F.col("_c"), "_q": F.col("_d") * F.col("_d") * F.col("_c")})
     reach = run.groupBy(*cycle).agg(F.max(F.when(_prefix_std(F.col("_k"), F.col("_s"), F.col("_q")) <= std_limit, F.col("_e"))).alias("_reach"))
-    limits = cut_lineage(cut.join(centre.select(*cycle, "_centre"), cycle).join(reach, cycle))
+    limits = cut.join(centre, cycle).join(reach, cycle)
     near = F.round(F.abs(h - F.col("_centre")), DIGITS) <= F.col("_reach")
     return df.join(limits, cycle).where(side & near).select(*df.columns)
 
 
-def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", range_limit: float = RANGE_LIMIT,
-                 std_limit: float = STD_LIMIT, group_limit: int = GROUP_LIMIT, sized: DataFrame | None = None) -> DataFrame:
-    """Accepted returns of each cycle.
-
-    Where heights spread more than ``range_limit``, the best split into two groups (least squares)
-    is cut and the larger group kept, the lower on a tie. Then returns leave in order of distance
-    from the mean of that group until the population standard deviation is within ``std_limit``;
-    equal distances leave together. Cycles are counted first (on ``sized``, which may be a cheaper
-    superset of ``df``); those above ``group_limit`` take the bucketed way.
-    """
-    cycle = list(cycle)
-    large = large_groups(df if sized is None else sized, cycle, group_limit)
-    if large is None:
-        return _clean_in_windows(df, cycle, value, range_limit, std_limit)
-    small = _clean_in_windows(df.join(large, cycle, "left_anti"), cycle, value, range_limit, std_limit)
-    return small.unionByName(_clean_in_buckets(df.join(large, cycle, "left_semi"), cycle, value, range_limit, std_limit))
-
-
 def cycle_levels(df: DataFrame, cycle: Sequence[str], value: str = "height") -> DataFrame:
     """Mean position, time and height of each cycle, its standard deviation and uncertainty."""
     out = df.groupBy(*cycle).agg(
@@ -173,5 +143,5 @@ def datum_levels(levels: DataFrame, geoid_height: str = "geoid", value: str = "h
 def water_levels(returns: DataFrame, station: Sequence[str], cycle: str, min_lat: Column, max_lat: Column) -> DataFrame:
     """Cleaned level of every cycle of every station, before the geoid is taken off."""
     inside = returns.where((F.col("lat") > min_lat) & (F.col("lat") < max_lat))
-    cleaned = clean_cycles(iqr_filter(inside, station), [*station, cycle], sized=returns)
+    cleaned = clean_cycles(iqr_filter(inside, station), [*station, cycle])
     return iqr_filter(cycle_levels(cleaned, [*station, cycle]), station, short=True)

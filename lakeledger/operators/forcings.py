@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import day_number, ordered_pair, wind_speed
-from lakeledger.operators.series import START, calendar, cut_over, ordered
+from lakeledger.operators.series import START, after_last, calendar, cut_over, joined_by, ordered
 
 CELL = ["cell_x", "cell_y"]
 # Fixed values.
@@ -138,17 +138,17 @@ def state_and_forcing(df: DataFrame, start: str, end: str, days: int = STATE_DAY
     return (df.where((d >= F.date_sub(s, days)) & (d < s)), df.where((d >= s) & (d <= F.lit(end).cast("date"))))
 
 
-def extend_history(existing: DataFrame, new: DataFrame, start: str, days: int = HISTORY_DAYS) -> DataFrame:
-    """Existing rows of the last ``days`` days before ``start``, and new rows after the last existing date."""
-    last = lambda: existing.agg(F.max("date")).scalar()
+def extend_history(existing: DataFrame, new: DataFrame, start: str, days: int = HISTORY_DAYS, keys: Sequence[str] = ()) -> DataFrame:
+    """Existing rows of the last ``days`` days before ``start``, and of every key the new rows after its last existing
+    date; a key that is new gives all its rows. Without keys the table is one series."""
     tail = existing.where(F.col("date") >= F.date_sub(F.lit(start).cast("date"), days))
-    fresh = new.where(last().isNull() | (F.col("date") > last()))
-    return tail.unionByName(fresh, allowMissingColumns=True)
+    return tail.unionByName(after_last(existing, new, keys), allowMissingColumns=True)
 
 
-def keep_recent(df: DataFrame, days: int = 365) -> DataFrame:
-    """The last ``days`` days of a table."""
-    return df.where(F.col("date") > F.date_sub(df.agg(F.max("date")).scalar(), days))
+def keep_recent(df: DataFrame, days: int = 365, keys: Sequence[str] = ()) -> DataFrame:
+    """The last ``days`` days of every key, counted from its own last date."""
+    last = df.groupBy(*keys).agg(F.max("date").alias("_last"))
+    return joined_by(df, last, keys, "inner").where(F.col("date") > F.date_sub("_last", days)).select(*df.columns)
 
 
 def forecast_days(bases: DataFrame, base: str = "basedate", lead: int = LEAD_DAYS) -> DataFrame:

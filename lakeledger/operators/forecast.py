@@ -22,16 +22,15 @@ CASES = ("GC", "GO", "CL", "RC", "ST")
 
 
 def rule_fraction(rule: Column, date: Column) -> Column:
-    """Stored fraction on a date, from an array of twelve monthly values; December runs into January."""
+    """Stored fraction on a date, from a map of monthly values; December runs into January. NULL where a month is missing."""
     m, part = F.month(date), F.dayofmonth(date) / F.lit(30.0)
-    here, there = F.get(rule, m - 1), F.get(rule, m % 12)
+    here, there = F.try_element_at(rule, m), F.try_element_at(rule, m % 12 + 1)
     return here + (there - here) * part
 
 
-def rule_arrays(rule: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Twelve monthly fractions per key."""
-    s = F.sort_array(F.collect_list(F.struct("month", "s_by_smax")))
-    return rule.groupBy(*keys).agg(F.transform(s, lambda r: r["s_by_smax"]).alias("rule"))
+def rule_maps(rule: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fractions by month per key."""
+    return rule.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("month").cast("int"), "s_by_smax"))).alias("rule"))
 
 
 def scenario_grid(reservoirs: DataFrame, cases: Sequence[str] = ("GC", "GO", "RC", "ST"), percents: Sequence[float] = STORAGE_PERCENTS,
@@ -141,11 +140,11 @@ def forecast(inflow: DataFrame, reservoirs: DataFrame, curve: DataFrame, keys: S
     keys = list(keys)
     base = reservoirs
     if rule is None:
-        base = base.withColumn("rule", F.lit(None).cast("array<double>"))
+        base = base.withColumn("rule", F.lit(None).cast("map<int,double>"))
     elif rule_keys is not None and not rule_keys:
-        base = base.withColumn("rule", rule_arrays(rule, []).scalar())
+        base = base.withColumn("rule", rule_maps(rule, []).scalar())
     else:
-        base = base.join(rule_arrays(rule, rule_keys or keys), list(rule_keys or keys), "left")
+        base = base.join(rule_maps(rule, rule_keys or keys), list(rule_keys or keys), "left")
     days = forecast_days(inflow, base, keys, lead)
     ready = base.join(days, [*keys, "basedate"]).join(curve_arrays(curve, curve_keys or keys), curve_keys or keys)
     ready = ready.withColumn("evaporation", mm_over_km2_to_m3(F.col("last_evaporation"), F.col("last_area")))

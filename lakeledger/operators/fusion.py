@@ -105,8 +105,10 @@ def _mean(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
 
 
-def sigma_clip(values: Column, low: float = 2.0, high: float = 2.0, rounds: int = 50) -> Column:
-    """Array without the values outside mean - low*std .. mean + high*std, repeated until stable."""
+def sigma_clip(values: Column, low: float = 2.0, high: float = 2.0) -> Column:
+    """Array without the values outside mean - low*std .. mean + high*std, repeated until stable.
+
+    A round that is not stable drops a value, so there are at most as many rounds as values."""
     start = F.struct(values.cast("array<double>").alias("v"), (F.size(values) < 2).alias("stable"))
 
     def once(acc, _):
@@ -121,7 +123,7 @@ def sigma_clip(values: Column, low: float = 2.0, high: float = 2.0, rounds: int
         def checked(kept):
             return F.struct(kept.alias("v"), ((F.size(kept) == F.size(v)) | (F.size(kept) < 2)).alias("stable"))
         return F.when(acc["stable"], acc).otherwise(let(let(_mean(v), with_mean), checked))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, once)["v"]
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1))), start, once)["v"]
 
 
 def array_median(values: Column) -> Column:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import haversine_m
 from lakeledger.operators.series import period_means, spread_totals, volumes
+from lakeledger.operators.spatial import nearest_cell
 from lakeledger.session import cut_lineage, scratch_table
 
 # Flow-direction code -> (row step, column step), 1 = north, then clockwise.
 STEPS = {1: (-1, 0), 2: (-1, 1), 3: (0, 1), 4: (1, 1), 5: (1, 0), 6: (1, -1), 7: (0, -1), 8: (-1, -1)}
-MAX_LEVELS = 10000
 ROUNDS_PER_TABLE = 4
 
 
@@ -25,9 +26,9 @@ def trace_flow(cells: DataFrame, x: str = "x", y: str = "y", code: str = "code",
     """Edges from each dam to the first dam downstream.
 
     A walk ends at the next dam; it yields nothing when it leaves the grid, meets a cell without a
-    direction or runs in a loop. Every cell first points to its neighbour, dams and dead ends point
-    to themselves; each round then replaces a pointer by the pointer it leads to, so that walks of
-    any length need only the logarithm of the number of cells in rounds.
+    direction or runs in a loop. Every cell first points to its neighbour; each round then replaces a
+    pointer by the pointer it leads to, so that walks of any length need only the logarithm of the
+    number of cells in rounds.
     """
     step = lambda i: F.coalesce(*[F.when(F.col(code) == c, F.lit(s[i])) for c, s in STEPS.items()])
     base = cells.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(is_dam).alias("dam"), F.col(node).alias("node"),
@@ -41,15 +42,24 @@ def trace_flow(cells: DataFrame, x: str = "x", y: str = "y", code: str = "code",
     alive = F.coalesce(F.col("flows") & F.col("exists") & F.col("to_flows"), F.lit(False))
     first = first.select("cell", "node", "dam", F.when(alive, F.col("to")).otherwise(F.lit(None)).alias("to"), "to_dam")
     walkers = first.where(F.col("dam") & F.col("to").isNotNull()).select(F.col("node").alias("src"), F.col("to"))
-    # Dams and dead ends absorb; every other cell is an open pointer.
-    jump = cut_lineage(first.select("cell", F.when(F.col("dam"), F.col("cell")).otherwise(F.col("to")).alias("to")).where(F.col("to").isNotNull()))
-    onward = lambda: jump.select(F.col("cell").alias("to"), F.col("to").alias("_next"))
+    # A pointer to a dam is settled. In each round an open pointer settles with its target, or leaps to where that
+    # points; one whose target does neither has met a dead end. Settled cells are written once and leave, so that
+    # later rounds only hold what is still open: after the logarithm of the cells, loops.
+    firsts = first.where(F.col("to").isNotNull()).select("cell", F.col("dam") | F.col("to_dam"), F.when(F.col("dam"), F.col("cell")).otherwise(F.col("to")).alias("to"))
+    firsts = cut_lineage(firsts.toDF("cell", "settled", "to"))
+    settled, jump = firsts.where("settled").drop("settled"), firsts.where("not settled").drop("settled")
     for _ in range(max(1, math.ceil(math.log2(max(cells.count(), 2))))):
-        # Pointers into a dead end have nowhere to go and drop out.
-        jump = cut_lineage(jump.join(onward(), "to").select("cell", F.col("_next").alias("to")))
-    dams = base.where("dam").select(F.col("cell").alias("to"), F.col("node").alias("dst"))
-    ended = walkers.join(onward(), "to").select("src", F.col("_next").alias("to"))
-    return ended.join(dams, "to").where(F.col("src") != F.col("dst")).select("src", "dst")
+        if jump.isEmpty():
+            break
+        known_ends = settled.select(F.col("cell").alias("to"), F.col("to").alias("_end"))
+        onward = jump.select(F.col("cell").alias("to"), F.col("to").alias("_next"))
+        step_ = jump.join(known_ends, "to", "left").join(onward, "to", "left")
+        moved = cut_lineage(step_.select("cell", F.col("_end").isNotNull().alias("settled"), F.coalesce("_end", "_next").alias("to")).where(F.col("to").isNotNull()))
+        settled = settled.unionByName(moved.where("settled").drop("settled"))
+        jump = moved.where("not settled").drop("settled")
+    dams = base.where("dam").select(F.col("cell").alias("_end"), F.col("node").alias("dst"))
+    ended = walkers.join(settled.select(F.col("cell").alias("to"), F.col("to").alias("_end")), "to").select("src", "_end")
+    return ended.join(dams, "_end").where(F.col("src") != F.col("dst")).select("src", "dst")
 
 
 def edge_lengths(edges: DataFrame, nodes: DataFrame, node: str = "node", lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -60,6 +70,12 @@ def edge_lengths(edges: DataFrame, nodes: DataFrame, node: str = "node", lat: st
     return edges.join(a, "src").join(b, "dst").withColumn("length", d).drop("_la", "_oa", "_lb", "_ob")
 
 
+def node_elevation(nodes: DataFrame, terrain: DataFrame, node: str = "node", x: str = "lon", y: str = "lat",
+                   terrain_x: str = "x", terrain_y: str = "y", elevation: str = "elevation", size: float = 1.0) -> DataFrame:
+    """Nodes with the elevation of the terrain point nearest to each."""
+    return nearest_cell(nodes, terrain.select(terrain_x, terrain_y, elevation), [node], x, y, terrain_x, terrain_y, size).drop(terrain_x, terrain_y)
+
+
 def connected_nodes(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     """Nodes that touch an edge."""
     ends = edges.select(F.col("src").alias(node)).unionByName(edges.select(F.col("dst").alias(node))).distinct()
@@ -69,34 +85,35 @@ def connected_nodes(nodes: DataFrame, edges: DataFrame, node: str = "node") -> D
 def levels(nodes: DataFrame, edges: DataFrame, node: str = "node") -> tuple[DataFrame, int]:
     """Longest number of edges above each node, and the highest level.
 
-    Round ``k`` holds the nodes a path of ``k`` edges leads to; a few rounds make one table, and
-    the search stops when a table is empty. A cycle never empties and is rejected after as many
-    rounds as the network has nodes.
+    Nodes are peeled off from the headwaters: a node is placed when its last upstream node is placed, and a placed
+    node is written once and leaves. A few rounds make one table. If nodes are left and none of them can be placed,
+    the network holds a cycle and is rejected, however deep it is. Ends of edges that are no nodes are taken as nodes.
     """
+    spark = nodes.sparkSession
     links = cut_lineage(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct())
-    ids = nodes.select(F.col(node).alias("node")).distinct()
-    limit = min(ids.count(), MAX_LEVELS)
-    found, depth = ids.select("node", F.lit(0).alias("level")), 0
-    front = links.select(F.col("dst").alias("node")).distinct()
-    while True:
-        batch = None
-        for i in range(ROUNDS_PER_TABLE):
-            labelled = front.select("node", F.lit(depth + i + 1).alias("level"))
-            batch = labelled if batch is None else batch.unionByName(labelled)
-            front = front.join(links.withColumnRenamed("src", "node"), "node").select(F.col("dst").alias("node")).distinct()
-        batch = cut_lineage(batch)
-        top = batch.agg(F.max("level")).first()[0]
-        if top is None:
+    ids = nodes.select(F.col(node).alias("node")).unionByName(links.select(F.explode(F.array("src", "dst")).alias("node"))).distinct()
+    above = links.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("open"))
+    state = ids.join(above, "node", "left").select("node", F.coalesce("open", F.lit(0)).alias("open"), F.lit(None).cast("int").alias("level"))
+    root = scratch_table(spark, "levels")
+    done_rounds, depth = 0, 0
+    for batch in itertools.count():
+        for k in range(done_rounds, done_rounds + ROUNDS_PER_TABLE):
+            ready = F.col("level").isNull() & (F.col("open") == 0)
+            state = state.withColumn("level", F.when(ready, F.lit(k)).otherwise(F.col("level")))
+            below = links.join(state.where(F.col("level") == k).select(F.col("node").alias("src")), "src").groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
+            state = state.join(below, "node", "left").select("node", (F.col("open") - F.coalesce("_n", F.lit(0))).alias("open"), "level")
+        done_rounds += ROUNDS_PER_TABLE
+        state.withColumn("placed", F.col("level").isNotNull()).write.partitionBy("placed").parquet(f"{root}/batch={batch}")
+        written = spark.read.schema(state.withColumn("placed", F.lit(True)).schema).parquet(f"{root}/batch={batch}")
+        top, left = written.agg(F.max("level"), F.count_if(~F.col("placed"))).first()
+        depth = depth if top is None else top
+        if not left:
             break
-        found = found.unionByName(batch)
-        reached, depth = depth + ROUNDS_PER_TABLE, top
-        if depth > limit:
+        if top is None:
             raise ValueError("the network holds a cycle")
-        if top < reached:
-            break
-        front = batch.where(F.col("level") == top).select("node")
-        front = front.join(links.withColumnRenamed("src", "node"), "node").select(F.col("dst").alias("node")).distinct()
-    return cut_lineage(found.groupBy("node").agg(F.max("level").alias("level"))), depth
+        state = written.where(~F.col("placed")).drop("placed")
+    placed = spark.read.schema(written.schema).parquet(root).where("placed")
+    return placed.select("node", "level"), depth
 
 
 # --- forcings -------------------------------------------------------------------------------
@@ -176,8 +193,8 @@ def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str
     taken a travel time earlier; ``wb_obs_outflow`` with observed outflow above each node;
     ``wb_obs_outflow_upstream`` and ``wb_obs_inflow_upstream`` with observations at head dams.
 
-    What a level sends downstream is written to a table in the shared folder, partitioned by the
-    level that receives it: a level reads only the rows sent to it, and a lost executor costs one
+    A level's results are written once, next to where they flow: the table in the shared folder is partitioned by
+    the level that receives them, so that a level reads only the rows sent to it, and a lost executor costs one
     level at most.
     """
     known = ("wb", "wb_travel_time", "wb_obs_outflow", "wb_obs_outflow_upstream", "wb_obs_inflow_upstream")
@@ -189,16 +206,15 @@ def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str
     level, depth = levels(state, edges)
     lagged = algorithm == "wb_travel_time"
     keep = ["node", date, "natural", "storage_change", "natural_runoff", "regulated_runoff", "inflow", "outflow", "regulation"]
-    ranked = state.join(level, "node")
     inputs = scratch_table(spark, "network-input")
+    ranked = state.join(level, "node")
     ranked.write.partitionBy("level").parquet(inputs)
     ranked = spark.read.schema(ranked.schema).parquet(inputs)
     to = edges.where(F.col("src") != F.col("dst")).join(level.select(F.col("node").alias("dst"), F.col("level").alias("dst_level")), "dst")
-    to = cut_lineage(to)
-    sent = scratch_table(spark, "network-sent")
-    head = {"wb_obs_outflow_upstream": _head_from("outflow"), "wb_obs_inflow_upstream": _head_from("inflow")}.get(algorithm)
-    sent_schema = f"node bigint, {date} date, n_up bigint, up_outflow double, up_natural double, dst_level int"
+    to = cut_lineage(to.select(F.col("src").alias("node"), "dst", "dst_level", *(["travel_time"] if lagged else [])))
     n_up = to.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_edges"))
+    results = scratch_table(spark, "network-results")
+    head = {"wb_obs_outflow_upstream": _head_from("outflow"), "wb_obs_inflow_upstream": _head_from("inflow")}.get(algorithm)
     whole = lambda v, name: F.when(F.count(v) == F.count(F.lit(1)), F.sum(v)).cast("double").alias(name)
 
     def heads(rows: DataFrame) -> DataFrame:
@@ -207,28 +223,28 @@ def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str
         none = lambda kind: F.lit(None).cast(kind)
         return _balance(rows.select("*", none("bigint").alias("n_up"), none("double").alias("up_outflow"), none("double").alias("up_natural")), date)
 
-    def below(rows: DataFrame, got: DataFrame) -> DataFrame:
-        got = got.groupBy("node", date).agg(F.sum("n_up").alias("n_got"), whole("up_outflow", "up_outflow"), whole("up_natural", "up_natural"))
+    def below(rows: DataFrame, sent: DataFrame) -> DataFrame:
+        when = F.date_add(F.col(date), F.expr("cast(bround(travel_time) as int)")) if lagged else F.col(date)
+        got = sent.groupBy(F.col("dst").alias("node"), when.alias(date)).agg(
+            F.count(F.lit(1)).alias("n_got"), whole("outflow", "up_outflow"), whole("natural", "up_natural"))
         j = rows.join(got, ["node", date], "left").join(n_up, "node").withColumn("n_up", F.col("n_edges"))
         # An upstream value missing on a date leaves the balance of that date unknown.
         complete = F.col("n_got") == F.col("n_edges")
         j = j.withColumn("up_outflow", F.when(complete, F.col("up_outflow"))).withColumn("up_natural", F.when(complete, F.col("up_natural")))
         return _balance(j.drop("n_got", "n_edges"), date)
 
-    read = lambda: spark.read.schema(sent_schema).parquet(sent)
-    for k in range(depth):
+    # Of a node with several edges one row is the node's own result.
+    own = F.row_number().over(Window.partitionBy("node").orderBy("dst"))
+    out_edges = cut_lineage(to.withColumn("own", own == 1))
+    written = None
+    for k in range(depth + 1):
         rows = ranked.where(F.col("level") == k).drop("level")
-        done = heads(rows) if k == 0 else below(rows, read().where(F.col("dst_level") == k))
-        j = done.select("node", date, "outflow", "natural").join(to, F.col("node") == F.col("src"))
-        when = F.date_add(F.col(date), F.expr("cast(bround(travel_time) as int)")) if lagged else F.col(date)
-        (j.groupBy(F.col("dst").cast("bigint").alias("node"), when.alias(date), "dst_level")
-         .agg(F.count(F.lit(1)).alias("n_up"), whole("outflow", "up_outflow"), whole("natural", "up_natural"))
-         .write.mode("append").partitionBy("dst_level").parquet(sent))
-    # All that flows between nodes is known now: one pass over every level gives the result.
-    out = heads(ranked.where(F.col("level") == 0).drop("level")).select(*keep)
-    if depth:
-        out = out.unionByName(below(ranked.where(F.col("level") > 0).drop("level"), read()).select(*keep))
-    return out
+        done = heads(rows) if k == 0 else below(rows, written.where(F.col("dst_level") == k))
+        done = done.select(*keep).join(out_edges, "node", "left").withColumn("own", F.coalesce("own", F.lit(True)))
+        done = done.withColumn("dst_level", F.coalesce("dst_level", F.lit(-1)))
+        done.write.mode("append").partitionBy("dst_level").parquet(results)
+        written = spark.read.schema(done.schema).parquet(results)
+    return written.where("own").select(*keep)
 
 
 def regulated_outputs(results: DataFrame, edges: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ PRODUCTS = {
     "outflow": ("outflow_rate", "outflow (m3/d)"),
     "altimeter": ("height", "height (m)"),
 }
+# Curve columns as delivered -> product columns.
 CURVE_NAMES = {
     "Elevation": "elevation",
     "CumArea": "area",
@@ -25,6 +26,7 @@ CURVE_NAMES = {
     "Storage (mil. m3)": "storage (mil. m3)",
     "Elevation_Observed": "elevation_srtm",
 }
+# Chart -> product, x and y column.
 CHARTS = {
     "Storage Change": ("dels", "date", "dS (m3)"),
     "Inflow": ("inflow", "date", "inflow (m3/d)"),

@@ -26,24 +26,18 @@ def pick_rows(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[s
     return df.groupBy(*keys).agg(extreme(order).alias(order), *aggs)
 
 
-def lowest_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, shards: int = 32) -> DataFrame:
-    """The ``k`` first rows of every key, found shard by shard and then among the shard winners."""
-    shard = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(shards))
-    part = df.withColumn("_shard", shard)
+def lowest_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    """The ``k`` first rows of every key, found shard by shard and then among the shard winners.
+
+    A key has about one shard for every ``64 * k`` of its rows, so that shards stay small however many rows it has.
+    """
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / (64 * k)).alias("_shards"))
+    shard = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_shards"))
+    part = df.join(sizes, list(keys)).withColumn("_shard", shard)
     inner = Window.partitionBy(*keys, "_shard").orderBy(*order)
     outer = Window.partitionBy(*keys).orderBy(*order)
     winners = part.withColumn("_rn", F.row_number().over(inner)).where(F.col("_rn") <= k)
-    return (winners.drop("_rn", "_shard").withColumn("_rn", F.row_number().over(outer))
-            .where(F.col("_rn") <= k).drop("_rn"))
-
-
-GROUP_LIMIT = 2_000_000  # rows one window task may order; it spills, so memory is not the limit
-
-
-def large_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None when there are none (checked by counting)."""
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys)
-    return None if found.isEmpty() else found
+    return winners.withColumn("_rn", F.row_number().over(outer)).where(F.col("_rn") <= k).select(*df.columns)
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: str,

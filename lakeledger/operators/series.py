@@ -400,13 +400,33 @@ def cut_over(parts: Sequence[DataFrame], starts: Sequence[str], date: str = "dat
     return out
 
 
-def carry_over(previous: DataFrame, new: DataFrame, days: int, date: str = "date") -> DataFrame:
-    """The ``days`` days of ``previous`` before the first date of ``new``, followed by ``new``."""
-    start = lambda: new.agg(F.min(date)).scalar()
-    tail = previous.where((F.col(date) >= F.date_sub(start(), days)) & (F.col(date) < start()))
+def joined_by(df: DataFrame, grouped: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join a table of one row per key; without keys it holds a single row, which every row gets."""
+    return df.join(grouped, list(keys), how) if keys else df.crossJoin(F.broadcast(grouped))
+
+
+def after_last(stored: DataFrame, new: DataFrame, keys: Sequence[str], date: str = "date") -> DataFrame:
+    """Rows of ``new`` later than the last stored date of their key, and all rows of keys that are not stored."""
+    last = stored.groupBy(*keys).agg(F.max(date).alias("_last"))
+    return joined_by(new, last, keys, "left").where(F.col("_last").isNull() | (F.col(date) > F.col("_last"))).select(*new.columns)
+
+
+def carry_over(previous: DataFrame, new: DataFrame, days: int, date: str = "date", keys: Sequence[str] = ()) -> DataFrame:
+    """Of every key the ``days`` days of ``previous`` before the first date of ``new``, followed by ``new``.
+
+    A key without new rows keeps the last ``days`` days it has."""
+    first = new.groupBy(*keys).agg(F.min(date).alias("_first"))
+    end = previous.groupBy(*keys).agg(F.date_add(F.max(date), 1).alias("_end"))
+    old = joined_by(joined_by(previous, end, keys, "left"), first, keys, "left").withColumn("_first", F.coalesce("_first", "_end"))
+    tail = old.where((F.col(date) >= F.date_sub("_first", days)) & (F.col(date) < F.col("_first"))).select(*previous.columns)
     return tail.unionByName(new, allowMissingColumns=True)
 
 
+def drop_repeats(df: DataFrame) -> DataFrame:
+    """Each distinct row once; reduced next to the data before it is shuffled."""
+    return df.distinct()
+
+
 def period_means(df: DataFrame, keys: Sequence[str], values: Sequence[str], frequency: str, date: str = "date") -> DataFrame:
     """Mean per week (labelled by its Sunday), month or year (labelled by the last day) and its number of days."""
     d = F.col(date)

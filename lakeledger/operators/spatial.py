@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.functions.columns import cell_index, half_up_count, haversine_m, round_away
+from lakeledger.functions.columns import half_up_count, haversine_m, round_away
+from lakeledger.session import cut_lineage
 
 METRES_PER_DEGREE = 111195.0
 
@@ -15,12 +16,14 @@ METRES_PER_DEGREE = 111195.0
 # --- grids ----------------------------------------------------------------------------------
 
 def grid_cells(bounds: DataFrame, keys: Sequence[str], resolution: float = 0.0625) -> DataFrame:
-    """Cell centres of each key's bounding box (xmin, ymin, xmax, ymax), rows from the top."""
+    """Cell centres of each key's bounding box (xmin, ymin, xmax, ymax), rows from the top.
+
+    The columns of a grid are dealt out before their rows are made, so that one large box is not one task."""
     nx = half_up_count((F.col("xmax") - F.col("xmin")) / resolution).cast("int")
     ny = half_up_count((F.col("ymax") - F.col("ymin")) / resolution).cast("int")
-    rows = (bounds.withColumn("_nx", nx).withColumn("_ny", ny).where((F.col("_nx") > 0) & (F.col("_ny") > 0))
-            .withColumn("col", F.explode(F.sequence(F.lit(0), F.col("_nx") - 1)))
-            .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("_ny") - 1))))
+    cols = (bounds.withColumn("_nx", nx).withColumn("_ny", ny).where((F.col("_nx") > 0) & (F.col("_ny") > 0))
+            .withColumn("col", F.explode(F.sequence(F.lit(0), F.col("_nx") - 1))))
+    rows = cols.repartition(*keys, "col").withColumn("row", F.explode(F.sequence(F.lit(0), F.col("_ny") - 1)))
     return rows.select(*keys, "row", "col",
                        F.round(F.col("xmin") + (F.col("col") + 0.5) * resolution, 5).alias("lon"),
                        F.round(F.col("ymax") - (F.col("row") + 0.5) * resolution, 5).alias("lat"))
@@ -32,28 +35,62 @@ def row_col(lon: Column, lat: Column, west: float, north: float, size: float, ro
     return F.lit(rows) - top, F.floor((lon - F.lit(west)) / size).cast("int") + 1
 
 
-def nearest_cell(points: DataFrame, cells: DataFrame, x: str, y: str, cell_x: str, cell_y: str,
-                 origin: tuple[float, float] = (0.0, 0.0), size: tuple[float, float] = (1.0, 1.0), how: str = "inner") -> DataFrame:
-    """Values of the cell nearest to each point, by integer cell index."""
-    at = points.withColumn(cell_x, cell_index(F.col(x), origin[0], size[0])).withColumn(cell_y, cell_index(F.col(y), origin[1], size[1]))
-    return at.join(cells, [cell_x, cell_y], how)
+def nearest_cell(points: DataFrame, cells: DataFrame, ident: Sequence[str], x: str, y: str, cell_x: str, cell_y: str,
+                 size: float = 1.0) -> DataFrame:
+    """Every point with the columns of the cell whose centre is nearest; ties go to the lower x, then the lower y.
+
+    ``ident`` tells points apart, ``size`` is about the distance between cells. Points meet the cells of their own
+    tile and its neighbours; one that is nearer to a cell there than to what lies beyond is done, and the others go
+    on with tiles four times as wide. So any point finds its cell, also where cells are missing or far away, and each
+    round holds only the points without one. Points with a NULL or NaN coordinate get no cell, and there is none in an empty table.
+    """
+    known = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double"))
+    values = [c for c in cells.columns if c not in (cell_x, cell_y)]
+    centres = cells.where(known(cell_x, cell_y)).select(F.col(cell_x).cast("double").alias("_cx"), F.col(cell_y).cast("double").alias("_cy"), F.struct(*cells.columns).alias("_cell"))
+    left = points.where(known(x, y)).select(*ident, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).distinct()
+    if centres.isEmpty():
+        found = left.select(*ident, F.lit(None).cast(centres.schema["_cell"].dataType).alias("_cell")).limit(0)
+        left = None
+    else:
+        found = None
+    tile, centres = float(size), cut_lineage(centres) if left is not None else centres
+    while left is not None:
+        tiled = centres.withColumn("_tx", F.floor(F.col("_cx") / tile)).withColumn("_ty", F.floor(F.col("_cy") / tile))
+        near = (left.withColumn("_tx", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor(F.col("_x") / tile) + k)))
+                .withColumn("_ty", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor(F.col("_y") / tile) + k))))
+        d2 = (F.col("_cx") - F.col("_x")) * (F.col("_cx") - F.col("_x")) + (F.col("_cy") - F.col("_y")) * (F.col("_cy") - F.col("_y"))
+        order = F.struct(F.round(d2, 12).alias("d"), F.col("_cx"), F.col("_cy"))
+        best = near.join(tiled, ["_tx", "_ty"]).groupBy(*ident).agg(F.min_by("_cell", order).alias("_cell"), F.min(F.round(d2, 12)).alias("_d"))
+        # What lies beyond the neighbouring tiles is at least the way to the edge of those away.
+        edge = lambda c: tile + F.least(F.col(c) - F.floor(F.col(c) / tile) * tile, (F.floor(F.col(c) / tile) + 1) * tile - F.col(c))
+        joined = cut_lineage(left.join(best, list(ident), "left").withColumn("_sure", F.coalesce(
+            F.col("_d") < F.least(edge("_x"), edge("_y")) * F.least(edge("_x"), edge("_y")), F.lit(False))))
+        sure = joined.where("_sure").select(*ident, "_cell")
+        found = sure if found is None else found.unionByName(sure)
+        left = joined.where(~F.col("_sure")).select(*ident, "_x", "_y")
+        tile *= 4
+        if left.isEmpty():
+            left = None
+    return points.join(found, list(ident), "left").select(*points.columns, *[F.col("_cell")[c].alias(c) for c in (cell_x, cell_y, *values)])
 
 
 def regrid(cells: DataFrame, keys: Sequence[str], values: Sequence[str], lon: str, lat: str, resolution: float,
-           bounds: tuple[float, float, float, float]) -> DataFrame:
-    """Nearest source cell of each target cell of a finer or coarser grid, inside the bounds.
+           bounds: tuple[float, float, float, float], size: float | None = None) -> DataFrame:
+    """Nearest source cell of every target cell of a finer or coarser grid inside the bounds, for all ``keys``.
 
-    The source closest to a target centre wins; ties go to the lower longitude, then latitude.
+    The source whose centre is nearest to the target's wins; ties go to the lower longitude, then latitude. The
+    search is made once for the distinct source places (``size``: about their distance), and sources outside the bounds
+    take part. ``cell_x`` and ``cell_y`` count target cells from the lower left.
     """
-    xmin, ymin, xmax, ymax = bounds
-    staged = cells.where((F.col(lon) >= xmin) & (F.col(lon) < xmax) & (F.col(lat) >= ymin) & (F.col(lat) < ymax))
-    staged = (staged.withColumn("cell_x", F.floor((F.col(lon) - xmin) / resolution).cast("int"))
-              .withColumn("cell_y", F.floor((F.col(lat) - ymin) / resolution).cast("int")))
-    dx = F.col(lon) - (F.lit(xmin) + (F.col("cell_x") + 0.5) * resolution)
-    dy = F.col(lat) - (F.lit(ymin) + (F.col("cell_y") + 0.5) * resolution)
-    near = F.struct(F.round(dx * dx + dy * dy, 12).alias("d"), F.col(lon).alias("x"), F.col(lat).alias("y"))
-    return staged.groupBy(*keys, "cell_x", "cell_y").agg(F.min_by(F.struct(*values), near).alias("_v")).select(
-        *keys, "cell_x", "cell_y", *[F.col("_v")[v].alias(v) for v in values])
+    spark = cells.sparkSession
+    xmin, ymin, xmax, ymax = map(float, bounds)
+    box = spark.createDataFrame([(xmin, ymin, xmax, ymax)], "xmin double, ymin double, xmax double, ymax double")
+    ny = half_up_count((F.lit(ymax) - ymin) / resolution).cast("int")
+    targets = grid_cells(box, [], resolution).select(F.col("col").alias("cell_x"), (ny - 1 - F.col("row")).cast("int").alias("cell_y"))
+    targets = targets.withColumn("_tx", xmin + (F.col("cell_x") + 0.5) * resolution).withColumn("_ty", ymin + (F.col("cell_y") + 0.5) * resolution)
+    places = cells.select(lon, lat).distinct()
+    near = nearest_cell(targets, places, ["cell_x", "cell_y"], "_tx", "_ty", lon, lat, size or resolution)
+    return cells.join(near.select("cell_x", "cell_y", lon, lat), [lon, lat]).select(*keys, "cell_x", "cell_y", *values)
 
 
 def bilinear(points: DataFrame, grid: DataFrame, x: str, y: str, i: str, j: str, value: str, out: str,
@@ -120,12 +157,12 @@ def centroids(edges: DataFrame, ident: str = "id") -> DataFrame:
     return s.select(ident, F.try_divide(F.col("_x"), F.col("_a") * 3).alias("cx"), F.try_divide(F.col("_y"), F.col("_a") * 3).alias("cy"))
 
 
-def cells_of_polygons(cells: DataFrame, edges: DataFrame, cell: str, x: str, y: str, i: str, j: str,
-                      origin: tuple[float, float], size: tuple[float, float], ident: str = "id", tile: float = 1.0) -> DataFrame:
-    """Cells whose centre lies in a polygon; a polygon without any takes the cell nearest its centroid."""
+def cells_of_polygons(cells: DataFrame, edges: DataFrame, cell: str, x: str, y: str, ident: str = "id",
+                      tile: float = 1.0, size: float = 1.0) -> DataFrame:
+    """Cells whose centre lies in a polygon; a polygon without any takes the cell nearest its centroid, wherever that is."""
     inside = points_in_polygons(cells, edges, cell, x, y, ident, tile)
     empty = centroids(edges, ident).join(inside.select(ident).distinct(), ident, "left_anti")
-    near = nearest_cell(empty, cells.select(i, j, cell), "cx", "cy", i, j, origin, size).select(cell, ident)
+    near = nearest_cell(empty, cells.select(x, y, cell), [ident], "cx", "cy", x, y, size).select(cell, ident)
     return inside.withColumn("method", F.lit("inside")).unionByName(near.withColumn("method", F.lit("nearest")))
 
 
@@ -167,7 +204,7 @@ def track_crossings(tracks: DataFrame, edges: DataFrame, track: str = "track", i
 
 
 def within_distance(points: DataFrame, centres: DataFrame, centre: str, metres: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Pairs of points and centres at most ``metres`` apart on the sphere.
+    """Pairs of points and centres at most ``metres`` apart on the sphere, also across the line of 180 degrees.
 
     Both sides meet in latitude-longitude tiles as wide as the distance at the highest latitude of
     the centre; the exact distance decides.
@@ -175,11 +212,14 @@ def within_distance(points: DataFrame, centres: DataFrame, centre: str, metres:
     size = metres / METRES_PER_DEGREE
     c = centres.select(F.col(centre), F.col(lat).alias("_clat"), F.col(lon).alias("_clon"))
     reach = F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs("_clat") + size, F.lit(89.0)))), F.lit(0.02))
+    # A centre near the line also stands on its other side.
+    c = c.withColumn("_reach", reach).withColumn("_at", F.explode(F.filter(F.array(F.col("_clon"), F.col("_clon") - 360, F.col("_clon") + 360),
+                                                                            lambda v: (v >= -180 - F.col("_reach")) & (v <= 180 + F.col("_reach")))))
     c = (c.withColumn("_ty", F.explode(F.sequence(F.floor((F.col("_clat") - size) / size), F.floor((F.col("_clat") + size) / size))))
-         .withColumn("_tx", F.explode(F.sequence(F.floor((F.col("_clon") - reach) / size), F.floor((F.col("_clon") + reach) / size)))))
+         .withColumn("_tx", F.explode(F.sequence(F.floor((F.col("_at") - F.col("_reach")) / size), F.floor((F.col("_at") + F.col("_reach")) / size)))))
     p = points.withColumn("_ty", F.floor(F.col(lat) / size)).withColumn("_tx", F.floor(F.col(lon) / size))
     d = haversine_m(F.col(lat), F.col(lon), F.col("_clat"), F.col("_clon"))
-    return p.join(c, ["_ty", "_tx"]).withColumn("distance", d).where(F.col("distance") <= metres).drop("_ty", "_tx", "_clat", "_clon")
+    return p.join(c, ["_ty", "_tx"]).withColumn("distance", d).where(F.col("distance") <= metres).drop("_ty", "_tx", "_clat", "_clon", "_at", "_reach")
 
 
 def within_box(points: DataFrame, boxes: DataFrame, ident: str, margin: float = 0.1, lat: str = "lat", lon: str = "lon",

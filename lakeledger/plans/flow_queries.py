@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from lakeledger.operators import forecast, forcings, incremental, network
+from lakeledger.functions import columns
+from lakeledger.operators import forecast, forcings, incremental, network, products
 from lakeledger.operators.series import interval_sums
 from lakeledger.plans.registry import query
 from lakeledger.plans.tables import Tables, check_sql
@@ -133,6 +134,23 @@ def regulated_nodes(t: Tables):
     return network.regulated_outputs(t.node_days, t.edges).select("node", "date", "storage_change")
 
 
+@query("network_text_ids", check_sql("node_days edges", "with " + unrolled(7).replace("select node, date, round(nat", "select 'dam-' || node as node, date, round(nat"), recursive=True))
+def network_text_ids(t: Tables):
+    """The same balance where nodes have text ids."""
+    name = lambda c: F.concat(F.lit("dam-"), F.col(c).cast("string")).alias(c)
+    edges = t.edges.select(name("src"), name("dst"), "travel_time")
+    return rounded(network.balance(edges, t.node_days.withColumn("node", name("node"))))
+
+
+@query("node_elevation", check_sql("points flow_dir", """with t as (select distinct x * 0.15 as x, y * 0.2 as y, x * 7 + y * 3 as elevation from flow_dir)
+select point as node, elevation from points p cross join t qualify row_number() over (partition by point order by round((p.x - t.x) * (p.x - t.x) + (p.y - t.y) * (p.y - t.y), 12), t.x, t.y) = 1"""))
+def node_elevation(t: Tables):
+    """Elevation of every node from the nearest terrain point."""
+    terrain = t.flow_dir.select((F.col("x") * 0.15).alias("tx"), (F.col("y") * 0.2).alias("ty"), (F.col("x") * 7 + F.col("y") * 3).alias("elevation")).distinct()
+    nodes = t.points.select(F.col("point").alias("node"), F.col("x").alias("lon"), F.col("y").alias("lat"))
+    return network.node_elevation(nodes, terrain, terrain_x="tx", terrain_y="ty", size=0.2).select("node", F.col("elevation").cast("bigint").alias("elevation"))
+
+
 @query("edge_lengths", check_sql("edges", """with n as (select s_suppkey as node, s_suppkey % 17 + 0.5 as lat, s_suppkey % 23 + 0.25 as lon from supplier)
 select src, dst, round(2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))), 3) as length
 from edges join n a on a.node = src join n b on b.node = dst"""))
@@ -339,22 +357,59 @@ def altimeter_scan(t: Tables):
     return back.groupBy("cycle", "lat", "height").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("series_csv_scan", check_sql("s2_daily", "select reservoir_id, date, area from s2_daily"))
+@query("series_csv_scan", check_sql("flow", "select cast(reservoir_id as varchar) as reservoir_id, date, streamflow from flow"))
 def series_csv_scan(t: Tables):
-    """Area series written as CSV per reservoir and read back with its schema."""
+    """Flow series written as CSV, one file name per reservoir, and read back through the reader with its missing-value rules."""
     path = scratch_table(t.spark, "series")
-    writers.series_csv(t.s2_daily, path)
-    schema = "date date, area double, reservoir_id bigint"
-    return t.spark.read.schema(schema).option("header", True).csv(path).select("reservoir_id", "date", "area")
+    writers.series_csv(t.flow.select("reservoir_id", "date", "streamflow"), path)
+    return readers.series(t.spark, path, "inflow", "file").select(F.col("reservoir_id").cast("string").alias("reservoir_id"), "date", "streamflow")
+
+
+@query("zero_image_scan", check_sql("optical", """select date, water_area, cloud_area, cast(floor(cloud_area) % 4 as int) as images, count(*) as n from optical where sat = 'l8' and floor(cloud_area) % 4 > 0 group by all"""))
+def zero_image_scan(t: Tables):
+    """Landsat composites written as CSV and read back without those made from no image."""
+    path = scratch_table(t.spark, "landsat")
+    o = t.optical.where("sat = 'l8'")
+    o.select(F.col("date").alias("mosaic_enddate"), F.col("date").alias("from_date"), F.col("date").alias("to_date"), F.col("water_area").alias("water_area_cordeiro"),
+             F.col("non_water_area").alias("non_water_area_cordeiro"), "cloud_area", (F.floor("cloud_area") % 4).cast("int").alias("images"),
+             F.col("corrected_area").alias("corrected_area_cordeiro")).write.option("header", True).csv(path)
+    back = readers.with_images(readers.optical(t.spark, path, "l8"))
+    return back.groupBy("date", "water_area", "cloud_area", "images").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("array_functions", check_sql("s2_daily", """with o as (select reservoir_id, date, lead(date) over w as second, row_number() over w as i, count(*) over (partition by reservoir_id) as n from s2_daily window w as (partition by reservoir_id order by date))
+select reservoir_id, 'pair' as kind, date as first, second as last, cast(2 as bigint) as n from o where second is not null union all
+select reservoir_id, 'chunk', min(date), max(date), count(*) from o group by reservoir_id, floor((i - 1) / 4)"""))
+def array_functions(t: Tables):
+    """Neighbouring dates, and dates in groups of four."""
+    days = t.s2_daily.groupBy(*R).agg(F.sort_array(F.collect_list("date")).alias("d"))
+    pairs = days.select(*R, F.explode(columns.consecutive_pairs(F.col("d"))).alias("p")).select(
+        *R, F.lit("pair").alias("kind"), F.col("p.first").alias("first"), F.col("p.second").alias("last"), F.lit(2).cast("bigint").alias("n"))
+    groups = days.select(*R, F.explode(columns.chunks(F.col("d"), 4)).alias("c")).select(
+        *R, F.lit("chunk").alias("kind"), F.array_min("c").alias("first"), F.array_max("c").alias("last"), F.size("c").cast("bigint").alias("n"))
+    return pairs.unionByName(groups)
+
+
+@query("forecast_from_base", check_sql("flow", "select reservoir_id, date, streamflow from flow where date >= date '2024-01-10' + cast(reservoir_id % 3 as int)"))
+def forecast_from_base(t: Tables):
+    """Forecast rows from each reservoir's base date on."""
+    base = F.date_add(F.lit("2024-01-10").cast("date"), (F.col("reservoir_id") % 3).cast("int"))
+    return products.forecast_product(t.flow, base).select(*R, "date", "streamflow")
+
+
+@query("curve_names", check_sql("curve", "select curve_id, elevation, area from curve"))
+def curve_names(t: Tables):
+    """Observed curves in product column names."""
+    return products.curve_product(t.curve.select("curve_id", F.col("elevation").alias("Elevation"), F.col("area").alias("CumArea")))
 
 
 @query("yearly_split", check_sql("cell_flux", """select year(date) as year, count(*) as n, min(date) as first, max(date) as last, round(sum(net_radiation), 2) as radiation from cell_flux group by 1"""))
 def yearly_split(t: Tables):
-    """Weather written by year, the second half appended after the last stored day, read back."""
-    path = scratch_table(t.spark, "yearly")
+    """Weather written by year, the rest of every reservoir appended after its own last stored day, read back."""
+    path, rid = scratch_table(t.spark, "yearly"), F.col("reservoir_id")
     df = t.cell_flux.select("reservoir_id", "date", "net_radiation")
-    writers.yearly(df.where("date < '1999-01-01'"), path)
-    writers.append_after(df, path)
+    writers.yearly(df.where((F.col("date") < F.date_sub(F.lit("1999-01-01").cast("date"), (rid % 50 * 9).cast("int"))) & (rid % 11 != 0)), path)
+    writers.append_after(df, path, keys=["reservoir_id"])
     back = t.spark.read.parquet(path)
     return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first"), F.max("date").alias("last"), F.round(F.sum("net_radiation"), 2).alias("radiation")).withColumn("year", F.col("year").cast("bigint"))
 

@@ -17,12 +17,12 @@ def wind_swap(t: Tables):
     return f.select(*CELL, "date", "tmax", "tmin", F.round("wind", 6).alias("wind"))
 
 
-@query("combine_variables", check_sql("forcing", """select date, cell_x, cell_y, max(case when precip > 1 then precip end) as precip, max(case when tmax > 20 then tmax end) as tmax from forcing
-where precip > 1 or tmax > 20 group by 1, 2, 3"""))
+@query("combine_variables", check_sql("forcing", """select date, cell_x, cell_y, case when precip > 1 then precip end as precip, case when tmax > 20 then tmax end as tmax from forcing"""))
 def combine_variables(t: Tables):
-    """Separate variable tables put together by date and cell."""
+    """Separate variable tables put together by date and cell; a cell and day that both leave out is in the third."""
     f = t.forcing
-    return forcings.combine({"precip": f.where("precip > 1").select("date", *CELL, "precip"), "tmax": f.where("tmax > 20").select("date", *CELL, "tmax")})
+    return forcings.combine({"precip": f.where("precip > 1").select("date", *CELL, "precip"), "tmax": f.where("tmax > 20").select("date", *CELL, "tmax"),
+                             "tmin": f.select("date", *CELL, "tmin")}).drop("tmin")
 
 
 @query("daily_means", check_sql("", """select l_suppkey as cell, cast(l_shipdate as date) as date, round(avg(100.0 - l_discount * 100), 6) as pressure from lineitem group by 1, 2"""))
@@ -53,29 +53,32 @@ def climatology_correction(t: Tables):
 
 
 def axis_sql(src: str, part: str, x: str, limit: str = "") -> str:
-    """SQL: linear fill with extrapolation along one axis of ``src`` (column v)."""
-    return f"""(select * exclude (p, n, p2, n2, run, v), coalesce(v, case when {limit or 'true'} then
-  case when p.x is not null and n.x is not null then p.v + (n.v - p.v) * ({x} - p.x) / (n.x - p.x)
-       when p.x is not null and p2.x is not null then p.v + (p2.v - p.v) * ({x} - p.x) / (p2.x - p.x)
-       when n.x is not null and n2.x is not null then n.v + (n2.v - n.v) * ({x} - n.x) / (n2.x - n.x) end end) as v
-  from (select *, l[-1] as p, l[-2] as p2, r[1] as n, r[2] as n2, i - coalesce(pi, 0) as run from (
-    select *, list(struct_pack(x := {x}, v := v)) filter (where v is not null) over (partition by {part} order by {x} rows between unbounded preceding and 1 preceding) as l,
-      list(struct_pack(x := {x}, v := v)) filter (where v is not null) over (partition by {part} order by {x} rows between 1 following and unbounded following) as r,
-      max(case when v is not null then i end) over (partition by {part} order by {x} rows between unbounded preceding and 1 preceding) as pi
-    from (select *, row_number() over (partition by {part} order by {x}) as i from {src}))) q)"""
+    """SQL: linear fill with extrapolation along one axis of ``src`` (column v); a known point also carries the one
+    before it (x2, v2) and the one after it (x3, v3)."""
+    known = f"""select {part}, {x}, v, lag({x}) over w as x2, lag(v) over w as v2, lead({x}) over w as x3, lead(v) over w as v3 from {src} where v is not null window w as (partition by {part} order by {x})"""
+    line = lambda a, b, c, d: f"{b} + ({d} - {b}) * ({x} - {a}) / ({c} - {a})"
+    return f"""(select * exclude (v, k, p, n, i, pi), coalesce(v, case when {limit or 'true'} then
+  case when p.x is not null and n.x is not null then {line('p.x', 'p.v', 'n.x', 'n.v')}
+       when p.x is not null and p.x2 is not null then {line('p.x', 'p.v', 'p.x2', 'p.v2')}
+       when n.x is not null and n.x3 is not null then {line('n.x', 'n.v', 'n.x3', 'n.v3')} end end) as v
+  from (select *, i - coalesce(pi, 0) as run from (select *, last_value(k ignore nulls) over up as p, first_value(k ignore nulls) over dn as n, max(case when v is not null then i end) over up as pi
+    from (select s.*, row_number() over (partition by {part} order by {x}) as i, case when s.v is not null then struct_pack(x := {x}, v := s.v, x2 := k.x2, v2 := k.v2, x3 := k.x3, v3 := k.v3) end as k
+      from {src} s left join ({known}) k using ({part}, {x}))
+    window up as (partition by {part} order by {x} rows between unbounded preceding and 1 preceding), dn as (partition by {part} order by {x} rows between 1 following and unbounded following))) q)"""
 
 
 @query("grid_impute", check_sql("forcing", f"""with cells as (select distinct cell_x, cell_y from forcing),
-days as (select cast(unnest(generate_series(timestamp '1997-01-01', timestamp '1997-02-28', interval 1 day)) as date) as date),
+days as (select cast(unnest(generate_series(cast(min(date) as timestamp), cast(max(date) as timestamp), interval 1 day)) as date) as date from forcing),
 g as (select c.cell_x, c.cell_y, d.date, date_diff('day', date '1970-01-01', d.date) as dn, f.precip as v, f.precip as raw from cells c cross join days d left join forcing f using (cell_x, cell_y, date)),
-a as (select * exclude (l, r, pi, i) from {axis_sql('g', 'cell_x, cell_y', 'dn', 'run <= 30')}),
-b as (select * exclude (l, r, pi, i) from {axis_sql('a', 'date, cell_y', 'cell_x')}),
-c as (select * exclude (l, r, pi, i) from {axis_sql('b', 'date, cell_x', 'cell_y')})
+a as (select * exclude (run) from {axis_sql('g', 'cell_x, cell_y', 'dn', 'run <= 30')}),
+b as (select * exclude (run) from {axis_sql('a', 'date, cell_y', 'cell_x')}),
+c as (select * exclude (run) from {axis_sql('b', 'date, cell_x', 'cell_y')})
 select cell_x, cell_y, date, round(case when cell_x + cell_y < 15 then v else raw end, 3) + 0.0 as precip from c"""))
 def grid_impute(t: Tables):
-    """Two months of the full grid filled along time, longitude and latitude inside the basin."""
+    """The full grid of all days filled along time, longitude and latitude inside the basin."""
     f = t.forcing.select(*CELL, "date", "precip")
-    grid = forcings.full_grid(f, f.select(*CELL).distinct(), ["precip"], "1997-01-01", "1997-02-28")
+    first, last = f.agg(F.min("date"), F.max("date")).first()
+    grid = forcings.full_grid(f, f.select(*CELL).distinct(), ["precip"], str(first), str(last))
     grid = grid.withColumn("extent", F.col("cell_x") + F.col("cell_y") < 15)
     return forcings.impute(grid, ["precip"]).select(*CELL, "date", F.round("precip", 3).alias("precip"))
 
@@ -89,19 +92,23 @@ def state_split(t: Tables):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-@query("extend_history", check_sql("forcing", """with o as (select * from forcing where date < date '1999-01-01'), l as (select max(date) as last from o)
+@query("extend_history", check_sql("forcing", """with o as (select * from forcing where date < date '1999-01-01' - cast(cell_x * 9 + cell_y as int) and cell_x + cell_y > 0),
+l as (select cell_x, cell_y, max(date) as last from o group by 1, 2)
 select cell_x, cell_y, date, round(precip, 8) as precip from o where date >= date '1999-01-01' - 120 union all
-select cell_x, cell_y, date, round(precip, 8) from forcing, l where date > last"""))
+select f.cell_x, f.cell_y, date, round(precip, 8) from forcing f left join l using (cell_x, cell_y) where last is null or date > last"""))
 def extend_history(t: Tables):
-    """Recent history followed by rows not yet stored."""
+    """Recent history of every cell followed by its rows not yet stored; cells end on different days, one is new."""
     f = t.forcing.select(*CELL, "date", F.round("precip", 8).alias("precip"))
-    return forcings.extend_history(f.where("date < '1999-01-01'"), f, "1999-01-01")
+    stored = f.where((F.col("date") < F.date_sub(F.lit("1999-01-01").cast("date"), F.col("cell_x") * 9 + F.col("cell_y"))) & (F.col("cell_x") + F.col("cell_y") > 0))
+    return forcings.extend_history(stored, f, "1999-01-01", keys=CELL)
 
 
-@query("keep_recent", check_sql("forcing", "select cell_x, cell_y, date, tmax from forcing where date > (select max(date) from forcing) - 365"))
+@query("keep_recent", check_sql("forcing", """select cell_x, cell_y, date, tmax from (select *, max(date) over (partition by cell_x, cell_y) as last from forcing
+  where date < date '2001-01-01' - cast(cell_x * 31 as int)) where date > last - 365"""))
 def keep_recent(t: Tables):
-    """The last year of the grid."""
-    return forcings.keep_recent(t.forcing.select(*CELL, "date", "tmax"))
+    """The last year of every cell; cells end on different days."""
+    f = t.forcing.select(*CELL, "date", "tmax").where(F.col("date") < F.date_sub(F.lit("2001-01-01").cast("date"), F.col("cell_x") * 31))
+    return forcings.keep_recent(f, keys=CELL)
 
 
 @query("forecast_calendar", check_sql("reservoirs", """select reservoir_id, date '2024-01-20' as basedate, cast(unnest(generate_series(timestamp '2024-01-20', timestamp '2024-02-04', interval 1 day)) as date) as date from reservoirs"""))
@@ -117,14 +124,27 @@ def reduce_grids(t: Tables):
     return forcings.reduce_grids([f.where("date < '1998-01-01'"), f.select(*CELL, F.col("tmin").alias("tmax"))], "tmax", F.max)
 
 
-@query("regrid", check_sql("forcing", """with p as (select cell_x, cell_y, date, tmax, cell_x * 0.1 + 0.03 as lon, cell_y * 0.1 + 0.07 as lat from forcing),
-c as (select *, cast(floor((lon - 0.1) / 0.25) as int) as tx, cast(floor((lat - 0.1) / 0.25) as int) as ty from p where lon >= 0.1 and lon < 0.9 and lat >= 0.1 and lat < 0.9)
-select date, tx as cell_x, ty as cell_y, tmax from c qualify row_number() over (partition by date, tx, ty order by
-  round((lon - (0.1 + (tx + 0.5) * 0.25)) * (lon - (0.1 + (tx + 0.5) * 0.25)) + (lat - (0.1 + (ty + 0.5) * 0.25)) * (lat - (0.1 + (ty + 0.5) * 0.25)), 12), lon, lat) = 1"""))
+NEAREST = """p as (select cell_x, cell_y, date, tmax, cell_x * 0.1 + 0.03 as lon, cell_y * 0.1 + 0.07 as lat from forcing), src as (select distinct lon, lat from p),
+tg as (select cast(i as int) as cell_x, cast(j as int) as cell_y, {west} + (i + 0.5) * {step} as x, {west} + (j + 0.5) * {step} as y from range({n}) a(i), range({n}) b(j)),
+near as (select tg.cell_x, tg.cell_y, lon, lat from tg cross join src qualify row_number() over (partition by tg.cell_x, tg.cell_y
+  order by round((lon - x) * (lon - x) + (lat - y) * (lat - y), 12), lon, lat) = 1)
+select p.date, near.cell_x, near.cell_y, p.tmax from near join p using (lon, lat)"""
+
+
+def placed(t: Tables):
+    return t.forcing.select("date", "tmax", (F.col("cell_x") * 0.1 + 0.03).alias("lon"), (F.col("cell_y") * 0.1 + 0.07).alias("lat"))
+
+
+@query("regrid", check_sql("forcing", "with " + NEAREST.format(west=0.1, step=0.25, n=3)))
 def regrid(t: Tables):
-    """Nearest source cell on a coarser grid, clipped to bounds."""
-    p = t.forcing.select("date", "tmax", (F.col("cell_x") * 0.1 + 0.03).alias("lon"), (F.col("cell_y") * 0.1 + 0.07).alias("lat"))
-    return spatial.regrid(p, ["date"], ["tmax"], "lon", "lat", 0.25, (0.1, 0.1, 0.9, 0.9))
+    """Nearest source cell on a coarser grid."""
+    return spatial.regrid(placed(t), ["date"], ["tmax"], "lon", "lat", 0.25, (0.1, 0.1, 0.85, 0.85))
+
+
+@query("regrid_finer", check_sql("forcing", "with " + NEAREST.format(west=-0.25, step=0.0625, n=24)))
+def regrid_finer(t: Tables):
+    """Nearest source cell on a finer grid that also reaches beyond the sources."""
+    return spatial.regrid(placed(t), ["date"], ["tmax"], "lon", "lat", 0.0625, (-0.25, -0.25, 1.25, 1.25), size=0.1)
 
 
 # --- scalar functions -----------------------------------------------------------------------
@@ -172,27 +192,29 @@ def point_in_polygon(t: Tables):
     return spatial.points_in_polygons(t.points, t.polygon_edges, "point")
 
 
-@query("nearest_cell", check_sql("points", """with g as (select n_nationkey, cast(n_nationkey % 5 as int) as cx, cast(floor(n_nationkey / 5) as int) as cy from nation)
-select point, n_nationkey from points join g on cx = cast(floor((x - 0.5) / 1.0 + 0.5) as int) and cy = cast(floor((y - 0.5) / 1.0 + 0.5) as int)"""))
+@query("nearest_cell", check_sql("points", """with g as (select n_nationkey, n_nationkey % 5 + 0.5 as cx, floor(n_nationkey / 5) + 0.5 as cy from nation where n_nationkey % 7 <> 3)
+select point, n_nationkey from points cross join g qualify row_number() over (partition by point order by round((x - cx) * (x - cx) + (y - cy) * (y - cy), 12), cx, cy) = 1"""))
 def nearest_cell(t: Tables):
-    """Grid cell nearest to each point."""
+    """Cell nearest to each point, in a grid with holes; some points lie outside."""
     k = F.col("n_nationkey")
-    cells = t.raw("nation").select(k, (k % 5).cast("int").alias("cx"), F.floor(k / 5).cast("int").alias("cy"))
-    return spatial.nearest_cell(t.points, cells, "x", "y", "cx", "cy", (0.5, 0.5)).select("point", "n_nationkey")
+    cells = t.raw("nation").where(k % 7 != 3).select(k, (k % 5 + 0.5).alias("cx"), (F.floor(k / 5) + 0.5).alias("cy"))
+    return spatial.nearest_cell(t.points, cells, ["point"], "x", "y", "cx", "cy", 0.4).select("point", "n_nationkey")
 
 
-@query("cells_or_nearest", check_sql("polygon", """with cell as (select distinct cast(p_size % 9 as int) as i, cast(floor(p_size / 9) as int) as j from part where p_size between 0 and 44),
+@query("cells_or_nearest", check_sql("polygon", """with cell as (select distinct cast(p_size % 9 as int) as i, cast(floor(p_size / 9) as int) as j from part),
 c as (select i * 100 + j as cell, i, j, 0.6 * i + 0.3 as x, 0.9 * j + 0.13 as y from cell),
-ins as (select cell, id from c join polygon on x > x0 and x < x0 + 1 and y > y0 and y < y0 + 1),
-em as (select id, x0 + 0.5 as cx, y0 + 0.5 as cy from polygon where id not in (select id from ins)),
-ne as (select cell, id from em join c on c.i = cast(floor((cx - 0.3) / 0.6 + 0.5) as int) and c.j = cast(floor((cy - 0.13) / 0.9 + 0.5) as int))
+far as (select id, x0, y0 from polygon union all select id + 100, x0 + 40, y0 - 30 from polygon where id % 6 = 0),
+ins as (select cell, id from c join far on x > x0 and x < x0 + 1 and y > y0 and y < y0 + 1),
+em as (select id, x0 + 0.5 as cx, y0 + 0.5 as cy from far where id not in (select id from ins)),
+ne as (select cell, id from em cross join c qualify row_number() over (partition by id order by round((x - cx) * (x - cx) + (y - cy) * (y - cy), 12), x, y) = 1)
 select cell, id, 'inside' as method from ins union all select cell, id, 'nearest' from ne"""))
 def cells_or_nearest(t: Tables):
-    """Cells of every polygon, with the cell nearest the centroid where none lies inside."""
-    s = F.col("p_size")
-    c = t.raw("part").where(s.between(0, 44)).select((s % 9).cast("int").alias("i"), F.floor(s / 9).cast("int").alias("j")).distinct()
-    c = c.select((F.col("i") * 100 + F.col("j")).alias("cell"), "i", "j", (F.col("i") * 0.6 + 0.3).alias("x"), (F.col("j") * 0.9 + 0.13).alias("y"))
-    return spatial.cells_of_polygons(c, t.polygon_edges, "cell", "x", "y", "i", "j", (0.3, 0.13), (0.6, 0.9))
+    """Cells of every polygon, with the cell nearest the centroid where none lies inside; some polygons are far from all cells."""
+    s, e = F.col("p_size"), t.polygon_edges
+    c = t.raw("part").select((s % 9).cast("int").alias("i"), F.floor(s / 9).cast("int").alias("j")).distinct()
+    c = c.select((F.col("i") * 100 + F.col("j")).alias("cell"), (F.col("i") * 0.6 + 0.3).alias("x"), (F.col("j") * 0.9 + 0.13).alias("y"))
+    far = e.where("id % 6 = 0").select((F.col("id") + 100).alias("id"), "seq", *[(F.col(n) + d).alias(n) for n, d in (("x1", 40), ("y1", -30), ("x2", 40), ("y2", -30))])
+    return spatial.cells_of_polygons(c, e.unionByName(far), "cell", "x", "y")
 
 
 @query("track_crossing", check_sql("polygon", """with tr as (select s_suppkey as track, s_suppkey * 5.0 / (select count(*) from supplier) + 0.0131 as x from supplier)
@@ -220,6 +242,17 @@ def within_distance(t: Tables):
     return spatial.within_distance(p, dams, "dam", 15000.0).select("point", "dam", F.round("distance", 3).alias("distance"))
 
 
+@query("within_distance_line", check_sql("points", f"""with a as (select point, case when x > 2.5 then x - 182.5 else x + 177.5 end as lon, y as lat from points),
+b as (select s_suppkey as dam, case when s_suppkey % 2 = 0 then 179.95 else -179.95 end as lon, s_suppkey * 3 % 50 / 10.0 + 0.017 as lat from supplier)
+select point, dam, round({HAV}, 3) as distance from a join b on abs(a.lat - b.lat) < 0.2 and (abs(a.lon - b.lon) < 0.2 or abs(a.lon - b.lon) > 359.8) and {HAV} <= 15000"""))
+def within_distance_line(t: Tables):
+    """The same around the line of 180 degrees, with points and dams on both sides of it."""
+    p = t.points.select("point", F.when(F.col("x") > 2.5, F.col("x") - 182.5).otherwise(F.col("x") + 177.5).alias("lon"), F.col("y").alias("lat"))
+    k = F.col("s_suppkey")
+    dams = t.raw("supplier").select(k.alias("dam"), F.when(k % 2 == 0, 179.95).otherwise(-179.95).alias("lon"), (k * 3 % 50 / 10.0 + 0.017).alias("lat"))
+    return spatial.within_distance(p, dams, "dam", 15000.0).select("point", "dam", F.round("distance", 3).alias("distance"))
+
+
 @query("within_box", check_sql("polygon points", "select point, id from points join polygon on x between x0 - 0.1 and x0 + 1.1 and y between y0 - 0.1 and y0 + 1.1"))
 def within_box(t: Tables):
     """Points inside widened bounding boxes."""
@@ -234,11 +267,11 @@ def basin_grid(t: Tables):
     return spatial.grid_cells(spatial.polygon_boxes(t.polygon_edges), ["id"])
 
 
-@query("grid_row_col", check_sql("points", """select point, 10 - cast(floor((4.6 - y) / 0.5) as int) as "row", cast(floor((x + 0.2) / 0.5) as int) + 1 as col from points where y <= 4.6 and x >= -0.2"""))
+@query("grid_row_col", check_sql("points", """select point, 10 - cast(floor((4.6 - y) / 0.5) as int) as "row", cast(floor((x + 0.2) / 0.5) as int) + 1 as col from points"""))
 def grid_row_col(t: Tables):
-    """Row counted from the bottom and column from one."""
+    """Row counted from the bottom and column from one, of points inside and outside the grid."""
     row, col = spatial.row_col(F.col("x"), F.col("y"), -0.2, 4.6, 0.5, 10)
-    return t.points.where("y <= 4.6 and x >= -0.2").select("point", row.alias("row"), col.alias("col"))
+    return t.points.select("point", row.alias("row"), col.alias("col"))
 
 
 @query("reservoir_weather", check_sql("forcing polygon", """with c as (select distinct cell_x, cell_y from forcing), m as (select cell_x, cell_y, id from c join polygon on cell_x / 2.0 + 0.2 > x0 and cell_x / 2.0 + 0.2 < x0 + 1

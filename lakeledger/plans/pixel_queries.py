@@ -56,7 +56,7 @@ def sentinel_indices(t: Tables):
 
 @query("composite_windows", check_sql("pixels", """with d as (select reservoir_id, image_date, unnest(['s2', 'l8', 'sar']) as sensor from pixels),
 o as (select *, case sensor when 's2' then 5 when 'l8' then 16 else 12 end as step, case sensor when 's2' then 5 when 'l8' then 15 else 12 end as used,
-  date '1995-01-05' - case sensor when 's2' then 4 else 0 end as b from d),
+  date '1994-12-05' - case sensor when 's2' then 4 else 0 end as b from d),
 k as (select *, floor(date_diff('day', b, image_date) / step) as k from o where image_date >= b)
 select sensor, reservoir_id, b + cast(k * step as int) as from_date, b + cast(k * step as int) + used - 1 as mosaic_end, count(*) as n
 from k where date_diff('day', b, image_date) - k * step < used group by all"""))
@@ -64,7 +64,7 @@ def composite_windows(t: Tables):
     """Images per composite for three sensors."""
     out = None
     for s in ("s2", "l8", "sar"):
-        w = pixels.composite_windows(t.pixels.select("reservoir_id", "image_date"), s, "1995-01-05")
+        w = pixels.composite_windows(t.pixels.select("reservoir_id", "image_date"), s, "1994-12-05")
         w = w.groupBy(F.lit(s).alias("sensor"), "reservoir_id", "from_date", pixels.mosaic_end_date(F.col("to_date")).alias("mosaic_end")).agg(F.count(F.lit(1)).alias("n"))
         out = w if out is None else out.unionByName(w)
     return out
@@ -210,7 +210,7 @@ lv as (select track, cycle, count(*) as n, avg(lat) as lat, avg(lon) as lon, avg
 def cycle_levels(t: Tables):
     """Two-group split, removal of the farthest returns and statistics of every cycle."""
     inside = t.returns.where((F.col("lat") > 0.5) & (F.col("lat") < 9.5))
-    cleaned = altimetry.clean_cycles(altimetry.iqr_filter(inside, ["track"]), ["track", "cycle"], sized=t.returns)
+    cleaned = altimetry.clean_cycles(altimetry.iqr_filter(inside, ["track"]), ["track", "cycle"])
     out = altimetry.cycle_levels(cleaned, ["track", "cycle"])
     return out.select("track", "cycle", "n", *[F.round(c, 6).alias(c) for c in ("lat", "height", "std", "uncertainty")])
 

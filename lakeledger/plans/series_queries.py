@@ -274,12 +274,22 @@ def cutover_union(t: Tables):
     return series.cut_over([pick("s2"), pick("l8"), pick("l9")], ["2024-01-10", "2024-01-20"])
 
 
-@query("carry_over", check_sql("flow", """select reservoir_id, date, streamflow, 'old' as part from flow where date >= date '2024-01-15' - 7 and date < date '2024-01-15'
-union all select reservoir_id, date, streamflow, 'new' from flow where date >= date '2024-01-15'"""))
+@query("carry_over", check_sql("flow", """with new as (select * from flow where date >= date '2024-01-10' + cast(reservoir_id % 7 as int) and reservoir_id % 5 <> 0),
+f as (select reservoir_id, min(date) as d from new group by 1), e as (select reservoir_id, max(date) + 1 as d from flow group by 1)
+select o.reservoir_id, date, streamflow, 'old' as part from flow o left join f using (reservoir_id) join e using (reservoir_id) where date >= coalesce(f.d, e.d) - 7 and date < coalesce(f.d, e.d)
+union all select reservoir_id, date, streamflow, 'new' from new"""))
 def carry_over(t: Tables):
-    """A week of earlier state before the new run."""
-    new = t.flow.where("date >= '2024-01-15'").withColumn("part", F.lit("new"))
-    return series.carry_over(t.flow.withColumn("part", F.lit("old")), new, 7)
+    """A week of earlier state of every reservoir before its new run; runs begin on different days, some have none."""
+    rid = F.col("reservoir_id")
+    new = t.flow.where((F.col("date") >= F.date_add(F.lit("2024-01-10").cast("date"), (rid % 7).cast("int"))) & (rid % 5 != 0)).withColumn("part", F.lit("new"))
+    return series.carry_over(t.flow.withColumn("part", F.lit("old")), new, 7, keys=R)
+
+
+@query("whole_row_dedupe", check_sql("area_obs", "select distinct reservoir_id, sat, date, cloud_percent from area_obs"))
+def whole_row_dedupe(t: Tables):
+    """Rows that are equal in every column once."""
+    one = t.area_obs.select(*R, "sat", "date", "cloud_percent")
+    return series.drop_repeats(one.unionByName(one))
 
 
 # --- screens --------------------------------------------------------------------------------
@@ -403,7 +413,11 @@ def trend_correction(t: Tables):
     return out.select(*R, "date", r("corrected_area"), r("filled_area"))
 
 
-@query("sign_correction")
+@query("sign_correction", check_sql("merged sar_daily reservoirs", f"""with sarc as (select reservoir_id, date, sarea from sar_daily), {CORRECTION},
+own as (select k.*, case when coalesce(n.trend * k.rt < 0, false) then null else k.c end as v from kept k left join kn n using (reservoir_id, date)),
+sg as (select reservoir_id, date, i, v from own where i = 1 union all
+  select o.reservoir_id, o.date, o.i, coalesce(o.v, s.v + o.rt * o.gap) from sg s join own o on o.reservoir_id = s.reservoir_id and o.i = s.i + 1)
+select reservoir_id, date, round(v, 6) + 0.0 as sign_area from sg""", recursive=True))
 def sign_correction(t: Tables):
     """Radar trend wherever the optical trend has the opposite sign."""
     opt = fusion.merge_sensors(fusion.clean_optical(t.optical, R), R).join(t.reservoirs.select(*R, "nominal_area"), R)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import coordinate_text, truncated_key
+from lakeledger.operators.series import after_last
 
 
 def product(df: DataFrame, path: str, by: Sequence[str] = ("basin_id",), mode: str = "overwrite") -> None:
@@ -30,12 +31,10 @@ def yearly(df: DataFrame, path: str, date: str = "date") -> None:
      .partitionBy("year").parquet(path))
 
 
-def append_after(df: DataFrame, path: str, date: str = "date") -> None:
-    """Append only rows later than the last stored one."""
-    spark = df.sparkSession
-    last = lambda: spark.read.parquet(path).agg(F.max(date)).scalar()
-    fresh = df.where(last().isNull() | (F.col(date) > last()))
-    fresh.withColumn("year", F.year(date)).write.mode("append").partitionBy("year").parquet(path)
+def append_after(df: DataFrame, path: str, date: str = "date", keys: Sequence[str] = ()) -> None:
+    """Append the rows of every key that are later than its last stored one; all rows of a key that is new."""
+    stored = df.sparkSession.read.parquet(path)
+    after_last(stored, df, keys, date).withColumn("year", F.year(date)).write.mode("append").partitionBy("year").parquet(path)
 
 
 def cell_tables(df: DataFrame, path: str, values: Sequence[str], lat: str = "lat", lon: str = "lon", date: str = "date") -> None:

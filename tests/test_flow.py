@@ -233,7 +233,7 @@ def test_polygons(spark):
     got = {(r["point"], r["id"]) for r in spatial.points_in_polygons(spark.createDataFrame(pts, "point int, x double, y double"), edges, "point").collect()}
     assert got == {(i, k) for i, x, y in pts for k, p in shapes.items() if inside(x, y, p)}
     cells = spark.createDataFrame([(i * 10 + j, i, j, i * 1.0, j * 1.0 + 0.25) for i in range(5) for j in range(4)], "cell int, i int, j int, x double, y double")
-    near = spatial.cells_of_polygons(cells, edges, "cell", "x", "y", "i", "j", (0.0, 0.25), (1.0, 1.0)).where("id = 2").collect()
+    near = spatial.cells_of_polygons(cells, edges, "cell", "x", "y").where("id = 2").collect()
     assert [(r["cell"], r["method"]) for r in near] == [(0, "nearest")]
 
 

@@ -52,12 +52,6 @@ def test_lowest_k(skewed):
         assert sorted(r["v"] for r in got if r["k"] == k) == sorted({x for j, x in rows if j == k})[:5]
 
 
-def test_large_groups(skewed):
-    df, _ = skewed
-    assert [r["k"] for r in scale.large_groups(df, ["k"], 1000).collect()] == [1]
-    assert scale.large_groups(df, ["k"], 10000) is None
-
-
 def loop_clean(h):
     """One cycle, step by step."""
     h = sorted(h)
@@ -72,18 +66,16 @@ def loop_clean(h):
     return sorted(h)
 
 
-def test_cycles_in_windows_and_buckets(spark):
+def test_cycles_in_buckets(spark):
     rng = np.random.default_rng(3)
     groups = {c: list(np.round(rng.normal(100, 0.5, 60), 3)) + list(np.round(rng.normal(112, 2, 25), 3)) for c in range(6)}
     groups[7] = [1.0, 1.1, 1.2, 1.15]
     groups[8] = [1.0, 3.0]  # both leave together
     groups[9] = [5.0]
+    groups[10] = [*groups[0], 1e9]  # one value far from all others
     df = spark.createDataFrame([(c, float(v)) for c, vs in groups.items() for v in vs], "cycle int, height double")
     by_cycle = lambda d: {c: sorted(r["height"] for r in rows) for c, rows in _group(d.collect()).items()}
     small = by_cycle(altimetry.clean_cycles(df, ["cycle"]))
-    large = by_cycle(altimetry.clean_cycles(df, ["cycle"], group_limit=0))
-    mixed = by_cycle(altimetry.clean_cycles(df, ["cycle"], group_limit=10))
-    assert small == large == mixed
     assert small == {c: loop_clean(v) for c, v in groups.items() if loop_clean(v)}
     assert 8 not in small
 
