@@ -45,8 +45,8 @@ def trace_flow(cells: DataFrame, x: str = "x", y: str = "y", code: str = "code",
     # A pointer to a dam is settled. In each round an open pointer settles with its target, or leaps to where that
     # points; one whose target does neither has met a dead end. Settled cells are written once and leave, so that
     # later rounds only hold what is still open: after the logarithm of the cells, loops.
-    firsts = first.where(F.col("to").isNotNull()).select("cell", F.col("dam") | F.col("to_dam"), F.when(F.col("dam"), F.col("cell")).otherwise(F.col("to")).alias("to"))
-    firsts = cut_lineage(firsts.toDF("cell", "settled", "to"))
+    firsts = first.select("cell", (F.col("dam") | F.coalesce("to_dam", F.lit(False))).alias("settled"), F.when(F.col("dam"), F.col("cell")).otherwise(F.col("to")).alias("to"))
+    firsts = cut_lineage(firsts.where(F.col("to").isNotNull()))
     settled, jump = firsts.where("settled").drop("settled"), firsts.where("not settled").drop("settled")
     for _ in range(max(1, math.ceil(math.log2(max(cells.count(), 2))))):
         if jump.isEmpty():

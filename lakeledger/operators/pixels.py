@@ -1,7 +1,7 @@
 """Water area from image pixels.
 
 A scene may hold any number of pixels, so nothing here gathers a scene: pixels are reduced by
-aggregates, histograms over the 0..100 occurrence scale, and bounded samples.
+aggregates, histograms over the 0..100 occurrence scale, and weighted points of bounded number.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import bit_set, normalized_difference
-from lakeledger.operators.scale import lowest_k
 from lakeledger.session import cut_lineage
 
 # Fixed values.
@@ -23,8 +22,8 @@ SENTINEL2_CLOUD_CLASSES = (3, 8, 9, 10)
 CLOUD_LIMIT = 90.0
 NDWI_LIMIT = 0.3
 GAP_SHARE = 0.17
-SAMPLE_SIZE = 4999
 CLUSTERS = (2, 7)
+STEPS = 16  # of a feature's range, in the points that clusters are fitted to
 SAR_ANGLES = (31.66, 45.4)
 SAR_WATER = (-32.0, -13.0)
 SAR_PIXEL_KM2 = 1e-4
@@ -140,49 +139,60 @@ def gap_corrected_area(df: DataFrame, keys: Sequence[str], water: Column, area:
 
 # --- unsupervised water ---------------------------------------------------------------------
 
-def _fit_clusters(features: Sequence[str], lowest: int, highest: int, rounds: int = 30):
-    """Pandas function: cluster centres of one sample, the number chosen by variance ratio."""
+def _fit_clusters(features: Sequence[str], lowest: int, highest: int):
+    """Pandas function: cluster centres of weighted points, the number chosen by variance ratio."""
     def fit(pdf):
         import numpy as np
         import pandas as pd
 
-        x = pdf.sort_values(list(features))[list(features)].to_numpy("float64")
-        distinct = np.unique(x, axis=0)
-        best = (-np.inf, x.mean(axis=0, keepdims=True))
-        for k in range(lowest, min(highest, len(distinct)) + 1):
+        pdf = pdf.sort_values(list(features), ignore_index=True)
+        x, n = pdf[list(features)].to_numpy("float64"), pdf["_n"].to_numpy("float64")
+        mean = np.average(x, axis=0, weights=n)
+        best = (-np.inf, mean[None])
+        for k in range(lowest, min(highest, len(x)) + 1):
             # Start from the point nearest the mean, then always the point farthest from all centres.
-            centres = [x[((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin()]]
+            centres = [x[((x - mean) ** 2).sum(axis=1).argmin()]]
             while len(centres) < k:
                 near = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
                 centres.append(x[near.argmax()])
-            centres = np.array(centres)
-            for _ in range(rounds):
-                label = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
-                moved = np.array([x[label == j].mean(axis=0) if (label == j).any() else centres[j] for j in range(k)])
-                if np.allclose(moved, centres):
+            centres, label = np.array(centres), None
+            while True:  # a round that moves a point lowers the squared error, so that this ends
+                far = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+                now = far.argmin(axis=1) if label is None else np.where(far.min(axis=1) < far[np.arange(len(x)), label] * (1 - 1e-12), far.argmin(axis=1), label)
+                if label is not None and (now == label).all():
                     break
-                centres = moved
-            within = ((x - centres[label]) ** 2).sum()
-            between = sum((label == j).sum() * ((centres[j] - x.mean(axis=0)) ** 2).sum() for j in range(k))
-            score = np.inf if within == 0 else (between / (k - 1)) / (within / max(len(x) - k, 1))
+                label = now
+                centres = np.array([np.average(x[label == j], axis=0, weights=n[label == j]) if (label == j).any() else centres[j] for j in range(k)])
+            within = (n[:, None] * (x - centres[label]) ** 2).sum()
+            between = sum(n[label == j].sum() * ((centres[j] - mean) ** 2).sum() for j in range(k))
+            score = np.inf if within == 0 else (between / (k - 1)) / (within / max(n.sum() - k, 1))
             if score > best[0]:
                 best = (score, centres)
         out = pd.DataFrame(best[1], columns=[f"_c_{f}" for f in features])
         out.insert(0, "cluster", range(len(out)))
-        for name in reversed([c for c in pdf.columns if c not in features]):
+        for name in reversed([c for c in pdf.columns if c not in features and c != "_n"]):
             out.insert(0, name, pdf[name].iloc[0])
         return out
     return fit
 
 
-def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str], pixel: str,
-                    sample: int = SAMPLE_SIZE, clusters: tuple[int, int] = CLUSTERS) -> DataFrame:
-    """Cluster centres per scene from a repeatable sample of at most ``sample`` clear pixels."""
-    clear = df.dropna(subset=list(features)).select(*keys, pixel, *[F.col(f).cast("double").alias(f) for f in features])
-    chosen = lowest_k(clear, keys, [F.xxhash64(pixel), F.col(pixel)], sample).drop(pixel)
-    kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
+def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str], clusters: tuple[int, int] = CLUSTERS,
+                    steps: int = STEPS) -> DataFrame:
+    """Cluster centres per scene, from all of its clear pixels.
+
+    Each feature's range in a scene is cut into ``steps``; pixels in the same steps become one point, their mean,
+    with their number as its weight. So every pixel counts, and a scene gives at most ``steps`` to the power of the
+    number of features points, however many pixels it has.
+    """
+    keys = list(keys)
+    clear = df.dropna(subset=list(features)).select(*keys, *[F.col(f).cast("double").alias(f) for f in features])
+    ranges = clear.groupBy(*keys).agg(*[c for f in features for c in (F.min(f).alias(f"_a_{f}"), F.max(f).alias(f"_b_{f}"))])
+    step = lambda f: F.least(F.floor(F.coalesce(F.try_divide(F.col(f) - F.col(f"_a_{f}"), F.col(f"_b_{f}") - F.col(f"_a_{f}")), F.lit(0.0)) * steps), F.lit(steps - 1))
+    points = clear.join(ranges, keys).groupBy(*keys, *[step(f).alias(f"_s_{f}") for f in features]).agg(
+        *[F.avg(f).alias(f) for f in features], F.count(F.lit(1)).alias("_n")).select(*keys, *features, "_n")
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema}
     schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["cluster int"] + [f"_c_{f} double" for f in features])
-    return chosen.groupBy(*keys).applyInPandas(_fit_clusters(features, *clusters), schema)
+    return points.groupBy(*keys).applyInPandas(_fit_clusters(features, *clusters), schema)
 
 
 def assign_clusters(df: DataFrame, centres: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -203,16 +213,15 @@ def water_cluster(df: DataFrame, keys: Sequence[str], index: str = "mbwi") -> Da
     return means.groupBy(*keys).agg(F.max_by("cluster", F.struct("_mean", -F.col("cluster"))).alias("water_cluster"))
 
 
-def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str], pixel: str, area: Column) -> DataFrame:
+def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str], area: Column) -> DataFrame:
     """``water`` per pixel from unsupervised clusters, for scenes below the cloud limit; NULL elsewhere.
 
-    The pixels and the few centres per scene are written once, because each is used more than once.
+    The few centres of each scene are written once, because they are used more than once; the pixels are read again.
     """
     clear = F.col(features[0]).isNotNull()
-    df = cut_lineage(df)  # read several times below
     share = df.groupBy(*keys).agg((F.sum(F.when(~clear, area).otherwise(0.0)) * 100 / F.sum(area)).alias("_cp"))
     usable = df.join(share.where(F.col("_cp") < CLOUD_LIMIT).select(*keys), list(keys), "left_semi")
-    centres = cut_lineage(cluster_centres(usable, keys, features, pixel))
+    centres = cut_lineage(cluster_centres(usable, keys, features))
     # A scene has centres only when it is usable, so the others stay unlabelled.
     labelled = assign_clusters(df, centres, keys, features)
     top = water_cluster(labelled, keys)

@@ -61,6 +61,9 @@ def bias_screen(df: DataFrame, percent: float, nominal: str = "nominal_area", le
                          .otherwise(F.col("optical")))
 
 
+RUN = 64  # values of the fold that are copied together
+
+
 def trend_screen(df: DataFrame, keys: Sequence[str], sigmas: float) -> DataFrame:
     """Replace values whose recent change departs from radar's by the mean of the two corrected values
     before, moved along with radar.
@@ -76,18 +79,21 @@ def trend_screen(df: DataFrame, keys: Sequence[str], sigmas: float) -> DataFrame
     rows = staged.groupBy(*keys).agg(F.sort_array(F.collect_list(cell)).alias("_rows"))
     zero = F.struct(F.lit(0).alias("i"), F.lit(None).cast("double").alias("c1"), F.lit(None).cast("double").alias("c2"),
                     F.lit(None).cast("double").alias("t1"), F.lit(None).cast("double").alias("t2"),
-                    F.array().cast("array<double>").alias("out"))
+                    F.array().cast("array<double>").alias("run"), F.array().cast("array<array<double>>").alias("runs"))
 
     def step(a, r):
         recent = (F.try_divide(r["optical"], a["c1"]) - 1 + F.try_divide(a["c1"], a["c2"]) - 1) / 2
         moved = (a["c1"] + a["c2"]) / 2 * (F.lit(1.0) + (a["t1"] + a["t2"]) / 2)
         departs = (a["i"] >= 3) & (F.abs(recent - r["sar_trend"]) > r["_std"] * sigmas)
         value = F.when(F.coalesce(departs, F.lit(False)), F.coalesce(moved, r["optical"])).otherwise(r["optical"])
-        new = lambda v: F.struct((a["i"] + 1).alias("i"), v.alias("c1"), a["c1"].alias("c2"),
-                                 r["sar_trend"].alias("t1"), a["t1"].alias("t2"), F.concat(a["out"], F.array(v)).alias("out"))
+        # Values gather in short runs, so that a step copies one run and not the whole series.
+        full = F.size(a["run"]) >= RUN
+        new = lambda v: F.struct((a["i"] + 1).alias("i"), v.alias("c1"), a["c1"].alias("c2"), r["sar_trend"].alias("t1"), a["t1"].alias("t2"),
+                                 F.when(full, F.array(v)).otherwise(F.concat(a["run"], F.array(v))).alias("run"),
+                                 F.when(full, F.concat(a["runs"], F.array(a["run"]))).otherwise(a["runs"]).alias("runs"))
         return F.element_at(F.transform(F.array(value), new), 1)
 
-    folded = rows.withColumn("_out", F.aggregate("_rows", zero, step)["out"])
+    folded = rows.withColumn("_out", F.aggregate("_rows", zero, step, lambda a: F.concat(F.flatten(a["runs"]), a["run"])))
     zipped = F.zip_with("_rows", "_out", lambda r, v: F.struct(
         r["date"].alias("date"), v.alias("optical"), *[r[c].alias(c) for c in extra]))
     return folded.select(*keys, F.inline(zipped))

@@ -477,10 +477,32 @@ def events(t: Tables, kind: str):
 def finished(t: Tables, stream, keys):
     table, check = scratch_table(t.spark, "stream"), scratch_table(t.spark, "stream-log")
     q = daily.run_upsert(stream, table, check)
+    ended(q)
+    return daily.latest(t.spark, table, keys)
+
+
+def ended(q) -> None:
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return daily.latest(t.spark, table, keys)
+
+
+def backfill(t: Tables, kind: str) -> str:
+    """Events of a kind as files from the newest day to the oldest; a file stream takes them in the order they were written."""
+    folder = scratch_table(t.spark, "backfill")
+    e = t.raw("events").where(F.col("event_type") == kind)
+    for first, last in ((23, 31), (16, 22), (8, 15), (1, 7)):
+        e.where(F.dayofmonth("ts").between(first, last)).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+@query("stream_backfill", check_sql("", """select user_id as reservoir_id, cast(ts as date) as date, round(sum(value), 6) as total, count(*) as n, arg_max(value, ts) as latest from events where event_type = 'error' group by 1, 2"""))
+def stream_backfill(t: Tables):
+    """Daily flow from files that come newest first, one in each batch."""
+    table, check = scratch_table(t.spark, "stream"), scratch_table(t.spark, "stream-log")
+    s = daily.observations(t.spark, backfill(t, "error"), schemas.EVENTS, files_per_batch=1)
+    ended(daily.run_partial_totals(s.withColumnRenamed("user_id", "reservoir_id"), R, "value", table, check))
+    return daily.total_of_parts(t.spark, table, R).select(*R, "date", F.round("total", 6).alias("total"), "n", "latest")
 
 
 @query("stream_daily", check_sql("", """select user_id as reservoir_id, cast(ts as date) as date, round(sum(value), 6) as total, count(*) as n, arg_max(value, ts) as latest from events where event_type = 'error' group by 1, 2"""))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lakeledger.operators import altimetry, pixels
 from lakeledger.plans.registry import query
 from lakeledger.plans.tables import Tables, check_sql
+from lakeledger.session import cut_lineage
 
 SCENE = ["reservoir_id", "scene"]
 PIXEL_M2 = 900.0
@@ -109,15 +110,31 @@ def gap_correction(t: Tables):
 @query("water_cluster")
 def water_cluster(t: Tables):
     """Unsupervised water area per scene."""
-    c = pixels.classify_water(mosaic(t), SCENE, ["ndwi", "mndwi", "b7"], "pix", area())
+    m = cut_lineage(mosaic(t))  # a product of its own, which the classification reads several times
+    c = pixels.classify_water(m, SCENE, ["ndwi", "mndwi", "b7"], area())
     a = pixels.scene_areas(c, SCENE, F.col("water"), area())
     return a.select(*SCENE, F.round("water_area", 9).alias("water_area"), F.round("non_water_area", 9).alias("non_water_area"))
 
 
+@query("water_cluster_apart", check_sql("pixels", """with d as (select distinct reservoir_id, pix from pixels)
+select reservoir_id, round(sum(case when pix % 3 = 0 then 900.0 + pix % 101 else 0 end) * 1e-6, 9) as water_area, round(sum(case when pix % 3 <> 0 then 900.0 + pix % 101 else 0 end) * 1e-6, 9) as non_water_area from d group by 1"""))
+def water_cluster_apart(t: Tables):
+    """Unsupervised water area where water and land lie apart in all features."""
+    k = F.col("pix")
+    noise = lambda a, b: (k * a % b) / (b * 20.0)
+    water = lambda w, l: F.when(k % 3 == 0, F.lit(w)).otherwise(F.lit(l))
+    d = t.pixels.select("reservoir_id", "pix").distinct().select(
+        "reservoir_id", "pix", (k % 101).alias("occurrence"), (water(0.6, -0.4) + noise(7919, 1009)).alias("ndwi"), (water(0.5, -0.6) + noise(6101, 997)).alias("mndwi"),
+        (water(0.2, 1.1) + noise(4993, 1013)).alias("b7"), (water(3.0, 1.0) + noise(3989, 991)).alias("mbwi"))
+    c = pixels.classify_water(d, ["reservoir_id"], ["ndwi", "mndwi", "b7"], area())
+    a = pixels.scene_areas(c, ["reservoir_id"], F.col("water"), area())
+    return a.select("reservoir_id", F.round("water_area", 9).alias("water_area"), F.round("non_water_area", 9).alias("non_water_area"))
+
+
 @query("pixel_sample", check_sql("pixels", """with d as (select reservoir_id, scene, pix, count(*) as n from pixels group by 1, 2, 3)
 select reservoir_id, scene, pix, n from d qualify row_number() over (partition by reservoir_id, scene order by n desc, pix) <= 25"""))
 def pixel_sample(t: Tables):
-    """The 25 most often imaged pixels of every scene (the bounded sample of the clustering)."""
+    """The 25 most often imaged pixels of every scene ."""
     from lakeledger.operators.scale import lowest_k
     d = t.pixels.groupBy(*SCENE, "pix").agg(F.count(F.lit(1)).alias("n"))
     return lowest_k(d, SCENE, [F.col("n").desc(), F.col("pix")], 25)

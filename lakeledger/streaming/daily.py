@@ -63,13 +63,60 @@ def run_upsert(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def run_partial_totals(stream: DataFrame, keys: Sequence[str], value: str, table: str, checkpoint: str, ts: str = "ts") -> StreamingQuery:
+    """History in any order: each micro-batch adds its own sums, counts and latest values per key and day.
+
+    Nothing waits for a watermark, so a file that comes after younger ones loses no day, and the result does not
+    depend on how files are cut into batches. ``total_of_parts`` puts the parts together.
+    """
+    def write(batch: DataFrame, version: int) -> None:
+        parts = batch.groupBy(*keys, F.to_date(ts).alias("date")).agg(
+            F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value"))).alias("latest"))
+        parts.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{table}/batch={version}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def total_of_parts(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
+    """Sum, count and latest value per key and day over all parts."""
+    out = spark.read.parquet(f"{table}/batch=*").groupBy(*keys, "date").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("latest").alias("latest"))
+    return out.withColumn("latest", F.col("latest.value"))
+
+
+def late_rows(stream_total: DataFrame, complete: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Days for which a watermarked stream counted fewer rows than there are: how many came too late."""
+    seen = stream_total.select(*keys, "date", F.col("n").alias("_seen"))
+    late = F.col("n") - F.coalesce("_seen", F.lit(0))
+    return complete.join(seen, [*keys, "date"], "left").select(*keys, "date", late.alias("late")).where("late > 0")
+
+
+def _folders(spark: SparkSession, table: str, kind: str) -> dict[int, str]:
+    """Version -> folder of the ``kind=version`` folders of a table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return {int(n.partition("=")[2]): f"{table}/{n}" for n in names if n.startswith(f"{kind}=")}
+
+
 def latest(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
-    """Newest version of every key of an upsert table."""
-    df = spark.read.parquet(f"{table}/batch=*")
-    rest = [c for c in df.columns if c not in keys and c not in ("version", "batch")]
+    """Newest version of every key of an upsert table: its last compacted state and the batches after that."""
+    whole, batches = _folders(spark, table, "upto"), _folders(spark, table, "batch")
+    upto = max(whole, default=-1)
+    folders = [f for v, f in sorted(batches.items()) if v > upto] + [whole[v] for v in [upto] if v in whole]
+    df = spark.read.parquet(*folders)
+    rest = [c for c in df.columns if c not in keys and c != "version"]
     return df.groupBy(*keys).agg(*[F.max_by(c, "version").alias(c) for c in rest])
 
 
-def compact(spark: SparkSession, table: str, target: str, keys: Sequence[str], by: str) -> None:
-    """Fold all versions into one partitioned table."""
-    latest(spark, table, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(target)
+def compact(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
+    """Fold all versions so far into one state, and retire what it holds; nothing may be reading those meanwhile."""
+    batches, older = _folders(spark, table, "batch"), _folders(spark, table, "upto")
+    if not batches:
+        return
+    upto = max(batches)
+    latest(spark, table, keys).withColumn("version", F.lit(upto)).write.mode("overwrite").parquet(f"{table}/upto={upto}")
+    for folder in [*batches.values(), *[f for v, f in older.items() if v != upto]]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

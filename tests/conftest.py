@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,8 @@ def spark():
     from check_queries import session
     s = session()
     s.sparkContext.setLogLevel("OFF")
+    from lakeledger.session import name_folder
+    name_folder(s, lambda: tempfile.mkdtemp(prefix="lakeledger-test-"))
     yield s
     s.stop()
 

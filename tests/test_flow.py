@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import os
 
 import numpy as np
 import pytest
@@ -278,7 +279,7 @@ def test_clusters_separate_water(spark):
             rows.append((scene, i, float(rng.normal(0.6 if wet else -0.4, 0.03)), float(rng.normal(0.1 if wet else 0.5, 0.02)), 1.0 if wet else -1.0))
     rows += [(3, i, None, None, None) for i in range(50)]  # a cloudy scene
     df = spark.createDataFrame(rows, "scene int, pix int, ndwi double, b7 double, mbwi double")
-    out = pixels.scene_areas(pixels.classify_water(df, ["scene"], ["ndwi", "b7"], "pix", F.lit(900.0)), ["scene"], F.col("water"), F.lit(900.0))
+    out = pixels.scene_areas(pixels.classify_water(df, ["scene"], ["ndwi", "b7"], F.lit(900.0)), ["scene"], F.col("water"), F.lit(900.0))
     got = {r["scene"]: r["water_area"] for r in out.collect()}
     assert got == {1: pytest.approx(120 * 900e-6), 2: pytest.approx(240 * 900e-6), 3: 0.0}
 
@@ -352,5 +353,25 @@ def test_late_rows_replace_and_too_late_rows_drop(spark, tmp_path):
     run()
     got = {(r["date"] - D0).days: r["total"] for r in daily.latest(spark, table, ["reservoir_id", "date"]).collect()}
     assert got == {0: 11.0, 1: 2.0, 9: 6.0}
-    daily.compact(spark, table, str(tmp_path / "final"), ["reservoir_id", "date"], "reservoir_id")
-    assert spark.read.parquet(str(tmp_path / "final")).count() == 3
+    daily.compact(spark, table, ["reservoir_id", "date"])
+    assert sorted(os.listdir(table))[-1].startswith("upto=") and len(os.listdir(table)) == 1
+    assert {(r["date"] - D0).days: r["total"] for r in daily.latest(spark, table, ["reservoir_id", "date"]).collect()} == got
+    whole = spark.createDataFrame([(1, D0, 3), (1, D0 + datetime.timedelta(days=1), 1)], "reservoir_id int, date date, n long")
+    assert [r["late"] for r in daily.late_rows(daily.latest(spark, table, ["reservoir_id", "date"]), whole, ["reservoir_id"]).collect()] == [1]
+
+
+def test_deep_network_and_cycle(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100 + k, 20) for k in range(3)]
+    nodes = spark.createDataFrame([(k,) for k in [*range(41), 100, 101, 102]], "node long")
+    out, depth = network.levels(nodes, spark.createDataFrame(chain, "src long, dst long"))
+    assert depth == 40 and {r["node"]: r["level"] for r in out.collect()} == {**{k: k for k in range(41)}, 100: 0, 101: 0, 102: 0}
+    with pytest.raises(ValueError, match="cycle"):
+        network.levels(nodes, spark.createDataFrame([*chain, (30, 25)], "src long, dst long"))
+
+
+def test_rule_curve_without_a_month(spark):
+    rule = spark.createDataFrame([(m, m / 10) for m in range(1, 13) if m != 3], "month int, s_by_smax double")
+    day = lambda d: rule.groupBy().agg(F.lit(1)).select(F.lit(d).cast("date").alias("d"))
+    from lakeledger.operators import forecast
+    at = lambda d: day(d).join(forecast.rule_maps(rule, []), how="cross").select(forecast.rule_fraction(F.col("rule"), F.col("d"))).first()[0]
+    assert at("2020-07-15") == pytest.approx(0.75) and at("2020-03-02") is None and at("2020-02-10") is None

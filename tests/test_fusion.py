@@ -198,3 +198,15 @@ def test_sign_correction(spark):
     df = spark.createDataFrame([(1, day(0), 10.0, None, None, 0), (1, day(2), 14.0, 2.0, -1.0, 2), (1, day(4), 16.0, 1.0, 1.0, 2)],
                                "reservoir_id int, date date, corrected_area double, trend double, sar_trend double, days_passed int")
     assert [r["sign_area"] for r in fusion.sign_correction(df, K).orderBy("date").collect()] == [10.0, 8.0, 16.0]
+
+
+def test_sigma_clip_until_stable(spark):
+    v = [float(1.12 ** k) for k in range(160)]  # takes far more than fifty rounds
+    kept = np.array(v)
+    while True:
+        inside = kept[np.abs(kept - kept.mean()) <= 2 * kept.std()]
+        if len(inside) == len(kept):
+            break
+        kept = inside
+    got = spark.createDataFrame([(v,)], "v array<double>").select(fusion.sigma_clip(F.col("v"))).first()[0]
+    assert len(got) == len(kept) and np.allclose(sorted(got), sorted(kept))
