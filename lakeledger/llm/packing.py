@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,8 +55,40 @@ def best_two_fit(counts: dict[int, int], limit: int) -> list[tuple[int, list[int
     A bin is filled greedily, the longest piece that fits first. Then its smallest piece is replaced by two
     unpacked pieces that together fill the gap it leaves more tightly, while such a pair exists. As a bin depends
     on the lengths left alone, it is repeated until one of its lengths runs out: the work depends on the number
-    of lengths, at most ``limit``, and not on the number of pieces.
+    of lengths, at most ``limit``, and not on the number of pieces. Short pieces are kept out of this and go, longest
+    first, into the bin with the least room that takes them. Which are short is tried out: the plan with the fewest
+    bins is taken, of equal ones the first.
     """
+    plans = (fill_gaps(two_fit({n: c for n, c in counts.items() if n > short}, limit),
+                       {n: c for n, c in counts.items() if n <= short}, limit) for short in (0, limit // 6, limit // 4, limit // 3, limit // 2))
+    return min(plans, key=lambda bins: sum(times for times, _ in bins))
+
+
+def fill_gaps(bins: list[tuple[int, list[int]]], counts: dict[int, int], limit: int) -> list[tuple[int, list[int]]]:
+    """Put the counted pieces into the bins, the longest first, each into the fullest bin it fits; then into new ones."""
+    groups = sorted((limit - sum(lengths), times, tuple(lengths)) for times, lengths in bins)
+    for n in sorted(counts, reverse=True):
+        left = counts[n]
+        while left > 0:
+            at = bisect_left(groups, (n,))
+            if at == len(groups):  # new bins, each filled with this length before the next is begun
+                each = limit // n
+                if left >= each:
+                    insort(groups, (limit - each * n, left // each, (n,) * each))
+                if left % each:
+                    insort(groups, (limit - left % each * n, 1, (n,) * (left % each)))
+                break
+            room, times, lengths = groups.pop(at)
+            most = min(times, left)
+            if times > most:
+                insort(groups, (room, times - most, lengths))
+            insort(groups, (room - n, most, (*lengths, n)))
+            left -= most
+    return [(times, list(lengths)) for _, times, lengths in groups]
+
+
+def two_fit(counts: dict[int, int], limit: int) -> list[tuple[int, list[int]]]:
+    """Greedy bins, improved by replacing their smallest pieces by pairs."""
     left = {n: c for n, c in counts.items() if c > 0}
     lengths = sorted(left)
     out = []
