@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeledger.session import cut_lineage
+
 CLASSES = 256  # 0 stands outside a document, then the frequent words, then buckets for the others
 BUCKETS = 64
 WIDTH, HIDDEN = 16, 32
@@ -69,9 +71,24 @@ class Classes:
         return np.array(out, np.int64)
 
 
-def neighbours(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes to the left and right of every place."""
-    return np.r_[0, ids[:-1]], np.r_[ids[1:], 0]
+def encode(docs: DataFrame, known: dict[str, int], classes: int = CLASSES, buckets: int = BUCKETS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, codes``: the classes of every document's words, a byte each."""
+    if classes > 256:
+        raise ValueError("classes are coded in a byte")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        find = Classes(known, classes, buckets)
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "codes": [find.of(t).astype(np.uint8).tobytes() for t in batch["text"]]})
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInPandas(run, "id long, codes binary")
+
+
+def windows(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Left neighbour, word and right neighbour at every word of documents that follow each other; 0 stands between them."""
+    line = np.frombuffer(b"\0" + b"\0".join(codes) + b"\0", np.uint8).astype(np.int32)
+    at = np.flatnonzero(line)
+    return line[at - 1], line[at], line[at + 1]
 
 
 def start(classes: int = CLASSES, width: int = WIDTH, hidden: int = HIDDEN, seed: int = 7) -> dict[str, np.ndarray]:
@@ -128,25 +145,20 @@ def trained(net: dict[str, np.ndarray], counts: np.ndarray, epochs: int = EPOCHS
     return net
 
 
-def train(docs: DataFrame, known: dict[str, int], classes: int = CLASSES, buckets: int = BUCKETS, rounds: int = ROUNDS,
-          epochs: int = EPOCHS, text: str = "text") -> dict[str, np.ndarray]:
+def train(encoded: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
     """The network after ``rounds`` passes over all documents. In a pass each task counts every (left, word, right)
     of its documents, trains the current network on those counts, and returns its weights times its words; the next
     network is their mean over all words. Sums run in ``SUMMERS`` tasks, one network a task at a time, and the driver
     gets one network from each of those."""
     net = start(classes)
     names, shapes = list(net), {k: v.shape for k, v in net.items()}
-    rows = docs.select(F.col(text).cast("string").alias("text"))
 
     def learn(current: bytes):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            find = Classes(known, classes, buckets)
             counts = np.zeros(classes ** 3, np.int32)
             for batch in batches:
-                for t in batch["text"]:
-                    ids = find.of(t)
-                    left, right = neighbours(ids) if len(ids) else (ids, ids)
-                    np.add.at(counts, (left * classes + ids) * classes + right, 1)
+                left, word, right = windows(list(batch["codes"]))
+                np.add.at(counts, (left * classes + word) * classes + right, 1)
             total = int(counts.sum(dtype=np.int64))
             if total:
                 after = trained(unpacked(current), counts.reshape(classes, classes, classes), epochs)
@@ -173,52 +185,45 @@ def train(docs: DataFrame, known: dict[str, int], classes: int = CLASSES, bucket
 
     schema = "n long, weights binary"
     for _ in range(rounds):
-        sums = rows.mapInPandas(learn(packed(net)), schema).repartition(SUMMERS).mapInPandas(add, schema).collect()
+        sums = encoded.select("codes").mapInPandas(learn(packed(net)), schema).repartition(SUMMERS).mapInPandas(add, schema).collect()
         if sums:
             total = sum(r["n"] for r in sums)
             net = unpacked((sum(np.frombuffer(r["weights"]) for r in sums) / total).tobytes())
     return net
 
 
-def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[str, int], classes: int = CLASSES, buckets: int = BUCKETS,
-          id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def score(encoded: DataFrame, net: dict[str, np.ndarray], classes: int = CLASSES, id_col: str = "doc_id") -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_prob, perplexity``: the sum over all words of the log probability
     of each, given the words on both sides. A text without words, or null, has sum 0 and null mean and perplexity."""
-    shared = docs.sparkSession.sparkContext.broadcast((net, known))  # of fixed size
+    shared = encoded.sparkSession.sparkContext.broadcast(net)  # of fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        net, known = shared.value
-        find = Classes(known, classes, buckets)
+        net = shared.value
         table = np.zeros((classes * classes, classes), np.float32)  # filled as contexts turn up
         done = np.zeros(classes * classes, bool)
         for batch in batches:
-            sums, sizes = [], []
-            for t in batch["text"]:
-                ids = find.of(t)
-                sizes.append(len(ids))
-                if not len(ids):
-                    sums.append(0.0)
-                    continue
-                left, right = neighbours(ids)
-                context = left * classes + right
-                new = np.unique(context[~done[context]])
-                for at in range(0, len(new), CHUNK):
-                    part = new[at:at + CHUNK]
-                    table[part] = log_probabilities(net, part // classes, part % classes)
-                done[new] = True
-                sums.append(float(table[context, ids].sum(dtype=np.float64)))
-            sums, sizes = np.array(sums, float), np.array(sizes, np.int64)
-            mean = np.where(sizes > 0, sums / np.maximum(sizes, 1), np.nan)
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n_tokens": sizes, "log_likelihood": sums,
-                                "mean_log_prob": pd.array(mean, dtype="Float64"), "perplexity": pd.array(np.exp(-mean), dtype="Float64")})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    scored = rows.mapInPandas(run, "id long, n_tokens long, log_likelihood double, mean_log_prob double, perplexity double")
-    absent = lambda c: F.when(F.col("n_tokens") > 0, F.col(c)).alias(c)
-    return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood", absent("mean_log_prob"), absent("perplexity"))
+            codes = list(batch["codes"])
+            sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+            left, word, right = windows(codes)
+            context = left * classes + right
+            met = np.zeros(classes * classes, bool)
+            met[context] = True
+            new = np.flatnonzero(met & ~done)
+            for at in range(0, len(new), CHUNK):
+                part = new[at:at + CHUNK]
+                table[part] = log_probabilities(net, part // classes, part % classes)
+            done[new] = True
+            upto = np.r_[0.0, np.cumsum(table[context, word], dtype=np.float64)]
+            ends = np.cumsum(sizes)
+            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n_tokens": sizes, "log_likelihood": upto[ends] - upto[ends - sizes]})
+
+    scored = encoded.mapInPandas(run, "id long, n_tokens long, log_likelihood double")
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood", mean.alias("mean_log_prob"), F.exp(-mean).alias("perplexity"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
-    """Vocabulary and network from all documents, then every document's score, one row for each row."""
-    known = vocabulary(docs)
-    return score(docs, train(docs, known), known)
+    """Vocabulary and network from all documents, then every document's score, one row for each row. The classes of
+    all words are written once, a byte a word, since training and scoring read them several times."""
+    encoded = cut_lineage(encode(docs, vocabulary(docs)))
+    return score(encoded, train(encoded))
