@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from unicodedata import category
@@ -15,7 +16,15 @@ from lakeledger.llm.vocabulary import tokenizer
 
 LEAF = 4096  # characters that are encoded in one go
 AGREE = 2  # tokens that a window and its neighbour must share at each end
-KEPT = 200_000  # short runs whose ids a worker remembers
+KEPT = 400_000  # pre-tokens and short runs whose ids a worker remembers
+# How the public vocabulary with word ends prepares texts, as its file says.
+PREPARES = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pre_tokenizer": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
+}
+#: Characters that are alone in normal form, have one lower case among them, and whose kind no version of the tables disputes.
+PLAIN = [c for c in map(chr, range(0x180)) if c != "\u0130"]
+SPACES = "\t-\r \x85\xa0"
 WHITE = re.compile("[\x20\x09-\x0d]+")
 
 Tokens = tuple[list[int], list[tuple[int, int]]]  # ids, and the characters each stands for
@@ -26,12 +35,45 @@ def clings(c: str) -> bool:
     return c >= "\u0300" and (category(c)[0] == "M" or "\u1160" <= c <= "\u11ff")
 
 
+def of_kind(kind: str) -> str:
+    return "".join(re.escape(c) for c in PLAIN if category(c)[0] == kind)
+
+
+UNUSUAL = re.compile("[^" + "".join(map(re.escape, PLAIN)) + "]")
+PARTS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{of_kind('L')}]+|[{of_kind('N')}]|[^{of_kind('L')}{of_kind('N')}{SPACES}]+")
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in seen else chr(next(others)) for b in range(256)]
+
+
+class PreTokens(dict):
+    """(number of ids, ids as text, what they decode to) of a pre-token, encoded when it is first met."""
+
+    def __init__(self, encoder: TreeEncoder):
+        super().__init__()
+        self.encoder, self.letters, self.model = encoder, byte_letters(), encoder.lib.model
+
+    def __missing__(self, part: str) -> tuple[int, str, str]:
+        if len(self) >= KEPT:
+            self.clear()
+        if len(part) > self.encoder.leaf:
+            return self.encoder.entry(self.encoder.tree(part))
+        ids = [t.id for t in self.model.tokenize("".join(self.letters[b] for b in part.encode()))]
+        self[part] = out = self.encoder.entry(ids)
+        return out
+
+
 class TreeEncoder:
     """Encodes and decodes whole texts as the tokenizers library does, without special tokens added.
 
     A text is cut at special tokens that stand in it and at ASCII white space, where no pre-token of the vocabulary
     may reach across (``white`` says whether that holds; without it a text is one run). Runs up to ``leaf`` characters are encoded
-    whole, and short ones remembered. A longer run becomes a tree: its leaves are encoded in one batch, and neighbours joined
+    whole, and short ones remembered. Texts of ``PLAIN`` characters are cut further, into the vocabulary's pre-tokens,
+    which are remembered by themselves. A longer run becomes a tree: its leaves are encoded in one batch, and neighbours joined
     bottom up. At a join, a window around it is encoded again, and grown to twice as many tokens on the side that fails, until its first and
     last tokens are those the two sides had there, or it reaches their ends. A token sequence is the encoding of its text if every two
     neighbours are, so agreement of whole tokens at both ends settles the join.
@@ -39,17 +81,20 @@ class TreeEncoder:
 
     def __init__(self, vocabulary: str, leaf: int = LEAF, white: bool = True):
         self.lib, self.leaf, self.white, self.known = tokenizer(vocabulary), leaf, white, {}
+        said = json.loads(self.lib.to_str())
+        first = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        as_known = ((said.get("normalizer") or {}).get("normalizers") == PREPARES["normalizer"]
+                    and first.get("pattern") == {"Regex": PREPARES["pre_tokenizer"]} and self.lib.decoder is None)
+        self.parts = PreTokens(self) if as_known else None
         self.special = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()}
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
+    def cut(self, text: str) -> list[tuple[str, bool]]:
+        """The text between special tokens, and those."""
+        return [(p, bool(k % 2)) for k, p in enumerate(self.marks.split(text) if self.marks else [text]) if p]
+
     def runs(self, text: str) -> list[str]:
-        out = []
-        for k, part in enumerate(self.marks.split(text) if self.marks else [text]):
-            if k % 2:
-                out.append(part)
-            else:
-                out += [x for x in (WHITE.split(part) if self.white else [part]) if x]
-        return out
+        return [r for part, mark in self.cut(text) for r in ([part] if mark else WHITE.split(part) if self.white else [part]) if r]
 
     def remember(self, runs: set[str]) -> None:
         """Encode what isn't known yet: short runs as one batch, long ones by their trees."""
@@ -66,17 +111,24 @@ class TreeEncoder:
         return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def entries(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
-        """Of each text: of each run the number of ids, the ids as text, and what they decode to."""
+        """Of each text: of each part the number of ids, the ids as text, and what they decode to."""
         at = 0
         while at < len(texts):
             cut, upto, size = [], at, 0
             while upto < len(texts) and (size < 4 << 20 or upto == at):  # characters cut at once
-                cut.append(self.runs(texts[upto]))
+                plain = self.parts is not None and not UNUSUAL.search(texts[upto])
+                cut.append(None if plain else self.runs(texts[upto]))
                 size += len(texts[upto])
                 upto += 1
-            self.remember({r for c in cut for r in c if len(r) <= self.leaf})
-            for c in cut:
-                yield [self.known[r] if len(r) <= self.leaf else self.entry(self.tree(r)) for r in c]
+            self.remember({r for c in cut if c for r in c if len(r) <= self.leaf})
+            for text, c in zip(texts[at:upto], cut, strict=True):
+                if c is not None:
+                    yield [self.known[r] if len(r) <= self.leaf else self.entry(self.tree(r)) for r in c]
+                    continue
+                out: list[tuple[int, str, str]] = []
+                for part, mark in self.cut(text):
+                    out += [self.entry([self.special[part]])] if mark else map(self.parts.__getitem__, PARTS.findall(part.lower()))
+                yield out
             at = upto
 
     def ids(self, text: str) -> list[int]:
@@ -84,6 +136,8 @@ class TreeEncoder:
         return [int(x) for _, ids, _ in entries for x in ids.split()]
 
     def decode(self, ids: list[int]) -> str:
+        if len(ids) == 1 and self.lib.decoder is None:
+            return self.lib.id_to_token(ids[0])
         return self.lib.decode(ids, skip_special_tokens=False)
 
     def decoded(self, entries: list[tuple[int, str, str]]) -> str:

@@ -231,6 +231,18 @@ def test_tree_encoding(text, leaf):
     assert encoder.decoded(next(encoder.entries([text]))) == encoder.lib.decode(want, skip_special_tokens=False)
 
 
+def test_pre_tokens_of_plain_characters():
+    encoder = bpe.TreeEncoder("word_bpe_49k.json")
+    assert encoder.parts is not None
+    rng = np.random.default_rng(3)
+    texts = ["".join(bpe.PLAIN), *(a + b for a in bpe.PLAIN for b in "a1.' "), *("".join(rng.choice(bpe.PLAIN, 40)) for _ in range(300)),
+             "DON'T we'LL 'S ..'s x\x1cy \xa0a\x85b Ünïcödé ßß 12½ <|endoftext|>'re<|startoftext|>"]
+    for text in texts:
+        want = encoder.lib.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text) == want, repr(text)
+        assert encoder.decoded(next(encoder.entries([text]))) == encoder.lib.decode(want, skip_special_tokens=False)
+
+
 def test_bpe(spark, doc_rows):
     rows = [*doc_rows, (None, "a"), (9999, None), (10000, ""), (10001, "longword" * 9000), (10002, "Ünïcode😀" * 3000)]
     lib = vocabulary.tokenizer("word_bpe_49k.json")
