@@ -132,20 +132,21 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, point: str, x: str =
                        ident: str = "id", tile: float = 1.0) -> DataFrame:
     """Pairs (point, polygon) with the point inside, by counting edge crossings of a ray to the right.
 
-    A ray meets only edges in its own row of tiles, so points and edges join on that row and the
-    polygon's box; each point is compared with the edges of polygons near it. A horizontal edge
-    never crosses.
+    Points first meet the boxes of polygons, tile by tile. A polygon of n edges is cut into about the square root of n rows of its
+    own, and a point only meets the edges in its row of that polygon. A horizontal edge never crosses.
     """
-    boxes = polygon_boxes(edges, ident)
-    sloped = edges.where(F.col("y1") != F.col("y2")).join(boxes, ident)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    rows = sloped.select(ident, "x1", "y1", "x2", "y2", "xmin", "xmax", _tiles(low, high, tile).alias("_row"))
-    rows = rows.withColumn("_col", _tiles(F.col("xmin"), F.col("xmax"), tile))
-    pts = points.withColumn("_row", F.floor(F.col(y) / tile)).withColumn("_col", F.floor(F.col(x) / tile))
-    pairs = pts.join(rows, ["_row", "_col"]).where((F.col(x) >= F.col("xmin")) & (F.col(x) <= F.col("xmax")))
-    spans = (F.col("y1") > F.col(y)) != (F.col("y2") > F.col(y))
-    at = F.col("x1") + (F.col(y) - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    hits = pairs.where(spans & (F.col(x) < at)).groupBy(point, ident).agg(F.count(F.lit(1)).alias("_n"))
+    boxes = (polygon_boxes(edges, ident).join(edges.groupBy(ident).agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("_rows")), ident)
+             .withColumn("_high", (F.col("ymax") - F.col("ymin")) / F.col("_rows")).where(F.col("_high") > 0))
+    row_of = lambda y: F.least(F.floor((y - F.col("ymin")) / F.col("_high")), F.col("_rows") - 1)
+    sloped = edges.where(F.col("y1") != F.col("y2")).join(boxes.select(ident, "ymin", "_high", "_rows"), ident)
+    rows = sloped.select(ident, "x1", "y1", "x2", "y2", F.explode(F.sequence(row_of(F.least("y1", "y2")), row_of(F.greatest("y1", "y2")))).alias("_row"))
+    tiled = boxes.withColumn("_tx", _tiles(F.col("xmin"), F.col("xmax"), tile)).withColumn("_ty", _tiles(F.col("ymin"), F.col("ymax"), tile))
+    pts = points.select(point, F.col(x).alias("_x"), F.col(y).alias("_y")).withColumn("_tx", F.floor(F.col("_x") / tile)).withColumn("_ty", F.floor(F.col("_y") / tile))
+    near = (pts.join(tiled, ["_tx", "_ty"]).where(F.col("_x").between(F.col("xmin"), F.col("xmax")) & F.col("_y").between(F.col("ymin"), F.col("ymax")))
+            .select(point, ident, "_x", "_y", row_of(F.col("_y")).alias("_row")))
+    spans = (F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))
+    at = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    hits = near.join(rows, [ident, "_row"]).where(spans & (F.col("_x") < at)).groupBy(point, ident).agg(F.count(F.lit(1)).alias("_n"))
     return hits.where(F.col("_n") % 2 == 1).select(point, ident)
 
 

@@ -165,7 +165,7 @@ def edge_lengths(t: Tables):
 
 def forecast_inputs(t: Tables):
     base = F.lit("2024-01-10").cast("date")
-    last = t.s2_daily.where(F.col("date") <= base).groupBy(*R).agg((F.max_by("area", "date") / 10).alias("last_area")).where("last_area > 0")
+    last = t.s2_daily.where(F.col("date") <= base).groupBy(*R).agg((F.max_by("area", "date") / 10).alias("last_area"))
     rid = F.col("reservoir_id")
     return last.select(*R, "last_area", *t.reservoir_columns(), base.alias("basedate"), (rid % 5 + 4.0).alias("last_evaporation"),
                        (rid % 20 + 20.0).alias("target_level"), F.when(rid % 3 != 0, rid % 4 + 2.0).alias("custom_mcm"),
@@ -185,7 +185,7 @@ def case_rows(df):
 def case_sql(cases: str) -> str:
     return f"""with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, 'Brand#' || (reservoir_id % 25 + 1) as curve_id, reservoir_id % 50 + 100.0 as smax,
   reservoir_id % 5 + 4.0 as mm, reservoir_id % 20 + 20.0 as wl, case when reservoir_id % 3 <> 0 then reservoir_id % 4 + 2.0 end as cust, reservoir_id % 9 * 0.3 as room
-  from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0),
+  from s2_daily where date <= date '2024-01-10' group by 1),
 pts as (select curve_id, area, elevation, row_number() over w as rn, lead(area) over w as x1, lead(elevation) over w as z1 from curve window w as (partition by curve_id order by area, elevation)),
 aseg as (select curve_id, area as x0, elevation as z0, x1, z1, case when rn = 1 then -1e300 else area end as lo, coalesce(x1, 1e300) as hi from pts),
 zseg as (select curve_id, area as x0, elevation as z0, x1, z1, case when rn = 1 then -1e300 else elevation end as lo, coalesce(z1, 1e300) as hi from pts),
@@ -227,7 +227,7 @@ def gates_closed(t: Tables):
     return case_rows(run_forecast(t, "GC"))
 
 
-@query("gates_open", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0)
+@query("gates_open", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1)
 select f.reservoir_id, 'GO' as label, date, round((streamflow * 86400 - mm * 0.001 * a0 * 1e6) / 1e6, 11) + 0.0 as outflow_mcm, 0.0 as dels_mcm, cast(null as double) as elevation, round(a0, 12) as area
 from flow f join inp using (reservoir_id) where date between date '2024-01-10' and date '2024-01-25'"""))
 def gates_open(t: Tables):
@@ -268,7 +268,7 @@ def forecast_legacy(t: Tables):
     return case_rows(run_forecast(t, "CL", "RC", legacy=True))
 
 
-@query("forecast_totals", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1 having arg_max(area, date) > 0)
+@query("forecast_totals", check_sql("flow s2_daily curve", """with inp as (select reservoir_id, arg_max(area, date) / 10 as a0, reservoir_id % 5 + 4.0 as mm from s2_daily where date <= date '2024-01-10' group by 1)
 select f.reservoir_id, round(sum(streamflow * 86400) / 1e6, 6) as inflow, round(sum(mm * 0.001 * a0 * 1e6) / 1e6, 6) as evaporation, round((sum(streamflow * 86400) - sum(mm * 0.001 * a0 * 1e6)) / 1e6, 6) + 0.0 as net_inflow
 from flow f join inp using (reservoir_id) where date between date '2024-01-10' and date '2024-01-25' group by 1"""))
 def forecast_totals(t: Tables):

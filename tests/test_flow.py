@@ -375,3 +375,21 @@ def test_rule_curve_without_a_month(spark):
     from lakeledger.operators import forecast
     at = lambda d: day(d).join(forecast.rule_maps(rule, []), how="cross").select(forecast.rule_fraction(F.col("rule"), F.col("d"))).first()[0]
     assert at("2020-07-15") == pytest.approx(0.75) and at("2020-03-02") is None and at("2020-02-10") is None
+
+
+def test_polygon_with_very_many_edges(spark):
+    a = np.linspace(0, 2 * np.pi, 4001)[:-1]
+    r = 3 + 0.4 * np.sin(37 * a)
+    shape = list(zip((10 + r * np.cos(a)).tolist(), (5 + r * np.sin(a)).tolist(), strict=True))
+    edges = spark.createDataFrame(ring(1, shape), "id int, seq int, x1 double, y1 double, x2 double, y2 double")
+    rng = np.random.default_rng(0)
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform((6, 1), (14, 9), (600, 2)))]
+    got = {r["point"] for r in spatial.points_in_polygons(spark.createDataFrame(pts, "point int, x double, y double"), edges, "point").collect()}
+    sure = {i: np.hypot(x - 10, y - 5) - (3 + 0.4 * np.sin(37 * np.arctan2(y - 5, x - 10))) for i, x, y in pts}
+    assert {i for i, d in sure.items() if d < -1e-3} <= got <= {i for i, d in sure.items() if d < 1e-3} and len(got) > 100
+
+
+def test_distance_across_the_line(spark):
+    p = spark.createDataFrame([(1, 179.99, 0.0), (2, -179.99, 0.0), (3, 0.0, 0.0)], "point int, lon double, lat double")
+    c = spark.createDataFrame([("a", 179.99, 0.0)], "dam string, lon double, lat double")
+    assert sorted(r["point"] for r in spatial.within_distance(p, c, "dam", 5000.0).collect()) == [1, 2]
