@@ -27,16 +27,27 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
     return Kind(str.encode, data, lambda text, a, b: text[a:b], window, min(gram, window), within=True)
 
 
-def by_two(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Stable order of pairs of numbers below 2 ** 31, by one sort of 64-bit keys."""
-    return np.argsort((high.astype(np.uint64) << np.uint64(32)) | low.astype(np.uint64), kind="stable")
+def in_order(ranks: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2 ** 31: they are sorted together with their places, which is faster than by reference."""
+    keys = (ranks.astype(np.uint64) << np.uint64(32)) | np.arange(len(ranks), dtype=np.uint64)
+    keys.sort()
+    return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each key, from 0, and for each rank a place that has it."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(keys) else np.zeros(0, bool)
+    ranks = np.empty(len(keys), np.int64)
+    ranks[order] = np.cumsum(new) - 1
+    return ranks, order[new]
 
 
 def dense(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """Ranks of pairs, from 0; pairs that begin with 0 are all rank 0."""
     keys = np.where(high > 0, (high.astype(np.uint64) << np.uint64(32)) | low.astype(np.uint64), np.uint64(0))
-    _, ranks = np.unique(np.r_[np.uint64(0), keys], return_inverse=True)
-    return ranks[1:].astype(np.int64)
+    return ranked(np.r_[np.uint64(0), keys])[0][1:]
 
 
 def exact_letters(data: np.ndarray, size: int) -> np.ndarray:
@@ -44,8 +55,8 @@ def exact_letters(data: np.ndarray, size: int) -> np.ndarray:
     are compared with each other; should two letters ever share one, another hash is drawn."""
     spread, draw = SPREAD, 3
     while True:
-        values, first, ranks = np.unique(rolling(spread[data], size), return_index=True, return_inverse=True)
-        same = first[ranks]
+        ranks, holder = ranked(rolling(spread[data], size))
+        same = holder[ranks]
         if size >= 8:
             eight = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,))
             offsets = [*range(0, size - 7, 8), size - 8]
@@ -53,7 +64,7 @@ def exact_letters(data: np.ndarray, size: int) -> np.ndarray:
             eight, offsets = data, range(size)
         at = np.arange(len(ranks))
         if all(np.array_equal(eight[at + k], eight[same + k]) for k in offsets):
-            return ranks.astype(np.int64) + 1
+            return ranks + 1
         draw += 1
         spread = np.random.default_rng(draw).integers(1, 1 << 63, 256, np.uint64)
 
@@ -76,7 +87,7 @@ def transform(letters: np.ndarray, before: np.ndarray, depth: int, step: int, ro
         if 2 * have > depth:
             break
         ranks, have = dense(ranks, later(ranks, have * step)), 2 * have
-    order = np.argsort(whole, kind="stable")
+    order = in_order(whole)
     return order, before[order]
 
 
@@ -92,11 +103,10 @@ def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]
     letters = np.concatenate(shards)
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint16 if len(shards) < 65536 else np.int64), sizes)
     block = np.zeros(len(letters), np.int64)
-    at = np.arange(len(letters))
     for _ in range(depth):
         there = np.empty(len(letters), np.int64)
         there[np.argsort(interleave, kind="stable")] = letters
-        order = by_two(there, at)
+        order = in_order(there)
         interleave, sorted_letters, came = interleave[order], there[order], block[order]
         new = np.r_[True, (sorted_letters[1:] != sorted_letters[:-1]) | (came[1:] != came[:-1])] | (sorted_letters == 0)
         block = np.cumsum(new)
