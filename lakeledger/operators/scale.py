@@ -86,13 +86,21 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         brackets.append(F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"),
                                  low.alias("low"), high.alias("high")))
     bounds = sketch.select(*keys, "n", F.array(*brackets).alias("_b"))
-    marked = source.join(bounds, keys).select(*keys, "_v", "n", F.explode("_b").alias("_b"))
-    side = (F.when(F.col("_v") < F.col("_b.low"), F.lit(0))
-            .when(F.col("_v") <= F.col("_b.high"), F.lit(1)).otherwise(F.lit(2)))
-    marked = marked.select(*keys, "n", "_b.name", "_b.p", "_v", side.alias("_side"))
-    # Values outside a bracket collapse into one row per side; those inside keep their value.
-    packed = marked.groupBy(*keys, "n", "name", "p", "_side", F.when(F.col("_side") == 1, F.col("_v")).alias("_in")).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    marked = source.join(bounds, keys)
+    # Next to the data: how many values lie below and above each bracket, and the nearest of them.
+    sides = []
+    for k in range(len(probs)):
+        b = F.col("_b")[k]
+        below, above = F.col("_v") < b["low"], F.col("_v") > b["high"]
+        sides.append(F.struct(F.any_value(b["name"]).alias("name"), F.any_value(b["p"]).alias("p"), F.array(*[
+            F.struct(F.lit(side).alias("_side"), F.count_if(c).alias("_c"), F.min(F.when(c, F.col("_v"))).alias("_low"), F.max(F.when(c, F.col("_v"))).alias("_high"))
+            for side, c in ((0, below), (2, above))]).alias("s")))
+    outside = marked.groupBy(*keys, "n").agg(F.array(*sides).alias("_q")).select(*keys, "n", F.inline("_q")).select(*keys, "n", "name", "p", F.inline("s"))
+    outside = outside.where("_c > 0").withColumn("_in", F.lit(None).cast(source.schema["_v"].dataType))
+    # Only values inside a bracket go on, once for each bracket that holds them.
+    holds = F.filter("_b", lambda b: (F.col("_v") >= b["low"]) & (F.col("_v") <= b["high"]))
+    inside = marked.withColumn("_b", F.explode(holds)).groupBy(*keys, "n", F.col("_b.name").alias("name"), F.col("_b.p").alias("p"), F.col("_v").alias("_in")).agg(F.count(F.lit(1)).alias("_c"))
+    packed = outside.unionByName(inside.withColumn("_side", F.lit(1)).withColumn("_low", F.col("_in")).withColumn("_high", F.col("_in")))
     w = Window.partitionBy(*keys, "name").orderBy("_side", "_in").rowsBetween(Window.unboundedPreceding, 0)
     ranked = packed.withColumn("_upto", F.sum("_c").over(w))
     # Ranks a row stands for: all of them inside, the nearest one on either side.
