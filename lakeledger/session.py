@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,11 +12,16 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators assume (UTC dates, adaptive execution)."""
+    """Apply the runtime settings the operators assume (UTC dates, adaptive execution, batches of bounded size for
+    long texts), and let Python workers on this machine find the package where the driver did; a cluster has it installed."""
+    environment, home = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    if home not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, environment.get("PYTHONPATH")]))
     for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
