@@ -80,13 +80,15 @@ def locate(rows: pd.DataFrame, window: int) -> tuple[pd.DataFrame, pd.DataFrame]
             automaton.add_word(tuple(ids[p:p + window].tolist()), p)
         automaton.make_automaton()
         for r, (a, b) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), strict=True)):
+            followed: dict[int, int] = {}  # how far the stretch was followed along each earlier place, by their distance
             for end, p in automaton.iter(tuple(ids[a:b].tolist())):
                 q = a + end - window + 1
-                if gone[q] or doc[row_of[p]] >= doc[r]:
+                if followed.get(q - p, -1) >= q or doc[row_of[p]] >= doc[r]:
                     continue
                 most = min(b - q, int(ends[row_of[p]]) - p) - window
                 unlike = np.flatnonzero(ids[q + window:q + window + most] != ids[p + window:p + window + most])
-                gone[q:q + (int(unlike[0]) if len(unlike) else most) + 1] = True
+                followed[q - p] = last = q + (int(unlike[0]) if len(unlike) else most)
+                gone[q:last + 1] = True
     begin = (ends - sizes)[row_of]
     place = line[row_of] + np.arange(n) - begin
     return outcome(rows, place, base, np.flatnonzero(gone[:n]), window, row_of, at, gone, symbols)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -51,6 +52,35 @@ def test_repeated_strings(spark, doc_rows, options):
         assert {r[0]: tuple(r)[1:] for r in out} == brute.strings(rows)
 
 
+def covered(out, docs, size):
+    gone = {d: np.zeros(size(t), bool) for d, t in docs}
+    for r in out.itertuples():
+        gone[r.doc][r.start:r.end] = True
+    return {d: int(g.sum()) for d, g in gone.items()}
+
+
+@given(st.lists(st.text("ab", max_size=25), min_size=1, max_size=7), st.integers(2, 4))
+@settings(max_examples=300, deadline=None)
+def test_any_passages(texts, window):
+    """Few words, so that passages overlap themselves and each other in every way."""
+    docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    rows = pd.DataFrame([(k, 0, 0, t.encode(), 1) for k, t in docs if t], columns=["doc", "ver", "start", "data", "parts"])
+    if len(rows):
+        out = covered(phrases.locate(rows, window)[0], docs, lambda t: len(t.split()))
+        assert out == {d: x[1] for d, x in brute.passages(docs, window).items()}
+
+
+@given(st.lists(st.text("ab", max_size=30), min_size=1, max_size=7), st.sampled_from([(4, 2), (4, 1), (6, 3), (4, 4)]), st.integers(1, 60))
+@settings(max_examples=300, deadline=None)
+def test_any_strings(texts, sizes, shard):
+    window, letter = sizes
+    docs = list(enumerate(texts))
+    rows = pd.DataFrame([(k, 0, 0, t.encode(), 1) for k, t in docs if len(t) >= window], columns=["doc", "ver", "start", "data", "parts"])
+    if len(rows):
+        out = covered(suffixes.repeats(rows, window, letter, shard)[0], docs, len)
+        assert out == {d: x[1] for d, x in brute.strings(docs, window).items()}
+
+
 def test_substring_texts_and_odd_ids(spark):
     rows = [(None, SHARED), (1, SHARED), (1, SHARED), (2, "a " + SHARED), (2, "b " + SHARED), (3, words(70, 9))]
     kept = sorted((r["doc_id"], r["kept"]) for r in phrases.remove_repeats(frame(spark, rows)).collect())
