@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from lakeledger.llm.recurring import Kind, merged, placed, removed, rolling, solved, stretches
+from lakeledger.llm.recurring import Kind, choices, merged, placed, removed, rolling, solved, stretches
 
 WINDOW = 50  # words
 GRAM = 12  # words of an anchor
@@ -91,11 +91,11 @@ def locate(rows: pd.DataFrame, window: int) -> tuple[pd.DataFrame, pd.DataFrame]
                 gone[q:last + 1] = True
     begin = (ends - sizes)[row_of]
     place = line[row_of] + np.arange(n) - begin
-    return outcome(rows, place, base, np.flatnonzero(gone[:n]), window, row_of, at, gone, symbols)
+    return outcome(rows, place, base, np.flatnonzero(gone[:n]), window, row_of, at, gone, symbols, min(GRAM, window))
 
 
 def outcome(rows: pd.DataFrame, place: np.ndarray, base: np.ndarray, found: np.ndarray, window: int, row_of: np.ndarray,
-            at: np.ndarray, gone: np.ndarray, symbols: np.ndarray) -> tuple[pd.DataFrame, pd.DataFrame]:
+            at: np.ndarray, gone: np.ndarray, symbols: np.ndarray, gram: int) -> tuple[pd.DataFrame, pd.DataFrame]:
     """Removed ranges, from windows (indexes ``found``) on the line of documents, and the windows that are left in
     stretches of several parts. Where a document lies several times in a chunk, the places are the same."""
     ids = rows.drop_duplicates(["doc", "ver"])[["doc", "ver"]].reset_index(drop=True)
@@ -116,21 +116,20 @@ def outcome(rows: pd.DataFrame, place: np.ndarray, base: np.ndarray, found: np.n
     several = rows["parts"].to_numpy() > 1
     left = at[several[row_of[at]] & ~gone[at]] if len(at) else at
     if not len(left):
-        return ranges, pd.DataFrame({"doc": [], "ver": [], "start": [], "h1": [], "h2": []}, dtype="int64")
+        return ranges, pd.DataFrame({"doc": [], "ver": [], "start": [], "h1": [], "h2": [], "key": []}, dtype="int64")
     one = rolling(symbols, window)[left]
     two = rolling((symbols ^ np.uint64(0x5851F42D4C957F2D)) * np.uint64(0xD6E8FEB86659FD93), window)[left]
     owner = row_of[left]
     return ranges, pd.DataFrame({"doc": rows["doc"].to_numpy()[owner], "ver": rows["ver"].to_numpy()[owner],
                                  "start": place[left] - base[np.searchsorted(base, place[left], "right") - 1],
-                                 "h1": one.view(np.int64), "h2": two.view(np.int64)})
+                                 "h1": one.view(np.int64), "h2": two.view(np.int64), "key": choices(symbols, window, gram)[left].view(np.int64)})
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, part: int = PART, chunk: int = CHUNK) -> DataFrame:
     """``doc, ranges(ver, start, end)``: words of documents that passages of ``window`` words cover which also start
     in a document with a smaller id; only documents that have some."""
     k = kind(window)
-    dealt, whole = stretches(docs, k, part)
-    return solved(dealt, whole, k, lambda rows: locate(rows, window), chunk)
+    return solved(*stretches(docs, k, part), k, lambda rows: locate(rows, window), chunk)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, part: int = PART, chunk: int = CHUNK, digests: bool = False) -> DataFrame:

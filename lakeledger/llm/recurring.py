@@ -13,13 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.session import cut_lineage
+from lakeledger.session import cut_lineage, drop_steps
 
 BASE = 0x2545F4914F6CDD1D  # odd; of the rolling hash
 SLICE = 1 << 18  # symbols that are hashed at once
+BUCKET = 1 << 21  # bytes or words of stretches with several parts, for whose windows there is a bucket
 
 
 def rolling(symbols: np.ndarray, size: int) -> np.ndarray:
@@ -118,9 +119,9 @@ def placed(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     return rows, base[number] + start, base
 
 
-def stretches(docs: DataFrame, kind: Kind, part: int) -> tuple[DataFrame, DataFrame]:
-    """Stretches (``g, doc, ver, start, data, parts``) of all documents around anchors that recur, and the ranges of documents
-    that are whole copies of an earlier one.
+def stretches(docs: DataFrame, kind: Kind, part: int) -> tuple[DataFrame, int, DataFrame]:
+    """Stretches (``g, doc, ver, start, data, parts``) of all documents around anchors that recur, how many symbols are in
+    stretches of several parts, and the ranges of documents that are whole copies of an earlier one.
 
     ``g`` is a group: an owner's stretches, dealt by hash into ``parts`` of about ``part`` symbols. A document that is
     a copy is removed as a whole if it has a window, and gives no stretches: those of the first copy do for it.
@@ -138,7 +139,8 @@ def stretches(docs: DataFrame, kind: Kind, part: int) -> tuple[DataFrame, DataFr
     rows = rows_of(docs)
     found = cut_lineage(rows.select("doc", "text").mapInPandas(find, "h long, doc long, pos long"))
     owners = found.groupBy("h").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
-    owners = owners.where("n > 1" if kind.within else "owner < last").select("h", "owner")
+    # As a table of its own, so that the join can split the rows of an anchor that very many documents share.
+    owners = cut_lineage(owners.where("n > 1" if kind.within else "owner < last").select("h", "owner"))
     lists = found.join(owners, "h").groupBy("doc").agg(F.collect_list("pos").alias("pos"), F.collect_list("owner").alias("owner"))
     # First holders of texts: by the hash of the text and its length, confirmed by a digest.
     texts = rows.select("doc", "ver", F.length("text").alias("n"), F.sha2("text", 256).alias("digest"))
@@ -173,23 +175,64 @@ def stretches(docs: DataFrame, kind: Kind, part: int) -> tuple[DataFrame, DataFr
 
     taken = cut_lineage(given.select("doc", "ver", "text", "pos", "owner", "copied")
                         .mapInPandas(take, "owner long, doc long, ver long, start long, end long, data binary"))
+    drop_steps(found, owners)
     whole = taken.where("owner is null").select("doc", "ver", "start", "end")
     sent = taken.where("owner is not null")
     parts = (sent.groupBy("owner").agg(F.sum(F.col("end") - F.col("start")).alias("n"))
-             .select("owner", F.ceil(F.col("n") / part).alias("parts")))
-    dealt = sent.join(parts, "owner").withColumn("g", F.xxhash64("owner", F.pmod(F.xxhash64("doc", "ver", "start"), "parts")))
-    return dealt.select("g", "doc", "ver", "start", "data", "parts"), whole
-
-
-def solved(dealt: DataFrame, whole: DataFrame, kind: Kind, solve: Callable[[pd.DataFrame], tuple[pd.DataFrame, pd.DataFrame]], chunk: int) -> DataFrame:
+             .select("owner", "n", F.ceil(F.col("n") / part).alias("parts")))
+    dealt = sent.join(parts.drop("n"), "owner").withColumn("g", F.xxhash64("owner", F.pmod(F.xxhash64("doc", "ver", "start"), "parts")))
+    many = parts.where("parts > 1").agg(F.sum("n")).first()[0] or 0
+    return dealt.select("g", "doc", "ver", "start", "data", "parts"), many, whole
+
+
+def choices(symbols: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """For the window at every place the least hash of its grams: equal windows have equal ones, and neighbours often."""
+    return over(rolling(symbols, gram) * np.uint64(0x9E3779B97F4A7C15), window - gram + 1, np.minimum)
+
+
+def packed(left: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Windows as one row for each bucket that has some; ``key`` decides the bucket."""
+    bucket = (left["key"].to_numpy().view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    columns = {c: left[c].to_numpy(np.int64)[order] for c in WINDOWS}
+    return pd.DataFrame({"bucket": bucket[order][cuts], "windows": [
+        b"".join(columns[c][a:b].tobytes() for c in WINDOWS) for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True)]})
+
+
+WINDOWS = ["doc", "ver", "start", "h1", "h2"]
+
+
+def again(blocks: list[bytes], window: int, within: bool) -> pd.DataFrame:
+    """Ranges of the windows of a bucket that an earlier equal one, by 128 bits of hash, makes go."""
+    parts = [np.frombuffer(b, np.int64).reshape(len(WINDOWS), -1) for b in blocks]
+    doc, ver, start, h1, h2 = np.concatenate(parts, axis=1)
+    order = np.lexsort((start, ver, doc, h2, h1))
+    doc, ver, start, h1, h2 = (x[order] for x in (doc, ver, start, h1, h2))
+    new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
+    other = new | np.r_[True, (doc[1:] != doc[:-1]) | (ver[1:] != ver[:-1])]
+    own = np.maximum.accumulate(np.where(other, np.arange(len(doc)), 0))
+    gone = (doc > doc[head]) | (within & (start > start[own]))
+    doc, ver, start = doc[gone], ver[gone], start[gone]
+    order = np.lexsort((start, ver, doc))
+    doc, ver, start = doc[order], ver[order], start[order]
+    cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (ver[1:] != ver[:-1]) | (start[1:] > start[:-1] + 1)]) if len(doc) else np.zeros(0, int)
+    last = np.r_[cut[1:] - 1, len(doc) - 1] if len(doc) else cut
+    return pd.DataFrame({"doc": doc[cut], "ver": ver[cut], "start": start[cut], "end": start[last] + window})
+
+
+def solved(dealt: DataFrame, many: int, whole: DataFrame, kind: Kind, solve: Callable[[pd.DataFrame], tuple[pd.DataFrame, pd.DataFrame]], chunk: int) -> DataFrame:
     """Ranges of all documents that ``solve`` or the step between parts removes: ``doc, ranges(ver, start, end)``.
 
     ``solve(stretches)`` gives removed ranges, and, of windows that it keeps in stretches with more than one part,
-    ``doc, ver, start, h1, h2`` with two independent hashes of the window. Groups follow each other in a task and are solved
+    ``doc, ver, start, key`` and two independent hashes of the window. Groups follow each other in a task and are solved
     together in chunks of about ``chunk`` bytes: what meets besides its group does no harm, since every match is true.
-    Windows that one part keeps meet those of the other parts by their 128 bits; a key has no more rows than its owner has parts.
+    Windows that one part keeps meet those of the other parts in buckets: a chunk sends them packed, one row a bucket,
+    and there is a bucket for about every ``BUCKET`` symbols of such stretches.
     """
-    schema = "kind string, doc long, ver long, start long, end long, h1 long, h2 long"
+    buckets = max(1, -(-many // BUCKET))
+    schema = "bucket long, windows binary, doc long, ver long, start long, end long"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,20 +251,26 @@ def solved(dealt: DataFrame, whole: DataFrame, kind: Kind, solve: Callable[[pd.D
 
     def told(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         ranges, left = solve(rows)
-        yield ranges.assign(kind="range", h1=0, h2=0)[names]
-        for at in range(0, len(left), 100_000):
-            yield left.iloc[at:at + 100_000].assign(kind="left", end=0)[names]
+        yield ranges.assign(bucket=-1, windows=None)[names]
+        if len(left):
+            yield packed(left, buckets).assign(doc=0, ver=0, start=0, end=0)[names]
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, blocks = None, []
+        for batch in batches:
+            for b, w in zip(batch["bucket"], batch["windows"], strict=True):
+                if b != bucket:
+                    if blocks:
+                        yield again(blocks, kind.window, kind.within)
+                    bucket, blocks = b, []
+                blocks.append(w)
+        if blocks:
+            yield again(blocks, kind.window, kind.within)
 
     out = cut_lineage(dealt.repartition("g").sortWithinPartitions("g", "doc", "ver", "start").mapInPandas(run, schema))
-    key = Window.partitionBy("h1", "h2")
-    by_row = Window.partitionBy("h1", "h2", "doc", "ver")
-    late = (out.where("kind = 'left'").select("doc", "ver", "start", "h1", "h2").distinct()
-            .withColumn("first", F.min("doc").over(key)).withColumn("own", F.min("start").over(by_row)))
-    again = F.col("doc") > F.col("first")
-    if kind.within:
-        again |= F.col("start") > F.col("own")
-    cross = late.where(again).select("doc", "ver", "start", (F.col("start") + kind.window).alias("end"))
-    ranges = out.where("kind = 'range'").select("doc", "ver", "start", "end").unionByName(cross).unionByName(whole)
+    cross = (out.where("bucket >= 0").select("bucket", "windows").repartition("bucket").sortWithinPartitions("bucket")
+             .mapInPandas(meet, "doc long, ver long, start long, end long"))
+    ranges = out.where("bucket < 0").select("doc", "ver", "start", "end").unionByName(cross).unionByName(whole)
     return ranges.groupBy("doc").agg(F.collect_list(F.struct("ver", "start", "end")).alias("ranges"))
 
 

@@ -160,7 +160,7 @@ def repeats(rows: pd.DataFrame, window: int, letter: int, shard: int) -> tuple[p
     gone[where[gone_at]] = True
     at = np.flatnonzero(np.arange(n) + window <= ends[row_of])
     # A place that lies in the chunk several times is in one block each time, and gone each time or not at all.
-    return outcome(rows, place, base, np.flatnonzero(gone[:n]), window, row_of, at, gone, SPREAD[data])
+    return outcome(rows, place, base, np.flatnonzero(gone[:n]), window, row_of, at, gone, SPREAD[data], min(GRAM, window))
 
 
 def repeated_strings(docs: DataFrame, window: int = WINDOW, letter: int = LETTER, part: int = PART, chunk: int = CHUNK, shard: int = SHARD) -> DataFrame:
@@ -168,8 +168,7 @@ def repeated_strings(docs: DataFrame, window: int = WINDOW, letter: int = LETTER
     if window % letter:
         raise ValueError("letters have to divide the window")
     k = kind(window)
-    dealt, whole = stretches(docs, k, part)
-    return solved(dealt, whole, k, lambda rows: repeats(rows, window, letter, shard), chunk)
+    return solved(*stretches(docs, k, part), k, lambda rows: repeats(rows, window, letter, shard), chunk)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, digests: bool = False, **options) -> DataFrame:
