@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, collisions, language, onebit, packing, phrases, pseudo_likelihood, simhash, suffixes, warc
+from lakeledger.llm import bpe, checks, collisions, language, onebit, packing, phrases, pseudo_likelihood, simhash, suffixes, warc
 from lakeledger.session import configure
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op2_phrase_automata": checks.PASSAGES, "op6_merged_transforms": checks.STRINGS,
+    "op7_collision_counting": checks.LINKS, "op9_monolithic_warc": checks.RECORDS,
+}
 
 
 def query(fn):
