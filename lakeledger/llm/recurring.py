@@ -20,7 +20,7 @@ from lakeledger.session import cut_lineage, drop_steps
 
 BASE = 0x2545F4914F6CDD1D  # odd; of the rolling hash
 SLICE = 1 << 18  # symbols that are hashed at once
-BUCKET = 1 << 21  # bytes or words of stretches with several parts, for whose windows there is a bucket
+BUCKET = 1 << 18  # bytes or words of stretches with several parts, for whose windows there is a bucket
 
 
 def rolling(symbols: np.ndarray, size: int) -> np.ndarray:

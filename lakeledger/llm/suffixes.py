@@ -16,7 +16,7 @@ WINDOW = 100  # bytes
 GRAM = 28  # bytes of an anchor
 LETTER = 20  # bytes that the transforms take as one letter; divides WINDOW
 PART = 1 << 20  # bytes of an owner that are merged together
-CHUNK = 1 << 20  # bytes that are merged together
+CHUNK = 1 << 19  # bytes of small groups that are merged together
 SHARD = 1 << 18  # bytes of one transform
 
 SPREAD = np.random.default_rng(3).integers(1, 1 << 63, 256, np.uint64)
@@ -141,6 +141,7 @@ def repeats(rows: pd.DataFrame, window: int, letter: int, shard: int) -> tuple[p
     interleave, block = merge([x for _, x in built], depth)
     suffix = np.empty(len(row), np.int64)
     suffix[np.argsort(interleave, kind="stable")] = np.concatenate([o + a for (o, _), a in zip(built, edges, strict=False)])
+    del built, interleave, letters, before, row, inside, room  # the largest arrays are done with
     # Repeated intervals: blocks of two and more. In each, by place on the line of documents.
     size = np.bincount(block)
     many = np.flatnonzero(size[block] > 1)
