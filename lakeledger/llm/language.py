@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeledger.llm.memory import trim
+
 ORDER = 5
 SAMPLE_ROWS = 400  # labelled rows of each language that the models are fitted to: the bound of the sample
 CALIBRATION = 5  # every fifth of them is kept from the counts, to set the limit of rejection
@@ -202,6 +204,12 @@ def language(text: Column, models: dict[str, Model], spark) -> Column:
 
     @F.pandas_udf("lang_pred string, score double, cross_entropy double, rejected boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from answers(batches)
+        finally:
+            trim()
+
+    def answers(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = Identifier(shared.value)
         limits = np.array([m.limit for m in known.models])
         for texts in batches:

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeledger.llm.memory import released
 from lakeledger.session import cut_lineage, drop_steps
 
 BASE = 0x2545F4914F6CDD1D  # odd; of the rolling hash
@@ -137,7 +138,7 @@ def stretches(docs: DataFrame, kind: Kind, part: int) -> tuple[DataFrame, int, D
                 yield pd.DataFrame({"h": h.view(np.int64), "doc": ids[s][of], "pos": at - starts[of]})
 
     rows = rows_of(docs)
-    found = cut_lineage(rows.select("doc", "text").mapInPandas(find, "h long, doc long, pos long"))
+    found = cut_lineage(rows.select("doc", "text").mapInPandas(released(find), "h long, doc long, pos long"))
     owners = found.groupBy("h").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
     # As a table of its own, so that the join can split the rows of an anchor that very many documents share.
     owners = cut_lineage(owners.where("n > 1" if kind.within else "owner < last").select("h", "owner"))
@@ -174,7 +175,7 @@ def stretches(docs: DataFrame, kind: Kind, part: int) -> tuple[DataFrame, int, D
             yield pd.DataFrame(out, columns=["owner", "doc", "ver", "start", "end", "data"]).astype({"owner": "Int64"})
 
     taken = cut_lineage(given.select("doc", "ver", "text", "pos", "owner", "copied")
-                        .mapInPandas(take, "owner long, doc long, ver long, start long, end long, data binary"))
+                        .mapInPandas(released(take), "owner long, doc long, ver long, start long, end long, data binary"))
     drop_steps(found, owners)
     whole = taken.where("owner is null").select("doc", "ver", "start", "end")
     sent = taken.where("owner is not null")
@@ -267,9 +268,9 @@ def solved(dealt: DataFrame, many: int, whole: DataFrame, kind: Kind, solve: Cal
         if blocks:
             yield again(blocks, kind.window, kind.within)
 
-    out = cut_lineage(dealt.repartition("g").sortWithinPartitions("g", "doc", "ver", "start").mapInPandas(run, schema))
+    out = cut_lineage(dealt.repartition("g").sortWithinPartitions("g", "doc", "ver", "start").mapInPandas(released(run), schema))
     cross = (out.where("bucket >= 0").select("bucket", "windows").repartition("bucket").sortWithinPartitions("bucket")
-             .mapInPandas(meet, "doc long, ver long, start long, end long"))
+             .mapInPandas(released(meet), "doc long, ver long, start long, end long"))
     ranges = out.where("bucket < 0").select("doc", "ver", "start", "end").unionByName(cross).unionByName(whole)
     return ranges.groupBy("doc").agg(F.collect_list(F.struct("ver", "start", "end")).alias("ranges"))
 
@@ -286,4 +287,4 @@ def removed(docs: DataFrame, ranges: DataFrame, fn: Callable, schema: str) -> Da
                 out.append((doc, *fn(text, *merged(pairs[:, 0], pairs[:, 1]))))
             yield pd.DataFrame(out, columns=names)
 
-    return rows_of(docs).join(ranges, "doc", "left").select("doc", "ver", "text", "ranges").mapInPandas(run, schema)
+    return rows_of(docs).join(ranges, "doc", "left").select("doc", "ver", "text", "ranges").mapInPandas(released(run), schema)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.components import connected_components
+from lakeledger.llm.memory import released
 from lakeledger.session import cut_lineage
 
 SHINGLE_WORDS = 3
@@ -134,7 +135,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, til
         at = np.flatnonzero(label != np.arange(len(label)))
         return pd.DataFrame({"a": node[at], "b": node[label[at]]})
 
-    return tiled.repartition("g").sortWithinPartitions("g", "fp").mapInPandas(compare, "a long, b long").distinct()
+    return tiled.repartition("g").sortWithinPartitions("g", "fp").mapInPandas(released(compare), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", distance: int = DISTANCE,
