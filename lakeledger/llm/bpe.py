@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.vocabulary import tokenizer
+from lakeledger.llm.memory import released
+from lakeledger.llm.vocabulary import forget, tokenizer
 
 LEAF = 4096  # characters that are encoded in one go
 AGREE = 2  # tokens that a window and its neighbour must share at each end
@@ -205,7 +206,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, digests: bool = False, le
 
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(encode, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(released(encode, forget), schema)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -18,12 +18,14 @@ def trim() -> None:
         pass  # another C library; it keeps what it has
 
 
-def released(fn: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``fn`` over batches, with the memory it has freed returned when a task ends."""
+def released(fn: Callable[[Iterator], Iterator], forget: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """``fn`` over batches; when a task ends, what ``forget`` drops and what has been freed goes back to the system."""
     @wraps(fn)
     def run(batches: Iterator) -> Iterator:
         try:
             yield from fn(batches)
         finally:
+            if forget is not None:
+                forget()
             trim()
     return run

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeledger.llm.memory import released
-from lakeledger.llm.vocabulary import Encoder
+from lakeledger.llm.vocabulary import Encoder, forget
 from lakeledger.session import cut_lineage
 
 SEQUENCE = 1024
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, vocabulary: str, limit: int = SEQUENCE, with_ids: bo
 
     schema = PIECES + (", ids array<long>" if with_ids else "")
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(released(encode), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(released(encode, forget), schema)
 
 
 def best_two_fit(counts: dict[int, int], limit: int) -> list[tuple[int, list[int]]]:

@@ -47,6 +47,12 @@ def _ranked(vocabulary: str):
     return tiktoken.Encoding("beside", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
 
 
+def forget() -> None:
+    """Drop the loaded vocabularies, which take a hundred megabytes and more: a worker lives on after its task."""
+    tokenizer.cache_clear()
+    _ranked.cache_clear()
+
+
 class Encoder:
     """Ids of whole texts under a byte-level vocabulary, as the tokenizers library gives them without special tokens
     added. Texts of settled characters take a faster library with the same merges and pattern; others take the library
