@@ -413,3 +413,45 @@ def test_gradient():
 def test_scores_of_nothing(spark):
     assert pl.score_documents(frame(spark, [])).collect() == []
     assert [r["n_tokens"] for r in pl.score_documents(frame(spark, [(1, None)])).collect()] == [0]
+
+
+def test_every_word_has_its_own_probability(spark, doc_rows):
+    docs = frame(spark, doc_rows)
+    counts = pl.cut_lineage(pl.word_counts(docs))
+    n = {r["word"]: r["n"] for r in counts.collect()}
+    known = pl.most_frequent(counts)
+    find, bucket = pl.Classes(known, pl.CLASSES, pl.BUCKETS), lambda w: pl.CLASSES - pl.BUCKETS + zlib.crc32(w.encode()) % pl.BUCKETS
+    sums = Counter()
+    for w, k in n.items():
+        if w not in known:
+            sums[bucket(w)] += k
+    net = pl.start()
+    # Words of the corpus, a rare and an unseen one; ids that repeat or are missing keep their rows.
+    rare = next(w for w in sorted(n) if n[w] == 1)
+    rows = [*doc_rows, (1, "the zzqxv a"), (None, f"the {rare} a"), (None, None)]
+    for carried in (pl.CARRIED, 300, 0):
+        shares = pl.shares_of(counts, known, carried=carried)
+        assert len(shares.carried) <= carried and not shares.carried.keys() & known.keys()
+        out = pl.score(pl.cut_lineage(pl.encode_words(frame(spark, rows), known, shares)), net, shares=shares).collect()
+        want = []
+        for d, t in rows:
+            ids, words_ = [0, *find.of(t), 0], pl.words_of(t)
+            p = pl.log_probabilities(net, np.array(ids[:-2], int), np.array(ids[2:], int))[np.arange(len(words_)), ids[1:-1]].astype(float).sum() if words_ else 0.0
+            p += sum(np.log(n.get(w, pl.UNSEEN) / (sums[bucket(w)] + pl.UNSEEN)) for w in words_ if w not in known)
+            want.append((d if d is not None else -1, len(words_), p))
+        got = [(r["doc_id"] if r["doc_id"] is not None else -1, r["n_tokens"], r["log_likelihood"]) for r in out]
+        assert len(got) == len(want)
+        for a, b in zip(sorted(got), sorted(want), strict=True):
+            assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-4 * max(1, abs(b[2]))
+    # Gibberish is marked down against a common word in its place.
+    common = max((w for w in n if w not in known), key=n.get)
+    shares = pl.shares_of(counts, known)
+    two = pl.cut_lineage(pl.encode_words(spark.createDataFrame([(1, common), (2, "zzqxv")], DOC), known, shares))
+    a, b = (r["log_likelihood"] for r in pl.score(two, net, shares=shares).orderBy("doc_id").collect())
+    assert a > b + 1
+
+
+def test_lexicon_forgets_and_goes_on():
+    texts = [words(50, k, 30) for k in range(6)] + ["", None]
+    wide, narrow = (pl.Lexicon({"w1": 1}, {"w2": 5, "w3": 4}, pl.CLASSES, pl.BUCKETS, held) for held in (1000, 5))
+    assert [wide.of(t) for t in texts] == [narrow.of(t) for t in texts]
