@@ -33,3 +33,31 @@ RECORDS = """with p as (select page_id, encode(coalesce(html, '')) as x from pag
 q as (select page_id, octet_length(x) as n, sha1(x) as d, max(page_id) over (partition by x) as holder from p)
 select page_id, n as payload_bytes, d as payload_digest, case when n >= 1000 and holder <> page_id then 'revisit' else 'response' end as record_type,
   case when n >= 1000 and holder <> page_id then holder end as refers_to from q"""
+
+
+def crc(text: str) -> str:
+    """CRC-32 of an ASCII text, as an expression: one step of the polynomial for each bit."""
+    return f"""xor(4294967295::ubigint, list_reduce(list_concat([4294967295::ubigint], list_transform(string_split({text}, ''), lambda c: ord(c)::ubigint)),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], [0::ubigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end)))::bigint"""
+
+
+#: Words at three multiples of a lag propose it for a document; all stretches that agree over such a lag; those inside
+#: one of a smaller lag do not have this as their smallest period.
+RUNS = rf"""with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w, {crc("doc_id::varchar")} as h from documents where doc_id is not null),
+g as (select *, len(w) as n, h // 10 as g, case when len(w) > 0 then (h // 10) % len(w) end as a from d),
+p as (select *, case when h % 10 = 0 and n > 0 then 1 + (n - a) // (3 + g % 8) end as p from g),
+t as materialized (select doc_id, n, i, w[1 + case when i >= a and p is not null then a + (i - a) % p else i end] as x from (select *, unnest(range(n)) as i from p)),
+lag as (select doc_id, n, unnest(range(1, n // 4 + 1)) as q from p),
+step as (select doc_id, q, unnest(range(n // q)) * q as i from lag),
+word as materialized (select s.doc_id, s.q, s.i, t.x from step s join t using (doc_id, i)),
+cand as materialized (select distinct doc_id, q from (select doc_id, q, x, lead(x) over v as y, lead(x, 2) over v as z from word window v as (partition by doc_id, q order by i)) where x = y and y = z),
+pair as materialized (select c.doc_id, c.q, t.i, t.x, t.i + c.q as upto from cand c join t using (doc_id)),
+same as (select p.doc_id, p.q, p.i from pair p join t on t.doc_id = p.doc_id and t.i = p.upto and t.x = p.x),
+stretch as (select doc_id, q, min(i) as s, count(*) + q as l from (select *, i - row_number() over (partition by doc_id, q order by i) as k from same) group by doc_id, q, k having count(*) + q >= greatest(6, 4 * q)),
+run as (select * from stretch a where not exists (select 1 from stretch b where b.doc_id = a.doc_id and b.q < a.q and b.s <= a.s and b.s + b.l >= a.s + a.l)),
+best as (select * from run qualify row_number() over (partition by doc_id order by l / q desc, s, q) = 1),
+listed as (select doc_id, count(*) as n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' order by s, q) as r from run group by 1),
+gone as (select distinct doc_id, unnest(range(s + q, s + l)) as i from run),
+rest as (select t.doc_id, string_agg(x, ' ' order by t.i) as kept from t left join gone using (doc_id, i) where gone.i is null group by 1)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, s as start, l as length, q as period, 1000 * l // q as exponent_milli, sha256(coalesce(r, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from d left join listed using (doc_id) left join best using (doc_id) left join rest using (doc_id)"""

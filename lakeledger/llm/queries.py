@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, checks, collisions, language, onebit, packing, phrases, pseudo_likelihood, simhash, suffixes, warc
+from lakeledger.llm import bpe, checks, collisions, language, onebit, packing, periodic, phrases, pseudo_likelihood, simhash, suffixes, warc
 from lakeledger.session import configure
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {
     "op2_phrase_automata": checks.PASSAGES, "op6_merged_transforms": checks.STRINGS,
     "op7_collision_counting": checks.LINKS, "op9_monolithic_warc": checks.RECORDS,
+    "op12_frequency_splitting": checks.RUNS,
 }
 
 
@@ -90,3 +91,9 @@ def op9_monolithic_warc(table) -> DataFrame:
 def op10_masked_pseudo_likelihood(table) -> DataFrame:
     """Pseudo-likelihood of every document under a network trained on all of them."""
     return pseudo_likelihood.score_documents(table("documents"))
+
+
+@query
+def op12_frequency_splitting(table) -> DataFrame:
+    """Periodic runs of every document, a tenth of them with a looped tail, and what is left without the repeats."""
+    return periodic.collapse_runs(table("documents"), alter=periodic.loop_tail, digests=True)

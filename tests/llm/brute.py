@@ -130,3 +130,44 @@ def pieces(docs, path, limit=1024):
             out[d, k] = (at, size, zlib.crc32(np.array(ids[at:at + size], "<u4").tobytes()))
             at, k, size = at + size, k + 1, limit
     return out
+
+
+def periodic_runs(words, least=6, periods=4):
+    """All runs (start, length, period) of a list of words."""
+    n, out = len(words), []
+    for q in range(1, n // periods + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            x = words[i:j + q]
+            if len(x) >= max(least, periods * q) and not any(all(x[t] == x[t + p] for t in range(len(x) - p)) for p in range(1, q)):
+                out.append((i, len(x), q))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def looped(doc_id, words):
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs_row(doc_id, text):
+    """(doc_id, n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256)"""
+    from fractions import Fraction
+
+    words = looped(doc_id, WORDS.findall(text or ""))
+    runs = periodic_runs(words)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
+    return (doc_id, len(runs), *best, best[1] and 1000 * best[1] // best[2], sha("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()),
+            sha(" ".join(w for i, w in enumerate(words) if i not in gone).encode()))
