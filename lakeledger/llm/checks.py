@@ -61,3 +61,51 @@ gone as (select distinct doc_id, unnest(range(s + q, s + l)) as i from run),
 rest as (select t.doc_id, string_agg(x, ' ' order by t.i) as kept from t left join gone using (doc_id, i) where gone.i is null group by 1)
 select d.doc_id, coalesce(n_runs, 0) as n_runs, s as start, l as length, q as period, 1000 * l // q as exponent_milli, sha256(coalesce(r, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
 from d left join listed using (doc_id) left join best using (doc_id) left join rest using (doc_id)"""
+
+#: Backwards over the rows of all conversations at once: for each state the cheapest (cost, audit, repaired text) from a
+#: row on. Of two ways with the same next letter and state the rest decides, so the least (cost, audit) is kept whole.
+REPAIRS = rf"""with recursive raw as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as k from conversations),
+rows as (select conv_id, turn, case when k = 4 then 'user' else role end as role, case when k = 1 then '' when k = 2 then translate(text, '.!?', '') else text end as text, unnest(range(case k when 0 then 0 when 3 then 2 else 1 end)) as copy from raw),
+seen as (select *, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as last, row_number() over w as i, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as nth, lag(role[1]) over w as before
+  from rows window w as (partition by conv_id order by turn nulls first, role, md5(text), copy)),
+fault as (select *, case when last = '' then 1 when nth > 1 then 2 when last not in ('.', '!', '?') then 3 else 0 end as f from seen),
+n as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (f = 1) as blank, count(*) filter (f = 2) as duplicate, count(*) filter (f = 3) as truncated,
+  count(*) filter (before is not null and before || role[1] not in ('su', 'ua', 'au')) as illegal from fault group by 1),
+way as (select conv_id, n as i, [struct_pack(c := 0, a := '', t := ''), struct_pack(c := 4, a := 'II', t := 'user:' || chr(10) || 'assistant:' || chr(10)), struct_pack(c := 2, a := 'I', t := 'assistant:' || chr(10)), struct_pack(c := 0, a := '', t := '')] as v from n
+  union all select conv_id, i - 1, [w0, w1, w2, w3] from (select conv_id, i,
+    list_min([b0, struct_pack(c := b2.c + 2, a := 'I' || b2.a, t := u || b2.t), struct_pack(c := b3.c + 4, a := 'II' || b3.a, t := u || s || b3.t)]) as w0,
+    list_min([b1, struct_pack(c := b2.c + 2, a := 'I' || b2.a, t := u || b2.t), struct_pack(c := b3.c + 4, a := 'II' || b3.a, t := u || s || b3.t)]) as w1,
+    list_min([b2, struct_pack(c := b3.c + 2, a := 'I' || b3.a, t := s || b3.t)]) as w2, list_min([b3, struct_pack(c := b2.c + 2, a := 'I' || b2.a, t := u || b2.t)]) as w3
+  from (select w.conv_id, w.i, 'user:' || chr(10) as u, 'assistant:' || chr(10) as s,
+    list_min([struct_pack(c := v[1].c + 3, a := 'D' || v[1].a, t := v[1].t), struct_pack(c := v[3].c + 2 + e, a := 'R' || v[3].a, t := 'user:' || x || v[3].t),
+      struct_pack(c := (case r when 's' then v[2].c when 'u' then v[3].c else 1000000000 end) + e, a := 'K' || (case r when 's' then v[2].a else v[3].a end), t := role || ':' || x || (case r when 's' then v[2].t else v[3].t end))]) as b0,
+    list_min([struct_pack(c := v[2].c + 3, a := 'D' || v[2].a, t := v[2].t), struct_pack(c := v[3].c + 2 + e, a := 'R' || v[3].a, t := 'user:' || x || v[3].t),
+      struct_pack(c := (case r when 'u' then v[3].c else 1000000000 end) + e, a := 'K' || v[3].a, t := role || ':' || x || v[3].t)]) as b1,
+    list_min([struct_pack(c := v[3].c + 3, a := 'D' || v[3].a, t := v[3].t), struct_pack(c := v[4].c + 2 + e, a := 'R' || v[4].a, t := 'assistant:' || x || v[4].t),
+      struct_pack(c := (case r when 'a' then v[4].c else 1000000000 end) + e, a := 'K' || v[4].a, t := role || ':' || x || v[4].t)]) as b2,
+    list_min([struct_pack(c := v[4].c + 3, a := 'D' || v[4].a, t := v[4].t), struct_pack(c := v[3].c + 2 + e, a := 'R' || v[3].a, t := 'user:' || x || v[3].t),
+      struct_pack(c := (case r when 'u' then v[3].c else 1000000000 end) + e, a := 'K' || v[3].a, t := role || ':' || x || v[3].t)]) as b3
+  from way w join (select *, role[1] as r, text || chr(10) as x, case f when 0 then 0 when 3 then 1 else 1000000000 end as e from fault) q on q.conv_id is not distinct from w.conv_id and q.i = w.i))),
+best as (select n.*, v[1] as v from way join n on n.conv_id is not distinct from way.conv_id where i = 0)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  cast(coalesce(v.c, 0) as bigint) as cost, coalesce(v.a, '') as audit, sha256(coalesce(v.t[:-2], '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join best b on b.conv_id is not distinct from c.conv_id"""
+
+#: Terms of the band, their subsets, and a hash for each subset that a text has a term in.
+PRINTS = r"""with d as materialized (select doc_id, coalesce(text, '') as x, length(coalesce(text, '')) as n from documents where doc_id is not null),
+nx as (select *, coalesce(lead(x) over w, first_value(x) over w) as y, coalesce(lead(doc_id) over w, first_value(doc_id) over w) as next_id from d window w as (order by doc_id, sha256(x))),
+e as materialized (select *, x[:n - n // 2] || y[:n // 2] as z from nx),
+t as materialized (select doc_id, 0 as which, unnest(list_distinct(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda v: v <> ''))) as term from e
+  union all select doc_id, 1, unnest(list_distinct(list_filter(string_split_regex(z, '[\x20\x09-\x0D]+'), lambda v: v <> ''))) from e),
+lex as materialized (select term from t where which = 0 group by 1 having count(*) * 2000 >= (select count(*) from d) and count(*) * 50 <= (select count(*) from d)),
+sub as materialized (select term, k from lex, range(32) r(k) where k = 0 or ('0x' || substr(md5(term || ':' || k), 1, 4))::bigint % (1 << ((k + 3) // 4)::int) = 0),
+piece as materialized (select doc_id, which, k, substr(md5(string_agg(term, ' ' order by term)), 1, 8) as h from t join sub using (term) group by 1, 2, 3),
+held as (select distinct doc_id, which from piece),
+every as materialized (select b.doc_id, b.which, r.k, case when s.doc_id is null then substr(sha256(case when b.which = 0 then x else z end), 1, 8) else coalesce(h, '00000000') end as h
+  from (select doc_id, x, z, unnest([0, 1]) as which from e) b cross join range(32) r(k) left join held s on s.doc_id = b.doc_id and s.which = b.which left join piece p on p.doc_id = b.doc_id and p.which = b.which and p.k = r.k),
+print as (select doc_id, which, string_agg(h, '' order by k) as f from every group by 1, 2),
+near as (select e.doc_id, count(*) filter (a.h = b.h and a.h <> '00000000') / count(*) filter (a.h <> '00000000' or b.h <> '00000000') as near_edited,
+  count(*) filter (a.h = c.h and a.h <> '00000000') / count(*) filter (a.h <> '00000000' or c.h <> '00000000') as near_next
+  from e join every a on a.doc_id = e.doc_id and a.which = 0 join every b on b.doc_id = e.doc_id and b.which = 1 and b.k = a.k join every c on c.doc_id = e.next_id and c.which = 0 and c.k = a.k group by 1)
+select doc_id, n as n_chars, sha256(z) as edited_sha256, p.f as fingerprint, q.f as edited_fingerprint, near_edited, near_next
+from e join print p using (doc_id) join print q using (doc_id) join near using (doc_id) where p.which = 0 and q.which = 1"""

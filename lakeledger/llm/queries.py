@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, checks, collisions, language, onebit, packing, periodic, phrases, pseudo_likelihood, simhash, suffixes, warc
+from lakeledger.llm import bpe, checks, collisions, imatch, language, onebit, packing, periodic, phrases, pseudo_likelihood, simhash, suffixes, turn_repair, warc
 from lakeledger.session import configure
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -17,7 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {
     "op2_phrase_automata": checks.PASSAGES, "op6_merged_transforms": checks.STRINGS,
     "op7_collision_counting": checks.LINKS, "op9_monolithic_warc": checks.RECORDS,
-    "op12_frequency_splitting": checks.RUNS,
+    "op11_run_length_repair": checks.REPAIRS, "op12_frequency_splitting": checks.RUNS,
+    "op13_imatch_bands": checks.PRINTS,
 }
 
 
@@ -93,7 +94,19 @@ def op10_masked_pseudo_likelihood(table) -> DataFrame:
     return pseudo_likelihood.score_documents(table("documents"))
 
 
+@query
+def op11_run_length_repair(table) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation, a quarter of whose rows are damaged first."""
+    return turn_repair.repair(turn_repair.damage(table("conversations")), copies="copies", digests=True)
+
+
 @query
 def op12_frequency_splitting(table) -> DataFrame:
     """Periodic runs of every document, a tenth of them with a looped tail, and what is left without the repeats."""
     return periodic.collapse_runs(table("documents"), alter=periodic.loop_tail, digests=True)
+
+
+@query
+def op13_imatch_bands(table) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness to each other and to the next one's."""
+    return imatch.fingerprints(table("documents"))

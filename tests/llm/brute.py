@@ -171,3 +171,65 @@ def runs_row(doc_id, text):
     best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
     return (doc_id, len(runs), *best, best[1] and 1000 * best[1] // best[2], sha("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()),
             sha(" ".join(w for i, w in enumerate(words) if i not in gone).encode()))
+
+
+def damaged(rows):
+    """(conv, turn, role, text) after the damage, in order; dict conv -> rows."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        k = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+        out[conv] += [(turn, "user" if k == 4 else role, text)] * {0: 0, 3: 2}.get(k, 1)
+    return {c: sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, x[1])) for c, r in out.items()}
+
+
+def faults(rows):
+    seen, out = set(), []
+    for _, role, text in rows:
+        body = WORDS.findall(text)
+        out.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1][-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def cheapest_edits(rows):
+    """(cost, audit, repaired rows) for (role, text, fault) rows, over all edits in every state of the pattern."""
+    import functools
+
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    @functools.cache
+    def best(i, state, inserts):
+        found = []
+        if i == len(rows) and state in ("", "a"):
+            found.append((0, "", ()))
+        for role in ("user", "assistant"):
+            if inserts < 4 and (to := after.get((state, role[0]))):
+                cost, audit, rest = best(i, to, inserts + 1)
+                found.append((cost + 2, "I" + audit, ((role, ""), *rest)))
+        if i < len(rows):
+            role, text, fault = rows[i]
+            cost, audit, rest = best(i + 1, state, 0)
+            found.append((cost + 3, "D" + audit, rest))
+            if fault not in ("blank", "duplicate"):
+                for letter, new in (("K", role), ("R", "user"), ("R", "assistant")):
+                    if to := after.get((state, new[:1])):
+                        cost, audit, rest = best(i + 1, to, 0)
+                        found.append((cost + 2 * (letter == "R") + (fault == "truncated"), letter + audit, ((new, text), *rest)))
+        return min(found) if found else (10**9, "", ())
+    for i in range(len(rows), 0, -1):  # from the end, so that no call goes deep
+        for state in ("", "s", "u", "a"):
+            best(i, state, 0)
+    return best(0, "", 0)
+
+
+def repairs(rows):
+    """conv -> (gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256)"""
+    out = {}
+    for conv, mine in damaged(rows).items():
+        kinds, turns = faults(mine), [t for t, _, _ in mine if t is not None]
+        cost, audit, left = cheapest_edits(tuple((r, x, f) for (_, r, x), f in zip(mine, kinds, strict=True)))
+        out[conv] = (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(kinds.count(k) for k in ("blank", "duplicate", "truncated")),
+                     sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(mine, mine[1:], strict=False)), cost, audit, sha("\n".join(f"{r}:{x}" for r, x in left).encode()))
+    return out
