@@ -18,7 +18,7 @@ NOTHING = "0" * HEX  # for a subset without a term of the text
 BROADCAST_BYTES = 32 << 20  # a lexicon of at most this size travels to the tasks; a larger one is joined by shuffles
 BUCKET_CHARS = 8 << 20  # text of one bucket of neighbouring ids, about
 MOST_BUCKETS = 1 << 16
-SETTING = "spark.sql.execution.replaceHashWithSortAgg"  # rows come grouped: an aggregate needs no table of groups
+GROUPS = ("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "16384")  # documents of a partition, gathered without a sort
 
 
 def terms(text: Column) -> Column:
@@ -33,17 +33,16 @@ def lexicon(docs: DataFrame, n: int, text: str = "text", rarest: int = RAREST, c
     All documents are counted, combined in each partition. A document has so many terms, and a term of the lexicon is in
     n / rarest documents at least, so there are at most ``rarest`` times as many terms as a document has on average."""
     counted = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    member = lambda k: F.conv(F.substring(F.md5(F.concat("term", F.lit(f":{k}"))), 1, 4), 16, 10).cast("long") % (1 << (k + 3) // 4) == 0
+    member = lambda k: F.conv(F.substring(F.md5(F.concat("term", F.lit(f":{k // 8}"))), 1 + k % 8 * 4, 4), 16, 10).cast("long") % (1 << (k + 3) // 4) == 0
     mask = sum((F.when(member(k), 1 << k).otherwise(0).cast("long") for k in range(1, SUBSETS)), F.lit(1).cast("long"))
     return counted.where((F.col("df") * rarest >= n) & (F.col("df") * commonest <= n)).select("term", mask.alias("mask"))
 
 
 def pieces(found: Column, whole: Column) -> Column:
     """A hash for each subset of the lexicon from ``found``, an array of (term, mask); without any term in the band, the
-    hash ``whole`` of the text in every place."""
-    ordered = F.sort_array(found)
+    hash ``whole`` of the text in every place. ``found`` is sorted."""
     joined = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.array_join(
-        F.transform(F.filter(ordered, lambda t: F.call_function("getbit", t["mask"], k) == 1), lambda t: t["term"]), " "))
+        F.transform(F.filter(found, lambda t: F.call_function("getbit", t["mask"], k) == 1), lambda t: t["term"]), " "))
     hashed = F.transform(joined, lambda j: F.when(j == "", NOTHING).otherwise(F.substring(F.md5(j), 1, HEX)))
     return F.when(F.size(found) == 0, F.array_repeat(F.substring(whole, 1, HEX), SUBSETS)).otherwise(hashed)
 
@@ -90,11 +89,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ra
     empty. Rows without an id are left out; rows that repeat an id stand by the hash of their text, each with a row of the
     result, and the next one may be a copy. Other columns do not matter; an empty table gives an empty one.
 
-    Texts are shuffled once, to buckets of neighbouring ids, where the next document, the terms' aggregate and the next
-    fingerprint all use that one order. The lexicon is a written table; it is broadcast up to ``broadcast_bytes``.
+    Texts are shuffled once, to buckets of neighbouring ids with about ``bucket_chars`` of text each, where the next
+    document, the terms of a text and the next fingerprint are found without another exchange. The lexicon is a written
+    table; it is broadcast up to ``broadcast_bytes``, else joined by shuffles.
     """
     spark = docs.sparkSession
-    spark.conf.set(SETTING, "true")
+    spark.conf.set(*GROUPS)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
     firsts = first_ids(rows, min(MOST_BUCKETS, ceil((size["chars"] or 0) / bucket_chars) + 1)) or [0]
@@ -104,14 +104,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ra
 
     order = Window.partitionBy("bucket").orderBy("guard", "doc_id", "whole", "row")
     keys = ["bucket", "guard", "doc_id", "whole", "row"]
-    near = in_buckets(rows.withColumns({"whole": F.sha2("text", 256), "row": F.monotonically_increasing_id()}), firsts).withColumn("next", F.lead("text").over(order))
+    placed = in_buckets(rows.withColumns({"whole": F.sha2("text", 256), "row": F.monotonically_increasing_id()}), firsts)
+    near = placed.repartition(len(firsts), "bucket").withColumn("next", F.lead("text").over(order))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = near.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)))
     tagged = lambda c, which: F.transform(terms(F.col(c)), lambda t: F.struct(F.lit(which).alias("which"), t.alias("term")))
-    spread = (edited.select(*keys, F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                            F.explode_outer(F.concat(tagged("text", 0), tagged("edited", 1))).alias("t"))
-              .select(*keys, "n_chars", "edited_sha256", "t.which", "t.term").join(lex, "term", "left"))
-    kept = lambda which: F.collect_list(F.when((F.col("which") == which) & F.col("mask").isNotNull(), F.struct("term", "mask")))
+    # What is said once a text is computed before its terms are spread.
+    told = edited.select(*keys, F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.concat(tagged("text", 0), tagged("edited", 1)).alias("terms"))
+    spread = told.select(*keys, "n_chars", "edited_sha256", F.explode_outer("terms").alias("t")).select(*keys, "n_chars", "edited_sha256", "t.which", "t.term").join(lex, "term", "left")
+    kept = lambda which: F.sort_array(F.collect_list(F.when((F.col("which") == which) & F.col("mask").isNotNull(), F.struct("term", "mask"))))
     grouped = spread.groupBy(*keys).agg(F.first("n_chars").alias("n_chars"), F.first("edited_sha256").alias("edited_sha256"), kept(0).alias("own"), kept(1).alias("changed"))
     printed = grouped.select(*keys, "n_chars", "edited_sha256", pieces(F.col("own"), F.col("whole")).alias("a"), pieces(F.col("changed"), F.col("edited_sha256")).alias("b"))
     return (printed.withColumn("c", F.lead("a").over(order)).where("guard = 0")
