@@ -98,11 +98,11 @@ e as materialized (select *, x[:n - n // 2] || y[:n // 2] as z from nx),
 t as materialized (select doc_id, 0 as which, unnest(list_distinct(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda v: v <> ''))) as term from e
   union all select doc_id, 1, unnest(list_distinct(list_filter(string_split_regex(z, '[\x20\x09-\x0D]+'), lambda v: v <> ''))) from e),
 lex as materialized (select term from t where which = 0 group by 1 having count(*) * 2000 >= (select count(*) from d) and count(*) * 50 <= (select count(*) from d)),
-sub as materialized (select term, k from lex, range(32) r(k) where k = 0 or ('0x' || substr(md5(term || ':' || k // 8), 1 + k % 8 * 4, 4))::bigint % (1 << ((k + 3) // 4)::int) = 0),
+sub as materialized (select term, k from lex, range(33) r(k) where k = 0 or ('0x' || substr(md5(term), 1, 8))::bigint // (1 << (8 * ((k - 1) // 8))::int) % (1 << ((k - 1) % 8 + 1)::int) = 0),
 piece as materialized (select doc_id, which, k, substr(md5(string_agg(term, ' ' order by term)), 1, 8) as h from t join sub using (term) group by 1, 2, 3),
 held as (select distinct doc_id, which from piece),
 every as materialized (select b.doc_id, b.which, r.k, case when s.doc_id is null then substr(sha256(case when b.which = 0 then x else z end), 1, 8) else coalesce(h, '00000000') end as h
-  from (select doc_id, x, z, unnest([0, 1]) as which from e) b cross join range(32) r(k) left join held s on s.doc_id = b.doc_id and s.which = b.which left join piece p on p.doc_id = b.doc_id and p.which = b.which and p.k = r.k),
+  from (select doc_id, x, z, unnest([0, 1]) as which from e) b cross join range(33) r(k) left join held s on s.doc_id = b.doc_id and s.which = b.which left join piece p on p.doc_id = b.doc_id and p.which = b.which and p.k = r.k),
 print as (select doc_id, which, string_agg(h, '' order by k) as f from every group by 1, 2),
 near as (select e.doc_id, count(*) filter (a.h = b.h and a.h <> '00000000') / count(*) filter (a.h <> '00000000' or b.h <> '00000000') as near_edited,
   count(*) filter (a.h = c.h and a.h <> '00000000') / count(*) filter (a.h <> '00000000' or c.h <> '00000000') as near_next

@@ -9,10 +9,12 @@ from math import ceil, isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeledger.functions.columns import let
 from lakeledger.session import cut_lineage
 
 RAREST, COMMONEST = 2000, 50  # a term of the band is in at least one of 2000 documents and at most in one of 50
-SUBSETS = 32  # the whole lexicon, then four random parts each with a half, a quarter, ... of its terms
+FAMILIES, LEVELS = 4, 8  # the subsets: the whole lexicon, then four times a random half of it, a half of that, and so on
+SUBSETS = 1 + FAMILIES * LEVELS
 HEX = 8  # digits of the hash of each subset
 NOTHING = "0" * HEX  # for a subset without a term of the text
 BROADCAST_BYTES = 32 << 20  # a lexicon of at most this size travels to the tasks; a larger one is joined by shuffles
@@ -28,23 +30,29 @@ def terms(text: Column) -> Column:
 
 def lexicon(docs: DataFrame, n: int, text: str = "text", rarest: int = RAREST, commonest: int = COMMONEST) -> DataFrame:
     """``term, mask`` of the terms that at least one of ``rarest`` and at most one of ``commonest`` of the ``n`` documents
-    have; bit k of the mask tells that the term is in the k-th subset, by its own hash.
+    have. The mask is a hash of the term, with a byte for each family of subsets: a term is in the subset of a level if so
+    many low bits of the byte are zero.
 
     All documents are counted, combined in each partition. A document has so many terms, and a term of the lexicon is in
     n / rarest documents at least, so there are at most ``rarest`` times as many terms as a document has on average."""
     counted = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    member = lambda k: F.conv(F.substring(F.md5(F.concat("term", F.lit(f":{k // 8}"))), 1 + k % 8 * 4, 4), 16, 10).cast("long") % (1 << (k + 3) // 4) == 0
-    mask = sum((F.when(member(k), 1 << k).otherwise(0).cast("long") for k in range(1, SUBSETS)), F.lit(1).cast("long"))
-    return counted.where((F.col("df") * rarest >= n) & (F.col("df") * commonest <= n)).select("term", mask.alias("mask"))
+    return (counted.where((F.col("df") * rarest >= n) & (F.col("df") * commonest <= n))
+            .select("term", F.conv(F.substring(F.md5("term"), 1, 2 * FAMILIES), 16, 10).cast("long").alias("mask")))
 
 
 def pieces(found: Column, whole: Column) -> Column:
-    """A hash for each subset of the lexicon from ``found``, an array of (term, mask); without any term in the band, the
-    hash ``whole`` of the text in every place. ``found`` is sorted."""
-    joined = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.array_join(
-        F.transform(F.filter(found, lambda t: F.call_function("getbit", t["mask"], k) == 1), lambda t: t["term"]), " "))
-    hashed = F.transform(joined, lambda j: F.when(j == "", NOTHING).otherwise(F.substring(F.md5(j), 1, HEX)))
-    return F.when(F.size(found) == 0, F.array_repeat(F.substring(whole, 1, HEX), SUBSETS)).otherwise(hashed)
+    """A hash for each subset of the lexicon from ``found``, the sorted (term, mask) of a text; without any term in the
+    band, the hash ``whole`` of the text in every place. A subset is sifted from the one before it in its family."""
+    hashed = lambda held: F.when(F.size(held) == 0, NOTHING).otherwise(F.substring(F.md5(F.array_join(F.transform(held, lambda t: t["term"]), " ")), 1, HEX))
+
+    def family(f: int) -> Column:
+        bits = F.array(*[F.lit(((1 << level) - 1) << 8 * f).cast("long") for level in range(1, LEVELS + 1)])
+        start = F.struct(found.alias("held"), F.array().cast("array<string>").alias("out"))
+        sift = lambda s, low: let(F.filter(s["held"], lambda t: t["mask"].bitwiseAND(low) == 0),
+                                  lambda held: F.struct(held.alias("held"), F.array_append(s["out"], hashed(held)).alias("out")))
+        return F.aggregate(bits, start, sift)["out"]
+
+    return F.when(F.size(found) == 0, F.array_repeat(F.substring(whole, 1, HEX), SUBSETS)).otherwise(F.concat(F.array(hashed(found)), *map(family, range(FAMILIES))))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -79,8 +87,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ra
                  broadcast_bytes: int = BROADCAST_BYTES, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """Fingerprint of every text, and how like it are those of an edited text and of the next document.
 
-    Terms are distinct words; those of the band (``lexicon``) are sorted, joined and hashed for each of 32 subsets of the
-    lexicon. A fingerprint is the 32 hashes in hex, zeros for a subset without a term of the text; a text without any term
+    Terms are distinct words; those of the band (``lexicon``) are sorted, joined and hashed for each of 33 subsets of the
+    lexicon. A fingerprint is the 33 hashes in hex, zeros for a subset without a term of the text; a text without any term
     of the band has the hash of its whole text in all places. Two fingerprints are like each other by the share of equal
     hashes among the subsets that one of them has a term in. In the edited text the last ``floor(n_chars / 2)``
     characters have been replaced by as many first ones of the next document by id (after the last, the first), or by all.
@@ -102,19 +110,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ra
     lex_bytes = lex.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
     lex = F.broadcast(lex) if lex_bytes <= broadcast_bytes else lex
 
+    # A row's number tells copies apart; with its bucket and guard it stands for one text.
+    keys, told = ["bucket", "guard", "row"], ["doc_id", "whole", "n_chars", "edited_sha256"]
     order = Window.partitionBy("bucket").orderBy("guard", "doc_id", "whole", "row")
-    keys = ["bucket", "guard", "doc_id", "whole", "row"]
     placed = in_buckets(rows.withColumns({"whole": F.sha2("text", 256), "row": F.monotonically_increasing_id()}), firsts)
     near = placed.repartition(len(firsts), "bucket").withColumn("next", F.lead("text").over(order))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = near.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)))
-    tagged = lambda c, which: F.transform(terms(F.col(c)), lambda t: F.struct(F.lit(which).alias("which"), t.alias("term")))
     # What is said once a text is computed before its terms are spread.
-    told = edited.select(*keys, F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.concat(tagged("text", 0), tagged("edited", 1)).alias("terms"))
-    spread = told.select(*keys, "n_chars", "edited_sha256", F.explode_outer("terms").alias("t")).select(*keys, "n_chars", "edited_sha256", "t.which", "t.term").join(lex, "term", "left")
+    both = F.array(*[F.struct(F.lit(k).alias("which"), terms(F.col(c)).alias("terms")) for k, c in enumerate(("text", "edited"))])
+    spread = (edited.select(*keys, "doc_id", "whole", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.explode(both).alias("t"))
+              .select(*keys, *told, "t.which", F.explode_outer("t.terms").alias("term")).join(lex, "term", "left"))
     kept = lambda which: F.sort_array(F.collect_list(F.when((F.col("which") == which) & F.col("mask").isNotNull(), F.struct("term", "mask"))))
-    grouped = spread.groupBy(*keys).agg(F.first("n_chars").alias("n_chars"), F.first("edited_sha256").alias("edited_sha256"), kept(0).alias("own"), kept(1).alias("changed"))
-    printed = grouped.select(*keys, "n_chars", "edited_sha256", pieces(F.col("own"), F.col("whole")).alias("a"), pieces(F.col("changed"), F.col("edited_sha256")).alias("b"))
+    grouped = spread.groupBy(*keys).agg(*[F.first(c).alias(c) for c in told], kept(0).alias("own"), kept(1).alias("changed"))
+    printed = grouped.select(*keys, *told, pieces(F.col("own"), F.col("whole")).alias("a"), pieces(F.col("changed"), F.col("edited_sha256")).alias("b"))
     return (printed.withColumn("c", F.lead("a").over(order)).where("guard = 0")
             .select(F.col("doc_id").alias(id_col), "n_chars", "edited_sha256", F.array_join("a", "").alias("fingerprint"), F.array_join("b", "").alias("edited_fingerprint"),
                     likeness(F.col("a"), F.col("b")).alias("near_edited"), likeness(F.col("a"), F.col("c")).alias("near_next")))

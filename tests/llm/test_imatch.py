@@ -27,8 +27,9 @@ def plain(docs, rarest=imatch.RAREST, commonest=imatch.COMMONEST):
     def pieces(text):
         own = sorted(set(brute.WORDS.findall(text)) & band, key=str.encode)
         if not own:
-            return [brute.sha(text.encode())[:8]] * 32
-        parts = [[w for w in own if k == 0 or int(md5(f"{w}:{k // 8}")[k % 8 * 4:][:4], 16) % 2 ** ((k + 3) // 4) == 0] for k in range(32)]
+            return [brute.sha(text.encode())[:8]] * 33
+        bits = {w: int(md5(w)[:8], 16) for w in own}
+        parts = [own] + [[w for w in own if (bits[w] >> 8 * f) % 2 ** level == 0] for f in range(4) for level in range(1, 9)]
         return [md5(" ".join(p))[:8] if p else "0" * 8 for p in parts]
 
     def like(a, b):
