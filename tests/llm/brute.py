@@ -89,6 +89,20 @@ def simhash_classes(docs, distance=3):
     return {d: (f"{fp[d]:016x}", parts[d]) for d in fp}
 
 
+def first_of_similar(docs, least=0.8, size=5):
+    """Ids that are the least of what links of that share of common word shingles reach; all pairs are compared."""
+    def shingles(text):
+        w = re.sub("[A-Z]", lambda c: c[0].lower(), text or "")
+        w = WORDS.findall(w)
+        return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} or {tuple(w)}
+
+    sets = {d: shingles(t) for d, t in docs}
+    ids = list(sets)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least]
+    parts = components(ids, links)
+    return {d for d in ids if parts[d] == d}
+
+
 def sound(v):
     return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v)
 
