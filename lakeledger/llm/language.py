@@ -19,6 +19,8 @@ CALIBRATION = 5  # every fifth of them is kept from the counts, to set the limit
 ALPHABET = 1000  # characters among which the unigram model spreads what it has not seen
 SHARPNESS = 10.0  # of the score: how far a nat per character tells two languages apart
 KEPT = 200_000  # words whose likelihoods a worker remembers
+WINDOWS = 400_000  # windows of characters whose likelihoods it remembers
+MOST_LANGUAGES = 500  # languages that are learned, those with the most labelled rows: bounds what travels to the tasks
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 BEFORE, AFTER = "\x02", "\x03"
@@ -123,18 +125,22 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def train(docs: DataFrame, usable: Column, order: int = ORDER, sample_rows: int = SAMPLE_ROWS) -> dict[str, Model]:
-    """A model for each language among ``text, lang, doc_id`` rows that are ``usable`` and have both.
+def train(docs: DataFrame, usable: Column, order: int = ORDER, sample_rows: int = SAMPLE_ROWS, most_languages: int = MOST_LANGUAGES) -> dict[str, Model]:
+    """A model for each language among ``text, lang, doc_id`` rows that are ``usable`` and have both; other columns do not matter.
 
     Fitted to at most ``sample_rows`` rows of each language, the first by a hash of the id: a bound that does not
-    grow with the input. Each of them counts as a whole text.
+    grow with the input. Each of them counts as a whole text. Of more than ``most_languages`` values of ``lang`` those
+    with the most rows are learned, ties by name.
     """
+    docs = docs.select("doc_id", "text", "lang")
     key = F.xxhash64(F.col("doc_id").cast("string"))
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", key.alias("key"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    learned = [r["lang"] for r in sizes.orderBy(F.desc("size"), "lang").limit(most_languages).collect()]
     first = Window.partitionBy("lang").orderBy("key", "doc_id")
-    sample = (rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_rows)
+    sample = (rows.where(F.col("lang").isin(learned)).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_rows)
               .select("doc_id", F.col("lang").alias("tag"), "nth"))
-    # The ids are few, so that their texts are found without moving the others.
+    # The ids are at most most_languages times sample_rows, so that their texts are found without moving the others.
     texts = docs.join(F.broadcast(sample), "doc_id").where(F.col("lang") == F.col("tag")).select("tag", "nth", "text")
 
     def one(tag: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -167,7 +173,8 @@ def train(docs: DataFrame, usable: Column, order: int = ORDER, sample_rows: int
 
 
 class Identifier:
-    """Cross-entropies of texts under all models. Words are scored once and remembered."""
+    """Cross-entropies of texts under all models. Words are scored once and remembered, and so is each window of
+    characters that words share: a sorted array of their hashes, with the cost of the last character under each model."""
 
     def __init__(self, models: dict[str, Model]):
         self.tags, self.models = list(models), list(models.values())
@@ -176,6 +183,23 @@ class Identifier:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.costs = np.zeros((0, len(self.models) + 1))  # of each word: its cost under each model, its characters
+        self.windows, self.window_costs = np.zeros(0, np.uint64), np.zeros((0, len(self.models)))
+
+    def surprises(self, codes: np.ndarray) -> np.ndarray:
+        """Of each window and model, the cost of its latest character."""
+        keys, first, back = np.unique(gram_keys(codes, 0, codes.shape[1] - 1), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.windows, keys)
+        new = at == len(self.windows)
+        new[~new] = self.windows[at[~new]] != keys[~new]
+        if new.any():
+            fresh = codes[first[new]]
+            if len(self.windows) + len(fresh) > max(WINDOWS, 2 * len(keys)):  # start again with those of this call
+                self.windows, self.window_costs = keys, np.column_stack([m.surprise(codes[first]) for m in self.models])
+            else:
+                self.windows = np.insert(self.windows, at[new], keys[new])
+                self.window_costs = np.insert(self.window_costs, at[new], np.column_stack([m.surprise(fresh) for m in self.models]), axis=0)
+            at = np.searchsorted(self.windows, keys)
+        return self.window_costs[at][back]
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Of each text and model, nats a character; whether the text has a letter."""
@@ -186,7 +210,8 @@ class Identifier:
         for at in range(0, len(new), 20_000):
             part = new[at:at + 20_000]
             codes, word = windows(part, self.models[0].order)
-            cost = [np.bincount(word, weights=m.surprise(codes), minlength=len(part)) for m in self.models]
+            surprise = self.surprises(codes)
+            cost = [np.bincount(word, weights=surprise[:, k], minlength=len(part)) for k in range(len(self.models))]
             self.costs = np.vstack([self.costs, np.column_stack([*cost, np.bincount(word, minlength=len(part))])])
         sums = np.array([self.costs[x].sum(axis=0) if x else np.zeros(len(self.models) + 1) for x in lists])
         sums = sums.reshape(len(texts), len(self.models) + 1)
