@@ -9,7 +9,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeledger.session import cut_lineage, scratch_table
@@ -17,15 +17,23 @@ from lakeledger.session import cut_lineage, scratch_table
 LEAST_REVISIT = 1000  # bytes; smaller payloads are always stored
 ARCHIVE_BYTES = 64 << 20  # payload bytes after which a writer begins its next file
 READ = 1 << 20
+TASK_BYTES = 8 << 20  # compressed bytes that one task reads back, about
+MOST_TASKS = 20_000
 LEVEL = 1
 INDEX = "path string, page_id long, record_type string, offset long, length long"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark resolves it by; a bare path is one of the default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _open(folder: str):
-    """File system and path of a folder that driver and executors share, by its scheme."""
+    """File system and path of a qualified folder, which driver and executors share: ``file:/x``, ``file:///x`` or another scheme."""
     from pyarrow import fs
 
-    return (fs.LocalFileSystem(), folder.removeprefix("file://")) if folder.startswith(("/", "file:")) else fs.FileSystem.from_uri(folder)
+    return (fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if folder.startswith("file:") else fs.FileSystem.from_uri(folder)
 
 
 def record(page_id: int, url: str | None, kind: str, refers_to: int | None, digest: str, payload: bytes) -> bytes:
@@ -120,6 +128,8 @@ def write_archives(plan: DataFrame, folder: str) -> DataFrame:
     A task writes its rows in the order it reads them, a file at a time, and begins a new file after
     ``ARCHIVE_BYTES``. File names are new in each attempt: files of lost attempts are not in the result.
     """
+    folder = qualified(plan.sparkSession, folder)
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = _open(folder)
         fs.create_dir(base, recursive=True)
@@ -150,9 +160,16 @@ def write_archives(plan: DataFrame, folder: str) -> DataFrame:
     return plan.select("page_id", "url", "payload", "digest", "record_type", "refers_to").mapInPandas(write, "path string")
 
 
+def tasks(wanted: int) -> int:
+    """A number of partitions to ask for; each of more than ``MOST_TASKS`` holds several files."""
+    return max(1, min(wanted, MOST_TASKS))
+
+
 def normalise_archives(paths: DataFrame, folder: str) -> DataFrame:
     """Rewrite each archive below ``folder`` with one gzip member a record, next to a sidecar ``.idx`` file of tab
     separated page id, type, offset and length; gives the same index as rows (``INDEX``)."""
+    folder = qualified(paths.sparkSession, folder)
+
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, base = _open(folder)
         out.create_dir(base, recursive=True)
@@ -173,8 +190,8 @@ def normalise_archives(paths: DataFrame, folder: str) -> DataFrame:
                     if held:
                         yield pd.DataFrame(held, columns=["path", "page_id", "record_type", "offset", "length"])
 
-    # One file a task: a file is up to ARCHIVE_BYTES of payload and there are few.
-    return paths.repartition("path").mapInPandas(rewrite, INDEX)
+    # A range of one path each, by number: rows are tiny, so that by their size all of them would go to one task.
+    return paths.repartitionByRange(tasks(paths.count()), "path").mapInPandas(rewrite, INDEX)
 
 
 def read_records(index: DataFrame) -> DataFrame:
@@ -214,7 +231,9 @@ def read_records(index: DataFrame) -> DataFrame:
         df = pd.DataFrame(rows, columns=["page_id", "record_type", "refers_to", "digest", "payload", "payload_digest"])
         return df.astype({"refers_to": "Int64"})
 
-    return index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInPandas(read, schema)
+    size = index.agg(F.sum("length")).first()[0] or 0
+    return (index.select("path", "offset", "length").repartitionByRange(tasks(-(-size // TASK_BYTES)), "path", "offset")
+            .sortWithinPartitions("path", "offset").mapInPandas(read, schema))
 
 
 def archive(pages: DataFrame) -> DataFrame:
