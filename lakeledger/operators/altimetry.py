@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import (date_from_decimal_year, decimal_year_from_mjd, mjd_from_seconds)
-from lakeledger.operators.scale import exact_quantiles, running_sums
+from lakeledger.operators.scale import exact_quantiles, running_sums, select_ranks
 from lakeledger.session import cut_lineage
 
 # Fixed values.
 ELLIPSOID_OFFSET = 0.7
 RANGE_LIMIT = 5.0
 STD_LIMIT = 0.3
-BUCKETS = 64  # into which the distinct heights of a cycle are dealt
+PART = 4096  # distinct heights of a cycle that one bucket holds
 DIGITS = 9  # differences below a nanometre are rounding noise of the summation order
 
 
@@ -71,9 +71,15 @@ def iqr_filter(df: DataFrame, keys: Sequence[str], value: str = "height", short:
     return df.join(bounds, keys).where((F.col(value) > F.col("_low")) & (F.col(value) < F.col("_high"))).drop("_low", "_high")
 
 
-def _cuts(value: str | Column) -> Column:
-    """Bucket edges at even shares of the values, from a sketch, so that a far value does not fill one bucket."""
-    return F.percentile_approx(value, [k / BUCKETS for k in range(1, BUCKETS)], 50 * BUCKETS).alias("_cuts")
+def _dealt(df: DataFrame, cycle: Sequence[str], value: str, part: int) -> DataFrame:
+    """Adds ``_b``: buckets of about ``part`` rows in the order of ``value``, with exact edges. A cycle of fewer rows is one
+    bucket; only the values of larger ones are looked at for edges."""
+    sizes = df.groupBy(*cycle).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > part)
+    if sizes.isEmpty():
+        return df.withColumn("_b", F.lit(0))
+    edges = select_ranks(df.join(sizes, list(cycle), "left_semi"), cycle, value, lambda n: F.sequence(F.lit(part).cast("long"), n - 1, F.lit(part).cast("long")))
+    cuts = edges.groupBy(*cycle).agg(F.collect_set("value").alias("_cuts"))
+    return df.join(cuts, list(cycle), "left").withColumn("_b", F.coalesce(_bucket(F.col(value)), F.lit(0))).drop("_cuts")
 
 
 def _bucket(value: Column, cuts: str = "_cuts") -> Column:
@@ -92,7 +98,7 @@ def _prefix_std(k: Column, s: Column, q: Column) -> Column:
 
 
 def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", range_limit: float = RANGE_LIMIT,
-                 std_limit: float = STD_LIMIT) -> DataFrame:
+                 std_limit: float = STD_LIMIT, part: int = PART) -> DataFrame:
     """Accepted returns of each cycle.
 
     Where heights spread more than ``range_limit``, the best split into two groups (least squares)
@@ -104,8 +110,8 @@ def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", ran
     cycle, h = list(cycle), F.col(value)
     levels = cut_lineage(df.where(h.isNotNull()).groupBy(*cycle, value).agg(F.count(F.lit(1)).alias("_c")))
     spread = levels.groupBy(*cycle).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_c").alias("_n"),
-                                        (F.sum(h * F.col("_c")) / F.sum("_c")).alias("_avg"), _cuts(value))
-    wide = levels.join(spread, cycle).where(F.col("_hi") - F.col("_lo") > range_limit).withColumn("_b", _bucket(h)).drop("_cuts")
+                                        (F.sum(h * F.col("_c")) / F.sum("_c")).alias("_avg"))
+    wide = _dealt(levels.join(spread, cycle).where(F.col("_hi") - F.col("_lo") > range_limit), cycle, value, part)
     run = running_sums(wide, cycle, "_b", value, {"_n1": F.col("_c"), "_s1": (h - F.col("_avg")) * F.col("_c")})
     rest = F.col("_n") - F.col("_n1")
     cut = run.where(rest > 0).groupBy(*cycle).agg(F.max_by(
@@ -117,8 +123,7 @@ def clean_cycles(df: DataFrame, cycle: Sequence[str], value: str = "height", ran
     kept = levels.join(cut, cycle).where(side)
     centre = kept.groupBy(*cycle).agg((F.sum(h * F.col("_c")) / F.sum("_c")).alias("_centre"))
     dist = kept.join(centre, cycle).withColumn("_d", h - F.col("_centre")).withColumn("_e", F.round(F.abs("_d"), DIGITS))
-    dist = dist.join(dist.groupBy(*cycle).agg(_cuts("_e")), cycle).withColumn("_b", _bucket(F.col("_e"))).drop("_cuts")
-    run = running_sums(dist, cycle, "_b", "_e", {"_k": F.col("_c"), "_s": F.col("_d") * F.col("_c"), "_q": F.col("_d") * F.col("_d") * F.col("_c")})
+    run = running_sums(_dealt(dist, cycle, "_e", part), cycle, "_b", "_e", {"_k": F.col("_c"), "_s": F.col("_d") * F.col("_c"), "_q": F.col("_d") * F.col("_d") * F.col("_c")})
     reach = run.groupBy(*cycle).agg(F.max(F.when(_prefix_std(F.col("_k"), F.col("_s"), F.col("_q")) <= std_limit, F.col("_e"))).alias("_reach"))
     limits = cut.join(centre, cycle).join(reach, cycle)
     near = F.round(F.abs(h - F.col("_centre")), DIGITS) <= F.col("_reach")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,38 +101,69 @@ def area_threshold(area: Column, legacy: bool = False) -> Column:
     return area * percent / 100.0
 
 
-def _mean(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+def _first_at(x: Column, low: Column, high: Column, past: Callable[[Column], Column]) -> Column:
+    """The first index from ``low`` on, and below ``high``, whose element is ``past`` a limit; ``high`` if none is. Elements ascend."""
+    def halve(s, _):
+        middle = F.floor((s["a"] + s["b"]) / 2).cast("int")
+        over = past(F.get(x, middle))
+        return F.when(s["a"] >= s["b"], s).when(over, F.struct(s["a"].alias("a"), middle.alias("b"))).otherwise(F.struct((middle + 1).alias("a"), s["b"].alias("b")))
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(high - low + 1)).cast("int") + 1)
+    return F.aggregate(steps, F.struct(low.alias("a"), high.alias("b")), halve)["a"]
 
 
-def sigma_clip(values: Column, low: float = 2.0, high: float = 2.0) -> Column:
-    """Array without the values outside mean - low*std .. mean + high*std, repeated until stable.
+def clipped_medians(df: DataFrame, keys: Sequence[str], value: str, low: float = 2.0, high: float = 2.0) -> DataFrame:
+    """``keys, n, kept, lowest, highest, median`` of the values that iterated clipping leaves of each key.
 
-    A round that is not stable drops a value, so there are at most as many rounds as values."""
-    start = F.struct(values.cast("array<double>").alias("v"), (F.size(values) < 2).alias("stable"))
-
-    def once(acc, _):
-        v = acc["v"]
-
-        def with_mean(m):
-            def with_std(s):
-                return F.filter(v, lambda x: (x >= m - F.lit(low) * s) & (x <= m + F.lit(high) * s))
-            spread = F.aggregate(v, F.lit(0.0), lambda t, x: t + (x - m) * (x - m))
-            return let(F.sqrt(spread / F.size(v)), with_std)
-
-        def checked(kept):
-            return F.struct(kept.alias("v"), ((F.size(kept) == F.size(v)) | (F.size(kept) < 2)).alias("stable"))
-        return F.when(acc["stable"], acc).otherwise(let(let(_mean(v), with_mean), checked))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1))), start, once)["v"]
-
-
-def array_median(values: Column) -> Column:
-    """Median of an array of numbers."""
-    def middle(s):
-        n = F.size(s)
-        low = F.get(s, F.floor((n - 1) / 2).cast("int"))
-        return (low + F.get(s, F.floor(n / 2).cast("int"))) / 2
-    return F.when(F.size(values) > 0, let(F.array_sort(values), middle))
+    Values outside mean - low*std .. mean + high*std of those that are left go (population standard deviation), until none
+    does. They are ordered once; as what is left is always a range of that order, a round needs the sums of a range, which are
+    differences of running sums, and two binary searches for its new ends. Running sums are of deviations from the median and run outwards
+    from it, so that far values do not blur them; where the spread is small beside the distance from the median, the
+    range is summed anew. Rows with a NULL value do not count; a key without a value has no row.
+    """
+    keys = list(keys)
+    whole, up, down = (Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_v"), Window.partitionBy(*keys).orderBy(F.col("_i").desc()))
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = rows.withColumn("_i", F.row_number().over(up) - 1).withColumn("_n", F.count(F.lit(1)).over(whole).cast("int"))
+    middle = F.floor(F.col("_n") / 2)
+    rows = rows.withColumn("_centre", F.max(F.when(F.col("_i") == middle, F.col("_v"))).over(whole)).withColumn("_x", F.col("_v") - F.col("_centre"))
+    above = F.col("_i") >= middle
+    by = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"_g": F.col("_x"), "_h": F.col("_x") * F.col("_x")}
+    for name, part in sums.items():
+        over, under = F.when(above, part).otherwise(F.lit(0.0)), F.when(above, F.lit(0.0)).otherwise(part)
+        rows = rows.withColumn(name, F.when(above, F.coalesce(F.sum(over).over(by), F.lit(0.0))).otherwise(-F.sum(under).over(down.rowsBetween(Window.unboundedPreceding, 0))))
+    last = F.max(F.struct("_i", (F.col("_g") + F.col("_x")).alias("_g"), (F.col("_h") + F.col("_x") * F.col("_x")).alias("_h")))
+    held = rows.groupBy(*keys).agg(F.max("_n").alias("_n"), F.max("_centre").alias("_centre"), F.sort_array(F.collect_list(F.struct("_i", "_v", "_g", "_h"))).alias("_rows"), last.alias("_end"))
+    field = lambda c: F.transform("_rows", lambda r: r[c])
+    held = held.select(*keys, "_n", "_centre", field("_v").alias("_v"), *[F.concat(field(c), F.array(F.col("_end")[c])).alias(c) for c in sums])
+    v = F.col("_v")
+
+    def once(s, _):
+        size = s["b"] - s["a"]
+        total = lambda c: (F.get(F.col(c), s["b"]) - F.get(F.col(c), s["a"])) / size
+
+        def spread(r):
+            left = F.slice(v, s["a"] + 1, size)
+            anew = let(F.aggregate(left, F.lit(0.0), lambda t, e: t + e) / size, lambda m: F.struct(
+                m.alias("m"), F.sqrt(F.aggregate(left, F.lit(0.0), lambda t, e: t + (e - m) * (e - m)) / size).alias("d")))
+            near = r["q"] - r["m"] * r["m"] > r["q"] * 1e-6
+            return F.when(near, F.struct((r["m"] + F.col("_centre")).alias("m"), F.sqrt(r["q"] - r["m"] * r["m"]).alias("d"))).otherwise(anew)
+
+        def ends(r):
+            return F.struct(_first_at(v, s["a"], s["b"], lambda e: e >= r["m"] - F.lit(low) * r["d"]).alias("a"),
+                            _first_at(v, s["a"], s["b"], lambda e: e > r["m"] + F.lit(high) * r["d"]).alias("b"))
+
+        def checked(r):
+            return F.struct(r["a"].alias("a"), r["b"].alias("b"), (((r["a"] == s["a"]) & (r["b"] == s["b"])) | (r["b"] - r["a"] < 2)).alias("stable"))
+        sums_ = F.struct(total("_g").alias("m"), total("_h").alias("q"))
+        return F.when(s["stable"], s).otherwise(let(let(let(sums_, spread), ends), checked))
+
+    start = F.struct(F.lit(0).alias("a"), F.col("_n").alias("b"), (F.col("_n") < 2).alias("stable"))
+    out = held.withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.col("_n")), start, once))
+    at = lambda i: F.get(v, i)
+    a, b = F.col("_s.a"), F.col("_s.b")
+    return out.select(*keys, F.col("_n").alias("n"), (b - a).alias("kept"), at(a).alias("lowest"), at(b - 1).alias("highest"),
+                      ((at(F.floor((a + b - 1) / 2).cast("int")) + at(F.floor((a + b) / 2).cast("int"))) / 2).alias("median"))
 
 
 def _stream(optical: DataFrame, sar: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -156,16 +187,9 @@ def _stream(optical: DataFrame, sar: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def _with_bias(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the clipped median deviation of each key.
-
-    The rows of a key travel as one array: one element per date of either series, so it is as long
-    as the calendar at most, and no second read of the series is needed.
-    """
-    rest = [c for c in stream.columns if c not in keys]
-    rows = stream.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
-    known = F.filter(F.transform("_rows", lambda x: x["deviation"]), lambda d: d.isNotNull())
-    rows = rows.withColumn("bias", array_median(sigma_clip(F.sort_array(known))))
-    return rows.select(*keys, "bias", F.inline("_rows"))
+    """Add the clipped median deviation of each key: only the deviations are gathered, and both sides keep the key's partitioning."""
+    bias = clipped_medians(stream.where(F.col("deviation").isNotNull()), keys, "deviation").select(*keys, F.col("median").alias("bias"))
+    return stream.join(bias, list(keys), "left")
 
 
 def sar_bias(optical: DataFrame, sar: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -71,9 +71,9 @@ def edge_lengths(edges: DataFrame, nodes: DataFrame, node: str = "node", lat: st
 
 
 def node_elevation(nodes: DataFrame, terrain: DataFrame, node: str = "node", x: str = "lon", y: str = "lat",
-                   terrain_x: str = "x", terrain_y: str = "y", elevation: str = "elevation", size: float = 1.0) -> DataFrame:
+                   terrain_x: str = "x", terrain_y: str = "y", elevation: str = "elevation") -> DataFrame:
     """Nodes with the elevation of the terrain point nearest to each."""
-    return nearest_cell(nodes, terrain.select(terrain_x, terrain_y, elevation), [node], x, y, terrain_x, terrain_y, size).drop(terrain_x, terrain_y)
+    return nearest_cell(nodes, terrain.select(terrain_x, terrain_y, elevation), [node], x, y, terrain_x, terrain_y).drop(terrain_x, terrain_y)
 
 
 def connected_nodes(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
@@ -185,66 +185,100 @@ def _head_from(source: str):
     return head
 
 
+def _null_max(a: Column, b: Column) -> Column:
+    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
+
+
+def contract(links: DataFrame, rules: DataFrame, known: DataFrame, date: str = "date", lagged: bool = True) -> DataFrame:
+    """``node, date, x`` of every node of a network without cycles, where ``x = max(a, b + sum of x upstream)``.
+
+    ``links(src, dst, lag)``: upstream values count ``lag`` days later, if ``lagged``. ``rules(node, date, a, b)`` are the nodes with links
+    into them, ``known(node, date, x)`` the others. A NULL, or a row missing on a date that counts, makes ``x`` NULL.
+
+    Such rules stay of this form when one is put into another, so the network is contracted: in each round the links from
+    nodes that are known are added up into the rules they lead to, and a node with one link left from another such node
+    takes over that one's rule, link and lag, which halves all chains at once. A node without a link left is known. So
+    rounds grow with the logarithm of a chain, and of the nodes where each has one link down. Each round
+    is a table of links and one of rules; every round of a network without a cycle makes some node known.
+    """
+    later = F.date_add if lagged else lambda when, days: when
+    links = cut_lineage(links)
+    rules = cut_lineage(rules.select("node", date, "a", "b"))
+    new, found = known.select("node", date, "x"), [known.select("node", date, "x")]
+    while True:
+        open_ = links.select(F.col("dst").alias("src")).distinct()
+        ripe, rest = links.join(open_, "src", "left_anti"), links.join(open_, "src", "left_semi")
+        total, usable = links.count(), ripe.count()
+        if not total:
+            break
+        if not usable:
+            raise ValueError("the network holds a cycle")
+        single = rest.groupBy("dst").agg(F.count(F.lit(1)).alias("_n"), F.min("src").alias("src"), F.min("lag").alias("lag")).where("_n = 1").drop("_n")
+        upper = single.select(F.col("dst").alias("via"), F.col("src").alias("_src"), F.col("lag").alias("_lag"))
+        leaps = cut_lineage(single.select("dst", F.col("src").alias("via"), "lag").join(upper, "via"))
+        after = rest.join(leaps.select("dst", "_src", F.col("lag").alias("_own"), "_lag"), "dst", "left")
+        after = cut_lineage(after.select(F.coalesce("_src", "src").alias("src"), "dst", F.coalesce(F.col("_own") + F.col("_lag"), F.col("lag")).alias("lag")))
+        used = ripe.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_used"))
+        got = (ripe.join(new.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node"), later(F.col(date), F.col("lag")).alias(date))
+               .agg(F.count("x").alias("_got"), F.sum("x").alias("_x")))
+        summed = rules.join(used, "node", "left").join(got, ["node", date], "left").select(
+            "node", date, "a", F.when(F.col("_used").isNull(), F.col("b")).when(F.col("_got") == F.col("_used"), F.col("b") + F.col("_x")).alias("b"))
+        above = summed.select(F.col("node").alias("via"), F.col(date).alias("_when"), F.col("a").alias("_a"), F.col("b").alias("_b"))
+        leapt = (summed.join(leaps.select(F.col("dst").alias("node"), "via", "lag"), "node", "left").withColumn("_when", later(F.col(date), -F.col("lag")))
+                 .join(above, ["via", "_when"], "left"))
+        far = F.col("via").isNotNull()
+        closed = after.select(F.col("dst").alias("node")).distinct().withColumn("_open", F.lit(True))
+        step = cut_lineage(leapt.select("node", date, F.when(far, _null_max(F.col("a"), F.col("_a") + F.col("b"))).otherwise(F.col("a")).alias("a"),
+                                        F.when(far, F.col("_b") + F.col("b")).otherwise(F.col("b")).alias("b"))
+                           .join(closed, "node", "left"))
+        new = step.where(F.col("_open").isNull()).select("node", date, _null_max(F.col("a"), F.col("b")).alias("x"))
+        found.append(new)
+        links, rules = after, step.where("_open").drop("_open")
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def balance(edges: DataFrame, state: DataFrame, algorithm: str = "wb", date: str = "date") -> DataFrame:
-    """Water balance from the headwaters down, all dates of a level in one pass.
+    """Water balance of every node and date from the headwaters down.
 
     state: node, date, natural (unregulated runoff), storage_change, and obs_outflow / obs_inflow
     where the algorithm needs them. Algorithms: ``wb``; ``wb_travel_time`` with upstream values
     taken a travel time earlier; ``wb_obs_outflow`` with observed outflow above each node;
     ``wb_obs_outflow_upstream`` and ``wb_obs_inflow_upstream`` with observations at head dams.
 
-    A level's results are written once, next to where they flow: the table in the shared folder is partitioned by
-    the level that receives them, so that a level reads only the rows sent to it, and a lost executor costs one
-    level at most.
+    Outflow is ``max(0, max(0, own + upstream) - storage change)``, which is ``max(a, b + upstream)`` with a = max(0, -storage
+    change) and b = own - storage change; all outflows are found by ``contract``. One join of them along the edges then gives the balance.
     """
     known = ("wb", "wb_travel_time", "wb_obs_outflow", "wb_obs_outflow_upstream", "wb_obs_inflow_upstream")
     if algorithm not in known:
         raise ValueError(f"unknown algorithm {algorithm!r}; use one of {', '.join(known)}")
     if algorithm == "wb_obs_outflow":
         return observed_balance(edges, state, date)
-    spark = state.sparkSession
-    level, depth = levels(state, edges)
     lagged = algorithm == "wb_travel_time"
+    lag = F.expr("cast(bround(travel_time) as int)") if lagged else F.lit(0)
+    links = cut_lineage(edges.where(F.col("src") != F.col("dst")).select("src", "dst", lag.alias("lag")))
+    above = links.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_edges"))
+
+    def sums(values: DataFrame, name: str) -> DataFrame:
+        """Upstream sums; NULL where a value is missing on a date."""
+        got = (values.withColumnRenamed("node", "src").join(links, "src").groupBy(F.col("dst").alias("node"), (F.date_add(F.col(date), F.col("lag")) if lagged else F.col(date)).alias(date))
+               .agg(F.count(name).alias("_got"), F.sum(name).cast("double").alias("_sum")).join(above, "node"))
+        return got.select("node", date, F.when(F.col("_got") == F.col("n_edges"), F.col("_sum")).alias(f"up_{name}"))
+
+    rows = state.join(above.withColumnRenamed("n_edges", "n_up"), "node", "left")
+    rows = cut_lineage(rows.join(sums(state.select("node", date, "natural"), "natural"), ["node", date], "left"))
+    heads = rows.where(F.col("n_up").isNull())
+    rule = {"wb_obs_outflow_upstream": _head_from("outflow"), "wb_obs_inflow_upstream": _head_from("inflow")}.get(algorithm)
+    heads = rule(heads) if rule else _balance(heads.withColumn("up_outflow", F.lit(None).cast("double")), date)
+    change = F.col("storage_change")
+    inner = rows.where(F.col("n_up").isNotNull())
+    rules = inner.select("node", date, F.when(change.isNotNull(), F.greatest(-change, F.lit(0.0))).alias("a"), (F.col("natural") - F.col("up_natural") - change).alias("b"))
+    outflow = contract(links, rules, heads.select("node", date, F.col("outflow").alias("x")), date, lagged)
+    below = _balance(inner.join(sums(outflow.withColumnRenamed("x", "outflow"), "outflow"), ["node", date], "left"), date)
     keep = ["node", date, "natural", "storage_change", "natural_runoff", "regulated_runoff", "inflow", "outflow", "regulation"]
-    inputs = scratch_table(spark, "network-input")
-    ranked = state.join(level, "node")
-    ranked.write.partitionBy("level").parquet(inputs)
-    ranked = spark.read.schema(ranked.schema).parquet(inputs)
-    to = edges.where(F.col("src") != F.col("dst")).join(level.select(F.col("node").alias("dst"), F.col("level").alias("dst_level")), "dst")
-    to = cut_lineage(to.select(F.col("src").alias("node"), "dst", "dst_level", *(["travel_time"] if lagged else [])))
-    n_up = to.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_edges"))
-    results = scratch_table(spark, "network-results")
-    head = {"wb_obs_outflow_upstream": _head_from("outflow"), "wb_obs_inflow_upstream": _head_from("inflow")}.get(algorithm)
-    whole = lambda v, name: F.when(F.count(v) == F.count(F.lit(1)), F.sum(v)).cast("double").alias(name)
-
-    def heads(rows: DataFrame) -> DataFrame:
-        if head:
-            return head(rows)
-        none = lambda kind: F.lit(None).cast(kind)
-        return _balance(rows.select("*", none("bigint").alias("n_up"), none("double").alias("up_outflow"), none("double").alias("up_natural")), date)
-
-    def below(rows: DataFrame, sent: DataFrame) -> DataFrame:
-        when = F.date_add(F.col(date), F.expr("cast(bround(travel_time) as int)")) if lagged else F.col(date)
-        got = sent.groupBy(F.col("dst").alias("node"), when.alias(date)).agg(
-            F.count(F.lit(1)).alias("n_got"), whole("outflow", "up_outflow"), whole("natural", "up_natural"))
-        j = rows.join(got, ["node", date], "left").join(n_up, "node").withColumn("n_up", F.col("n_edges"))
-        # An upstream value missing on a date leaves the balance of that date unknown.
-        complete = F.col("n_got") == F.col("n_edges")
-        j = j.withColumn("up_outflow", F.when(complete, F.col("up_outflow"))).withColumn("up_natural", F.when(complete, F.col("up_natural")))
-        return _balance(j.drop("n_got", "n_edges"), date)
-
-    # Of a node with several edges one row is the node's own result.
-    own = F.row_number().over(Window.partitionBy("node").orderBy("dst"))
-    out_edges = cut_lineage(to.withColumn("own", own == 1))
-    written = None
-    for k in range(depth + 1):
-        rows = ranked.where(F.col("level") == k).drop("level")
-        done = heads(rows) if k == 0 else below(rows, written.where(F.col("dst_level") == k))
-        done = done.select(*keep).join(out_edges, "node", "left").withColumn("own", F.coalesce("own", F.lit(True)))
-        done = done.withColumn("dst_level", F.coalesce("dst_level", F.lit(-1)))
-        done.write.mode("append").partitionBy("dst_level").parquet(results)
-        written = spark.read.schema(done.schema).parquet(results)
-    return written.where("own").select(*keep)
+    return heads.select(*keep).unionByName(below.select(*keep))
 
 
 def regulated_outputs(results: DataFrame, edges: DataFrame) -> DataFrame:

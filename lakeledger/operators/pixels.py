@@ -1,18 +1,18 @@
 """Water area from image pixels.
 
 A scene may hold any number of pixels, so nothing here gathers a scene: pixels are reduced by
-aggregates, histograms over the 0..100 occurrence scale, and weighted points of bounded number.
+aggregates and by histograms over the 0..100 occurrence scale.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import bit_set, normalized_difference
-from lakeledger.session import cut_lineage
+from lakeledger.session import cut_lineage, drop_steps
 
 # Fixed values.
 LANDSAT_SCALE, LANDSAT_OFFSET = 0.0000275, -0.2
@@ -23,10 +23,11 @@ CLOUD_LIMIT = 90.0
 NDWI_LIMIT = 0.3
 GAP_SHARE = 0.17
 CLUSTERS = (2, 7)
-STEPS = 16  # of a feature's range, in the points that clusters are fitted to
+TOLERANCE = 1e-3  # of the distance between centres: how little they move at the end
 SAR_ANGLES = (31.66, 45.4)
 SAR_WATER = (-32.0, -13.0)
 SAR_PIXEL_KM2 = 1e-4
+STRIP = 32  # columns of a raster that one array holds
 # Sensor: days per step, days used, days before the step date.
 COMPOSITES = {"s2": (5, 5, 4), "l8": (16, 15, 0), "l9": (16, 15, 0), "sar": (12, 12, 0)}
 
@@ -139,60 +140,83 @@ def gap_corrected_area(df: DataFrame, keys: Sequence[str], water: Column, area:
 
 # --- unsupervised water ---------------------------------------------------------------------
 
-def _fit_clusters(features: Sequence[str], lowest: int, highest: int):
-    """Pandas function: cluster centres of weighted points, the number chosen by variance ratio."""
-    def fit(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values(list(features), ignore_index=True)
-        x, n = pdf[list(features)].to_numpy("float64"), pdf["_n"].to_numpy("float64")
-        mean = np.average(x, axis=0, weights=n)
-        best = (-np.inf, mean[None])
-        for k in range(lowest, min(highest, len(x)) + 1):
-            # Start from the point nearest the mean, then always the point farthest from all centres.
-            centres = [x[((x - mean) ** 2).sum(axis=1).argmin()]]
-            while len(centres) < k:
-                near = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
-                centres.append(x[near.argmax()])
-            centres, label = np.array(centres), None
-            while True:  # a round that moves a point lowers the squared error, so that this ends
-                far = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
-                now = far.argmin(axis=1) if label is None else np.where(far.min(axis=1) < far[np.arange(len(x)), label] * (1 - 1e-12), far.argmin(axis=1), label)
-                if label is not None and (now == label).all():
-                    break
-                label = now
-                centres = np.array([np.average(x[label == j], axis=0, weights=n[label == j]) if (label == j).any() else centres[j] for j in range(k)])
-            within = (n[:, None] * (x - centres[label]) ** 2).sum()
-            between = sum(n[label == j].sum() * ((centres[j] - mean) ** 2).sum() for j in range(k))
-            score = np.inf if within == 0 else (between / (k - 1)) / (within / max(n.sum() - k, 1))
-            if score > best[0]:
-                best = (score, centres)
-        out = pd.DataFrame(best[1], columns=[f"_c_{f}" for f in features])
-        out.insert(0, "cluster", range(len(out)))
-        for name in reversed([c for c in pdf.columns if c not in features and c != "_n"]):
-            out.insert(0, name, pdf[name].iloc[0])
-        return out
-    return fit
+def _squared(point: Sequence[Column], centre: Column, features: Sequence[str]) -> Column:
+    return sum(((p - centre[f]) * (p - centre[f]) for p, f in zip(point, features, strict=True)), F.lit(0.0))
 
 
-def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str], clusters: tuple[int, int] = CLUSTERS,
-                    steps: int = STEPS) -> DataFrame:
-    """Cluster centres per scene, from all of its clear pixels.
+def _nearest(centres: Column, features: Sequence[str]) -> Column:
+    """(squared distance, number) of the centre nearest to a pixel; the lowest number on a tie."""
+    here = [F.col(f) for f in features]
+    return F.array_min(F.transform(centres, lambda c, k: F.struct(_squared(here, c, features).alias("d"), k.alias("cluster"))))
+
 
-    Each feature's range in a scene is cut into ``steps``; pixels in the same steps become one point, their mean,
-    with their number as its weight. So every pixel counts, and a scene gives at most ``steps`` to the power of the
-    number of features points, however many pixels it has.
+def _starts(clear: DataFrame, keys: Sequence[str], features: Sequence[str], most: int) -> DataFrame:
+    """``_mean`` and ``_seeds`` of every scene: the pixel nearest the mean, then always one farthest from all seeds before.
+
+    A pass over the pixels for each seed; of equal distances the greatest features decide, so that no order of rows does.
+    """
+    keys, point = list(keys), F.struct(*[F.col(f) for f in features])
+    mean = clear.groupBy(*keys).agg(F.struct(*[F.avg(f).alias(f) for f in features]).alias("_mean"), F.count(F.lit(1)).alias("_n"))
+    here = [F.col(f) for f in features]
+    first = clear.join(mean, keys).groupBy(*keys).agg(F.first("_mean").alias("_mean"), F.first("_n").alias("_n"),
+                                                      F.array(F.min_by(point, F.struct(_squared(here, F.col("_mean"), features), point))).alias("_seeds"))
+    state = cut_lineage(first)
+    for _ in range(1, most):
+        far = clear.join(state, keys).withColumn("_d", _nearest(F.col("_seeds"), features)["d"])
+        nxt = far.groupBy(*keys).agg(F.max_by(point, F.struct("_d", point)).alias("_next"), F.max("_d").alias("_d"))
+        grown = state.join(nxt, keys).withColumn("_seeds", F.when(F.col("_d") > 0, F.array_append("_seeds", F.col("_next"))).otherwise(F.col("_seeds")))
+        before, state = state, cut_lineage(grown.drop("_next", "_d"))
+        drop_steps(before)
+    return state
+
+
+def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str], clusters: tuple[int, int] = CLUSTERS,
+                    tolerance: float = TOLERANCE) -> DataFrame:
+    """Cluster centres per scene, from all of its clear pixels: ``keys, cluster, _c_<feature>``.
+
+    For every number of clusters in the range, Lloyd rounds start from the first so many of the scene's farthest pixels.
+    One pass over the pixels is a round of all scenes and all numbers of clusters that still move: each pixel goes to its
+    nearest centre, next to the data, and only the sums for each (scene, number, centre) are shuffled. A fit ends when no
+    centre has moved by more than ``tolerance`` of the least distance between two centres; every round lowers the squared
+    error, so that this comes. The number of clusters with the best variance ratio wins, the lower on a tie.
     """
-    keys = list(keys)
+    keys, (lowest, highest) = list(keys), clusters
     clear = df.dropna(subset=list(features)).select(*keys, *[F.col(f).cast("double").alias(f) for f in features])
-    ranges = clear.groupBy(*keys).agg(*[c for f in features for c in (F.min(f).alias(f"_a_{f}"), F.max(f).alias(f"_b_{f}"))])
-    step = lambda f: F.least(F.floor(F.coalesce(F.try_divide(F.col(f) - F.col(f"_a_{f}"), F.col(f"_b_{f}") - F.col(f"_a_{f}")), F.lit(0.0)) * steps), F.lit(steps - 1))
-    points = clear.join(ranges, keys).groupBy(*keys, *[step(f).alias(f"_s_{f}") for f in features]).agg(
-        *[F.avg(f).alias(f) for f in features], F.count(F.lit(1)).alias("_n")).select(*keys, *features, "_n")
-    kinds = {f.name: f.dataType.simpleString() for f in points.schema}
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["cluster int"] + [f"_c_{f} double" for f in features])
-    return points.groupBy(*keys).applyInPandas(_fit_clusters(features, *clusters), schema)
+    clear = cut_lineage(clear.where(~sum((F.isnan(f).cast("int") for f in features), F.lit(0)).cast("boolean")))
+    starts = _starts(clear, keys, features, highest)
+    spread = F.array_max(F.transform("_seeds", lambda s: _squared([s[f] for f in features], F.col("_seeds")[0], features)))
+    wanted = F.filter(F.sequence(F.lit(lowest), F.lit(highest)), lambda k: k <= F.size("_seeds"))
+    fits = (starts.withColumn("_span", spread).withColumn("_k", F.explode(F.when(F.size(wanted) > 0, wanted).otherwise(F.array(F.lit(1)))))
+            .select(*keys, "_mean", "_n", "_span", "_k", F.slice("_seeds", F.lit(1), F.col("_k")).alias("_centres")))
+    moving, done = cut_lineage(fits.withColumn("_score", F.lit(None).cast("double"))), []
+    while not moving.isEmpty():
+        packed = moving.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_centres")).alias("_fits"))
+        label = _nearest(F.col("_fit._centres"), features)
+        summed = (clear.join(packed, keys).withColumn("_fit", F.explode("_fits")).withColumn("_at", label)
+                  .groupBy(*keys, F.col("_fit._k").alias("_k"), F.col("_at.cluster").alias("_j"))
+                  .agg(F.count(F.lit(1)).alias("_m"), F.sum("_at.d").alias("_d"), F.struct(*[F.avg(f).alias(f) for f in features]).alias("_c"))
+                  .groupBy(*keys, "_k").agg(F.map_from_entries(F.collect_list(F.struct("_j", F.struct("_c", "_m")))).alias("_sums"), F.sum("_d").alias("_within")))
+        after = moving.join(summed, [*keys, "_k"]).withColumn("_new", F.transform("_centres", lambda c, j: F.coalesce(F.col("_sums")[j]["_c"], c)))
+        shift = F.array_max(F.zip_with("_centres", "_new", lambda c, n: _squared([c[f] for f in features], n, features)))
+        gap = F.array_min(F.transform("_new", lambda c, i: F.array_min(F.transform(F.filter("_new", lambda d, j: j != i), lambda d: _squared([c[f] for f in features], d, features)))))
+        # Ratio of the centres that the pixels were dealt to: with what they lie off their own means taken off the spread within.
+        mean = [F.col("_mean")[f] for f in features]
+        between = F.aggregate(F.map_values("_sums"), F.lit(0.0), lambda s, v: s + v["_m"] * _squared(mean, v["_c"], features))
+        off = F.aggregate(F.map_entries("_sums"), F.lit(0.0), lambda s, e: s + e["value"]["_m"] * _squared([e["value"]["_c"][f] for f in features], F.col("_centres")[e["key"]], features))
+        within = F.greatest(F.col("_within") - off, F.lit(0.0))
+        score = F.when(F.col("_k") == 1, F.lit(0.0)).when(within <= F.col("_span") * F.col("_n") * 1e-24, F.lit(float("inf"))).otherwise(
+            (between / (F.col("_k") - 1)) / (within / F.greatest(F.col("_n") - F.col("_k"), F.lit(1))))
+        step = cut_lineage(after.select(*keys, "_mean", "_n", "_span", "_k", F.col("_new").alias("_centres"), score.alias("_score"),
+                                        F.coalesce(shift > gap * tolerance * tolerance, F.lit(False)).alias("_moves")))
+        moving = step.where("_moves").drop("_moves")
+        done.append(step.where("NOT _moves").select(*keys, "_k", "_score", "_centres"))
+    if not done:
+        done = [fits.select(*keys, "_k", F.lit(0.0).alias("_score"), "_centres")]
+    fitted = done[0]
+    for part in done[1:]:
+        fitted = fitted.unionByName(part)
+    best = fitted.groupBy(*keys).agg(F.max_by("_centres", F.struct("_score", -F.col("_k"))).alias("_centres"))
+    return best.select(*keys, F.posexplode("_centres").alias("cluster", "_c")).select(*keys, "cluster", *[F.col("_c")[f].alias(f"_c_{f}") for f in features])
 
 
 def assign_clusters(df: DataFrame, centres: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -230,21 +254,34 @@ def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str],
 
 # --- radar ----------------------------------------------------------------------------------
 
-def disc_max(df: DataFrame, keys: Sequence[str], value: str, radius: int, out: str) -> DataFrame:
-    """Highest value within ``radius`` pixels of each pixel (a disc).
+def disc_max(df: DataFrame, keys: Sequence[str], value: str, radius: int, out: str, strip: int = STRIP) -> DataFrame:
+    """``keys, x, y, value, out``: highest value within ``radius`` pixels of each pixel (a disc).
 
-    Every pixel is sent to the rows it touches (2*radius+1 copies instead of one per disc cell);
-    within a row the neighbours are a range of x, whose width depends on the row distance.
+    A raster is cut into strips of ``strip`` columns with a halo of ``radius`` on both sides, and each row of a strip is one
+    array. The maximum along the row is taken once for each width that the disc has, and a pixel's value is the highest
+    in the 2 * radius + 1 rows around it, each at its own width. So only halo pixels are copied, and a window holds rows
+    and not pixels. A pixel without a value is taken as missing; (keys, x, y) must be unique.
     """
-    half = {d: int((radius * radius - d * d) ** 0.5) for d in range(radius + 1)}
-    rows = (df.withColumn("_dy", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).withColumn("_row", F.col("y") + F.col("_dy")))
-    best = []
-    for width in sorted(set(half.values())):
-        reach = [d for d, h in half.items() if h >= width]
-        w = Window.partitionBy(*keys, "_row").orderBy("x").rangeBetween(-width, width)
-        best.append(F.max(F.when(F.abs("_dy") <= max(reach), F.col(value))).over(w))
-    return (rows.withColumn(out, F.greatest(*best) if len(best) > 1 else best[0])
-            .where(F.col("_dy") == 0).drop("_dy", "_row"))
+    keys, half = list(keys), {d: int((radius * radius - d * d) ** 0.5) for d in range(radius + 1)}
+    strips = F.sequence(F.floor((F.col("x") - radius) / strip), F.floor((F.col("x") + radius) / strip))
+    placed = (df.where(F.col(value).isNotNull()).select(*keys, "x", "y", value, F.explode(strips).alias("_strip"))
+              .withColumn("_at", F.col("x") - F.col("_strip") * strip + radius))
+    cells = F.array(*[F.max(F.when(F.col("_at") == k, F.col(value))) for k in range(strip + 2 * radius)])
+    rows = placed.groupBy(*keys, "_strip", "y").agg(cells.alias("_row"))
+    places, widths = F.sequence(F.lit(0), F.lit(strip - 1)), sorted(set(half.values()))
+    along = [F.transform(places, _highest("_row", radius, w)).alias(f"_w{w}") for w in widths]
+    rows = rows.select(*keys, "_strip", "y", F.slice("_row", radius + 1, strip).alias("_own"), F.struct("y", *along).alias("_line"))
+    near = F.collect_list("_line").over(Window.partitionBy(*keys, "_strip").orderBy("y").rangeBetween(-radius, radius))
+    fitting = lambda line: F.coalesce(*[F.when(F.abs(line["y"] - F.col("y")) == d, line[f"_w{w}"]) for d, w in half.items()])
+    best = F.transform(places, lambda i: F.array_max(F.transform("_lines", lambda line: F.get(line, i))))
+    done = (rows.withColumn("_near", near).withColumn("_lines", F.transform("_near", fitting))
+            .select(*keys, "_strip", "y", F.posexplode(F.arrays_zip(F.col("_own").alias("v"), best.alias("m"))).alias("_k", "_p")))
+    return done.where(F.col("_p.v").isNotNull()).select(*keys, (F.col("_strip") * strip + F.col("_k")).cast(df.schema["x"].dataType).alias("x"), "y",
+                                                        F.col("_p.v").alias(value), F.col("_p.m").alias(out))
+
+
+def _highest(row: str, radius: int, width: int) -> Callable[[Column], Column]:
+    return lambda i: F.array_max(F.slice(F.col(row), i + (radius - width + 1), F.lit(2 * width + 1)))
 
 
 def sar_water_area(images: DataFrame, keys: Sequence[str], image: str, radius: int = 3) -> DataFrame:

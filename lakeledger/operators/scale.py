@@ -6,11 +6,16 @@ cannot be reduced by a second key, so that no task or aggregation buffer holds a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeledger.session import cut_lineage
+
+DIGIT = 11  # bits of a key that one pass settles
+SMALL = 4096  # values that may be ordered at once
+
 
 def pick_rows(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str] | None = None,
               keep: str = "last") -> DataFrame:
@@ -40,6 +45,34 @@ def lowest_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
     return winners.withColumn("_rn", F.row_number().over(outer)).where(F.col("_rn") <= k).select(*df.columns)
 
 
+def sample_rows(df: DataFrame, keys: Sequence[str], ident: Sequence[str], k: int) -> DataFrame:
+    """At most ``k`` rows of every key, the ones with the lowest hash: the same in every run, and as good as drawn at random.
+
+    The hash is that of the keys and ``ident`` as text (the first 13 digits of MD5 as a number), so that other engines find the
+    same rows; rows of equal hashes go by ``ident``. From the number of a key's rows follows a limit that few more than ``k``
+    hashes lie below; only those rows are shuffled and trimmed. A key that has too few below it is looked at again with a
+    wider limit, so that the sample is exact; NULLs in ``ident`` count as empty text.
+    """
+    keys, ident, whole = list(keys), list(ident), 1 << 52
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*keys, *ident)])
+    hashed = df.withColumn("_h", F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long"))
+    sizes = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in keys]
+    margin, found = 8 * k ** 0.5 + 64, None
+    while True:
+        limits = sizes.withColumn("_limit", F.when(F.col("_n") <= k + margin, F.lit(whole)).otherwise(F.ceil((k + margin) / F.col("_n") * whole)))
+        near = cut_lineage(hashed.join(limits, same(hashed, limits)).where(F.col("_h") < F.col("_limit")).select(hashed["*"]))
+        first = Window.partitionBy(*keys).orderBy("_h", *ident)
+        kept = near.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= k).select(*df.columns)
+        got = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("_got"))
+        short = sizes.join(got, same(sizes, got), "left").where(F.coalesce("_got", F.lit(0)) < F.least(F.col("_n"), F.lit(k))).select(*[sizes[c] for c in sizes.columns])
+        if short.isEmpty():
+            return kept if found is None else found.unionByName(kept)
+        kept = kept.join(short, same(kept, short), "left_anti")
+        found = kept if found is None else found.unionByName(kept)
+        sizes, margin = cut_lineage(short), 4 * (margin + k)
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: str,
                  sums: dict[str, Column]) -> DataFrame:
     """Inclusive running sums per key in ``order``, computed bucket by bucket.
@@ -60,61 +93,77 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: str,
     return run
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
-                    accuracy: int = 10000) -> DataFrame:
-    """Exact order statistics per key without holding or shuffling a key's values.
+def order_key(value: Column) -> Column:
+    """A long for a double, in the same order: the bits of the number, with those of negative numbers turned round."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value.cast("double") + F.lit(0.0)).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
 
-    A mergeable sketch brackets each wanted rank within a known error. A second pass counts the
-    values below each bracket next to the data and sends on only the values inside, which are then
-    ranked. For every name in ``probs`` the result has ``<name>_lo`` and ``<name>_hi`` (the
-    neighbours of position ``(n-1)p``), ``<name>_lin`` (linear) and ``<name>_mid`` (midpoint), and ``n``.
+
+def _prefix(key: Column, depth: int) -> Column:
+    """The first ``depth`` digits of a key."""
+    return F.lit(0).cast("long") if depth == 0 else F.shiftright(key, max(64 - DIGIT * depth, 0))
+
+
+def select_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Callable[[Column], Column], small: int = SMALL) -> DataFrame:
+    """``keys, n, rank, value``: exact order statistics of every key, for the ranks (from 0) that ``ranks(n)`` lists for n values.
+
+    All values are keys of 64 bits in their order. A pass counts, next to the data, the values that agree with a wanted
+    rank's digits so far, by their next digit of 11 bits; so six passes settle all ranks of all groups, whatever
+    the values. A rank is settled earlier where only equal values are left; where at most ``small`` are, these are
+    ordered. No group is held or shuffled as a whole, and a pass shuffles at most 2048 counts for each open rank and task.
+    NULLs do not count.
+    """
+    keys = list(keys)
+    source = cut_lineage(df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).withColumn("_k", order_key(F.col("_v"))))
+    sizes = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    open_ = cut_lineage(sizes.withColumn("rank", F.explode(F.array_distinct(ranks(F.col("n")))))
+                        .select(*keys, "n", "rank", F.lit(0).alias("_depth"), F.lit(0).cast("long").alias("_at"), F.col("rank").alias("_inside"), F.col("n").alias("_c"), "_low", "_high"))
+    settled, equal = [], F.col("_low") == F.col("_high")
+    for depth in range(1, -(-64 // DIGIT) + 1):
+        settled.append(open_.where(equal | (F.col("_c") <= small)))
+        wide = open_.where(~equal & (F.col("_c") > small))
+        if wide.isEmpty():
+            break
+        asked = wide.groupBy(*keys).agg(F.collect_set("_at").alias("_asked"))
+        counted = (source.join(asked, keys).where(F.array_contains("_asked", _prefix(F.col("_k"), depth - 1)))
+                   .groupBy(*keys, _prefix(F.col("_k"), depth - 1).alias("_at"), _prefix(F.col("_k"), depth).alias("_next"))
+                   .agg(F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_l"), F.max("_v").alias("_h")))
+        upto = counted.withColumn("_upto", F.sum("_m").over(Window.partitionBy(*keys, "_at").orderBy("_next").rowsBetween(Window.unboundedPreceding, 0)))
+        before = F.col("_upto") - F.col("_m")
+        open_ = cut_lineage(wide.join(upto, [*keys, "_at"]).where((F.col("_inside") >= before) & (F.col("_inside") < F.col("_upto")))
+                            .select(*keys, "n", "rank", F.lit(depth).alias("_depth"), F.col("_next").alias("_at"), (F.col("_inside") - before).alias("_inside"),
+                                    F.col("_m").alias("_c"), F.col("_l").alias("_low"), F.col("_h").alias("_high")))
+    else:
+        settled.append(open_)  # all digits are known, so that values are equal
+    known = settled[0]
+    for part in settled[1:]:
+        known = known.unionByName(part)
+    few = known.where(~equal)
+    places = few.groupBy(*keys).agg(F.collect_set(F.struct("_depth", "_at")).alias("_places"))
+    here = F.lit(False)
+    for depth in range(-(-64 // DIGIT) + 1):
+        here = F.when(F.col("_p._depth") == depth, F.col("_p._at") == _prefix(F.col("_k"), depth)).otherwise(here)
+    lists = (source.join(places, keys).withColumn("_p", F.explode("_places")).where(here)
+             .groupBy(*keys, F.col("_p._depth").alias("_depth"), F.col("_p._at").alias("_at")).agg(F.sort_array(F.collect_list("_v")).alias("_list")))
+    picked = few.join(lists, [*keys, "_depth", "_at"]).select(*keys, "n", "rank", F.get("_list", F.col("_inside").cast("int")).alias("value"))
+    return picked.unionByName(known.where(equal).select(*keys, "n", "rank", F.col("_low").alias("value")))
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], small: int = SMALL) -> DataFrame:
+    """Exact quantiles per key without holding or shuffling a key's values (``select_ranks``).
+
+    For every name in ``probs`` the result has ``<name>_lo`` and ``<name>_hi`` (the neighbours of position ``(n-1)p``),
+    ``<name>_lin`` (linear) and ``<name>_mid`` (midpoint), and ``n``.
     """
     keys = list(keys)
     if not keys:
-        return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probs, accuracy).drop("_all")
-    margin = 4.0 / accuracy
-    cuts = [min(max(p + side, 0.0), 1.0) for p in probs.values() for side in (-margin, margin)]
-    source = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    sketch = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [float(c) for c in cuts], accuracy).alias("_cut"))
-    # One bracket per wanted quantile; the outermost cuts open up to the extremes.
-    brackets = []
-    for i, (name, p) in enumerate(probs.items()):
-        low = F.col("_min") if cuts[2 * i] <= 0 else F.col("_cut")[2 * i]
-        high = F.col("_max") if cuts[2 * i + 1] >= 1 else F.col("_cut")[2 * i + 1]
-        brackets.append(F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"),
-                                 low.alias("low"), high.alias("high")))
-    bounds = sketch.select(*keys, "n", F.array(*brackets).alias("_b"))
-    marked = source.join(bounds, keys)
-    # Next to the data: how many values lie below and above each bracket, and the nearest of them.
-    sides = []
-    for k in range(len(probs)):
-        b = F.col("_b")[k]
-        below, above = F.col("_v") < b["low"], F.col("_v") > b["high"]
-        sides.append(F.struct(F.any_value(b["name"]).alias("name"), F.any_value(b["p"]).alias("p"), F.array(*[
-            F.struct(F.lit(side).alias("_side"), F.count_if(c).alias("_c"), F.min(F.when(c, F.col("_v"))).alias("_low"), F.max(F.when(c, F.col("_v"))).alias("_high"))
-            for side, c in ((0, below), (2, above))]).alias("s")))
-    outside = marked.groupBy(*keys, "n").agg(F.array(*sides).alias("_q")).select(*keys, "n", F.inline("_q")).select(*keys, "n", "name", "p", F.inline("s"))
-    outside = outside.where("_c > 0").withColumn("_in", F.lit(None).cast(source.schema["_v"].dataType))
-    # Only values inside a bracket go on, once for each bracket that holds them.
-    holds = F.filter("_b", lambda b: (F.col("_v") >= b["low"]) & (F.col("_v") <= b["high"]))
-    inside = marked.withColumn("_b", F.explode(holds)).groupBy(*keys, "n", F.col("_b.name").alias("name"), F.col("_b.p").alias("p"), F.col("_v").alias("_in")).agg(F.count(F.lit(1)).alias("_c"))
-    packed = outside.unionByName(inside.withColumn("_side", F.lit(1)).withColumn("_low", F.col("_in")).withColumn("_high", F.col("_in")))
-    w = Window.partitionBy(*keys, "name").orderBy("_side", "_in").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = packed.withColumn("_upto", F.sum("_c").over(w))
-    # Ranks a row stands for: all of them inside, the nearest one on either side.
-    first = F.when(F.col("_side") == 0, F.col("_upto") - 1).otherwise(F.col("_upto") - F.col("_c"))
-    last = F.when(F.col("_side") == 2, F.col("_upto") - F.col("_c")).otherwise(F.col("_upto") - 1)
-    shown = F.when(F.col("_side") == 0, F.col("_high")).otherwise(F.col("_low"))
-    pos = (F.col("n") - 1) * F.col("p")
-    out = [F.max("n").alias("n")]
-    for name in probs:
-        here = F.col("name") == name
-        pick = lambda rank: F.max(F.when(here & (first <= rank) & (rank <= last), shown))
-        # A rank outside its bracket would break the sketch's guarantee: fail rather than guess.
-        sure = lambda c: F.coalesce(c, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-        lo, hi = sure(pick(F.floor(pos))), sure(pick(F.ceil(pos)))
-        frac = F.max(F.when(here, pos - F.floor(pos)))
-        out += [lo.alias(f"{name}_lo"), hi.alias(f"{name}_hi"), (lo + (hi - lo) * frac).alias(f"{name}_lin"), ((lo + hi) / 2).alias(f"{name}_mid")]
-    return ranked.groupBy(*keys).agg(*out)
+        return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probs, small).drop("_all")
+    ends = lambda n, p: [f((n - 1) * F.lit(float(p))) for f in (F.floor, F.ceil)]
+    found = select_ranks(df, keys, value, lambda n: F.array(*[e for p in probs.values() for e in ends(n, p)]), small)
+    held = found.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at"))
+    out = [F.col("n")]
+    for name, p in probs.items():
+        lo, hi = (F.element_at("_at", e) for e in ends(F.col("n"), p))
+        pos = (F.col("n") - 1) * F.lit(float(p))
+        out += [lo.alias(f"{name}_lo"), hi.alias(f"{name}_hi"), (lo + (hi - lo) * (pos - F.floor(pos))).alias(f"{name}_lin"), ((lo + hi) / 2).alias(f"{name}_mid")]
+    return held.select(*keys, *out)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import half_up_count, haversine_m, round_away
-from lakeledger.session import cut_lineage
+from lakeledger.session import cut_lineage, drop_steps
 
 METRES_PER_DEGREE = 111195.0
 
@@ -35,52 +35,110 @@ def row_col(lon: Column, lat: Column, west: float, north: float, size: float, ro
     return F.lit(rows) - top, F.floor((lon - F.lit(west)) / size).cast("int") + 1
 
 
+#: A tile is cut into four by four until it holds at most LEAF places, at most DEPTH times.
+LEAF, DEPTH = 32, 12
+FEW_TILES = 1 << 16  # of one step; so many travel to the tasks
+ROUNDING = 1e-11  # of squared distances: what is nearer by less is settled by the rounded distances of the places
+
+
+def _tile_id(kx: Column, ky: Column, level: Column | int) -> Column:
+    """One number for a tile, from the places of its cells at the greatest depth."""
+    shift = (F.lit(DEPTH) - level) * 2
+    step = F.pow(F.lit(2.0), shift).cast("long")
+    return (F.lit(level) if isinstance(level, int) else level).cast("long") * (1 << 48) + F.floor(kx / step) * (1 << 24) + F.floor(ky / step)
+
+
+def _tile_tree(centres: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame, list[tuple[int, int, int]]]:
+    """``centres(_cx, _cy, ...)``, one row a place, as (places with ``_kx, _ky``; tiles; levels).
+
+    A tile ``_id`` of ``_level`` carries its ``_parent``, the box of its places and whether it is a ``_leaf``. Levels are
+    (level, tiles that have been reached by then, leaves of that level): a few numbers, by which joins are planned."""
+    box = centres.agg(F.min("_cx"), F.max("_cx"), F.min("_cy"), F.max("_cy")).first()
+    span = max(box[1] - box[0], box[3] - box[2]) or 1.0
+    width = 1 << 2 * DEPTH
+    place = lambda c, low: F.least(F.floor((F.col(c) - low) / span * width), F.lit(width - 1)).cast("long")
+    places = cut_lineage(centres.withColumn("_kx", place("_cx", box[0])).withColumn("_ky", place("_cy", box[2])))
+    counted = (places.select("_cx", "_cy", "_kx", "_ky", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("_level"))
+               .select("_level", "_cx", "_cy", _tile_id(F.col("_kx"), F.col("_ky"), F.col("_level")).alias("_id"),
+                       F.when(F.col("_level") > 0, _tile_id(F.col("_kx"), F.col("_ky"), F.greatest(F.col("_level") - 1, F.lit(0)))).alias("_parent"))
+               .groupBy("_level", "_id", "_parent").agg(F.count(F.lit(1)).alias("_n"), *[f(c).alias(f"_{n}{c[2]}") for c in ("_cx", "_cy") for n, f in (("low", F.min), ("high", F.max))]))
+    counted = cut_lineage(counted)
+    cut = counted.where((F.col("_n") > leaf) & (F.col("_level") < DEPTH)).select(F.col("_id").alias("_parent"))
+    kept = counted.where("_level = 0").unionByName(counted.where("_level > 0").join(cut, "_parent", "left_semi").select(counted.columns))
+    tiles = cut_lineage(kept.withColumn("_leaf", (F.col("_n") <= leaf) | (F.col("_level") == DEPTH)).drop("_n"))
+    drop_steps(counted)
+    levels, before = [], 0
+    for r in tiles.groupBy("_level").agg(F.count(F.lit(1)).alias("n"), F.count_if("_leaf").alias("leaves")).orderBy("_level").collect():
+        levels.append((r["_level"], before + r["n"], r["leaves"]))
+        before += r["leaves"]
+    return places, tiles, levels
+
+
+def _bounds(x: Column, y: Column) -> tuple[Column, Column]:
+    """Least squared distance to a tile's box, and one that some place of the tile does not exceed: each side of the box
+    holds a place, so that the nearer side in one direction and the farther corner in the other bound it."""
+    low = lambda c, n: F.greatest(F.col(f"_low{n}") - c, c - F.col(f"_high{n}"), F.lit(0.0))
+    near = lambda c, n: F.least(F.abs(c - F.col(f"_low{n}")), F.abs(c - F.col(f"_high{n}")))
+    far = lambda c, n: F.greatest(F.abs(c - F.col(f"_low{n}")), F.abs(c - F.col(f"_high{n}")))
+    square = lambda c: c * c
+    least = square(low(x, "x")) + square(low(y, "y"))
+    return least, F.least(square(near(x, "x")) + square(far(y, "y")), square(far(x, "x")) + square(near(y, "y")))
+
+
+def candidate_tiles(points: DataFrame, tiles: DataFrame, levels: list[tuple[int, int, int]], ident: Sequence[str]) -> DataFrame:
+    """The leaves that may hold the place nearest to each of ``points(ident, _x, _y)``, as rows (ident, _x, _y, _id).
+
+    All points go down the tree together. A step opens the tiles that are left and keeps, for each point, those whose
+    least distance does not exceed what some tile is sure to hold. So a point opens a handful of tiles a step, and steps
+    grow with the logarithm of the places. The top of the tree travels to the tasks: all points ask for it."""
+    frontier = points.withColumn("_id", F.lit(0).cast("long"))
+    least, sure = _bounds(F.col("_x"), F.col("_y"))
+    sides = ["_lowx", "_highx", "_lowy", "_highy"]
+    for level, reached, _ in levels[1:]:
+        opened = (tiles.where(F.col("_level") == level).select(F.col("_parent").alias("_from"), "_id", *sides)
+                  .unionByName(tiles.where((F.col("_level") < level) & F.col("_leaf")).select(F.col("_id").alias("_from"), "_id", *sides)))
+        opened = F.broadcast(opened) if reached <= FEW_TILES else opened
+        step = frontier.withColumnRenamed("_id", "_from").join(opened, "_from").withColumn("_least", least)
+        best = F.min(sure).over(Window.partitionBy(*ident))
+        frontier = step.withColumn("_best", best).where(F.col("_least") <= F.col("_best") * (1 + 1e-9) + ROUNDING).select(*ident, "_x", "_y", "_id")
+    return frontier
+
+
 def nearest_cell(points: DataFrame, cells: DataFrame, ident: Sequence[str], x: str, y: str, cell_x: str, cell_y: str,
-                 size: float = 1.0) -> DataFrame:
-    """Every point with the columns of the cell whose centre is nearest; ties go to the lower x, then the lower y.
+                 leaf: int = LEAF) -> DataFrame:
+    """Every point with the columns of the cell whose centre is nearest; ties go to the lower x, then the lower y, and of
+    cells with the same centre to the lowest in its other columns.
 
-    ``ident`` tells points apart, ``size`` is about the distance between cells. Points meet the cells of their own
-    tile and its neighbours; one that is nearer to a cell there than to what lies beyond is done, and the others go
-    on with tiles four times as wide. So any point finds its cell, also where cells are missing or far away, and each
-    round holds only the points without one. Points with a NULL or NaN coordinate get no cell, and there is none in an empty table.
+    ``ident`` tells points apart. Cells are put into a tree of tiles, each with the box of its cells, and points go down
+    it by bounds (``candidate_tiles``), wherever they lie and however the cells are spread; only the cells of the leaves
+    that are left are compared. Points with a NULL or NaN coordinate get no cell, and there is none in an empty table.
     """
     known = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double"))
-    values = [c for c in cells.columns if c not in (cell_x, cell_y)]
-    centres = cells.where(known(cell_x, cell_y)).select(F.col(cell_x).cast("double").alias("_cx"), F.col(cell_y).cast("double").alias("_cy"), F.struct(*cells.columns).alias("_cell"))
+    ident, values = list(ident), [c for c in cells.columns if c not in (cell_x, cell_y)]
+    centres = (cells.where(known(cell_x, cell_y)).select(F.col(cell_x).cast("double").alias("_cx"), F.col(cell_y).cast("double").alias("_cy"), F.struct(*cells.columns).alias("_cell"))
+               .groupBy("_cx", "_cy").agg(F.min("_cell").alias("_cell")))
     left = points.where(known(x, y)).select(*ident, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).distinct()
-    if centres.isEmpty():
-        found = left.select(*ident, F.lit(None).cast(centres.schema["_cell"].dataType).alias("_cell")).limit(0)
-        left = None
+    if cells.where(known(cell_x, cell_y)).isEmpty():
+        found = left.select(*ident, F.lit(None).cast(centres.schema["_cell"].dataType).alias("_cell"))
     else:
-        found = None
-    tile, centres = float(size), cut_lineage(centres) if left is not None else centres
-    while left is not None:
-        tiled = centres.withColumn("_tx", F.floor(F.col("_cx") / tile)).withColumn("_ty", F.floor(F.col("_cy") / tile))
-        near = (left.withColumn("_tx", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor(F.col("_x") / tile) + k)))
-                .withColumn("_ty", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor(F.col("_y") / tile) + k))))
+        places, tiles, levels = _tile_tree(centres, leaf)
+        ends = [level for level, _, leaves in levels if leaves]
+        leaves = tiles.where("_leaf").select("_id")
+        held = (places.select("_cx", "_cy", "_cell", F.explode(F.array(*[_tile_id(F.col("_kx"), F.col("_ky"), level) for level in ends])).alias("_id"))
+                .join(leaves, "_id", "left_semi"))
+        held = F.broadcast(held) if levels[-1][1] * leaf <= FEW_TILES else held
         d2 = (F.col("_cx") - F.col("_x")) * (F.col("_cx") - F.col("_x")) + (F.col("_cy") - F.col("_y")) * (F.col("_cy") - F.col("_y"))
         order = F.struct(F.round(d2, 12).alias("d"), F.col("_cx"), F.col("_cy"))
-        best = near.join(tiled, ["_tx", "_ty"]).groupBy(*ident).agg(F.min_by("_cell", order).alias("_cell"), F.min(F.round(d2, 12)).alias("_d"))
-        # What lies beyond the neighbouring tiles is at least the way to the edge of those away.
-        edge = lambda c: tile + F.least(F.col(c) - F.floor(F.col(c) / tile) * tile, (F.floor(F.col(c) / tile) + 1) * tile - F.col(c))
-        joined = cut_lineage(left.join(best, list(ident), "left").withColumn("_sure", F.coalesce(
-            F.col("_d") < F.least(edge("_x"), edge("_y")) * F.least(edge("_x"), edge("_y")), F.lit(False))))
-        sure = joined.where("_sure").select(*ident, "_cell")
-        found = sure if found is None else found.unionByName(sure)
-        left = joined.where(~F.col("_sure")).select(*ident, "_x", "_y")
-        tile *= 4
-        if left.isEmpty():
-            left = None
-    return points.join(found, list(ident), "left").select(*points.columns, *[F.col("_cell")[c].alias(c) for c in (cell_x, cell_y, *values)])
+        found = candidate_tiles(left, tiles, levels, ident).join(held, "_id").groupBy(*ident).agg(F.min_by("_cell", order).alias("_cell"))
+    return points.join(found, ident, "left").select(*points.columns, *[F.col("_cell")[c].alias(c) for c in (cell_x, cell_y, *values)])
 
 
 def regrid(cells: DataFrame, keys: Sequence[str], values: Sequence[str], lon: str, lat: str, resolution: float,
-           bounds: tuple[float, float, float, float], size: float | None = None) -> DataFrame:
+           bounds: tuple[float, float, float, float]) -> DataFrame:
     """Nearest source cell of every target cell of a finer or coarser grid inside the bounds, for all ``keys``.
 
     The source whose centre is nearest to the target's wins; ties go to the lower longitude, then latitude. The
-    search is made once for the distinct source places (``size``: about their distance), and sources outside the bounds
-    take part. ``cell_x`` and ``cell_y`` count target cells from the lower left.
+    search is made once for the distinct source places, and sources outside the bounds take part. ``cell_x`` and ``cell_y`` count target cells from the lower left.
     """
     spark = cells.sparkSession
     xmin, ymin, xmax, ymax = map(float, bounds)
@@ -89,7 +147,7 @@ def regrid(cells: DataFrame, keys: Sequence[str], values: Sequence[str], lon: st
     targets = grid_cells(box, [], resolution).select(F.col("col").alias("cell_x"), (ny - 1 - F.col("row")).cast("int").alias("cell_y"))
     targets = targets.withColumn("_tx", xmin + (F.col("cell_x") + 0.5) * resolution).withColumn("_ty", ymin + (F.col("cell_y") + 0.5) * resolution)
     places = cells.select(lon, lat).distinct()
-    near = nearest_cell(targets, places, ["cell_x", "cell_y"], "_tx", "_ty", lon, lat, size or resolution)
+    near = nearest_cell(targets, places, ["cell_x", "cell_y"], "_tx", "_ty", lon, lat)
     return cells.join(near.select("cell_x", "cell_y", lon, lat), [lon, lat]).select(*keys, "cell_x", "cell_y", *values)
 
 
@@ -128,22 +186,52 @@ def polygon_boxes(edges: DataFrame, ident: str = "id") -> DataFrame:
         F.greatest(F.max("x1"), F.max("x2")).alias("xmax"), F.greatest(F.max("y1"), F.max("y2")).alias("ymax"))
 
 
-def points_in_polygons(points: DataFrame, edges: DataFrame, point: str, x: str = "x", y: str = "y",
-                       ident: str = "id", tile: float = 1.0) -> DataFrame:
+def _box_rows(edges: DataFrame, ident: str) -> DataFrame:
+    """The box of each polygon, the number of rows it is cut into, about the square root of its edges, and their height."""
+    many = edges.groupBy(ident).agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("_rows"))
+    return polygon_boxes(edges, ident).join(many, ident).withColumn("_high", (F.col("ymax") - F.col("ymin")) / F.col("_rows"))
+
+
+def _row_of(y: Column) -> Column:
+    """The row of a polygon that a height lies in; those outside its box belong to the first and the last."""
+    row = F.least(F.floor((y - F.col("ymin")) / F.col("_high")), F.col("_rows") - 1)
+    return F.when(F.col("_high") > 0, F.greatest(row, F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+
+
+def _edge_rows(edges: DataFrame, boxes: DataFrame, ident: str) -> DataFrame:
+    """Each edge in the rows of its polygon that it touches."""
+    return (edges.join(boxes.select(ident, "ymin", "_high", "_rows"), ident)
+            .select(ident, "x1", "y1", "x2", "y2", F.explode(F.sequence(_row_of(F.least("y1", "y2")), _row_of(F.greatest("y1", "y2")))).alias("_row")))
+
+
+def _tiled_boxes(boxes: DataFrame) -> DataFrame:
+    """Boxes in the tiles they touch, of the least power of two that is as wide as they are: four tiles at most, however
+    large a box is, and as many boxes in a tile as lie one above the other, but for a few."""
+    wide = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-9))
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(wide)))
+    tiles = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / F.col("_width")), F.floor(F.col(high) / F.col("_width"))))
+    return boxes.withColumn("_width", width).withColumn("_tx", tiles("xmin", "xmax")).withColumn("_ty", tiles("ymin", "ymax"))
+
+
+def _widths(boxes: DataFrame) -> Column:
+    """The widths of tiles that are in use: powers of two, so that there are few."""
+    return F.array(*[F.lit(r[0]) for r in boxes.select("_width").distinct().collect()]).cast("array<double>")
+
+
+def points_in_polygons(points: DataFrame, edges: DataFrame, point: str, x: str = "x", y: str = "y", ident: str = "id") -> DataFrame:
     """Pairs (point, polygon) with the point inside, by counting edge crossings of a ray to the right.
 
-    Points first meet the boxes of polygons, tile by tile. A polygon of n edges is cut into about the square root of n rows of its
+    Points first meet the boxes of polygons, in tiles as wide as the boxes, so that a point meets about as many boxes as it
+    lies in, however many polygons there are in one place. A polygon of n edges is cut into about the square root of n rows of its
     own, and a point only meets the edges in its row of that polygon. A horizontal edge never crosses.
     """
-    boxes = (polygon_boxes(edges, ident).join(edges.groupBy(ident).agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("_rows")), ident)
-             .withColumn("_high", (F.col("ymax") - F.col("ymin")) / F.col("_rows")).where(F.col("_high") > 0))
-    row_of = lambda y: F.least(F.floor((y - F.col("ymin")) / F.col("_high")), F.col("_rows") - 1)
-    sloped = edges.where(F.col("y1") != F.col("y2")).join(boxes.select(ident, "ymin", "_high", "_rows"), ident)
-    rows = sloped.select(ident, "x1", "y1", "x2", "y2", F.explode(F.sequence(row_of(F.least("y1", "y2")), row_of(F.greatest("y1", "y2")))).alias("_row"))
-    tiled = boxes.withColumn("_tx", _tiles(F.col("xmin"), F.col("xmax"), tile)).withColumn("_ty", _tiles(F.col("ymin"), F.col("ymax"), tile))
-    pts = points.select(point, F.col(x).alias("_x"), F.col(y).alias("_y")).withColumn("_tx", F.floor(F.col("_x") / tile)).withColumn("_ty", F.floor(F.col("_y") / tile))
-    near = (pts.join(tiled, ["_tx", "_ty"]).where(F.col("_x").between(F.col("xmin"), F.col("xmax")) & F.col("_y").between(F.col("ymin"), F.col("ymax")))
-            .select(point, ident, "_x", "_y", row_of(F.col("_y")).alias("_row")))
+    boxes = _box_rows(edges, ident).where(F.col("_high") > 0)
+    rows = _edge_rows(edges.where(F.col("y1") != F.col("y2")), boxes, ident)
+    tiled = _tiled_boxes(boxes)
+    pts = (points.select(point, F.col(x).alias("_x"), F.col(y).alias("_y")).withColumn("_width", F.explode(_widths(tiled)))
+           .withColumn("_tx", F.floor(F.col("_x") / F.col("_width"))).withColumn("_ty", F.floor(F.col("_y") / F.col("_width"))))
+    inside = F.col("_x").between(F.col("xmin"), F.col("xmax")) & F.col("_y").between(F.col("ymin"), F.col("ymax"))
+    near = pts.join(tiled, ["_width", "_tx", "_ty"]).where(inside).select(point, ident, "_x", "_y", _row_of(F.col("_y")).alias("_row"))
     spans = (F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))
     at = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     hits = near.join(rows, [ident, "_row"]).where(spans & (F.col("_x") < at)).groupBy(point, ident).agg(F.count(F.lit(1)).alias("_n"))
@@ -158,32 +246,48 @@ def centroids(edges: DataFrame, ident: str = "id") -> DataFrame:
     return s.select(ident, F.try_divide(F.col("_x"), F.col("_a") * 3).alias("cx"), F.try_divide(F.col("_y"), F.col("_a") * 3).alias("cy"))
 
 
-def cells_of_polygons(cells: DataFrame, edges: DataFrame, cell: str, x: str, y: str, ident: str = "id",
-                      tile: float = 1.0, size: float = 1.0) -> DataFrame:
+def cells_of_polygons(cells: DataFrame, edges: DataFrame, cell: str, x: str, y: str, ident: str = "id") -> DataFrame:
     """Cells whose centre lies in a polygon; a polygon without any takes the cell nearest its centroid, wherever that is."""
-    inside = points_in_polygons(cells, edges, cell, x, y, ident, tile)
+    inside = points_in_polygons(cells, edges, cell, x, y, ident)
     empty = centroids(edges, ident).join(inside.select(ident).distinct(), ident, "left_anti")
-    near = nearest_cell(empty, cells.select(x, y, cell), [ident], "cx", "cy", x, y, size).select(cell, ident)
+    near = nearest_cell(empty, cells.select(x, y, cell), [ident], "cx", "cy", x, y).select(cell, ident)
     return inside.withColumn("method", F.lit("inside")).unionByName(near.withColumn("method", F.lit("nearest")))
 
 
+def _path_tiles(segments: DataFrame, widths: Column) -> DataFrame:
+    """Segments in the tiles of every width that they run through: column by column, the tiles of the part in it."""
+    s = segments.withColumn("_width", F.explode(widths))
+    column = lambda c: F.floor(F.col(c) / F.col("_width"))
+    s = s.withColumn("_tx", F.explode(F.sequence(F.least(column("ax1"), column("ax2")), F.greatest(column("ax1"), column("ax2")))))
+    rise = F.try_divide(F.col("ay2") - F.col("ay1"), F.col("ax2") - F.col("ax1"))
+    # The part in the column, a little wider, so that rounding loses no tile.
+    ends = [F.least(F.greatest((F.col("_tx") + k) * F.col("_width"), F.least("ax1", "ax2")), F.greatest("ax1", "ax2")) for k in (-1e-9, 1 + 1e-9)]
+    at = [F.coalesce(F.col("ay1") + (e - F.col("ax1")) * rise, y) for e, y in zip(ends, (F.col("ay1"), F.col("ay2")), strict=True)]
+    slack = F.col("_width") * 1e-6
+    within = lambda v: F.least(F.greatest(v, F.least("ay1", "ay2")), F.greatest("ay1", "ay2"))
+    low, high = within(F.least(*at) - slack), within(F.greatest(*at) + slack)
+    return s.withColumn("_ty", F.explode(F.sequence(F.floor(low / F.col("_width")), F.floor(high / F.col("_width")))))
+
+
 def track_crossings(tracks: DataFrame, edges: DataFrame, track: str = "track", ident: str = "id",
-                    overrides: DataFrame | None = None, tile: float = 1.0) -> DataFrame:
+                    overrides: DataFrame | None = None) -> DataFrame:
     """Tracks that cross a polygon and the latitude range of the part inside it.
 
     ``tracks`` holds segments (x1, y1, x2, y2). The inside part is bounded by edge crossings and by
-    segment ends inside the polygon. ``overrides`` (id, min_lat, max_lat) win where given.
+    segment ends inside the polygon. ``overrides`` (id, min_lat, max_lat) win where given. A segment meets the boxes of
+    polygons in the tiles it runs through, which are as wide as the boxes, and then only the edges in the rows of a polygon
+    that it passes.
     """
-    def tiled(df, prefix):
-        c = df
-        for n in ("x1", "y1", "x2", "y2"):
-            c = c.withColumnRenamed(n, f"{prefix}{n}")
-        p = lambda n: F.col(f"{prefix}{n}")
-        return (c.withColumn("_tx", _tiles(F.least(p("x1"), p("x2")), F.greatest(p("x1"), p("x2")), tile))
-                .withColumn("_ty", _tiles(F.least(p("y1"), p("y2")), F.greatest(p("y1"), p("y2")), tile)))
-
-    a, b = tiled(tracks, "a"), tiled(edges, "b")
-    j = a.join(b, ["_tx", "_ty"])
+    boxes = _box_rows(edges, ident)
+    tiled = _tiled_boxes(boxes)
+    a = tracks.select(track, *[F.col(n).cast("double").alias(f"a{n}") for n in ("x1", "y1", "x2", "y2")]).distinct()
+    low, high = F.least("ay1", "ay2"), F.greatest("ay1", "ay2")
+    overlap = (F.least("ax1", "ax2") <= F.col("xmax")) & (F.greatest("ax1", "ax2") >= F.col("xmin")) & (low <= F.col("ymax")) & (high >= F.col("ymin"))
+    near = (_path_tiles(a, _widths(tiled)).join(tiled, ["_width", "_tx", "_ty"]).where(overlap)
+            .select(track, ident, "ax1", "ay1", "ax2", "ay2", "ymin", "_high", "_rows").distinct()
+            .withColumn("_row", F.explode(F.sequence(_row_of(low), _row_of(high)))))
+    named = {n: f"b{n}" for n in ("x1", "y1", "x2", "y2")}
+    j = near.join(_edge_rows(edges, boxes, ident).withColumnsRenamed(named), [ident, "_row"])
     ax, ay = F.col("ax2") - F.col("ax1"), F.col("ay2") - F.col("ay1")
     bx, by = F.col("bx2") - F.col("bx1"), F.col("by2") - F.col("by1")
     det = ax * by - ay * bx
@@ -194,7 +298,7 @@ def track_crossings(tracks: DataFrame, edges: DataFrame, track: str = "track", i
     ends = tracks.select(track, F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")),
                                                   F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p"))
     ends = ends.select(track, F.col("p.x").alias("x"), F.col("p.y").alias("y")).distinct().withColumn("_end", F.struct(track, "x", "y"))
-    within = points_in_polygons(ends, edges, "_end", "x", "y", ident, tile)
+    within = points_in_polygons(ends, edges, "_end", "x", "y", ident)
     at_end = within.select(F.col("_end")[track].alias(track), ident, F.col("_end.y").alias("lat"))
     out = at_cross.unionByName(at_end).groupBy(track, ident).agg(
         round_away(F.min("lat"), 6).alias("min_lat"), round_away(F.max("lat"), 6).alias("max_lat"))

@@ -8,7 +8,7 @@ from lakeledger.operators.series import interval_sums
 from lakeledger.plans.registry import query
 from lakeledger.plans.tables import Tables, check_sql
 from lakeledger.session import scratch_table
-from lakeledger.sources import readers, schemas, writers
+from lakeledger.sources import committed, readers, schemas, writers
 from lakeledger.streaming import daily
 
 R = ["reservoir_id"]
@@ -148,7 +148,7 @@ def node_elevation(t: Tables):
     """Elevation of every node from the nearest terrain point."""
     terrain = t.flow_dir.select((F.col("x") * 0.15).alias("tx"), (F.col("y") * 0.2).alias("ty"), (F.col("x") * 7 + F.col("y") * 3).alias("elevation")).distinct()
     nodes = t.points.select(F.col("point").alias("node"), F.col("x").alias("lon"), F.col("y").alias("lat"))
-    return network.node_elevation(nodes, terrain, terrain_x="tx", terrain_y="ty", size=0.2).select("node", F.col("elevation").cast("bigint").alias("elevation"))
+    return network.node_elevation(nodes, terrain, terrain_x="tx", terrain_y="ty").select("node", F.col("elevation").cast("bigint").alias("elevation"))
 
 
 @query("edge_lengths", check_sql("edges", """with n as (select s_suppkey as node, s_suppkey % 17 + 0.5 as lat, s_suppkey % 23 + 0.25 as lon from supplier)
@@ -405,12 +405,16 @@ def curve_names(t: Tables):
 
 @query("yearly_split", check_sql("cell_flux", """select year(date) as year, count(*) as n, min(date) as first, max(date) as last, round(sum(net_radiation), 2) as radiation from cell_flux group by 1"""))
 def yearly_split(t: Tables):
-    """Weather written by year, the rest of every reservoir appended after its own last stored day, read back."""
+    """Weather written by year, the rest of every reservoir appended after its own last stored day, twice, and read back."""
     path, rid = scratch_table(t.spark, "yearly"), F.col("reservoir_id")
     df = t.cell_flux.select("reservoir_id", "date", "net_radiation")
-    writers.yearly(df.where((F.col("date") < F.date_sub(F.lit("1999-01-01").cast("date"), (rid % 50 * 9).cast("int"))) & (rid % 11 != 0)), path)
-    writers.append_after(df, path, keys=["reservoir_id"])
-    back = t.spark.read.parquet(path)
+    first = df.where((F.col("date") < F.date_sub(F.lit("1999-01-01").cast("date"), (rid % 50 * 9).cast("int"))) & (rid % 11 != 0))
+    writers.yearly(first, path)
+    table = scratch_table(t.spark, "yearly-table")
+    writers.append_after(t.spark.read.parquet(path).select(*df.columns), table, keys=["reservoir_id"])
+    for _ in range(2):  # a run that is repeated adds nothing
+        writers.append_after(df, table, keys=["reservoir_id"])
+    back = committed.read(t.spark, table)
     return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first"), F.max("date").alias("last"), F.round(F.sum("net_radiation"), 2).alias("radiation")).withColumn("year", F.col("year").cast("bigint"))
 
 
@@ -525,3 +529,44 @@ def stream_scenes(t: Tables):
     s = events(t, "click")
     twice = s.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
     return finished(t, daily.drop_duplicate_scenes(twice, ["event_id"]), ["event_id"]).select("reservoir_id", "event_id", "value")
+
+
+@query("committed_upserts", check_sql("", """select user_id as reservoir_id, cast(ts as date) as date, round(sum(value), 6) as total, count(*) as n from events where event_type = 'error' group by 1, 2"""))
+def committed_upserts(t: Tables):
+    """Batches of corrections, one of them delivered twice, folded into one state by a compaction that a reader of the version before it outlives."""
+    table = scratch_table(t.spark, "upserts")
+    e = t.raw("events").where(F.col("event_type") == "error").withColumnRenamed("user_id", "reservoir_id")
+    days = lambda df: df.groupBy(*R, F.to_date("ts").alias("date")).agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n"))
+    for version, (rows, name) in enumerate([(e.where(F.hour("ts") < 9), "morning"), (e.where(F.hour("ts") < 17), "day"), (e.where(F.hour("ts") < 9), "morning"), (e, "evening")]):
+        committed.append(days(rows).withColumn("version", F.lit(version)), table, name)
+    before = daily.latest(t.spark, table, [*R, "date"])
+    daily.compact(t.spark, table, [*R, "date"])
+    committed.vacuum(t.spark, table, keep=2)
+    both = before.join(daily.latest(t.spark, table, [*R, "date"]).withColumnRenamed("total", "_after").drop("n"), [*R, "date"])
+    return both.where(F.col("total") == F.col("_after")).select(*R, "date", F.round("total", 6).alias("total"), "n")
+
+
+@query("stream_provisional", check_sql("", """with e as (select user_id as reservoir_id, cast(ts as date) as d, value, event_id, dayofmonth(ts) as k from events where event_type = 'view'),
+p as (select reservoir_id, d, max(value) as v from e where event_id % 5 <> 0 group by 1, 2), o as (select reservoir_id, d, min(value) - 1 as v from e where event_id % 3 <> 0 group by 1, 2)
+select coalesce(p.reservoir_id, o.reservoir_id) as reservoir_id, coalesce(p.d, o.d) as date, coalesce(o.v, p.v) as value, case when o.v is null then 'provisional' else 'observed' end as source
+from p full join o on p.reservoir_id = o.reservoir_id and p.d = o.d"""))
+def stream_provisional(t: Tables):
+    """Provisional values replaced by observed ones; of each two weeks one source comes first, in files of a batch each."""
+    e = t.raw("events").where(F.col("event_type") == "view").withColumnRenamed("user_id", "reservoir_id")
+    daily_ = lambda df, f: df.groupBy(*R, F.date_trunc("day", "ts").alias("ts")).agg(f("value").alias("value"))
+    sources = {"provisional": daily_(e.where(F.col("event_id") % 5 != 0), F.max), "observed": daily_(e.where(F.col("event_id") % 3 != 0), F.min).withColumn("value", F.col("value") - 1)}
+    folders = {name: scratch_table(t.spark, name) for name in sources}
+    last = e.agg(F.date_add(F.to_date(F.max("ts")), 40).cast("timestamp")).first()[0]
+    end = t.spark.createDataFrame([(-1, last, 0.0)], "reservoir_id long, ts timestamp, value double")  # moves the watermark past all days
+    cuts = [F.dayofmonth("ts").between(a, b) for a, b in ((1, 4), (5, 9), (10, 14), (15, 19), (20, 24), (25, 31))]
+    for name, df in sources.items():
+        df = df.select(F.col("reservoir_id").cast("long").alias("reservoir_id"), "ts", F.col("value").cast("double").alias("value"))
+        order = cuts if name == "observed" else [cuts[0], F.lit(False), *cuts[1:]]  # from the second file on one side is a file behind
+        for part in [*[df.where(c) for c in order], *[end] * (3 if name == "observed" else 2)]:
+            part.coalesce(1).write.mode("append").parquet(folders[name])
+    read = lambda name: daily.observations(t.spark, folders[name], "reservoir_id long, ts timestamp, value double", files_per_batch=1)
+    joined = daily.replace_provisional(read("provisional"), read("observed"), R, "value", lateness="40 days")
+    table, log = scratch_table(t.spark, "provisional-table"), scratch_table(t.spark, "provisional-log")
+    ended(daily.run_upsert(joined, table, log, "append"))
+    out = committed.read(t.spark, table).where("reservoir_id >= 0")
+    return out.select(*R, F.to_date("ts").alias("date"), "value", "source")

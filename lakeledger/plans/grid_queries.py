@@ -144,7 +144,7 @@ def regrid(t: Tables):
 @query("regrid_finer", check_sql("forcing", "with " + NEAREST.format(west=-0.25, step=0.0625, n=24)))
 def regrid_finer(t: Tables):
     """Nearest source cell on a finer grid that also reaches beyond the sources."""
-    return spatial.regrid(placed(t), ["date"], ["tmax"], "lon", "lat", 0.0625, (-0.25, -0.25, 1.25, 1.25), size=0.1)
+    return spatial.regrid(placed(t), ["date"], ["tmax"], "lon", "lat", 0.0625, (-0.25, -0.25, 1.25, 1.25))
 
 
 # --- scalar functions -----------------------------------------------------------------------
@@ -198,7 +198,18 @@ def nearest_cell(t: Tables):
     """Cell nearest to each point, in a grid with holes; some points lie outside."""
     k = F.col("n_nationkey")
     cells = t.raw("nation").where(k % 7 != 3).select(k, (k % 5 + 0.5).alias("cx"), (F.floor(k / 5) + 0.5).alias("cy"))
-    return spatial.nearest_cell(t.points, cells, ["point"], "x", "y", "cx", "cy", 0.4).select("point", "n_nationkey")
+    return spatial.nearest_cell(t.points, cells, ["point"], "x", "y", "cx", "cy").select("point", "n_nationkey")
+
+
+@query("nearest_cell_far", check_sql("points flow_dir", """with t as (select distinct x * 0.15 as cx, y * 0.2 as cy, x * 1000 + y as cell from flow_dir),
+c as (select * from t union all select cx + 1000, cy - 800, cell + 1000000 from t), p as (select point, x, y from points union all select point + 1000000, x + 300, y + 40 from points)
+select point, cell from p cross join c qualify row_number() over (partition by point order by round((x - cx) * (x - cx) + (y - cy) * (y - cy), 12), cx, cy) = 1"""))
+def nearest_cell_far(t: Tables):
+    """Cells in two places far apart, and as many points far from both as next to one."""
+    moved = lambda df, x, y, ident, dx, dy: df.unionByName(df.select((F.col(ident) + 1000000).alias(ident), (F.col(x) + dx).alias(x), (F.col(y) + dy).alias(y)))
+    cells = t.flow_dir.select((F.col("x") * 1000 + F.col("y")).alias("cell"), (F.col("x") * 0.15).alias("cx"), (F.col("y") * 0.2).alias("cy")).distinct()
+    return spatial.nearest_cell(moved(t.points.select("point", "x", "y"), "x", "y", "point", 300, 40), moved(cells, "cx", "cy", "cell", 1000, -800),
+                                ["point"], "x", "y", "cx", "cy").select("point", "cell")
 
 
 @query("cells_or_nearest", check_sql("polygon", """with cell as (select distinct cast(p_size % 9 as int) as i, cast(floor(p_size / 9) as int) as j from part),

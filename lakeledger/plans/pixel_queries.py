@@ -1,5 +1,6 @@
 """Image and altimeter queries."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.operators import altimetry, pixels
@@ -116,21 +117,42 @@ def water_cluster(t: Tables):
     return a.select(*SCENE, F.round("water_area", 9).alias("water_area"), F.round("non_water_area", 9).alias("non_water_area"))
 
 
-@query("water_cluster_apart", check_sql("pixels", """with d as (select distinct reservoir_id, pix from pixels)
-select reservoir_id, round(sum(case when pix % 3 = 0 then 900.0 + pix % 101 else 0 end) * 1e-6, 9) as water_area, round(sum(case when pix % 3 <> 0 then 900.0 + pix % 101 else 0 end) * 1e-6, 9) as non_water_area from d group by 1"""))
-def water_cluster_apart(t: Tables):
-    """Unsupervised water area where water and land lie apart in all features."""
+def apart(t: Tables) -> DataFrame:
+    """Pixels whose features lie apart for water and land, with noise that is small beside that."""
     k = F.col("pix")
     noise = lambda a, b: (k * a % b) / (b * 20.0)
     water = lambda w, l: F.when(k % 3 == 0, F.lit(w)).otherwise(F.lit(l))
-    d = t.pixels.select("reservoir_id", "pix").distinct().select(
+    return t.pixels.select("reservoir_id", "pix").distinct().select(
         "reservoir_id", "pix", (k % 101).alias("occurrence"), (water(0.6, -0.4) + noise(7919, 1009)).alias("ndwi"), (water(0.5, -0.6) + noise(6101, 997)).alias("mndwi"),
         (water(0.2, 1.1) + noise(4993, 1013)).alias("b7"), (water(3.0, 1.0) + noise(3989, 991)).alias("mbwi"))
-    c = pixels.classify_water(d, ["reservoir_id"], ["ndwi", "mndwi", "b7"], area())
+
+
+def apart_areas(pix: DataFrame) -> DataFrame:
+    c = pixels.classify_water(pix, ["reservoir_id"], ["ndwi", "mndwi", "b7"], area())
     a = pixels.scene_areas(c, ["reservoir_id"], F.col("water"), area())
     return a.select("reservoir_id", F.round("water_area", 9).alias("water_area"), F.round("non_water_area", 9).alias("non_water_area"))
 
 
+@query("water_cluster_apart", check_sql("pixels", """with d as (select distinct reservoir_id, pix from pixels)
+select reservoir_id, round(sum(case when pix % 3 = 0 then 900.0 + pix % 101 else 0 end) * 1e-6, 9) as water_area, round(sum(case when pix % 3 <> 0 then 900.0 + pix % 101 else 0 end) * 1e-6, 9) as non_water_area from d group by 1"""))
+def water_cluster_apart(t: Tables):
+    """Unsupervised water area where water and land lie apart in all features."""
+    return apart_areas(apart(t))
+
+
+@query("water_cluster_far", check_sql("pixels", """with d as (select distinct reservoir_id, pix from pixels), r as (select distinct reservoir_id from pixels),
+a as (select reservoir_id, 900.0 + pix % 101 as area, pix % 3 = 0 as water from d union all select reservoir_id, 900.0 + (f * 7) % 101, false from r, (values (1), (2), (3)) v(f))
+select reservoir_id, round(sum(case when water then area else 0 end) * 1e-6, 9) as water_area, round(sum(case when not water then area else 0 end) * 1e-6, 9) as non_water_area from a group by 1"""))
+def water_cluster_far(t: Tables):
+    """The same with three pixels of every reservoir far from all others, as an index with a denominator near zero gives them."""
+    d = apart(t)
+    f = F.explode(F.array(*map(F.lit, (1, 2, 3))))
+    far = d.select("reservoir_id").distinct().withColumn("f", f).select(
+        "reservoir_id", (-F.col("f")).cast(d.schema["pix"].dataType).alias("pix"), (F.col("f") * 7 % 101).cast(d.schema["occurrence"].dataType).alias("occurrence"),
+        (F.col("f") * F.col("f") * 90.0).alias("ndwi"), (F.col("f") * -130.0).alias("mndwi"), F.lit(0.5).alias("b7"), F.lit(-2.0).alias("mbwi"))
+    return apart_areas(d.unionByName(far))
+
+
 @query("pixel_sample", check_sql("pixels", """with d as (select reservoir_id, scene, pix, count(*) as n from pixels group by 1, 2, 3)
 select reservoir_id, scene, pix, n from d qualify row_number() over (partition by reservoir_id, scene order by n desc, pix) <= 25"""))
 def pixel_sample(t: Tables):
@@ -140,6 +162,27 @@ def pixel_sample(t: Tables):
     return lowest_k(d, SCENE, [F.col("n").desc(), F.col("pix")], 25)
 
 
+SAMPLED = """select reservoir_id, scene, pix, n from (select reservoir_id, scene, pix, count(*) as n from pixels group by 1, 2, 3)
+qualify row_number() over (partition by reservoir_id, scene order by ('0x' || substr(md5(reservoir_id || ':' || scene || ':' || pix), 1, 13))::bigint, pix) <= {k}"""
+
+
+def sampled(t: Tables, k: int) -> DataFrame:
+    from lakeledger.operators.scale import sample_rows
+    return sample_rows(t.pixels.groupBy(*SCENE, "pix").agg(F.count(F.lit(1)).alias("n")), SCENE, ["pix"], k)
+
+
+@query("scene_sample", check_sql("pixels", SAMPLED.format(k=4999)))
+def scene_sample(t: Tables):
+    """A sample of at most 4,999 pixels of every scene."""
+    return sampled(t, 4999)
+
+
+@query("scene_sample_few", check_sql("pixels", SAMPLED.format(k=7)))
+def scene_sample_few(t: Tables):
+    """A sample of at most seven pixels of every scene."""
+    return sampled(t, 7)
+
+
 SAR = """w as (select reservoir_id, image, cast(floor(date_diff('day', date '1995-01-01', image_date) / 12) as int) as k, x, y, max(vv) as vv from sar_images
   where angle > 31.66 and angle < 45.4 and image_date >= date '1995-01-01' group by all),
 f as (select a.reservoir_id, a.k, a.image, a.x, a.y, max(b.vv) as v from w a join w b on a.reservoir_id = b.reservoir_id and a.k = b.k and a.image = b.image

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import coordinate_text, truncated_key
 from lakeledger.operators.series import after_last
+from lakeledger.sources import committed
 
 
 def product(df: DataFrame, path: str, by: Sequence[str] = ("basin_id",), mode: str = "overwrite") -> None:
@@ -31,10 +32,15 @@ def yearly(df: DataFrame, path: str, date: str = "date") -> None:
      .partitionBy("year").parquet(path))
 
 
-def append_after(df: DataFrame, path: str, date: str = "date", keys: Sequence[str] = ()) -> None:
-    """Append the rows of every key that are later than its last stored one; all rows of a key that is new."""
-    stored = df.sparkSession.read.parquet(path)
-    after_last(stored, df, keys, date).withColumn("year", F.year(date)).write.mode("append").partitionBy("year").parquet(path)
+def append_after(df: DataFrame, table: str, date: str = "date", keys: Sequence[str] = ()) -> None:
+    """Add the rows of every key that are later than its last stored one, and all rows of a key that is new, to a committed table by year.
+
+    The rows become part of the table at once or not at all, so that a run may be repeated: after a failure nothing is
+    stored twice, and after success nothing is left to add.
+    """
+    stored = committed.read(df.sparkSession, table)
+    new = df if stored is None else after_last(stored.select(*df.columns), df, keys, date)
+    committed.append(new.withColumn("year", F.year(date)), table, by=["year"])
 
 
 def cell_tables(df: DataFrame, path: str, values: Sequence[str], lat: str = "lat", lon: str = "lon", date: str = "date") -> None:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeledger.operators.pixels import COMPOSITES
+from lakeledger.sources import committed
 
 LATENESS = "3 days"
 
@@ -54,32 +55,36 @@ def composites(stream: DataFrame, keys: Sequence[str], sensor: str, value: str,
         *keys, F.to_date("_w.start").alias("from_date"), F.date_add(F.to_date("_w.start"), used).alias("to_date"), "best", "n")
 
 
-def run_upsert(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Write each micro-batch's changed rows as a new version; a replayed batch replaces its own files."""
+def _committed(stream: DataFrame, table: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame], mode: str) -> StreamingQuery:
+    """Each micro-batch as a version of a committed table; one that is replayed after a failure changes nothing."""
     def write(batch: DataFrame, version: int) -> None:
-        batch.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{table}/batch={version}")
+        committed.append(prepare(batch).withColumn("version", F.lit(version)), table, str(version))
 
-    return (stream.writeStream.outputMode("update").foreachBatch(write)
+    return (stream.writeStream.outputMode(mode).foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def run_upsert(stream: DataFrame, table: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Commit each micro-batch's changed rows; ``latest`` reads the last of each key."""
+    return _committed(stream, table, checkpoint, lambda batch: batch, mode)
+
+
 def run_partial_totals(stream: DataFrame, keys: Sequence[str], value: str, table: str, checkpoint: str, ts: str = "ts") -> StreamingQuery:
     """History in any order: each micro-batch adds its own sums, counts and latest values per key and day.
 
     Nothing waits for a watermark, so a file that comes after younger ones loses no day, and the result does not
     depend on how files are cut into batches. ``total_of_parts`` puts the parts together.
     """
-    def write(batch: DataFrame, version: int) -> None:
-        parts = batch.groupBy(*keys, F.to_date(ts).alias("date")).agg(
+    def parts(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*keys, F.to_date(ts).alias("date")).agg(
             F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value"))).alias("latest"))
-        parts.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{table}/batch={version}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _committed(stream, table, checkpoint, parts, "append")
 
 
 def total_of_parts(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
     """Sum, count and latest value per key and day over all parts."""
-    out = spark.read.parquet(f"{table}/batch=*").groupBy(*keys, "date").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("latest").alias("latest"))
+    out = committed.read(spark, table).groupBy(*keys, "date").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("latest").alias("latest"))
     return out.withColumn("latest", F.col("latest.value"))
 
 
@@ -90,33 +95,33 @@ def late_rows(stream_total: DataFrame, complete: DataFrame, keys: Sequence[str])
     return complete.join(seen, [*keys, "date"], "left").select(*keys, "date", late.alias("late")).where("late > 0")
 
 
-def _folders(spark: SparkSession, table: str, kind: str) -> dict[int, str]:
-    """Version -> folder of the ``kind=version`` folders of a table."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return {}
-    names = [f.getPath().getName() for f in fs.listStatus(path)]
-    return {int(n.partition("=")[2]): f"{table}/{n}" for n in names if n.startswith(f"{kind}=")}
+def latest(spark: SparkSession, table: str, keys: Sequence[str], version: int | None = None) -> DataFrame:
+    """Newest row of every key of an upsert table, in its newest version or a given one."""
+    return committed.newest(committed.read(spark, table, version), keys).drop("version")
 
 
-def latest(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
-    """Newest version of every key of an upsert table: its last compacted state and the batches after that."""
-    whole, batches = _folders(spark, table, "upto"), _folders(spark, table, "batch")
-    upto = max(whole, default=-1)
-    folders = [f for v, f in sorted(batches.items()) if v > upto] + [whole[v] for v in [upto] if v in whole]
-    df = spark.read.parquet(*folders)
-    rest = [c for c in df.columns if c not in keys and c != "version"]
-    return df.groupBy(*keys).agg(*[F.max_by(c, "version").alias(c) for c in rest])
+def compact(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
+    """Fold all batches so far into one state, in the next version; readers of older versions go on undisturbed."""
+    committed.compact(spark, table, lambda df: committed.newest(df, keys))
 
 
-def compact(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
-    """Fold all versions so far into one state, and retire what it holds; nothing may be reading those meanwhile."""
-    batches, older = _folders(spark, table, "batch"), _folders(spark, table, "upto")
-    if not batches:
-        return
-    upto = max(batches)
-    latest(spark, table, keys).withColumn("version", F.lit(upto)).write.mode("overwrite").parquet(f"{table}/upto={upto}")
-    for folder in [*batches.values(), *[f for v, f in older.items() if v != upto]]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def replace_provisional(provisional: DataFrame, observed: DataFrame, keys: Sequence[str], value: str, ts: str = "ts",
+                        lateness: str = LATENESS) -> DataFrame:
+    """Two streams of a value per key and time, the second of which displaces the first, whichever comes first.
+
+    A full outer join on keys and time with a watermark on both sides: a pair gives the observed value as soon as both are
+    there, and a row that stays alone is given, with its source, when the watermarks have passed it; its state then goes.
+    So each key and time has one row, unless the other side is later than ``lateness``. An observed NULL
+    leaves the provisional value. ``run_upsert`` in append mode writes the result.
+    """
+    sides = []
+    for df, name in ((provisional, "_p"), (observed, "_o")):
+        sides.append(_utc(df, ts).select(*[F.col(k).alias(f"{name}_{k}") for k in (*keys, ts)], F.col(value).alias(f"{name}_value")).withWatermark(f"{name}_{ts}", lateness))
+    p, o = sides
+    same = F.lit(True)
+    for k in (*keys, ts):
+        same = same & (F.col(f"_p_{k}") == F.col(f"_o_{k}"))
+    joined = p.join(o, same, "full_outer")
+    seen = F.col("_o_value").isNotNull()
+    return joined.select(*[F.coalesce(f"_p_{k}", f"_o_{k}").alias(k) for k in (*keys, ts)], F.coalesce("_o_value", "_p_value").alias(value),
+                         F.when(seen, "observed").otherwise("provisional").alias("source"))

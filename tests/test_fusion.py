@@ -137,12 +137,16 @@ def test_jump_screen(spark):
     assert got == pytest.approx([100.0] * 6)
 
 
+def clipped(spark, groups):
+    rows = [(k, None if x is None else float(x)) for k, v in groups.items() for x in v]
+    return {r["k"]: r for r in fusion.clipped_medians(spark.createDataFrame(rows, "k int, v double"), ["k"], "v").collect()}
+
+
 def test_sigma_clip(spark):
     v = [1.0, 1.1, 0.9, 1.05, 0.95, 1.0, 1.02, 30.0, -20.0]
-    got = spark.range(1).select(fusion.array_median(fusion.sigma_clip(F.array(*[F.lit(x) for x in v])))).first()[0]
-    assert got == pytest.approx(clip_median(v))
-    empty = F.array().cast("array<double>")
-    assert spark.range(1).select(fusion.array_median(fusion.sigma_clip(empty))).first()[0] is None
+    out = clipped(spark, {1: v, 2: [None, None], 3: [4.5], 4: [2.0] * 7, 5: [1.0, 2.0, None], 6: [1e12, 1.0, 1.1, 0.9, 1.0, 1.05, 0.95, 1.02, 1.01]})
+    assert out[1]["median"] == pytest.approx(clip_median(v)) and out[1]["kept"] == 7
+    assert 2 not in out and [out[k]["median"] for k in (3, 4, 5)] == [4.5, 2.0, 1.5] and out[6]["highest"] == pytest.approx(1.1)
 
 
 def loop_trend(opt, sar, months, sigmas):
@@ -200,13 +204,25 @@ def test_sign_correction(spark):
     assert [r["sign_area"] for r in fusion.sign_correction(df, K).orderBy("date").collect()] == [10.0, 8.0, 16.0]
 
 
-def test_sigma_clip_until_stable(spark):
-    v = [float(1.12 ** k) for k in range(160)]  # takes far more than fifty rounds
-    kept = np.array(v)
-    while True:
+def loop_clip(v):
+    kept, rounds = np.array(v), 0
+    while len(kept) > 1:
         inside = kept[np.abs(kept - kept.mean()) <= 2 * kept.std()]
         if len(inside) == len(kept):
             break
-        kept = inside
-    got = spark.createDataFrame([(v,)], "v array<double>").select(fusion.sigma_clip(F.col("v"))).first()[0]
-    assert len(got) == len(kept) and np.allclose(sorted(got), sorted(kept))
+        kept, rounds = inside, rounds + 1
+    return np.sort(kept), rounds
+
+
+def test_sigma_clip_until_stable(spark):
+    """Many rounds, and five thousand values: growing powers lose a few at a time."""
+    rng = np.random.default_rng(6)
+    groups = {1: [1.6 ** k for k in range(700)], 2: list(np.exp(rng.normal(0, 2.5, 5000))), 3: [1.03 ** k for k in range(5000)][:1500] + list(rng.normal(0, 1, 3500)),
+              4: [10.0 ** k for k in range(16)], 5: list(rng.normal(1e8, 1e-2, 300)) + [0.0, 2e8]}
+    out, most = clipped(spark, groups), 0
+    for k, v in groups.items():
+        kept, rounds = loop_clip(v)
+        assert (out[k]["n"], out[k]["kept"]) == (len(v), len(kept)), k
+        assert out[k]["lowest"] == pytest.approx(kept[0]) and out[k]["highest"] == pytest.approx(kept[-1]) and out[k]["median"] == pytest.approx(np.median(kept))
+        most = max(most, rounds)
+    assert most > 150

@@ -29,11 +29,26 @@ def test_exact_quantiles(skewed):
             assert out[k][f"{name}_mid"] == pytest.approx(np.quantile(v, p, method="midpoint") if len(v) > 1 else v[0], abs=1e-9)
 
 
-def test_quantile_brackets_stay_exact_when_coarse(skewed):
+@pytest.mark.parametrize("small", [1, 40])
+def test_quantiles_by_digits(skewed, small):
+    """So few values may be ordered at once that all digits are counted."""
     df, rows = skewed
-    out = {r["k"]: r for r in scale.exact_quantiles(df, ["k"], "v", {"q": 0.25}, accuracy=50).collect()}
+    out = {r["k"]: r for r in scale.exact_quantiles(df, ["k"], "v", {"q": 0.25, "m": 0.5}, small=small).collect()}
     for k in (1, 2, 3, 4):
-        assert out[k]["q_lin"] == pytest.approx(np.quantile([x for j, x in rows if j == k], 0.25), abs=1e-9)
+        for name, p in (("q", 0.25), ("m", 0.5)):
+            assert out[k][f"{name}_lin"] == pytest.approx(np.quantile([x for j, x in rows if j == k], p), abs=1e-9)
+
+
+@pytest.mark.parametrize("small", [1, 4096])
+def test_ranks_of_any_numbers(spark, small):
+    rng = np.random.default_rng(4)
+    values = {1: [*rng.normal(0, 1, 200), *(-np.exp(rng.normal(0, 200, 100))), *np.exp(rng.normal(0, 200, 100)), 0.0, -0.0, 5e-324, -5e-324, float("inf"), -float("inf")],
+              2: [7.5] * 300, 3: [1.0, np.nextafter(1.0, 2), np.nextafter(1.0, 0)] * 50, 4: [-3.0]}
+    rows = [(k, float(x)) for k, v in values.items() for x in v] + [(1, None), (5, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    out = scale.select_ranks(df, ["k"], "v", lambda n: F.sequence(F.lit(0).cast("long"), n - 1), small).collect()
+    got = {(r["k"], r["rank"]): (r["n"], r["value"]) for r in out}
+    assert got == {(k, i): (len(v), x) for k, v in values.items() for i, x in enumerate(sorted(v))}
 
 
 def test_running_sums(skewed):
@@ -52,6 +67,30 @@ def test_lowest_k(skewed):
         assert sorted(r["v"] for r in got if r["k"] == k) == sorted({x for j, x in rows if j == k})[:5]
 
 
+@pytest.mark.parametrize("k", [1, 20, 4000, 10**6])
+def test_sample(skewed, k, monkeypatch):
+    """The rows of the lowest hashes of each key, also where the first limit leaves too few."""
+    import hashlib
+
+    df, rows = skewed
+    df = df.distinct().withColumn("i", F.col("v").cast("string"))
+    every = [tuple(r) for r in df.collect()]
+    digest = lambda r: (int(hashlib.md5(f"{r[0]}:{r[2]}".encode()).hexdigest()[:13], 16), r[2])
+    want = {r for key in {x[0] for x in every} for r in sorted((x for x in every if x[0] == key), key=digest)[:k]}
+    assert {tuple(r) for r in scale.sample_rows(df, ["k"], ["i"], k).collect()} == want
+
+
+def test_sample_with_narrow_limits(spark, monkeypatch):
+    """Rows whose hashes all lie high, so that the first limit holds none."""
+    import hashlib
+
+    digest = lambda i: int(hashlib.md5(f"1:{i}".encode()).hexdigest()[:13], 16)
+    high = [i for i in range(4000) if digest(i) > 3 << 50]
+    df = spark.createDataFrame([(1, i) for i in high] + [(2, 5), (None, 6), (None, 7)], "k int, i int")
+    out = [tuple(r) for r in scale.sample_rows(df, ["k"], ["i"], 10).collect()]
+    assert sorted(i for k, i in out if k == 1) == sorted(sorted(high, key=digest)[:10]) and sorted(i for k, i in out if k != 1) == [5, 6, 7]
+
+
 def loop_clean(h):
     """One cycle, step by step."""
     h = sorted(h)
@@ -76,6 +115,7 @@ def test_cycles_in_buckets(spark):
     df = spark.createDataFrame([(c, float(v)) for c, vs in groups.items() for v in vs], "cycle int, height double")
     by_cycle = lambda d: {c: sorted(r["height"] for r in rows) for c, rows in _group(d.collect()).items()}
     small = by_cycle(altimetry.clean_cycles(df, ["cycle"]))
+    assert by_cycle(altimetry.clean_cycles(df, ["cycle"], part=7)) == small
     assert small == {c: loop_clean(v) for c, v in groups.items() if loop_clean(v)}
     assert 8 not in small
 
