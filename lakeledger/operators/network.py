@@ -202,38 +202,41 @@ def contract(links: DataFrame, rules: DataFrame, known: DataFrame, date: str = "
     is a table of links and one of rules; every round of a network without a cycle makes some node known.
     """
     later = F.date_add if lagged else lambda when, days: when
-    links = cut_lineage(links)
     rules = cut_lineage(rules.select("node", date, "a", "b"))
     new, found = known.select("node", date, "x"), [known.select("node", date, "x")]
     while True:
         open_ = links.select(F.col("dst").alias("src")).distinct()
         ripe, rest = links.join(open_, "src", "left_anti"), links.join(open_, "src", "left_semi")
-        total, usable = links.count(), ripe.count()
-        if not total:
-            break
-        if not usable:
-            raise ValueError("the network holds a cycle")
         single = rest.groupBy("dst").agg(F.count(F.lit(1)).alias("_n"), F.min("src").alias("src"), F.min("lag").alias("lag")).where("_n = 1").drop("_n")
         upper = single.select(F.col("dst").alias("via"), F.col("src").alias("_src"), F.col("lag").alias("_lag"))
-        leaps = cut_lineage(single.select("dst", F.col("src").alias("via"), "lag").join(upper, "via"))
-        after = rest.join(leaps.select("dst", "_src", F.col("lag").alias("_own"), "_lag"), "dst", "left")
-        after = cut_lineage(after.select(F.coalesce("_src", "src").alias("src"), "dst", F.coalesce(F.col("_own") + F.col("_lag"), F.col("lag")).alias("lag")))
+        leaps = single.select("dst", F.col("src").alias("via"), "lag").join(upper, "via")
+        counts = [df.agg(F.lit(k).alias("k"), F.count(F.lit(1)).alias("n")) for k, df in enumerate((links, ripe, leaps))]
+        size = dict(map(tuple, counts[0].unionByName(counts[1]).unionByName(counts[2]).collect()))
+        if not size[0]:
+            break
+        if not size[1]:
+            raise ValueError("the network holds a cycle")
         used = ripe.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_used"))
         got = (ripe.join(new.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node"), later(F.col(date), F.col("lag")).alias(date))
                .agg(F.count("x").alias("_got"), F.sum("x").alias("_x")))
-        summed = rules.join(used, "node", "left").join(got, ["node", date], "left").select(
+        step = rules.join(used, "node", "left").join(got, ["node", date], "left").select(
             "node", date, "a", F.when(F.col("_used").isNull(), F.col("b")).when(F.col("_got") == F.col("_used"), F.col("b") + F.col("_x")).alias("b"))
-        above = summed.select(F.col("node").alias("via"), F.col(date).alias("_when"), F.col("a").alias("_a"), F.col("b").alias("_b"))
-        leapt = (summed.join(leaps.select(F.col("dst").alias("node"), "via", "lag"), "node", "left").withColumn("_when", later(F.col(date), -F.col("lag")))
-                 .join(above, ["via", "_when"], "left"))
-        far = F.col("via").isNotNull()
-        closed = after.select(F.col("dst").alias("node")).distinct().withColumn("_open", F.lit(True))
-        step = cut_lineage(leapt.select("node", date, F.when(far, _null_max(F.col("a"), F.col("_a") + F.col("b"))).otherwise(F.col("a")).alias("a"),
-                                        F.when(far, F.col("_b") + F.col("b")).otherwise(F.col("b")).alias("b"))
-                           .join(closed, "node", "left"))
+        after = rest.select("src", "dst", "lag")
+        if size[2]:
+            leaps = cut_lineage(leaps)
+            after = after.join(leaps.select("dst", "_src", F.col("lag").alias("_own"), "_lag"), "dst", "left").select(
+                F.coalesce("_src", "src").alias("src"), "dst", F.coalesce(F.col("_own") + F.col("_lag"), F.col("lag")).alias("lag"))
+            above = step.select(F.col("node").alias("via"), F.col(date).alias("_when"), F.col("a").alias("_a"), F.col("b").alias("_b"))
+            step = (step.join(leaps.select(F.col("dst").alias("node"), "via", "lag"), "node", "left").withColumn("_when", later(F.col(date), -F.col("lag")))
+                    .join(above, ["via", "_when"], "left"))
+            far = F.col("via").isNotNull()
+            step = step.select("node", date, F.when(far, _null_max(F.col("a"), F.col("_a") + F.col("b"))).otherwise(F.col("a")).alias("a"),
+                               F.when(far, F.col("_b") + F.col("b")).otherwise(F.col("b")).alias("b"))
+        links = cut_lineage(after)
+        step = cut_lineage(step.join(links.select(F.col("dst").alias("node")).distinct().withColumn("_open", F.lit(True)), "node", "left"))
         new = step.where(F.col("_open").isNull()).select("node", date, _null_max(F.col("a"), F.col("b")).alias("x"))
         found.append(new)
-        links, rules = after, step.where("_open").drop("_open")
+        rules = step.where("_open").drop("_open")
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)

@@ -6,7 +6,7 @@ aggregates and by histograms over the 0..100 occurrence scale.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,11 +23,10 @@ CLOUD_LIMIT = 90.0
 NDWI_LIMIT = 0.3
 GAP_SHARE = 0.17
 CLUSTERS = (2, 7)
-TOLERANCE = 1e-3  # of the distance between centres: how little they move at the end
+TOLERANCE = 1e-2  # of the spread of a cluster: how little its centre moves at the end
 SAR_ANGLES = (31.66, 45.4)
 SAR_WATER = (-32.0, -13.0)
 SAR_PIXEL_KM2 = 1e-4
-STRIP = 32  # columns of a raster that one array holds
 # Sensor: days per step, days used, days before the step date.
 COMPOSITES = {"s2": (5, 5, 4), "l8": (16, 15, 0), "l9": (16, 15, 0), "sar": (12, 12, 0)}
 
@@ -177,12 +176,14 @@ def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str],
     For every number of clusters in the range, Lloyd rounds start from the first so many of the scene's farthest pixels.
     One pass over the pixels is a round of all scenes and all numbers of clusters that still move: each pixel goes to its
     nearest centre, next to the data, and only the sums for each (scene, number, centre) are shuffled. A fit ends when no
-    centre has moved by more than ``tolerance`` of the least distance between two centres; every round lowers the squared
-    error, so that this comes. The number of clusters with the best variance ratio wins, the lower on a tie.
+    centre has moved by more than ``tolerance`` of how far its pixels lie from it (root mean square); every round lowers
+    the squared error, so that this comes. The number of clusters with the best variance ratio wins, the lower on a tie.
     """
     keys, (lowest, highest) = list(keys), clusters
     clear = df.dropna(subset=list(features)).select(*keys, *[F.col(f).cast("double").alias(f) for f in features])
-    clear = cut_lineage(clear.where(~sum((F.isnan(f).cast("int") for f in features), F.lit(0)).cast("boolean")))
+    clear = clear.where(~sum((F.isnan(f).cast("int") for f in features), F.lit(0)).cast("boolean"))
+    # Dealt out evenly, however small or uneven the scenes are: every seed and every round reads all of it.
+    clear = cut_lineage(clear.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     starts = _starts(clear, keys, features, highest)
     spread = F.array_max(F.transform("_seeds", lambda s: _squared([s[f] for f in features], F.col("_seeds")[0], features)))
     wanted = F.filter(F.sequence(F.lit(lowest), F.lit(highest)), lambda k: k <= F.size("_seeds"))
@@ -191,23 +192,22 @@ def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str],
     moving, done = cut_lineage(fits.withColumn("_score", F.lit(None).cast("double"))), []
     while not moving.isEmpty():
         packed = moving.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_centres")).alias("_fits"))
-        label = _nearest(F.col("_fit._centres"), features)
-        summed = (clear.join(packed, keys).withColumn("_fit", F.explode("_fits")).withColumn("_at", label)
-                  .groupBy(*keys, F.col("_fit._k").alias("_k"), F.col("_at.cluster").alias("_j"))
-                  .agg(F.count(F.lit(1)).alias("_m"), F.sum("_at.d").alias("_d"), F.struct(*[F.avg(f).alias(f) for f in features]).alias("_c"))
-                  .groupBy(*keys, "_k").agg(F.map_from_entries(F.collect_list(F.struct("_j", F.struct("_c", "_m")))).alias("_sums"), F.sum("_d").alias("_within")))
-        after = moving.join(summed, [*keys, "_k"]).withColumn("_new", F.transform("_centres", lambda c, j: F.coalesce(F.col("_sums")[j]["_c"], c)))
-        shift = F.array_max(F.zip_with("_centres", "_new", lambda c, n: _squared([c[f] for f in features], n, features)))
-        gap = F.array_min(F.transform("_new", lambda c, i: F.array_min(F.transform(F.filter("_new", lambda d, j: j != i), lambda d: _squared([c[f] for f in features], d, features)))))
-        # Ratio of the centres that the pixels were dealt to: with what they lie off their own means taken off the spread within.
-        mean = [F.col("_mean")[f] for f in features]
-        between = F.aggregate(F.map_values("_sums"), F.lit(0.0), lambda s, v: s + v["_m"] * _squared(mean, v["_c"], features))
-        off = F.aggregate(F.map_entries("_sums"), F.lit(0.0), lambda s, e: s + e["value"]["_m"] * _squared([e["value"]["_c"][f] for f in features], F.col("_centres")[e["key"]], features))
-        within = F.greatest(F.col("_within") - off, F.lit(0.0))
-        score = F.when(F.col("_k") == 1, F.lit(0.0)).when(within <= F.col("_span") * F.col("_n") * 1e-24, F.lit(float("inf"))).otherwise(
-            (between / (F.col("_k") - 1)) / (within / F.greatest(F.col("_n") - F.col("_k"), F.lit(1))))
-        step = cut_lineage(after.select(*keys, "_mean", "_n", "_span", "_k", F.col("_new").alias("_centres"), score.alias("_score"),
-                                        F.coalesce(shift > gap * tolerance * tolerance, F.lit(False)).alias("_moves")))
+        sums = (clear.join(packed, keys).withColumn("_fit", F.explode("_fits")).withColumn("_at", _nearest(F.col("_fit._centres"), features))
+                .groupBy(*keys, F.col("_fit._k").alias("_k"), F.col("_at.cluster").alias("_j"))
+                .agg(F.count(F.lit(1)).alias("_m"), F.sum("_at.d").alias("_d"), F.struct(*[F.avg(f).alias(f) for f in features]).alias("_c")))
+        # A row for each centre: where it goes, how far, and what it adds to the spread within and between.
+        old = moving.select(*keys, "_mean", "_n", "_span", "_k", F.posexplode("_centres").alias("_j", "_old")).join(sums, [*keys, "_k", "_j"], "left")
+        fields = lambda c: [F.col(f"{c}.{f}") for f in features]
+        shift = F.coalesce(_squared(fields("_c"), F.col("_old"), features), F.lit(0.0))
+        ratio = (old.withColumn("_shift", shift).withColumn("_between", F.col("_m") * _squared(fields("_c"), F.col("_mean"), features))
+                 .groupBy(*keys, "_k").agg(
+                     F.first("_mean").alias("_mean"), F.first("_n").alias("_n"), F.first("_span").alias("_span"),
+                     F.transform(F.sort_array(F.collect_list(F.struct("_j", F.coalesce("_c", "_old").alias("c")))), lambda r: r["c"]).alias("_centres"),
+                     F.sum("_between").alias("_between"), F.sum(F.col("_d") - F.col("_m") * F.col("_shift")).alias("_within"),
+                     F.max(F.coalesce(F.col("_shift") * F.col("_m") > F.col("_d") * tolerance * tolerance, F.lit(False))).alias("_moves")))
+        score = F.when(F.col("_k") == 1, F.lit(0.0)).when(F.col("_within") <= F.col("_span") * F.col("_n") * 1e-24, F.lit(float("inf"))).otherwise(
+            (F.col("_between") / (F.col("_k") - 1)) / (F.col("_within") / F.greatest(F.col("_n") - F.col("_k"), F.lit(1))))
+        step = cut_lineage(ratio.select(*keys, "_mean", "_n", "_span", "_k", "_centres", score.alias("_score"), "_moves"))
         moving = step.where("_moves").drop("_moves")
         done.append(step.where("NOT _moves").select(*keys, "_k", "_score", "_centres"))
     if not done:
@@ -254,34 +254,21 @@ def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str],
 
 # --- radar ----------------------------------------------------------------------------------
 
-def disc_max(df: DataFrame, keys: Sequence[str], value: str, radius: int, out: str, strip: int = STRIP) -> DataFrame:
-    """``keys, x, y, value, out``: highest value within ``radius`` pixels of each pixel (a disc).
+def disc_max(df: DataFrame, keys: Sequence[str], value: str, radius: int, out: str) -> DataFrame:
+    """Highest value within ``radius`` pixels of each pixel (a disc).
 
-    A raster is cut into strips of ``strip`` columns with a halo of ``radius`` on both sides, and each row of a strip is one
-    array. The maximum along the row is taken once for each width that the disc has, and a pixel's value is the highest
-    in the 2 * radius + 1 rows around it, each at its own width. So only halo pixels are copied, and a window holds rows
-    and not pixels. A pixel without a value is taken as missing; (keys, x, y) must be unique.
+    Every pixel is sent to the rows it touches (2*radius+1 copies instead of one per disc cell);
+    within a row the neighbours are a range of x, whose width depends on the row distance.
     """
-    keys, half = list(keys), {d: int((radius * radius - d * d) ** 0.5) for d in range(radius + 1)}
-    strips = F.sequence(F.floor((F.col("x") - radius) / strip), F.floor((F.col("x") + radius) / strip))
-    placed = (df.where(F.col(value).isNotNull()).select(*keys, "x", "y", value, F.explode(strips).alias("_strip"))
-              .withColumn("_at", F.col("x") - F.col("_strip") * strip + radius))
-    cells = F.array(*[F.max(F.when(F.col("_at") == k, F.col(value))) for k in range(strip + 2 * radius)])
-    rows = placed.groupBy(*keys, "_strip", "y").agg(cells.alias("_row"))
-    places, widths = F.sequence(F.lit(0), F.lit(strip - 1)), sorted(set(half.values()))
-    along = [F.transform(places, _highest("_row", radius, w)).alias(f"_w{w}") for w in widths]
-    rows = rows.select(*keys, "_strip", "y", F.slice("_row", radius + 1, strip).alias("_own"), F.struct("y", *along).alias("_line"))
-    near = F.collect_list("_line").over(Window.partitionBy(*keys, "_strip").orderBy("y").rangeBetween(-radius, radius))
-    fitting = lambda line: F.coalesce(*[F.when(F.abs(line["y"] - F.col("y")) == d, line[f"_w{w}"]) for d, w in half.items()])
-    best = F.transform(places, lambda i: F.array_max(F.transform("_lines", lambda line: F.get(line, i))))
-    done = (rows.withColumn("_near", near).withColumn("_lines", F.transform("_near", fitting))
-            .select(*keys, "_strip", "y", F.posexplode(F.arrays_zip(F.col("_own").alias("v"), best.alias("m"))).alias("_k", "_p")))
-    return done.where(F.col("_p.v").isNotNull()).select(*keys, (F.col("_strip") * strip + F.col("_k")).cast(df.schema["x"].dataType).alias("x"), "y",
-                                                        F.col("_p.v").alias(value), F.col("_p.m").alias(out))
-
-
-def _highest(row: str, radius: int, width: int) -> Callable[[Column], Column]:
-    return lambda i: F.array_max(F.slice(F.col(row), i + (radius - width + 1), F.lit(2 * width + 1)))
+    half = {d: int((radius * radius - d * d) ** 0.5) for d in range(radius + 1)}
+    rows = (df.withColumn("_dy", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).withColumn("_row", F.col("y") + F.col("_dy")))
+    best = []
+    for width in sorted(set(half.values())):
+        reach = [d for d, h in half.items() if h >= width]
+        w = Window.partitionBy(*keys, "_row").orderBy("x").rangeBetween(-width, width)
+        best.append(F.max(F.when(F.abs("_dy") <= max(reach), F.col(value))).over(w))
+    return (rows.withColumn(out, F.greatest(*best) if len(best) > 1 else best[0])
+            .where(F.col("_dy") == 0).drop("_dy", "_row"))
 
 
 def sar_water_area(images: DataFrame, keys: Sequence[str], image: str, radius: int = 3) -> DataFrame:
