@@ -23,7 +23,7 @@ CLOUD_LIMIT = 90.0
 NDWI_LIMIT = 0.3
 GAP_SHARE = 0.17
 CLUSTERS = (2, 7)
-TOLERANCE = 1e-2  # of the spread of a cluster: how little its centre moves at the end
+TOLERANCE = 5e-2  # of the spread of a cluster: how little its centre moves at the end
 SAR_ANGLES = (31.66, 45.4)
 SAR_WATER = (-32.0, -13.0)
 SAR_PIXEL_KM2 = 1e-4
