@@ -79,7 +79,8 @@ def fold_case(scenario: Column, value: Column, days: Column, curve: Column, area
     """Daily rows of one case.
 
     The state is the area, the level that was known the day before (the one a target level is
-    tested against) and the storage still to be filled.
+    tested against) and the storage still to be filled. Over an area of zero a change of storage
+    gives no level, so a case that follows the level ends with the day before.
     """
     level = lambda a: array_lookup(curve, a, "a", "z")
     total = F.aggregate(days, F.lit(0.0), lambda s, d: s + d["inflow"] - evap)
@@ -113,10 +114,10 @@ def fold_case(scenario: Column, value: Column, days: Column, curve: Column, area
                                        p["dh"].alias("delh"), (p["z"] + p["dh"]).alias("elevation"), a.alias("area"))
                         return F.struct(a.alias("area"), p["z"].alias("seen"), m["left"].alias("left"), F.concat(s["rows"], F.array(new)).alias("rows"))
                     return let(array_lookup(curve, p["z"] + p["dh"], "z", "a"), close)
-                return let(F.struct((m["ds"] / (s["area"] * M2_PER_KM2)).alias("dh"), level(s["area"]).alias("z")), place)
+                return let(F.struct(F.try_divide(m["ds"], s["area"] * M2_PER_KM2).alias("dh"), level(s["area"]).alias("z")), place)
             return let(move, settle)
 
-        return F.aggregate(days, zero, step)["rows"]
+        return F.filter(F.aggregate(days, zero, step)["rows"], lambda r: r["elevation"].isNotNull())
 
     folded = let(F.struct(level(area0.cast("double")).alias("z0"), total.alias("net")), run)
     null = F.lit(None).cast("double")

@@ -170,6 +170,18 @@ def test_forecast_cases(spark, legacy):
                 assert r["outflow"] + r["dels"] + e == pytest.approx(r["inflow"], abs=1e-3)
 
 
+def test_forecast_over_an_area_of_zero(spark):
+    base = datetime.date(2021, 3, 1)
+    inflow = spark.createDataFrame([(k, base + datetime.timedelta(days=i), 2.0 + i) for k in (1, 2) for i in range(16)], "k int, date date, streamflow double")
+    res = spark.createDataFrame([(1, base, 4.0, 5.0, 200.0, 101.0), (2, base, 0.0, 5.0, 200.0, 101.0)],
+                                "k int, basedate date, last_area double, last_evaporation double, smax double, wl double")
+    curve = spark.createDataFrame([(k, *p) for k in (1, 2) for p in CURVE], "k int, area double, elevation double")
+    rule = spark.createDataFrame([(k, m + 1, v) for k in (1, 2) for m, v in enumerate(RULE)], "k int, month int, s_by_smax double")
+    out = forecast.forecast(inflow, res, curve, ["k"], rule=rule, cases=forecast.CASES, target_level="wl")
+    n = {(r["k"], r["label"]): r["count"] for r in out.groupBy("k", "label").count().collect()}
+    assert n == {(1, c): 16 for c in ("GC", "GO", "CL", "RC", "ST 0.5%", "ST 1%", "ST 2.5%")} | {(2, "GO"): 16}  # no level follows from an area of zero
+
+
 def test_rule_fraction_in_december(spark):
     c = forecast.rule_fraction(F.array(*[F.lit(v) for v in RULE]), F.lit(datetime.date(2020, 12, 15)))
     assert spark.range(1).select(c).first()[0] == pytest.approx(0.45 + (0.5 - 0.45) * 0.5)
