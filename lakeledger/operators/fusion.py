@@ -11,7 +11,7 @@ from lakeledger.functions.columns import let, null_if
 from lakeledger.operators.scale import pick_rows
 from lakeledger.operators.series import (HERE, START, days_passed, extrapolate_step, fill_by_position, fill_by_time,
                                          lookback_first, ordered, regular_grid, savgol_smooth, trend_fill, weighted_smooth,
-                                         z_score)
+                                         with_z_score)
 
 # Fixed values.
 REVISIT_DAYS = {"s2": 5, "l8": 16, "l9": 16}
@@ -74,7 +74,7 @@ def jump_screen(sar: DataFrame, keys: Sequence[str], percent: float = 15.0, days
 
 def spike_screen(sar: DataFrame, keys: Sequence[str], limit: float = 3.0) -> DataFrame:
     """Drop radar areas beyond ``limit`` population z-scores; refill by position."""
-    scored = sar.withColumn("_z", z_score(keys, "sarea"))
+    scored = with_z_score(sar, keys, "sarea", "_z")
     kept = scored.withColumn("sarea", F.when(~F.coalesce(F.abs("_z") > limit, F.lit(False)), F.col("sarea"))).drop("_z")
     return fill_by_position(kept, keys, ["sarea"])
 

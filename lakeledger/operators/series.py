@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeledger.functions.columns import day_number
+from lakeledger.functions.columns import day_number, let
 
 START = Window.unboundedPreceding
 HERE = Window.currentRow
@@ -295,10 +295,26 @@ def trend_fill(df: DataFrame, keys: Sequence[str], value: str, trend: str, days:
 
 # --- statistics over a key ------------------------------------------------------------------
 
-def z_score(keys: Sequence[str], value: str) -> Column:
-    """Population z-score within a key."""
-    w = Window.partitionBy(*keys)
-    return F.try_divide(F.col(value) - F.avg(value).over(w), F.stddev_pop(value).over(w))
+def with_z_score(df: DataFrame, keys: Sequence[str], value: str, out: str, date: str = "date") -> DataFrame:
+    """Add the population z-score within a key, from one running mean and spread in date order.
+
+    A value beside nine equal ones lies exactly three deviations out, so that rounding decides whether it is beyond
+    three; a fixed order of the sums decides it the same way in every run, whatever way the rows came.
+    """
+    points = F.sort_array(F.collect_list(F.struct(F.col(date), F.col(value).cast("double").alias("v"))))
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+
+    def add(t, v):
+        n = t["n"] + 1
+        return let(t["m"] + (v - t["m"]) / n, lambda m: F.struct(
+            n.alias("n"), (t["s"] + v).alias("s"), m.alias("m"), (t["q"] + (v - m) * (v - t["m"])).alias("q")))
+
+    known = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(points.alias("_points"))
+    t = F.col("_t")
+    moments = known.select(*keys, F.aggregate("_points", zero, lambda t, p: add(t, p["v"])).alias("_t")).select(
+        *keys, (t["s"] / t["n"]).alias("_mean"), F.sqrt(t["q"] / t["n"]).alias("_spread"))
+    z = F.try_divide(F.col(value) - F.col("_mean"), F.col("_spread"))
+    return df.join(moments, list(keys), "left").withColumn(out, z).drop("_mean", "_spread")
 
 
 def month_stats(df: DataFrame, keys: Sequence[str], value: str, date: str = "date") -> DataFrame:

@@ -226,3 +226,13 @@ def test_sigma_clip_until_stable(spark):
         assert out[k]["lowest"] == pytest.approx(kept[0]) and out[k]["highest"] == pytest.approx(kept[-1]) and out[k]["median"] == pytest.approx(np.median(kept))
         most = max(most, rounds)
     assert most > 150
+
+
+def test_spike_beside_nine_equal_values(spark, days):
+    """Exactly three deviations out: rounding of a running mean and spread in date order decides, in any order of the rows."""
+    series = {1: (1.99, 13.5), 2: (14.99, 4.66), 3: (66.77, 4.51)}
+    rows = [(k, days(i), spike if i == 0 else rest) for k, (spike, rest) in series.items() for i in range(10)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k int, date date, sarea double").repartition(3, "sarea")
+        got = {r["k"]: r["sarea"] for r in fusion.spike_screen(df, ["k"]).where(F.col("date") == days(0)).collect()}
+        assert got == {1: None, 2: None, 3: 66.77}
