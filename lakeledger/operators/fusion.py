@@ -95,10 +95,10 @@ def area_threshold(area: Column, legacy: bool = False) -> Column:
 
     ``legacy`` leaves out the tier of the smallest reservoirs.
     """
-    percent = F.when(area < 100, 10.0).otherwise(5.0)
+    share = F.when(area < 100, 0.10).otherwise(0.05)
     if not legacy:
-        percent = F.when(area < 10, 25.0).otherwise(percent)
-    return area * percent / 100.0
+        share = F.when(area < 10, 0.25).otherwise(share)
+    return area * share
 
 
 def _first_at(x: Column, low: Column, high: Column, past: Callable[[Column], Column]) -> Column:

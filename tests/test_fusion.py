@@ -236,3 +236,11 @@ def test_spike_beside_nine_equal_values(spark, days):
         df = spark.createDataFrame(order, "k int, date date, sarea double").repartition(3, "sarea")
         got = {r["k"]: r["sarea"] for r in fusion.spike_screen(df, ["k"]).where(F.col("date") == days(0)).collect()}
         assert got == {1: None, 2: None, 3: 66.77}
+
+
+def test_threshold_is_the_share_times_the_area(spark):
+    """A deviation that lies on the threshold is decided as by the share, 0.1 * 14 = 1.4000000000000001, not by 10 * 14 / 100 = 1.4."""
+    areas = [6.0, 12.0, 14.0, 17.0, 99.0, 102.0, 111.0]
+    df = spark.createDataFrame([(a,) for a in areas], "a double").select("a", fusion.area_threshold(F.col("a")), fusion.area_threshold(F.col("a"), legacy=True))
+    for a, new, old in df.collect():
+        assert new == a * (0.25 if a < 10 else 0.1 if a < 100 else 0.05) and old == a * (0.1 if a < 100 else 0.05)
