@@ -17,12 +17,19 @@ def product(df: DataFrame, path: str, by: Sequence[str] = ("basin_id",), mode: s
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def spread(df: DataFrame, *by) -> DataFrame:
+    """Rows with equal ``by`` in one task, over a fixed number of tasks: creating a file costs more than its few rows, so
+    that tasks must not be put together by the size of their data, as adaptive execution does without a number."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *by)
+
+
 def series_csv(df: DataFrame, path: str, ident: str = "reservoir_id", order: str = "date") -> None:
     """CSV folder per reservoir, each in date order.
 
     Rows are spread by reservoir and year, so that one long series is not written by one task.
     """
-    (df.withColumn("_year", F.year(order)).repartition(F.col(ident), F.col("_year")).sortWithinPartitions(ident, order)
+    (spread(df.withColumn("_year", F.year(order)), F.col(ident), F.col("_year")).sortWithinPartitions(ident, order)
      .drop("_year").write.mode("overwrite").option("header", True).partitionBy(ident).csv(path))
 
 
@@ -53,7 +60,10 @@ def cell_tables(df: DataFrame, path: str, values: Sequence[str], lat: str = "lat
 
 
 def lines(df: DataFrame, path: str, columns: Sequence[str], sep: str = " ", by: str | None = None) -> None:
-    """Columns as separated text lines."""
+    """Columns as separated text lines, in one folder per value of ``by``; its rows are brought together first, so that
+    there is a file for each folder and not one for each task that holds a row of it."""
     out = df.select(*([by] if by else []), F.concat_ws(sep, *[F.col(c).cast("string") for c in columns]).alias("value"))
-    w = out.write.mode("overwrite")
-    (w.partitionBy(by) if by else w).text(path)
+    if by:
+        spread(out, F.col(by)).write.mode("overwrite").partitionBy(by).text(path)
+    else:
+        out.write.mode("overwrite").text(path)

@@ -440,3 +440,16 @@ def test_distance_across_the_line(spark):
     p = spark.createDataFrame([(1, 179.99, 0.0), (2, -179.99, 0.0), (3, 0.0, 0.0)], "point int, lon double, lat double")
     c = spark.createDataFrame([("a", 179.99, 0.0)], "dam string, lon double, lat double")
     assert sorted(r["point"] for r in spatial.within_distance(p, c, "dam", 5000.0).collect()) == [1, 2]
+
+
+def test_routed_lines_have_one_file_per_folder(spark, tmp_path):
+    path = str(tmp_path / "routed")
+    df = spark.createDataFrame([(k, 2020, 1, d, float(d)) for d in range(1, 29) for k in range(5)], "k int, y int, m int, d int, q double").repartition(8, "d")
+    writers.lines(df, path, ["y", "m", "d", "q"], sep="  ", by="k")
+    files = [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len(files) == 5 and readers.routed_flow(spark, path).count() == 140
+
+
+def test_many_small_files_are_written_by_many_tasks(spark):
+    df = spark.range(2000).select((F.col("id") % 100).alias("k"))
+    assert len({r[0] for r in writers.spread(df, F.col("k")).select(F.spark_partition_id()).collect()}) >= 6
