@@ -11,10 +11,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeledger.session import cut_lineage
+from lakeledger.session import cut_lineage, drop_steps
 
 DIGIT = 11  # bits of a key that one pass settles
 SMALL = 4096  # values that may be ordered at once
+BLOCK = 2048  # rows of a key that meet as many of the other side in one place
+TASK_PAIRS = 1 << 24  # pairs of rows that a task looks at, on average
 
 
 def pick_rows(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str] | None = None,
@@ -93,6 +95,33 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: str,
     return run
 
 
+def block_join(left: DataFrame, right: DataFrame, on: Sequence[str], block: int = BLOCK, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """``left.join(right, on)`` for keys that very many rows of both sides may have.
+
+    The rows of such a key are cut into blocks by their hash, and each pair of blocks meets in one place, so that no task gets a
+    whole key. The number of tasks follows the number of pairs. What a side sends grows with the blocks of the other side only.
+    Both sides are read twice, once to be counted.
+    """
+    on = list(on)
+    count = lambda df, n: df.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
+    sizes = cut_lineage(count(left, "_nl").join(count(right, "_nr"), on))
+    pairs = sizes.agg(F.sum(F.col("_nl").cast("double") * F.col("_nr"))).first()[0] or 0.0
+    if pairs <= task_pairs:
+        drop_steps(sizes)
+        return left.join(right, on)
+    blocks = lambda n: F.ceil(F.col(n) / block)
+    hot = F.broadcast(sizes.where(F.greatest("_nl", "_nr") > block).select(*on, blocks("_nl").alias("_ml"), blocks("_nr").alias("_mr")))  # at most rows / block
+    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -int(-pairs // task_pairs))
+
+    def dealt(df: DataFrame, mine: str, own: str, other: str, others: str) -> DataFrame:
+        parts = lambda n: F.coalesce(n, F.lit(1).cast("long"))
+        return (df.withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns])).join(hot, on, "left")
+                .select(*df.columns, F.pmod("_h", parts(own)).alias(mine), F.explode(F.sequence(F.lit(0).cast("long"), parts(others) - 1)).alias(other))
+                .repartition(tasks, *on, "_bl", "_br"))
+
+    return dealt(left, "_bl", "_ml", "_br", "_mr").join(dealt(right, "_br", "_mr", "_bl", "_ml"), [*on, "_bl", "_br"]).drop("_bl", "_br")
+
+
 def order_key(value: Column) -> Column:
     """A long for a double, in the same order: the bits of the number, with those of negative numbers turned round."""
     bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value.cast("double") + F.lit(0.0)).cast("long")

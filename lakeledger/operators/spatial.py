@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions.columns import half_up_count, haversine_m, round_away
+from lakeledger.operators.scale import block_join
 from lakeledger.session import cut_lineage, drop_steps
 
 METRES_PER_DEGREE = 111195.0
@@ -312,7 +313,8 @@ def within_distance(points: DataFrame, centres: DataFrame, centre: str, metres:
     """Pairs of points and centres at most ``metres`` apart on the sphere, also across the line of 180 degrees.
 
     Both sides meet in latitude-longitude tiles as wide as the distance at the highest latitude of
-    the centre; the exact distance decides.
+    the centre; the exact distance decides. Points and centres of a tile meet in blocks (``block_join``), because very
+    many of both may lie in one place.
     """
     size = metres / METRES_PER_DEGREE
     c = centres.select(F.col(centre), F.col(lat).alias("_clat"), F.col(lon).alias("_clon"))
@@ -324,7 +326,7 @@ def within_distance(points: DataFrame, centres: DataFrame, centre: str, metres:
          .withColumn("_tx", F.explode(F.sequence(F.floor((F.col("_at") - F.col("_reach")) / size), F.floor((F.col("_at") + F.col("_reach")) / size)))))
     p = points.withColumn("_ty", F.floor(F.col(lat) / size)).withColumn("_tx", F.floor(F.col(lon) / size))
     d = haversine_m(F.col(lat), F.col(lon), F.col("_clat"), F.col("_clon"))
-    return p.join(c, ["_ty", "_tx"]).withColumn("distance", d).where(F.col("distance") <= metres).drop("_ty", "_tx", "_clat", "_clon", "_at", "_reach")
+    return block_join(p, c, ["_ty", "_tx"]).withColumn("distance", d).where(F.col("distance") <= metres).drop("_ty", "_tx", "_clat", "_clon", "_at", "_reach")
 
 
 def within_box(points: DataFrame, boxes: DataFrame, ident: str, margin: float = 0.1, lat: str = "lat", lon: str = "lon",

@@ -125,3 +125,17 @@ def _group(rows):
     for r in rows:
         out.setdefault(r["cycle"], []).append(r)
     return out
+
+
+def test_block_join(spark):
+    """The same pairs as a plain join, repeated rows, null keys and keys of one side included; a hot key is dealt out."""
+    rng = np.random.default_rng(2)
+    left = [(int(k), int(v)) for k, v in zip(np.where(rng.random(500) < 0.8, 7, rng.integers(0, 20, 500)), rng.integers(0, 400, 500), strict=True)] + [(None, 1)]
+    right = [(int(k), int(v)) for k, v in zip(np.where(rng.random(300) < 0.7, 7, rng.integers(10, 30, 300)), rng.integers(0, 400, 300), strict=True)] + [(None, 2)]
+    a, b = spark.createDataFrame(left, "k int, a int"), spark.createDataFrame(right, "k int, b int")
+    want = sorted((k, x, y) for k, x in left for j, y in right if k is not None and k == j)
+    for block, pairs in ((2048, 1 << 24), (16, 1000), (1, 1 << 14)):
+        out = scale.block_join(a, b, ["k"], block, pairs)
+        assert out.columns == ["k", "a", "b"] and sorted(map(tuple, out.collect())) == want
+    tasks = scale.block_join(a, b, ["k"], 16, 1000).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < len(want) / 10

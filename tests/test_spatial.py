@@ -110,3 +110,13 @@ def test_many_polygons_in_one_degree(spark):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, abs=2e-6)
+
+
+def test_many_points_near_many_centres(spark):
+    """Six thousand points and nearly as many centres in one place: no task gets a third of the pairs, and all are found."""
+    n = 6000
+    points = spark.range(0, n, 1, 1).select(F.col("id").alias("point"), (F.col("id") * 37 % 601 / 1e5).alias("lat"), (F.col("id") * 53 % 599 / 1e5).alias("lon"))
+    centres = points.select(F.col("point").alias("dam"), F.col("lat"), F.col("lon")).where("lat > 0.0003")
+    out = spatial.within_distance(points, centres, "dam", 5000.0).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in out) == n * centres.count()
+    assert max(r["count"] for r in out) < n * n / 3
