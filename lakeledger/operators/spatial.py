@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,7 +66,7 @@ def _tile_tree(centres: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame, lis
     counted = cut_lineage(counted)
     cut = counted.where((F.col("_n") > leaf) & (F.col("_level") < DEPTH)).select(F.col("_id").alias("_parent"))
     kept = counted.where("_level = 0").unionByName(counted.where("_level > 0").join(cut, "_parent", "left_semi").select(counted.columns))
-    tiles = cut_lineage(kept.withColumn("_leaf", (F.col("_n") <= leaf) | (F.col("_level") == DEPTH)).drop("_n"))
+    tiles = cut_lineage(kept.withColumn("_leaf", (F.col("_n") <= leaf) | (F.col("_level") == DEPTH)))
     drop_steps(counted)
     levels, before = [], 0
     for r in tiles.groupBy("_level").agg(F.count(F.lit(1)).alias("n"), F.count_if("_leaf").alias("leaves")).orderBy("_level").collect():
@@ -75,34 +75,46 @@ def _tile_tree(centres: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame, lis
     return places, tiles, levels
 
 
-def _bounds(x: Column, y: Column) -> tuple[Column, Column]:
+def _bounds(x: Column, y: Column, side: Callable[[str], Column]) -> tuple[Column, Column]:
     """Least squared distance to a tile's box, and one that some place of the tile does not exceed: each side of the box
     holds a place, so that the nearer side in one direction and the farther corner in the other bound it."""
-    low = lambda c, n: F.greatest(F.col(f"_low{n}") - c, c - F.col(f"_high{n}"), F.lit(0.0))
-    near = lambda c, n: F.least(F.abs(c - F.col(f"_low{n}")), F.abs(c - F.col(f"_high{n}")))
-    far = lambda c, n: F.greatest(F.abs(c - F.col(f"_low{n}")), F.abs(c - F.col(f"_high{n}")))
+    low = lambda c, n: F.greatest(side(f"_low{n}") - c, c - side(f"_high{n}"), F.lit(0.0))
+    near = lambda c, n: F.least(F.abs(c - side(f"_low{n}")), F.abs(c - side(f"_high{n}")))
+    far = lambda c, n: F.greatest(F.abs(c - side(f"_low{n}")), F.abs(c - side(f"_high{n}")))
     square = lambda c: c * c
     least = square(low(x, "x")) + square(low(y, "y"))
     return least, F.least(square(near(x, "x")) + square(far(y, "y")), square(far(x, "x")) + square(near(y, "y")))
 
 
+def opened_tiles(tiles: DataFrame, level: int) -> DataFrame:
+    """``_from, _tiles``: what a tile is opened to at that level, as one row; a leaf above it stays what it is."""
+    tile = F.struct("_id", "_lowx", "_highx", "_lowy", "_highy")
+    inner = tiles.where(F.col("_level") == level).groupBy(F.col("_parent").alias("_from")).agg(F.collect_list(tile).alias("_tiles"))
+    return inner.unionByName(tiles.where((F.col("_level") < level) & F.col("_leaf")).select(F.col("_id").alias("_from"), F.array(tile).alias("_tiles")))
+
+
 def candidate_tiles(points: DataFrame, tiles: DataFrame, levels: list[tuple[int, int, int]], ident: Sequence[str]) -> DataFrame:
     """The leaves that may hold the place nearest to each of ``points(ident, _x, _y)``, as rows (ident, _x, _y, _id).
 
     All points go down the tree together. A step opens the tiles that are left and keeps, for each point, those whose
     least distance does not exceed what some tile is sure to hold. So a point opens a handful of tiles a step, and steps
-    grow with the logarithm of the places. The top of the tree travels to the tasks: all points ask for it."""
-    frontier = points.withColumn("_id", F.lit(0).cast("long"))
-    least, sure = _bounds(F.col("_x"), F.col("_y"))
-    sides = ["_lowx", "_highx", "_lowy", "_highy"]
+    grow with the logarithm of the places. What a tile is opened to is sifted in its row, by itself and by the bound the point
+    brings along, before the rows of a point are put side by side. The top of the tree travels to the tasks: all points ask
+    for it. Below it, points meet tiles in blocks (``block_join``), because very many may lie in one tile.
+    """
+    frontier = points.withColumn("_id", F.lit(0).cast("long")).withColumn("_best", F.lit(float("inf")))
+    near = lambda t, best: F.filter(t, lambda v: v["least"] <= best * (1 + 1e-9) + ROUNDING)
     for level, reached, _ in levels[1:]:
-        opened = (tiles.where(F.col("_level") == level).select(F.col("_parent").alias("_from"), "_id", *sides)
-                  .unionByName(tiles.where((F.col("_level") < level) & F.col("_leaf")).select(F.col("_id").alias("_from"), "_id", *sides)))
-        opened = F.broadcast(opened) if reached <= FEW_TILES else opened
-        step = frontier.withColumnRenamed("_id", "_from").join(opened, "_from").withColumn("_least", least)
-        best = F.min(sure).over(Window.partitionBy(*ident))
-        frontier = step.withColumn("_best", best).where(F.col("_least") <= F.col("_best") * (1 + 1e-9) + ROUNDING).select(*ident, "_x", "_y", "_id")
-    return frontier
+        opened, few = opened_tiles(tiles, level), reached <= FEW_TILES
+        here = frontier.withColumnRenamed("_id", "_from")
+        step = here.join(F.broadcast(opened), "_from") if few else block_join(cut_lineage(here), cut_lineage(opened), ["_from"])
+        bound = lambda t: F.struct(t["_id"].alias("_id"), *[c.alias(n) for n, c in zip(("least", "sure"), _bounds(F.col("_x"), F.col("_y"), lambda n: t[n]), strict=True)])
+        step = step.select(*ident, "_x", "_y", "_best", F.transform("_tiles", bound).alias("_tiles"))
+        step = step.withColumn("_best", F.least("_best", F.array_min(F.transform("_tiles", lambda v: v["sure"]))))
+        step = step.withColumn("_tiles", F.transform(near(F.col("_tiles"), F.col("_best")), lambda v: F.struct(v["_id"].alias("_id"), v["least"].alias("least"))))
+        step = step.withColumn("_best", F.min("_best").over(Window.partitionBy(*ident)))
+        frontier = step.select(*ident, "_x", "_y", "_best", F.explode(near(F.col("_tiles"), F.col("_best"))["_id"]).alias("_id"))
+    return frontier.select(*ident, "_x", "_y", "_id")
 
 
 def nearest_cell(points: DataFrame, cells: DataFrame, ident: Sequence[str], x: str, y: str, cell_x: str, cell_y: str,
@@ -112,7 +124,7 @@ def nearest_cell(points: DataFrame, cells: DataFrame, ident: Sequence[str], x: s
 
     ``ident`` tells points apart. Cells are put into a tree of tiles, each with the box of its cells, and points go down
     it by bounds (``candidate_tiles``), wherever they lie and however the cells are spread; only the cells of the leaves
-    that are left are compared. Points with a NULL or NaN coordinate get no cell, and there is none in an empty table.
+    that are left are compared, in the row of their leaf, so that a leaf gives a point one row. Points with a NULL or NaN coordinate get no cell, and there is none in an empty table.
     """
     known = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double"))
     ident, values = list(ident), [c for c in cells.columns if c not in (cell_x, cell_y)]
@@ -124,13 +136,17 @@ def nearest_cell(points: DataFrame, cells: DataFrame, ident: Sequence[str], x: s
     else:
         places, tiles, levels = _tile_tree(centres, leaf)
         ends = [level for level, _, leaves in levels if leaves]
-        leaves = tiles.where("_leaf").select("_id")
+        # A leaf of the least width may hold more than its share: it is several rows.
+        leaves = tiles.where("_leaf").select("_id", F.ceil(F.col("_n") / leaf).alias("_pieces"))
         held = (places.select("_cx", "_cy", "_cell", F.explode(F.array(*[_tile_id(F.col("_kx"), F.col("_ky"), level) for level in ends])).alias("_id"))
-                .join(leaves, "_id", "left_semi"))
-        held = F.broadcast(held) if levels[-1][1] * leaf <= FEW_TILES else held
-        d2 = (F.col("_cx") - F.col("_x")) * (F.col("_cx") - F.col("_x")) + (F.col("_cy") - F.col("_y")) * (F.col("_cy") - F.col("_y"))
-        order = F.struct(F.round(d2, 12).alias("d"), F.col("_cx"), F.col("_cy"))
-        found = candidate_tiles(left, tiles, levels, ident).join(held, "_id").groupBy(*ident).agg(F.min_by("_cell", order).alias("_cell"))
+                .join(leaves, "_id").groupBy("_id", F.pmod(F.xxhash64("_cx", "_cy"), F.col("_pieces")).alias("_piece")).agg(F.collect_list(F.struct("_cx", "_cy", "_cell")).alias("_places"))
+                .drop("_piece"))
+        square = lambda c: (c["_cx"] - F.col("_x")) * (c["_cx"] - F.col("_x")) + (c["_cy"] - F.col("_y")) * (c["_cy"] - F.col("_y"))
+        first = F.array_min(F.transform("_places", lambda c: F.struct(F.round(square(c), 12).alias("d"), c["_cx"].alias("_cx"), c["_cy"].alias("_cy"), c["_cell"].alias("_cell"))))
+        asked = candidate_tiles(left, tiles, levels, ident)
+        few = levels[-1][1] * leaf <= FEW_TILES
+        met = asked.join(F.broadcast(held), "_id") if few else block_join(cut_lineage(asked), cut_lineage(held), ["_id"])
+        found = met.select(*ident, first.alias("_first")).groupBy(*ident).agg(F.min("_first")["_cell"].alias("_cell"))
     return points.join(found, ident, "left").select(*points.columns, *[F.col("_cell")[c].alias(c) for c in (cell_x, cell_y, *values)])
 
 

@@ -43,6 +43,18 @@ def test_far_points_open_few_tiles(spark):
     assert len(levels) <= 5 and spatial.candidate_tiles(frame, tiles, levels, ["point"]).count() < 6 * len(points)
 
 
+def test_opened_tiles_are_one_row(spark, monkeypatch):
+    """What a tile is opened to stays one row until it is sifted, also where points meet tiles in blocks."""
+    rng = np.random.default_rng(1)
+    cells, points = rng.uniform(0, 1, (3000, 2)), rng.uniform(0, 1, (500, 2)) / 50
+    _, tiles, levels = spatial._tile_tree(spark.createDataFrame(cells.tolist(), "_cx double, _cy double"), 4)
+    for level, _, _ in levels[1:]:
+        sizes = spatial.opened_tiles(tiles, level).groupBy("_from").agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("_tiles")).alias("tiles")).collect()
+        assert all(r["rows"] == 1 and r["tiles"] <= 16 for r in sizes)
+    monkeypatch.setattr(spatial, "FEW_TILES", 20)
+    assert searched(spark, points, cells, leaf=4) == plain(points, cells)
+
+
 def test_nearest_of_odd_rows(spark):
     cells = spark.createDataFrame([(3, 1.0, 1.0), (2, 1.0, 1.0), (4, None, 1.0), (5, float("nan"), 0.0)], PLACE)
     points = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, None, 0.0), (3, float("nan"), 1.0)], "point int, x double, y double")
