@@ -6,8 +6,9 @@ aggregates and by histograms over the 0..100 occurrence scale.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ TOLERANCE = 5e-2  # of the spread of a cluster: how little its centre moves at t
 SAR_ANGLES = (31.66, 45.4)
 SAR_WATER = (-32.0, -13.0)
 SAR_PIXEL_KM2 = 1e-4
+TILE = 64  # pixels on a side
+TASK_ROWS = 1 << 16  # rows that a task looks at together
 # Sensor: days per step, days used, days before the step date.
 COMPOSITES = {"s2": (5, 5, 4), "l8": (16, 15, 0), "l9": (16, 15, 0), "sar": (12, 12, 0)}
 
@@ -254,34 +257,126 @@ def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str],
 
 # --- radar ----------------------------------------------------------------------------------
 
+def _runs(table, names: Sequence[str]) -> np.ndarray:
+    """Where in a table, ordered by these columns, each of their values starts."""
+    new = np.arange(table.num_rows) == 0
+    for name in names:
+        codes = table[name].combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new)
+
+
+def _whole_runs(batches: Iterable, names: Sequence[str], least: int = TASK_ROWS) -> Iterator[tuple]:
+    """Tables of about ``least`` rows that end where a value of these columns ends, each with the starts of the values."""
+    import pyarrow as pa
+
+    held, rows, limit = [], 0, least
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= limit:
+            table = pa.Table.from_batches(held).combine_chunks()
+            starts = _runs(table, names)
+            done = int(starts[-1])
+            if done:
+                yield table.slice(0, done), starts[:-1]
+            held, rows = table.slice(done).to_batches(), rows - done
+            limit = max(least, 2 * rows)
+    if rows:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, _runs(table, names)
+
+
+def _tiles(df: DataFrame, keys: Sequence[str], radius: int) -> DataFrame:
+    """Each pixel in the tile (``_tx``, ``_ty``) that holds it and in those that its disc reaches, tile after tile in a task."""
+    span = lambda c: F.explode(F.sequence(F.floor((F.col(c) - radius) / TILE), F.floor((F.col(c) + radius) / TILE)))
+    places = [*keys, "_tx", "_ty"]
+    return df.withColumn("_tx", span("x")).withColumn("_ty", span("y")).repartition(*places).sortWithinPartitions(*places)
+
+
+def _places(table, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For the pixels of some tiles: a number for tile, row and x, whether the tile holds the pixel, and how far rows lie apart.
+
+    Rows and tiles are far enough apart that a disc meets its own tile only.
+    """
+    column = lambda name: table[name].to_numpy().astype(np.int64)
+    tile = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
+    x, y = column("x") - column("_tx") * TILE, column("y") - column("_ty") * TILE
+    wide = TILE + 4 * radius
+    return (tile * wide + y + 2 * radius) * wide + x + 2 * radius, (x >= 0) & (x < TILE) & (y >= 0) & (y < TILE), wide
+
+
+def _disc_best(place: np.ndarray, value: np.ndarray, wide: int, radius: int) -> np.ndarray:
+    """Highest value (NaN above all) within ``radius`` of each place; NULL, which counts for nothing, is masked."""
+    order = np.flatnonzero(~np.ma.getmaskarray(value))
+    order = order[np.argsort(place[order], kind="stable")]
+    source, high = place[order], np.ma.getdata(value)[order]
+    best, seen = np.full(len(place), -np.inf), np.zeros(len(place), bool)
+    for dy in range(-radius, radius + 1):
+        half = int((radius * radius - dy * dy) ** 0.5)
+        at, last = (np.searchsorted(source, place + dy * wide + side * half, "left" if side < 0 else "right") for side in (-1, 1))
+        rows = np.flatnonzero(at < last)
+        while len(rows):
+            best[rows] = np.maximum(best[rows], high[at[rows]])
+            seen[rows] = True
+            at[rows] += 1
+            rows = rows[at[rows] < last[rows]]
+    return np.ma.array(best, mask=~seen)
+
+
+def _masked(column) -> np.ma.MaskedArray:
+    return np.ma.array(column.fill_null(0.0).to_numpy(), mask=column.is_null().to_numpy())
+
+
 def disc_max(df: DataFrame, keys: Sequence[str], value: str, radius: int, out: str) -> DataFrame:
-    """Highest value within ``radius`` pixels of each pixel (a disc).
+    """Highest value within ``radius`` pixels of each pixel (a disc), as a double. Pixels without a place are left out.
 
-    Every pixel is sent to the rows it touches (2*radius+1 copies instead of one per disc cell);
-    within a row the neighbours are a range of x, whose width depends on the row distance.
+    Pixels meet in tiles, with a rim as wide as the radius; a task takes whole tiles one after another.
     """
-    half = {d: int((radius * radius - d * d) ** 0.5) for d in range(radius + 1)}
-    rows = (df.withColumn("_dy", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).withColumn("_row", F.col("y") + F.col("_dy")))
-    best = []
-    for width in sorted(set(half.values())):
-        reach = [d for d, h in half.items() if h >= width]
-        w = Window.partitionBy(*keys, "_row").orderBy("x").rangeBetween(-width, width)
-        best.append(F.max(F.when(F.abs("_dy") <= max(reach), F.col(value))).over(w))
-    return (rows.withColumn(out, F.greatest(*best) if len(best) > 1 else best[0])
-            .where(F.col("_dy") == 0).drop("_dy", "_row"))
+    names, schema = df.columns, df.withColumn(out, F.lit(None).cast("double")).schema
+
+    def largest(batches):
+        import pyarrow as pa
+
+        for table, starts in _whole_runs(batches, [*keys, "_tx", "_ty"]):
+            place, own, wide = _places(table, starts, radius)
+            best = pa.array(_disc_best(place, _masked(table["_v"]), wide, radius))
+            yield from table.select(names).append_column(out, best).filter(pa.array(own)).to_batches()
+
+    placed = df.where(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("_v", F.col(value).cast("double"))
+    return _tiles(placed, keys, radius).mapInArrow(largest, schema)
 
 
 def sar_water_area(images: DataFrame, keys: Sequence[str], image: str, radius: int = 3) -> DataFrame:
     """Water area per composite from radar images with vv and angle per pixel.
 
     Angle screen, disc maximum per image, median over the images of the composite, and the count
-    of pixels in the water range. Composites without usable pixels keep a row with NULL.
+    of pixels in the water range. Composites without usable pixels keep a row with NULL. A tile
+    meets in one place with all images of the composite; only its count of water leaves it.
     """
     low, high = SAR_ANGLES
     usable = images.where((F.col("angle") > low) & (F.col("angle") < high) & F.col("vv").isNotNull())
-    pix = usable.groupBy(*keys, image, "x", "y").agg(F.max("vv").alias("vv"))
-    smooth = disc_max(pix, [*keys, image], "vv", radius, "_smooth")
-    median = smooth.groupBy(*keys, "x", "y").agg(F.median("_smooth").alias("_m"))
-    water = (F.col("_m") > SAR_WATER[0]) & (F.col("_m") < SAR_WATER[1])
-    area = median.groupBy(*keys).agg((F.sum(water.cast("long")) * F.lit(SAR_PIXEL_KM2)).alias("sarea"))
+    pix = usable.where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy(*keys, image, "x", "y").agg(F.max("vv").cast("double").alias("_v"))
+    places = [*keys, "_tx", "_ty"]
+
+    def water(batches):
+        import pyarrow as pa
+
+        for table, starts in _whole_runs(batches, places):
+            place, own, wide = _places(table, starts, radius)
+            codes = table[image].combine_chunks().dictionary_encode("encode").indices.to_numpy().astype(np.int64)
+            smooth = np.ma.getdata(_disc_best(codes * (place.max() + wide * wide) + place, _masked(table["_v"]), wide, radius))[own]
+            order = np.lexsort((smooth, place[own]))
+            pixel, smooth = place[own][order], smooth[order]
+            first = np.flatnonzero(np.r_[True, pixel[1:] != pixel[:-1]][:len(pixel)])
+            n = np.diff(np.append(first, len(pixel)))
+            low, high = smooth[first + (n - 1) // 2], smooth[first + n // 2]
+            median = np.where(low == high, low, 0.5 * low + 0.5 * high)
+            tile, held = np.unique(pixel[first] // (wide * wide), return_inverse=True)
+            counts = np.bincount(held, (median > SAR_WATER[0]) & (median < SAR_WATER[1]), len(tile)).astype(np.int64)
+            yield from table.select(list(keys)).take(pa.array(starts[tile])).append_column("_n", pa.array(counts)).to_batches()
+
+    schema = pix.select(*keys, F.lit(0).cast("long").alias("_n")).schema
+    counted = _tiles(pix, keys, radius).mapInArrow(water, schema)
+    area = counted.groupBy(*keys).agg((F.sum("_n") * F.lit(SAR_PIXEL_KM2)).alias("sarea"))
     return images.select(*keys).distinct().join(area, list(keys), "left")

@@ -282,6 +282,26 @@ def test_disc_maximum(spark):
         assert got == want
 
 
+def test_radar_water_across_tiles(spark, monkeypatch):
+    """Images of two composites over the edges of tiles and below zero; pixels without a place or angle, copies of pixels. Nothing is ordered row by row."""
+    monkeypatch.setattr(pixels, "TASK_ROWS", 64)
+    rng = np.random.default_rng(11)
+    rows = [(c, i, int(x), int(y), float(v), 35.0) for c in (1, 2) for i in "abcd" for x, y, v in zip(rng.integers(-9, 140, 300), rng.integers(55, 75, 300), rng.uniform(-45, -5, 300))]
+    rows += rows[::7] + [(1, "a", None, 60, -20.0, 35.0), (1, "a", 5, None, -20.0, 35.0), (2, "a", 5, 60, -1.0, 50.0), (2, "b", 5, 60, None, 35.0), (3, "a", 5, 60, -20.0, 20.0), (None, "a", 5, 60, -20.0, 35.0)]
+    out = pixels.sar_water_area(spark.createDataFrame(rows, "c int, image string, x int, y int, vv double, angle double").where("c is not null"), ["c"], "image")
+    cells = {}
+    for c, i, x, y, v, angle in rows:
+        if None not in (c, x, y, v) and 31.66 < angle < 45.4:
+            cells.setdefault((c, i), {})[x, y] = max(v, cells.get((c, i), {}).get((x, y), v))
+    smooth = {}
+    for (c, _), image in cells.items():
+        for x, y in image:
+            smooth.setdefault((c, x, y), []).append(max(v for (a, b), v in image.items() if (a - x) ** 2 + (b - y) ** 2 <= 9))
+    want = {c: sum(k[0] == c and -32 < np.median(v) < -13 for k, v in smooth.items()) * 1e-4 for c in (1, 2)}
+    assert {r["c"]: r["sarea"] for r in out.collect()} == {1: pytest.approx(want[1]), 2: pytest.approx(want[2]), 3: None}
+    assert "Window" not in out._jdf.queryExecution().toString()
+
+
 def test_clusters_separate_water(spark):
     rng = np.random.default_rng(10)
     rows = []
