@@ -29,11 +29,44 @@ SAR_ANGLES = (31.66, 45.4)
 SAR_WATER = (-32.0, -13.0)
 SAR_PIXEL_KM2 = 1e-4
 TILE = 64  # pixels on a side
+BLOCK = 2048  # pixels of a scene in a row
 TASK_ROWS = 1 << 16  # rows that a task looks at together
 # Sensor: days per step, days used, days before the step date.
 COMPOSITES = {"s2": (5, 5, 4), "l8": (16, 15, 0), "l9": (16, 15, 0), "sar": (12, 12, 0)}
 
 
+# --- rows in order --------------------------------------------------------------------------
+
+def _runs(table, names: Sequence[str]) -> np.ndarray:
+    """Where in a table, ordered by these columns, each of their values starts."""
+    new = np.arange(table.num_rows) == 0
+    for name in names:
+        codes = table[name].combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new)
+
+
+def _whole_runs(batches: Iterable, names: Sequence[str], least: int = TASK_ROWS) -> Iterator[tuple]:
+    """Tables of about ``least`` rows that end where a value of these columns ends, each with the starts of the values."""
+    import pyarrow as pa
+
+    held, rows, limit = [], 0, least
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= limit:
+            table = pa.Table.from_batches(held).combine_chunks()
+            starts = _runs(table, names)
+            done = int(starts[-1])
+            if done:
+                yield table.slice(0, done), starts[:-1]
+            held, rows = table.slice(done).to_batches(), rows - done
+            limit = max(least, 2 * rows)
+    if rows:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, _runs(table, names)
+
+
 # --- masks and indices ----------------------------------------------------------------------
 
 def landsat_cloud(qa: Column) -> Column:
@@ -146,29 +179,120 @@ def _squared(point: Sequence[Column], centre: Column, features: Sequence[str]) -
     return sum(((p - centre[f]) * (p - centre[f]) for p, f in zip(point, features, strict=True)), F.lit(0.0))
 
 
-def _nearest(centres: Column, features: Sequence[str]) -> Column:
-    """(squared distance, number) of the centre nearest to a pixel; the lowest number on a tie."""
-    here = [F.col(f) for f in features]
-    return F.array_min(F.transform(centres, lambda c, k: F.struct(_squared(here, c, features).alias("d"), k.alias("cluster"))))
+def _blocks(clear: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """``keys, _x``: pixels of a scene, at most ``BLOCK`` in a row, as an array of all values of the first feature, then of the next."""
+    keys = list(keys)
+
+    def packed(batches):
+        import pyarrow as pa
+
+        for table, starts in _whole_runs(batches, keys):
+            ends = np.append(starts[1:], table.num_rows)
+            cuts = np.concatenate([np.arange(a, b, BLOCK) for a, b in zip(starts, ends, strict=True)])
+            values = np.array([table[f].to_numpy() for f in features])
+            sides = np.append(cuts[1:], table.num_rows)
+            lists = pa.array([values[:, a:b].ravel() for a, b in zip(cuts, sides, strict=True)], pa.list_(pa.float64()))
+            yield from table.select(keys).take(pa.array(cuts)).append_column("_x", lists).to_batches()
+
+    schema = clear.select(*keys, F.array(F.lit(0.0)).alias("_x")).schema
+    # Dealt out evenly, however small or uneven the scenes are: every seed and every round reads all of it.
+    dealt = clear.repartition(int(clear.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return cut_lineage(dealt.sortWithinPartitions(*keys).mapInArrow(packed, schema))
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distance of each pixel to its nearest centre and that one's number, the lowest on a tie; NaN is above all."""
+    best, number = np.full(x.shape[1], np.nan), np.zeros(x.shape[1], np.int64)
+    for j, centre in enumerate(centres):
+        d = np.zeros(x.shape[1])
+        for values, c in zip(x, centre, strict=True):
+            step = values - c
+            d += step * step
+        closer = (d < best) | (np.isnan(best) & ~np.isnan(d))
+        best[closer], number[closer] = d[closer], j
+    return best, number
+
+
+def _extreme(blocks: DataFrame, state: DataFrame, keys: Sequence[str], features: Sequence[str], nearest: bool) -> DataFrame:
+    """``keys, _d, _p``: the pixel of each scene nearest to its only, or farthest from all of its ``_seeds``. Of equal distances
+    the least or greatest features decide."""
+    keys, width = list(keys), len(features)
+
+    def found(batches):
+        import pyarrow as pa
 
+        for batch in batches:
+            points, far = [], []
+            for x, seeds in zip(batch["_x"], batch["_s"], strict=True):
+                x = x.values.to_numpy().reshape(width, -1)
+                d = _distances(x, seeds.values.to_numpy().reshape(-1, width))[0]
+                rank = np.where(np.isnan(d), np.inf, d)
+                ties = np.flatnonzero(rank == (rank.min() if nearest else rank.max()))
+                at = ties[np.lexsort(x[::-1, ties])[0 if nearest else -1]]
+                points.append(x[:, at])
+                far.append(d[at])
+            out = pa.table([*(batch[k] for k in keys), pa.array(far, pa.float64()), pa.array(points, pa.list_(pa.float64()))], [*keys, "_d", "_p"])
+            yield from out.to_batches()
+
+    schema = blocks.select(*keys, F.lit(0.0).alias("_d"), F.col("_x").alias("_p")).schema
+    flat = state.select(*keys, F.flatten(F.transform("_seeds", lambda s: F.array(*[s[f] for f in features]))).alias("_s"))
+    best = F.struct("_d", F.struct(*[F.col("_p")[i].alias(f) for i, f in enumerate(features)]).alias("p"))
+    one = blocks.join(flat, keys).mapInArrow(found, schema).groupBy(*keys).agg((F.min if nearest else F.max)(best).alias("_b"))
+    return one.select(*keys, F.col("_b._d").alias("_d"), F.col("_b.p").alias("_next"))
+
+
+def _sums(blocks: DataFrame, fits: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """``keys, _k, _j, _m, _d, _c``: how many pixels of a scene are nearest to centre ``_j`` of fit ``_k``, the sum of their
+    squared distances, and their mean. A pass over the pixels for all fits, from ``fits(keys, _k, _centres)``."""
+    keys, width = list(keys), len(features)
+    names = [f"_s{i}" for i in range(width)]
+
+    def added(batches):
+        import pyarrow as pa
 
-def _starts(clear: DataFrame, keys: Sequence[str], features: Sequence[str], most: int) -> DataFrame:
-    """``_mean`` and ``_seeds`` of every scene: the pixel nearest the mean, then always one farthest from all seeds before.
+        for batch in batches:
+            at, parts = [], []
+            for row, (x, ks, cs) in enumerate(zip(batch["_x"], batch["_ks"], batch["_cs"], strict=True)):
+                x, ks, cs = x.values.to_numpy().reshape(width, -1), ks.values.to_numpy(), cs.values.to_numpy().reshape(-1, width)
+                for k, end in zip(ks, np.cumsum(ks), strict=True):
+                    d, j = _distances(x, cs[end - k:end])
+                    m = np.bincount(j, minlength=k)
+                    part = np.array([np.full(k, k), np.arange(k), m, *(np.bincount(j, w, k) for w in (d, *x))])[:, m > 0]
+                    parts.append(part)
+                    at.append(np.full(part.shape[1], row))
+            if at:
+                values = np.concatenate(parts, axis=1)
+                rows = pa.array(np.concatenate(at))
+                out = pa.table([*(batch[k].take(rows) for k in keys), *(pa.array(v.astype(np.int64)) for v in values[:3]), *map(pa.array, values[3:])],
+                               [*keys, "_k", "_j", "_m", "_d", *names])
+                yield from out.to_batches()
+
+    whole, real = F.lit(0).cast("long"), F.lit(0.0)
+    schema = blocks.select(*keys, *[whole.alias(c) for c in ("_k", "_j", "_m")], *[real.alias(c) for c in ("_d", *names)]).schema
+    flat = F.flatten(F.transform("_centres", lambda c: F.array(*[c[f] for f in features])))
+    packed = (fits.groupBy(*keys).agg(F.collect_list(F.struct(F.size("_centres").cast("long").alias("k"), flat.alias("c"))).alias("_fits"))
+              .select(*keys, F.col("_fits.k").alias("_ks"), F.flatten("_fits.c").alias("_cs")))
+    return (blocks.join(packed, keys).mapInArrow(added, schema).groupBy(*keys, F.col("_k").cast("int").alias("_k"), F.col("_j").cast("int").alias("_j"))
+            .agg(F.sum("_m").alias("_m"), F.sum("_d").alias("_d"), F.struct(*[(F.sum(n) / F.sum("_m")).alias(f) for n, f in zip(names, features, strict=True)]).alias("_c")))
+
+
+def _starts(blocks: DataFrame, keys: Sequence[str], features: Sequence[str], most: int) -> DataFrame:
+    """``_mean``, ``_n`` and ``_seeds`` of every scene: the pixel nearest the mean, then always one farthest from all seeds before.
 
     A pass over the pixels for each seed; of equal distances the greatest features decide, so that no order of rows does.
     """
-    keys, point = list(keys), F.struct(*[F.col(f) for f in features])
-    mean = clear.groupBy(*keys).agg(F.struct(*[F.avg(f).alias(f) for f in features]).alias("_mean"), F.count(F.lit(1)).alias("_n"))
-    here = [F.col(f) for f in features]
-    first = clear.join(mean, keys).groupBy(*keys).agg(F.first("_mean").alias("_mean"), F.first("_n").alias("_n"),
-                                                      F.array(F.min_by(point, F.struct(_squared(here, F.col("_mean"), features), point))).alias("_seeds"))
-    state = cut_lineage(first)
+    keys = list(keys)
+    nought = F.array(F.struct(*[F.lit(0.0).alias(f) for f in features]))
+    mean = cut_lineage(_sums(blocks, blocks.select(*keys).distinct().select(*keys, nought.alias("_centres")), keys, features)
+                       .select(*keys, F.col("_c").alias("_mean"), F.col("_m").alias("_n"), F.array("_c").alias("_seeds")))
+    first = _extreme(blocks, mean, keys, features, nearest=True)
+    state = cut_lineage(mean.join(first, keys).select(*keys, "_mean", "_n", F.array("_next").alias("_seeds")))
     for _ in range(1, most):
-        far = clear.join(state, keys).withColumn("_d", _nearest(F.col("_seeds"), features)["d"])
-        nxt = far.groupBy(*keys).agg(F.max_by(point, F.struct("_d", point)).alias("_next"), F.max("_d").alias("_d"))
-        grown = state.join(nxt, keys).withColumn("_seeds", F.when(F.col("_d") > 0, F.array_append("_seeds", F.col("_next"))).otherwise(F.col("_seeds")))
+        grown = state.join(_extreme(blocks, state, keys, features, nearest=False), keys).withColumn(
+            "_seeds", F.when(F.col("_d") > 0, F.array_append("_seeds", F.col("_next"))).otherwise(F.col("_seeds")))
         before, state = state, cut_lineage(grown.drop("_next", "_d"))
         drop_steps(before)
+    drop_steps(mean)
     return state
 
 
@@ -185,19 +309,15 @@ def cluster_centres(df: DataFrame, keys: Sequence[str], features: Sequence[str],
     keys, (lowest, highest) = list(keys), clusters
     clear = df.dropna(subset=list(features)).select(*keys, *[F.col(f).cast("double").alias(f) for f in features])
     clear = clear.where(~sum((F.isnan(f).cast("int") for f in features), F.lit(0)).cast("boolean"))
-    # Dealt out evenly, however small or uneven the scenes are: every seed and every round reads all of it.
-    clear = cut_lineage(clear.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    starts = _starts(clear, keys, features, highest)
+    blocks = _blocks(clear, keys, features)
+    starts = _starts(blocks, keys, features, highest)
     spread = F.array_max(F.transform("_seeds", lambda s: _squared([s[f] for f in features], F.col("_seeds")[0], features)))
     wanted = F.filter(F.sequence(F.lit(lowest), F.lit(highest)), lambda k: k <= F.size("_seeds"))
     fits = (starts.withColumn("_span", spread).withColumn("_k", F.explode(F.when(F.size(wanted) > 0, wanted).otherwise(F.array(F.lit(1)))))
             .select(*keys, "_mean", "_n", "_span", "_k", F.slice("_seeds", F.lit(1), F.col("_k")).alias("_centres")))
     moving, done = cut_lineage(fits.withColumn("_score", F.lit(None).cast("double"))), []
     while not moving.isEmpty():
-        packed = moving.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_centres")).alias("_fits"))
-        sums = (clear.join(packed, keys).withColumn("_fit", F.explode("_fits")).withColumn("_at", _nearest(F.col("_fit._centres"), features))
-                .groupBy(*keys, F.col("_fit._k").alias("_k"), F.col("_at.cluster").alias("_j"))
-                .agg(F.count(F.lit(1)).alias("_m"), F.sum("_at.d").alias("_d"), F.struct(*[F.avg(f).alias(f) for f in features]).alias("_c")))
+        sums = _sums(blocks, moving, keys, features)
         # A row for each centre: where it goes, how far, and what it adds to the spread within and between.
         old = moving.select(*keys, "_mean", "_n", "_span", "_k", F.posexplode("_centres").alias("_j", "_old")).join(sums, [*keys, "_k", "_j"], "left")
         fields = lambda c: [F.col(f"{c}.{f}") for f in features]
@@ -257,36 +377,6 @@ def classify_water(df: DataFrame, keys: Sequence[str], features: Sequence[str],
 
 # --- radar ----------------------------------------------------------------------------------
 
-def _runs(table, names: Sequence[str]) -> np.ndarray:
-    """Where in a table, ordered by these columns, each of their values starts."""
-    new = np.arange(table.num_rows) == 0
-    for name in names:
-        codes = table[name].combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
-        new[1:] |= codes[1:] != codes[:-1]
-    return np.flatnonzero(new)
-
-
-def _whole_runs(batches: Iterable, names: Sequence[str], least: int = TASK_ROWS) -> Iterator[tuple]:
-    """Tables of about ``least`` rows that end where a value of these columns ends, each with the starts of the values."""
-    import pyarrow as pa
-
-    held, rows, limit = [], 0, least
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= limit:
-            table = pa.Table.from_batches(held).combine_chunks()
-            starts = _runs(table, names)
-            done = int(starts[-1])
-            if done:
-                yield table.slice(0, done), starts[:-1]
-            held, rows = table.slice(done).to_batches(), rows - done
-            limit = max(least, 2 * rows)
-    if rows:
-        table = pa.Table.from_batches(held).combine_chunks()
-        yield table, _runs(table, names)
-
-
 def _tiles(df: DataFrame, keys: Sequence[str], radius: int) -> DataFrame:
     """Each pixel in the tile (``_tx``, ``_ty``) that holds it and in those that its disc reaches, tile after tile in a task."""
     span = lambda c: F.explode(F.sequence(F.floor((F.col(c) - radius) / TILE), F.floor((F.col(c) + radius) / TILE)))

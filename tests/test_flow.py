@@ -282,9 +282,8 @@ def test_disc_maximum(spark):
         assert got == want
 
 
-def test_radar_water_across_tiles(spark, monkeypatch):
+def test_radar_water_across_tiles(spark):
     """Images of two composites over the edges of tiles and below zero; pixels without a place or angle, copies of pixels. Nothing is ordered row by row."""
-    monkeypatch.setattr(pixels, "TASK_ROWS", 64)
     rng = np.random.default_rng(11)
     rows = [(c, i, int(x), int(y), float(v), 35.0) for c in (1, 2) for i in "abcd" for x, y, v in zip(rng.integers(-9, 140, 300), rng.integers(55, 75, 300), rng.uniform(-45, -5, 300))]
     rows += rows[::7] + [(1, "a", None, 60, -20.0, 35.0), (1, "a", 5, None, -20.0, 35.0), (2, "a", 5, 60, -1.0, 50.0), (2, "b", 5, 60, None, 35.0), (3, "a", 5, 60, -20.0, 20.0), (None, "a", 5, 60, -20.0, 35.0)]
@@ -302,6 +301,35 @@ def test_radar_water_across_tiles(spark, monkeypatch):
     assert "Window" not in out._jdf.queryExecution().toString()
 
 
+def test_pixels_in_blocks(spark):
+    """A pass of the clustering adds up every pixel of scenes smaller and larger than a block, for all fits at once."""
+    rng = np.random.default_rng(12)
+    scenes = {1: rng.normal(size=(5000, 2)), 2: rng.normal(size=(3, 2))}
+    df = spark.createDataFrame([(k, float(a), float(b)) for k, x in scenes.items() for a, b in x], "scene int, a double, b double")
+    blocks = pixels._blocks(df, ["scene"], ["a", "b"])
+    assert sum(len(r["_x"]) for r in blocks.collect()) == 2 * 5003
+    centres = {k: [{"a": float(a), "b": float(b)} for a, b in rng.normal(size=(k, 2))] for k in (1, 2, 3)}
+    fits = spark.createDataFrame([(s, k, c) for s in scenes for k, c in centres.items()], "scene int, _k int, _centres array<struct<a double, b double>>")
+    got = {(r["scene"], r["_k"], r["_j"]): (r["_m"], r["_d"], r["_c"]["a"], r["_c"]["b"]) for r in pixels._sums(blocks, fits, ["scene"], ["a", "b"]).collect()}
+    want = {}
+    for scene, x in scenes.items():
+        for k, cs in centres.items():
+            d = np.array([[(p - [c["a"], c["b"]]) @ (p - [c["a"], c["b"]]) for c in cs] for p in x])
+            for j in set(d.argmin(axis=1)):
+                mine = d.argmin(axis=1) == j
+                want[scene, k, j] = (mine.sum(), d[mine, j].sum(), *x[mine].mean(axis=0))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_runs_of_sorted_rows():
+    """Batches become tables that end where a value ends, however many batches a value spans."""
+    import pyarrow as pa
+    values = [None] * 3 + [1] * 20 + [2] * 2 + [3] * 9
+    batches = [pa.RecordBatch.from_pydict({"k": pa.array(values[i:i + 2], pa.int32())}) for i in range(0, len(values), 2)]
+    out = [[t["k"][int(a)].as_py() for a in starts] for t, starts in pixels._whole_runs(batches, ["k"], 4)]
+    assert sum(out, []) == [None, 1, 2, 3]
+
+
 def test_clusters_separate_water(spark):
     rng = np.random.default_rng(10)
     rows = []
