@@ -1,21 +1,27 @@
 """Near copies for a corpus: documents that share 0.8 of their five-word shingles, found by an exact similarity join
-among the texts that least shingles bring together and SimHash fingerprints do not tell apart."""
+among the texts that SimHash fingerprints bring together."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.components import connected_components
-from lakeledger.llm.simhash import bit_majority
+from lakeledger.llm.memory import released
+from lakeledger.llm.simhash import join_labels
 from lakeledger.session import cut_lineage, drop_steps
 
 SHINGLE_WORDS = 5
 SIMILARITY = (4, 5)  # shared shingles of all that two texts have: 0.8, as whole numbers
 DISTANCE = 44  # of 128 bits; texts of similarity 0.8 differ in about 20, give or take 4, and exact similarity decides
-TABLES, LEAST = 32, 4  # texts of similarity s meet in a table if four least shingles agree: in none of 32 with (1 - s^4)^32, 5e-8 at 0.8
+TABLES, BITS = 64, 9  # each of its own bits of a fingerprint; texts of similarity 0.8 agree in 0.85 of them: in none of 64 tables with 7e-8
+TILE = 1 << 16  # fingerprints of a bucket that are compared in one place
+HELD = 1 << 16  # fingerprints that are compared at once
+CROWD, LEADERS = 512, 16  # a bucket of more gets so many leaders first
 GROWTH = 1.04  # of the edges between size classes
 BROADCAST_BYTES = 32 << 20  # ids of at most this size travel to the tasks
 
@@ -34,35 +40,147 @@ def similarity(a: set[bytes], b: set[bytes]) -> float:
     return len(a & b) / len(a | b)
 
 
-def draws() -> tuple[np.ndarray, np.ndarray]:
-    """Factors and addends of the orders in which the least shingle is sought."""
-    rng = np.random.default_rng(5)
-    return tuple(rng.integers(1 << 32, size=TABLES * LEAST, dtype=np.uint32) | np.uint32(k) for k in (1, 0))
-
-
 def node_of(words: list[bytes]) -> int:
     from xxhash import xxh3_64_intdigest
 
     return xxh3_64_intdigest(b" ".join(words))
 
 
-def digest(text: str | None) -> tuple[int, int, int, list[int]]:
-    """Hash of the words, both halves of the fingerprint, and a bucket for each table, all as signed numbers."""
-    from xxhash import xxh3_64_intdigest, xxh3_128_digest
+WORDS = 2 + TABLES * BITS // 64  # of a fingerprint: two are compared, those after them are cut into the tables' bits
+DRAWS = np.random.default_rng(5).integers(1 << 63, size=WORDS, dtype=np.uint64) | np.uint64(1)
+
+
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of ``WORDS`` times 64 bits over 128-bit hashes, (n, 2) numbers: bits that are set in over half of them."""
+    ones = np.zeros(WORDS * 64, np.int64)
+    for at in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
+        x = hashes[at:at + 255]
+        x = x[:, :1] * DRAWS + x[:, 1:]
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)
+
+
+def digest(text: str | None) -> tuple[int, int, int, int, np.ndarray]:
+    """Hash of the words, number of shingles, the two numbers of the fingerprint that are compared, and a bucket for each table."""
+    from xxhash import xxh3_128_digest
 
     words = words_of(text)
     hashes = np.frombuffer(b"".join(map(xxh3_128_digest, shingles(words))), np.uint64).reshape(-1, 2)
-    short, (factor, addend) = hashes[:, :1].astype(np.uint32), DRAWS
-    least = np.full(TABLES * LEAST, (1 << 32) - 1, np.uint32)
-    for at in range(0, len(short), 2048):
-        np.minimum(least, (short[at:at + 2048] * factor + addend).min(axis=0), out=least)
-    buckets = [xxh3_64_intdigest(least[k * LEAST:(k + 1) * LEAST].tobytes(), seed=k) for k in range(TABLES)]
-    numbers = np.array([node_of(words), *(bit_majority(np.ascontiguousarray(hashes[:, k])) for k in (0, 1)), *buckets], np.uint64)
-    node, x, y, *buckets = numbers.view(np.int64).tolist()
-    return node, x, y, buckets
+    print_ = fingerprint(hashes)
+    bits = np.unpackbits(print_[2:].view(np.uint8), bitorder="little").reshape(TABLES, BITS)
+    buckets = (bits @ (1 << np.arange(BITS))) + (np.arange(TABLES) << BITS)
+    node, x, y = np.array([node_of(words), *print_[:2]], np.uint64).view(np.int64).tolist()
+    return node, len(hashes), x, y, buckets.astype(np.int32)
+
 
+def met(group: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For every row the first row of those it is connected with by links: to rows of its group whose sizes allow
+    similarity, within ``DISTANCE`` bits. Rows are in order of group and size, so that a row meets the next ones only.
 
-DRAWS = draws()
+    Of a large group, a few leaders meet all others first; a row near one of them is linked. Only rows that are
+    near none meet everything, so that copies of one text, however many, do not meet each other. Each row with a
+    link in the group has one in the result.
+    """
+    p, q = SIMILARITY
+    n = len(group)
+    label, rows = np.arange(n), np.arange(n)
+    if not n:
+        return label
+    number = np.cumsum(np.r_[False, group[1:] != group[:-1]])
+    place = (number << 32) + size
+    last = np.searchsorted(place, (number << 32) + size * q // p, "right")  # sizes from here on are too large
+    heads = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    links, held = [], 0
+
+    def near(a: np.ndarray, b: np.ndarray | slice) -> np.ndarray:
+        return np.bitwise_count(x[a] ^ x[b]) + np.bitwise_count(y[a] ^ y[b]) <= DISTANCE
+
+    def link(a: np.ndarray, b: np.ndarray) -> None:
+        nonlocal held
+        links.append((a, b))
+        held += len(a)
+        if held > 2_000_000:
+            close()
+
+    def close() -> None:
+        nonlocal held
+        if links:
+            join_labels(label, *(np.concatenate(side) for side in zip(*links, strict=True)))
+        links.clear()
+        held = 0
+
+    small = np.ones(n, bool)
+    for head, end in zip(heads, np.r_[heads[1:], n], strict=True):
+        if end - head <= CROWD:
+            continue
+        small[head:end] = False
+        # Rows below that a row may be similar to begin where its size is within their reach.
+        first = head + np.searchsorted(last[head:end], rows[head:end], "right")
+        open_ = rows[head:end]
+        for k in range(LEADERS + 1):
+            if not len(open_):
+                break
+            for lead in ([open_[len(open_) * k // LEADERS]] if k < LEADERS else open_):
+                a = first[lead - head]
+                found = a + np.flatnonzero(near(lead, slice(a, last[lead])))
+                found = found[found != lead]
+                if k == LEADERS:
+                    found = found[:1]
+                if len(found):
+                    link(np.full(len(found), lead), found)
+            if k < LEADERS:
+                open_ = open_[~np.isin(open_, np.r_[found, lead])]
+    rows, shift = rows[small], 1
+    while True:
+        rows = rows[rows + shift < last[rows]]
+        if not len(rows):
+            close()
+            return label
+        hit = rows[near(rows, rows + shift)]
+        if len(hit):
+            link(hit, hit + shift)
+        shift += 1
+
+
+def crowds(nodes: DataFrame, tile: int = TILE) -> DataFrame:
+    """``key, node``: texts that fingerprints bring together, from ``nodes(node, size, x, y, buckets)``. Texts that agree in a
+    table's bits, and then within ``DISTANCE`` bits of the compared ones, are linked; what links connect in a bucket has one key.
+
+    A bucket of more than ``tile`` fingerprints is cut into parts, each pair of which meets in a place of its own.
+    """
+    keyed = nodes.select("node", "size", "x", "y", F.explode("buckets").alias("key"))
+    parts = F.ceil(F.col("n") / tile)
+    hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select("key", parts.alias("parts"))
+    one = F.lit(1).cast("long")
+    tiled = (keyed.join(F.broadcast(hot), "key", "left").withColumn("parts", F.coalesce("parts", one))  # at most a row for each of the tables' buckets
+             .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .select("node", "size", "x", "y", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("g")))
+
+    def solve(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(parts, ignore_index=True)
+        g, size, x, y, node = (rows[c].to_numpy() for c in ("g", "size", "x", "y", "node"))
+        label = met(g, size, x.view(np.uint64), y.view(np.uint64))
+        at = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+        return pd.DataFrame({"g": g[at], "first": node[label[at]], "node": node[at]})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for batch in batches:
+            g = batch["g"].to_numpy()
+            cut = int(np.searchsorted(g, g[-1])) if len(g) else 0
+            if held and len(g) and n + cut >= HELD and (cut or g[0] != held[-1]["g"].iloc[-1]):
+                yield solve([*held, batch.iloc[:cut]])
+                held, n, batch = [], 0, batch.iloc[cut:]
+            held.append(batch)
+            n += len(batch)
+        if held:
+            yield solve(held)
+
+    return (tiled.repartition("g").sortWithinPartitions("g", "size", "node").mapInPandas(released(compare), "g long, first long, node long")
+            .select(F.xxhash64("g", "first").alias("key"), "node"))
 
 
 def size_edges() -> list[int]:
@@ -190,8 +308,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``node, id, component``: each distinct sequence of words, its least id and its class.
 
-    Two texts are linked where at least ``SIMILARITY`` of their five-word shingles are shared. Texts that share a bucket
-    of four least shingles in one of 32 tables take part. Their links to the centres of buckets, verified, give first
+    Two texts are linked where at least ``SIMILARITY`` of their five-word shingles are shared. Texts take part that agree
+    in the bits of one of ``TABLES`` tables of their SimHash fingerprints with a text within ``DISTANCE`` of 128 others
+    (``crowds``). Their links to the centres of these crowds, verified, give first
     classes, which take in what a large group shares at once; links between classes are then found by an exact
     prefix-filtered join, verified, and close them. No pair within a class is looked for, so that the pairs
     do not grow with the square of a group. A null text counts as empty; an id that repeats ties its texts. Rows
@@ -199,16 +318,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
 
-    @F.pandas_udf("node long, x long, y long, buckets array<long>")
+    @F.pandas_udf("node long, size long, x long, y long, buckets array<int>")
     def digests(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([digest(t) for t in texts], columns=["node", "x", "y", "buckets"])
+        return pd.DataFrame([digest(t) for t in texts], columns=["node", "size", "x", "y", "buckets"])
 
     prints = cut_lineage(rows.select("id", digests("text").alias("d")).select("id", "d.*"))
-    nodes = cut_lineage(prints.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("x").alias("x"), F.min("y").alias("y"), F.min("buckets").alias("buckets")))
+    nodes = cut_lineage(prints.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in ("size", "x", "y", "buckets")]))
     ends = prints.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("id", "a")
     ties = cut_lineage(prints.join(ends, "id").select("a", F.col("node").alias("b")).distinct())
-    keyed = nodes.select("node", F.explode("buckets").alias("key"))
-    crowd = cut_lineage(keyed.join(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key", "left_semi"))
+    crowd = cut_lineage(crowds(nodes))
     ids = cut_lineage(nodes.join(crowd.select("node").distinct(), "node", "left_semi").select("id").distinct())
     sets = cut_lineage(shingle_sets(rows, ids))
     known = cut_lineage(profiles(sets).join(nodes.select("node", "copies", "x", "y"), "node"))

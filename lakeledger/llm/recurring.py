@@ -228,7 +228,7 @@ def solved(dealt: DataFrame, many: int, whole: DataFrame, kind: Kind, solve: Cal
 
     ``solve(stretches)`` gives removed ranges, and, of windows that it keeps in stretches with more than one part,
     ``doc, ver, start, key`` and two independent hashes of the window. Groups follow each other in a task and are solved
-    together in chunks of about ``chunk`` bytes: what meets besides its group does no harm, since every match is true.
+    together in chunks of at most ``chunk`` bytes, or one group if it has more: what meets besides its group does no harm, since every match is true.
     Windows that one part keeps meet those of the other parts in buckets: a chunk sends them packed, one row a bucket,
     and there is a bucket for about every ``BUCKET`` symbols of such stretches.
     """
@@ -237,18 +237,23 @@ def solved(dealt: DataFrame, many: int, whole: DataFrame, kind: Kind, solve: Cal
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+        held, size, group, more = [], 0, [], 0  # whole groups, and the one that may go on
         for batch in batches:
             cuts = np.flatnonzero(np.r_[True, batch["g"].to_numpy()[1:] != batch["g"].to_numpy()[:-1]]) if len(batch) else []
             for a, b in zip(cuts, [*cuts[1:], len(batch)], strict=False):
                 piece = batch.iloc[a:b]
-                if size >= chunk and piece["g"].iloc[0] != held[-1]["g"].iloc[-1]:
-                    yield from told(pd.concat(held, ignore_index=True))
-                    held, size = [], 0
-                held.append(piece)
-                size += int(piece["data"].map(len).sum())
-        if held:
+                if group and piece["g"].iloc[0] != group[-1]["g"].iloc[-1]:
+                    if held and size + more > chunk:
+                        yield from told(pd.concat(held, ignore_index=True))
+                        held, size = [], 0
+                    held, size, group, more = [*held, *group], size + more, [], 0
+                group.append(piece)
+                more += int(piece["data"].map(len).sum())
+        if held and size + more > chunk:
             yield from told(pd.concat(held, ignore_index=True))
+            held = []
+        if group:
+            yield from told(pd.concat([*held, *group], ignore_index=True))
 
     def told(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         ranges, left = solve(rows)

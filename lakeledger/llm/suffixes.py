@@ -29,9 +29,12 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
 
 def in_order(ranks: np.ndarray) -> np.ndarray:
     """Stable order of numbers below 2 ** 31: they are sorted together with their places, which is faster than by reference."""
-    keys = (ranks.astype(np.uint64) << np.uint64(32)) | np.arange(len(ranks), dtype=np.uint64)
+    keys = ranks.astype(np.uint64)
+    keys <<= np.uint64(32)
+    keys |= np.arange(len(ranks), dtype=np.uint32)
     keys.sort()
-    return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    keys &= np.uint64(0xFFFFFFFF)
+    return keys.view(np.int64)
 
 
 def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,8 +42,9 @@ def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     ordered = keys[order]
     new = np.r_[True, ordered[1:] != ordered[:-1]] if len(keys) else np.zeros(0, bool)
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.cumsum(new) - 1
+    del ordered
+    ranks = np.empty(len(keys), np.int32)
+    ranks[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     return ranks, order[new]
 
 
@@ -62,9 +66,8 @@ def exact_letters(data: np.ndarray, size: int) -> np.ndarray:
             offsets = [*range(0, size - 7, 8), size - 8]
         else:
             eight, offsets = data, range(size)
-        at = np.arange(len(ranks))
-        if all(np.array_equal(eight[at + k], eight[same + k]) for k in offsets):
-            return ranks + 1
+        if all(np.array_equal(eight[k:k + len(ranks)], eight[same + k]) for k in offsets):
+            return ranks + np.int32(1)
         draw += 1
         spread = np.random.default_rng(draw).integers(1, 1 << 63, 256, np.uint64)
 
@@ -87,7 +90,7 @@ def transform(letters: np.ndarray, before: np.ndarray, depth: int, step: int, ro
         if 2 * have > depth:
             break
         ranks, have = dense(ranks, later(ranks, have * step)), 2 * have
-    order = in_order(whole)
+    order = in_order(whole).astype(np.int32)
     return order, before[order]
 
 
@@ -102,14 +105,15 @@ def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]
     sizes = list(map(len, shards))
     letters = np.concatenate(shards)
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint16 if len(shards) < 65536 else np.int64), sizes)
-    block = np.zeros(len(letters), np.int64)
+    block = np.zeros(len(letters), np.int32)
     for _ in range(depth):
-        there = np.empty(len(letters), np.int64)
+        there = np.empty(len(letters), letters.dtype)
         there[np.argsort(interleave, kind="stable")] = letters
         order = in_order(there)
         interleave, sorted_letters, came = interleave[order], there[order], block[order]
+        del there, order
         new = np.r_[True, (sorted_letters[1:] != sorted_letters[:-1]) | (came[1:] != came[:-1])] | (sorted_letters == 0)
-        block = np.cumsum(new)
+        block = np.cumsum(new, dtype=np.int32)
     return interleave, block
 
 
@@ -120,45 +124,55 @@ def repeats(rows: pd.DataFrame, window: int, letter: int, shard: int) -> tuple[p
     data = np.frombuffer(b"".join(rows["data"]), np.uint8)
     n = len(data)
     ends = np.cumsum(sizes)
-    row_of = np.repeat(np.arange(len(rows)), sizes)
+    row_of = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     # A stretch of m bytes has m + 1 suffixes: one at each whole letter, and the ends of its chains of letters.
     slots = sizes + 1
     first = np.cumsum(slots) - slots
-    row = np.repeat(np.arange(len(rows)), slots)
-    inside = np.arange(slots.sum()) - first[row]
-    room = sizes[row] - inside
-    byte = (ends - sizes)[row] + inside
-    letters = np.zeros(len(row), np.int64)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), slots)
+    short = lambda x: x.astype(np.int32)  # a chunk has far fewer than 2 ** 31 bytes; its arrays are what a task needs memory for
+    inside = np.arange(len(row), dtype=np.int32) - short(first)[row]
+    room = short(sizes)[row] - inside
+    byte = short(ends - sizes)[row] + inside
+    letters = np.zeros(len(row), np.int32)
     has = np.flatnonzero(room >= letter)
     letters[has] = exact_letters(data, letter)[byte[has]]
-    before = np.zeros(len(row), np.int64)
+    before = np.zeros(len(row), np.int32)
     back = np.flatnonzero(inside >= letter)
     before[back] = letters[back - letter]
+    slots = len(row)
+    del has, back, row, inside
     # Shards of whole stretches, each with its own transform.
     cut = np.flatnonzero(np.diff(first // shard, prepend=-1))
-    edges = [*first[cut].tolist(), len(row)]
+    edges = [*first[cut].tolist(), slots]
     built = [transform(letters[a:b], before[a:b], depth, letter, room[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-    interleave, block = merge([x for _, x in built], depth)
-    suffix = np.empty(len(row), np.int64)
-    suffix[np.argsort(interleave, kind="stable")] = np.concatenate([o + a for (o, _), a in zip(built, edges, strict=False)])
-    del built, interleave, letters, before, row, inside, room  # the largest arrays are done with
+    del letters, before, room
+    orders = np.concatenate([o + np.int32(a) for (o, _), a in zip(built, edges, strict=False)])
+    shards = [x for _, x in built]
+    del built
+    interleave, block = merge(shards, depth)
+    suffix = np.empty(slots, np.int32)
+    suffix[np.argsort(interleave, kind="stable")] = orders
+    del shards, interleave, orders
     # Repeated intervals: blocks of two and more. In each, by place on the line of documents.
-    size = np.bincount(block)
-    many = np.flatnonzero(size[block] > 1)
-    place = line[row_of] + np.arange(n) - (ends - sizes)[row_of]
-    where = byte[suffix[many]]
-    order = np.lexsort((place[where], block[many]))
-    where, blocks = where[order], block[many][order]
+    many = np.flatnonzero((np.bincount(block) > 1)[block])
+    place = (line - (ends - sizes))[row_of] + np.arange(n)
+    where, blocks = byte[suffix[many]], block[many]
+    del suffix, byte, block, many
+    order = np.lexsort((place[where], blocks))
+    where, blocks = where[order], blocks[order]
+    del order
     heads = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else np.array([], int)
     head = np.repeat(heads, np.diff(np.r_[heads, len(blocks)]))
     doc = rows["doc"].to_numpy()[row_of[where]]
     which = np.searchsorted(base, place[where], "right") - 1
     same = np.r_[False, (blocks[1:] == blocks[:-1]) & (which[1:] == which[:-1])] if len(blocks) else np.array([], bool)
+    del which
     # Of one document's equal windows the first place is kept; a place may lie in the chunk twice.
     lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(blocks)))) if len(blocks) else head
     gone_at = (doc > doc[head]) | (place[where] > place[where][lead])
     gone = np.zeros(n + 1, bool)
     gone[where[gone_at]] = True
+    del doc, same, lead, head, gone_at, where, blocks
     at = np.flatnonzero(np.arange(n) + window <= ends[row_of])
     # A place that lies in the chunk several times is in one block each time, and gone each time or not at all.
     return outcome(rows, place, base, np.flatnonzero(gone[:n]), window, row_of, at, gone, SPREAD[data], min(GRAM, window))
